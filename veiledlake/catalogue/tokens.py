@@ -183,12 +183,11 @@ def tokenise_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     pii = {"flag": "user_cd", "supplier": "case_id"}
     batch = Vault(spark, f"{folder}/vault").tokens_for(lines, pii, RUN_TS, f"{folder}/work")
     done = tokenise_from_vault(lines, pii, batch, broadcast_bytes=0, hot_share=0.05)
-    pairs = F.inline(
-        F.array(
-            F.struct(F.lit("flag").alias("what"), F.col("raw_flag").alias("raw"), F.col("flag").alias("token")),
-            F.struct(F.lit("supplier"), F.col("raw_supplier"), F.col("supplier")),
-        )
-    )
+    cells = [
+        F.struct(F.lit(c).alias("what"), F.col(f"raw_{c}").alias("raw"), F.col(c).alias("token"))
+        for c in pii
+    ]
+    pairs = F.inline(F.array(*cells))
     per_token = done.select(pairs).groupBy("what", "raw", "token").agg(F.count(F.lit(1)).alias("n"))
     return per_token.groupBy("what", "raw").agg(
         F.sum("n").alias("n_rows"), F.count_if(F.col("token") != "").alias("n_tokens")

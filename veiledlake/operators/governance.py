@@ -38,12 +38,17 @@ def requirement_values(requirements: DataFrame) -> DataFrame:
 
 def requirement_diff(requirements: DataFrame) -> DataFrame:
     """Known values the sheet never uses (``unused``), and values it should not hold (``unknown``)."""
-    spark = requirements.sparkSession
-    known = spark.createDataFrame([(r,) for r in (*REQUIREMENTS, None)], "requirement string")
-    found = requirement_values(requirements)
-    unused, unknown = known.exceptAll(found), found.exceptAll(known)
-    return unused.select(F.lit("unused").alias("side"), "requirement").unionAll(
-        unknown.select(F.lit("unknown").alias("side"), "requirement")
+    known = requirements.sparkSession.createDataFrame(
+        [(r, True, False) for r in (*REQUIREMENTS, None)],
+        "requirement string, is_known boolean, is_used boolean",
+    )
+    used = requirement_values(requirements).select(
+        "requirement", F.lit(False).alias("is_known"), F.lit(True).alias("is_used")
+    )
+    both = known.unionAll(used).groupBy("requirement")
+    flags = both.agg(F.bool_or("is_known").alias("is_known"), F.bool_or("is_used").alias("is_used"))
+    return flags.filter("is_known <> is_used").select(
+        F.when(F.col("is_known"), "unused").otherwise("unknown").alias("side"), "requirement"
     )
 
 
