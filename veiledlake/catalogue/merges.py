@@ -82,8 +82,8 @@ def merge_match_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(UPSERT_SQL)
 def upsert_all(spark: SparkSession, sf: str) -> DataFrame:
-    base, new = halves(feed(spark, sf))
-    return upsert(base, new, FEED_KEY)
+    changes = feed(spark, sf)
+    return curate(halves(changes)[0], increment(changes), POLICY)
 
 
 @query(f"select op, count(*) as n_rows from ({UPSERT_SQL}) group by op")

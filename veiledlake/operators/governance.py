@@ -143,18 +143,21 @@ def build_policy(columns: DataFrame, requirements: DataFrame) -> DataFrame:
     A table without requirements still gets its key. A column to hash whose
     name points to no type gets no rule; ``policy_gaps`` reports it.
     """
-    marked = policy_columns(requirements)
-    none = F.lit(None)
-    keys = primary_keys(columns).select(
-        *TABLE, F.lit("key").alias("rule"), "column", F.col("position"), none.cast("string").alias("pii_type")
-    )
-    excluded = marked.filter("rule = 'exclude'").select(
-        *TABLE, "rule", "column", none.cast("int").alias("position"), none.cast("string").alias("pii_type")
+    pii_type = F.when(F.col("rule") == "hash", pii_type_of(F.col("column")))
+    marked = policy_columns(requirements).select(
+        *TABLE,
+        F.when(F.col("rule") == "hash", "pii").otherwise("exclude").alias("rule"),
+        F.lit(None).cast("int").alias("position"),
+        "column",
+        pii_type.alias("pii_type"),
     )
-    hashed = classify_columns(marked.filter("rule = 'hash'")).select(
-        *TABLE, F.lit("pii").alias("rule"), "column", none.cast("int").alias("position"), "pii_type"
+    marked = marked.filter((F.col("rule") == "exclude") | F.col("pii_type").isNotNull())
+    rules = (
+        primary_keys(columns)
+        .select(*TABLE, F.lit("key").alias("rule"), "position", "column")
+        .withColumn("pii_type", F.lit(None).cast("string"))
+        .unionByName(marked)
     )
-    rules = keys.unionByName(excluded).unionByName(hashed)
     # Only tables with a key are datasets. Each is listed once per slot, so that
     # the rules of a table with very many columns are spread over the slots.
     slots = F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("slot")

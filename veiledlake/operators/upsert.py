@@ -8,29 +8,35 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 OP = "op"
 DELETE = "D"
 
 
-def align(df: DataFrame, columns: Sequence[str], missing: str = "error") -> DataFrame:
-    """Bring rows to a table's columns, by name and ignoring case.
+def align(df: DataFrame, schema: StructType, missing: str = "error") -> DataFrame:
+    """Bring rows to a table's columns and types, by name and ignoring case.
 
     Columns the table lacks are left out. Columns the rows lack raise, or are
     filled with null when ``missing`` is ``null``.
     """
     if missing not in ("error", "null"):
         raise ValueError("missing must be 'error' or 'null'")
-    actual = {c.lower(): c for c in df.columns}
-    absent = [c for c in columns if c.lower() not in actual]
+    actual = {f.name.lower(): f for f in df.schema.fields}
+    absent = [f.name for f in schema.fields if f.name.lower() not in actual]
     if absent and missing == "error":
         raise ValueError(f"rows lack the table's columns {absent}")
-    return df.select(
-        *(
-            F.col(actual[c.lower()]).alias(c) if c.lower() in actual else F.lit(None).alias(c)
-            for c in columns
-        )
-    )
+
+    def aligned(wanted: StructField) -> Column:
+        found = actual.get(wanted.name.lower())
+        if found is None:
+            return F.lit(None).cast(wanted.dataType).alias(wanted.name)
+        column = F.col(found.name)
+        if found.dataType != wanted.dataType:
+            column = column.cast(wanted.dataType)
+        return column.alias(wanted.name)
+
+    return df.select(*(aligned(f) for f in schema.fields))
 
 
 def upsert(
@@ -42,6 +48,7 @@ def upsert(
     apply_deletes: bool = False,
     only_if_newer: str | None = None,
     missing: str = "error",
+    batch_keys: DataFrame | None = None,
 ) -> DataFrame:
     """The table after a batch with one row per key has been merged into it.
 
@@ -50,21 +57,27 @@ def upsert(
     rows marked ``D``, unless ``apply_deletes``. The batch wins even if older,
     unless ``only_if_newer`` names the time column to compare; a null time on
     either side then leaves the table row.
+
+    ``batch_keys``, if given, holds the batch's keys at less cost than the
+    batch itself; it is not used with ``only_if_newer``.
     """
-    batch = align(batch, base.columns, missing)
+    batch = align(batch, base.schema, missing)
     newer = stale = None
     if only_if_newer is not None:
         newer = F.col(_other(only_if_newer)) >= F.col(only_if_newer)
         stale = F.coalesce(F.col(only_if_newer) < F.col(_other(only_if_newer)), F.lit(True))
-    columns = [*keys] if only_if_newer is None else [*keys, only_if_newer]
+        columns = [*keys, only_if_newer]
+        new_keys = batch.select(*columns)
+    else:
+        new_keys = batch.select(*keys) if batch_keys is None else batch_keys.select(*keys)
 
     if null_safe:
-        kept = _unmatched(base, batch.select(*columns), keys, newer, null_safe)
+        kept = _unmatched(base, new_keys, keys, newer, null_safe)
     else:
         # Rows with a null key part skip the join: they match nothing, and
         # would all hash to the same task.
         null_key = reduce(or_, (F.col(k).isNull() for k in keys))
-        kept = _unmatched(base.filter(~null_key), batch.select(*columns), keys, newer)
+        kept = _unmatched(base.filter(~null_key), new_keys, keys, newer)
         kept = kept.unionByName(base.filter(null_key))
     if stale is not None:
         batch = _unmatched(batch, base.select(*columns), keys, stale, null_safe)

@@ -41,11 +41,16 @@ def curate(
     """The table after a batch: latest row per key, merged into ``base`` if there is one."""
     policy = policy.resolve(batch.columns)
     latest = latest_per_key(batch, policy.keys, options.order_by, options.nulls)
-    return merge(base, latest, policy, options)
+    # The distinct keys come from the batch, as that needs no sort by recency.
+    return merge(base, latest, policy, options, batch.select(*policy.keys).distinct())
 
 
 def merge(
-    base: DataFrame | None, latest: DataFrame, policy: DatasetPolicy, options: MergeOptions = PLAIN
+    base: DataFrame | None,
+    latest: DataFrame,
+    policy: DatasetPolicy,
+    options: MergeOptions = PLAIN,
+    batch_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Merge rows that are already one per key."""
     if base is None:
@@ -58,6 +63,7 @@ def merge(
         apply_deletes=options.apply_deletes,
         only_if_newer=options.only_if_newer,
         missing=options.missing,
+        batch_keys=batch_keys,
     )
 
 

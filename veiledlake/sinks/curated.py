@@ -31,9 +31,10 @@ class SnapshotTable:
     applied. One writer at a time; readers see whole snapshots only.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, keep: int | None = None) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
+        self.keep = keep
 
     def version(self) -> int | None:
         names = children(self.spark, f"{self.path}/_commits")
@@ -59,12 +60,11 @@ class SnapshotTable:
         df: DataFrame,
         partitions: Sequence[str] = (),
         batch: Batch | None = None,
-        keep: int | None = None,
     ) -> int:
         """Make rows the next snapshot; return its number.
 
         A failed attempt leaves a folder without commit file, which the next
-        one overwrites. ``keep`` deletes all but that many snapshots.
+        one overwrites. With ``keep`` set, all but that many snapshots are deleted.
         """
         old = self.version()
         new = 0 if old is None else old + 1
@@ -74,10 +74,10 @@ class SnapshotTable:
         append_parquet(df, self._snapshot(new), partitions, mode="overwrite")
         commit = {"schema": df.schema.jsonValue(), "applied": applied}
         create_text(self.spark, f"{self.path}/_commits/{new}", json.dumps(commit))
-        if keep is not None:
+        if self.keep is not None:
             for name in children(self.spark, self.path):
                 number = name.removeprefix("snapshot=")
-                if number.isdigit() and int(number) <= new - max(keep, 1):
+                if number.isdigit() and int(number) <= new - max(self.keep, 1):
                     delete(self.spark, f"{self.path}/{name}")
         return new
 
