@@ -8,10 +8,19 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 OP = "op"
 DELETE = "D"
+# Keys of a batch up to this size are broadcast once measured.
+BROADCAST_BYTES = 64 << 20
 
 
 def align(df: DataFrame, schema: StructType, missing: str = "error") -> DataFrame:
@@ -49,6 +58,7 @@ def upsert(
     only_if_newer: str | None = None,
     missing: str = "error",
     batch_keys: DataFrame | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """The table after a batch with one row per key has been merged into it.
 
@@ -59,7 +69,9 @@ def upsert(
     either side then leaves the table row.
 
     ``batch_keys``, if given, holds the batch's keys at less cost than the
-    batch itself; it is not used with ``only_if_newer``.
+    batch itself; it is not used with ``only_if_newer``. ``small`` states that
+    the keys were measured to fit in memory (see ``fits_in_memory``): they are
+    then broadcast, and the table is not shuffled.
     """
     batch = align(batch, base.schema, missing)
     newer = stale = None
@@ -70,6 +82,8 @@ def upsert(
         new_keys = batch.select(*columns)
     else:
         new_keys = batch.select(*keys) if batch_keys is None else batch_keys.select(*keys)
+    if small:
+        new_keys = F.broadcast(new_keys)
 
     if null_safe:
         kept = _unmatched(base, new_keys, keys, newer, null_safe)
@@ -80,7 +94,8 @@ def upsert(
         kept = _unmatched(base.filter(~null_key), new_keys, keys, newer)
         kept = kept.unionByName(base.filter(null_key))
     if stale is not None:
-        batch = _unmatched(batch, base.select(*columns), keys, stale, null_safe)
+        times = matched(base.select(*columns), batch, keys, null_safe, small)
+        batch = _unmatched(batch, times, keys, stale, null_safe)
     return kept.unionByName(without_deletes(batch) if apply_deletes else batch)
 
 
@@ -98,13 +113,31 @@ def match_rows(
 
 
 def matched(
-    base: DataFrame, batch: DataFrame, keys: Sequence[str], null_safe: bool = False
+    base: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    small: bool = False,
 ) -> DataFrame:
     """Table rows whose key occurs in the batch."""
     batch = batch.select(*keys).toDF(*(f"new_{k}" for k in keys))
+    if small:
+        batch = F.broadcast(batch)
     return base.join(batch, _same_key(keys, "new_", null_safe), "left_semi")
 
 
+def fits_in_memory(df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_BYTES) -> bool:
+    """Whether columns of a written table are small enough to broadcast. Runs a job that reads them."""
+    size = F.lit(16 * (len(columns) + 1))
+    for c in columns:
+        if isinstance(df.schema[c].dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(df.schema[c].dataType, (ArrayType, MapType, StructType)):
+            return False
+    total = df.select(F.sum(size.cast("long"))).first()[0]
+    return (total or 0) <= limit
+
+
 def _unmatched(
     df: DataFrame,
     other: DataFrame,

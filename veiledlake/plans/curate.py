@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from veiledlake.operators.latest import latest_per_key
-from veiledlake.operators.upsert import upsert, without_deletes
+from veiledlake.operators.upsert import fits_in_memory, upsert, without_deletes
 from veiledlake.policy import DatasetPolicy
 from veiledlake.sinks.curated import Batch, PartitionedTable, SnapshotTable
 from veiledlake.storage import scratch
@@ -51,6 +51,7 @@ def merge(
     policy: DatasetPolicy,
     options: MergeOptions = PLAIN,
     batch_keys: DataFrame | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Merge rows that are already one per key."""
     if base is None:
@@ -64,6 +65,7 @@ def merge(
         only_if_newer=options.only_if_newer,
         missing=options.missing,
         batch_keys=batch_keys,
+        small=small,
     )
 
 
@@ -98,11 +100,13 @@ def run_curate(
     with scratch(spark) as work:
         latest.write.parquet(work)
         latest = spark.read.schema(latest.schema).parquet(work)
+        needed = [*policy.keys, *([options.only_if_newer] if options.only_if_newer else [])]
+        small = fits_in_memory(latest, needed)
         if isinstance(target, PartitionedTable):
-            touched = target.touched(latest, policy.keys, options.null_safe)
+            touched = target.touched(latest, policy.keys, options.null_safe, small)
             base = target.read(touched)
-            target.replace(merge(base, latest, policy, options), touched)
+            target.replace(merge(base, latest, policy, options, small=small), touched)
         else:
-            rows = merge(target.read(), latest, policy, options)
+            rows = merge(target.read(), latest, policy, options, small=small)
             target.replace(rows, policy.partitions, batch_id)
     return True

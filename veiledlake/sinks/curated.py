@@ -113,14 +113,16 @@ class PartitionedTable:
         table = self.spark.table(self.name)
         return table if only is None else table.filter(self._in(only))
 
-    def touched(self, batch: DataFrame, keys: Sequence[str], null_safe: bool = False) -> list[Row]:
+    def touched(
+        self, batch: DataFrame, keys: Sequence[str], null_safe: bool = False, small: bool = False
+    ) -> list[Row]:
         """Partitions a batch changes: where its rows go, and where their old versions lie.
 
         The list is no longer than the catalog's list of partitions.
         """
         found = batch.select(*self.partitions)
         if any(p not in keys for p in self.partitions):
-            old = matched(self.read(), batch, keys, null_safe)
+            old = matched(self.read(), batch, keys, null_safe, small)
             found = found.unionByName(old.select(*self.partitions))
         return found.distinct().collect()
 
