@@ -29,13 +29,14 @@ RUN_EPOCH = 1717221600
 @query("""
     select o_orderkey as order_id, o_custkey, o_orderstatus as status, o_totalprice, o_orderdate,
            o_orderpriority
-    from orders""")
+    from orders""",
+    name="rename_columns")
 def rename_order_columns(spark: SparkSession, sf: str) -> DataFrame:
     renames = {"o_orderkey": "order_id", "O_ORDERSTATUS": "status", "absent": "x"}
     return rename_columns(read(spark, sf, "orders"), renames)
 
 
-@query("select doc_id, lang, source, n_chars from documents")
+@query("select doc_id, lang, source, n_chars from documents", name="exclude_columns")
 def exclude_free_text(spark: SparkSession, sf: str) -> DataFrame:
     return exclude_columns(read(spark, sf, "documents"), ["TEXT", "absent"])
 
@@ -43,7 +44,8 @@ def exclude_free_text(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
     select o_orderkey, regexp_replace(regexp_replace(o_orderpriority, ' ', '', 'g'), '-', '', 'g')
         as o_orderpriority
-    from orders""")
+    from orders""",
+    name="strip_characters")
 def strip_priority(spark: SparkSession, sf: str) -> DataFrame:
     orders = read(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     return strip_characters(orders, {"o_orderpriority": [" ", "-"]})
@@ -51,7 +53,8 @@ def strip_priority(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     select o_orderkey, case when o_orderstatus <> 'P' then o_orderdate::date end as o_orderdate
-    from orders""")
+    from orders""",
+    name="parse_dates")
 def parse_order_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Dates as text, those of pending orders in another format, which gives null."""
     day = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "dd/MM/yyyy"))
@@ -62,7 +65,8 @@ def parse_order_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     select event_id, case when event_type <> 'error' then date_trunc('second', ts) end as ts
-    from events""")
+    from events""",
+    name="parse_timestamps")
 def parse_event_times(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(F.col("event_type") == "error", F.date_format("ts", "HH:mm yyyy")).otherwise(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss")

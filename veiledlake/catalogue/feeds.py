@@ -40,7 +40,7 @@ ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_ord
 CUSTOMER = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
 
 
-@query(f"select {ORDERS} from orders")
+@query(f"select {ORDERS} from orders", name="scan_dataset")
 def scan_orders(spark: SparkSession, sf: str) -> DataFrame:
     schema = read(spark, sf, "orders").schema
     return scan_dataset(spark, path=f"{sf}/orders.parquet", schema=schema)
@@ -72,14 +72,14 @@ def cdc_feed_read(spark: SparkSession, sf: str) -> DataFrame:
     return count_operations(feed(spark, sf))
 
 
-@query(f"select 'I' as op, {CUSTOMER}, 1704067200 as commit_epoch from customer")
+@query(f"select 'I' as op, {CUSTOMER}, 1704067200 as commit_epoch from customer", name="stamp_full_load")
 def stamp_customers(spark: SparkSession, sf: str) -> DataFrame:
     stamped = stamp_full_load(read(spark, sf, "customer"), datetime(2024, 1, 1, tzinfo=UTC))
     epoch = F.unix_timestamp("dms_commit_ts").alias("commit_epoch")
     return stamped.select("op", *CUSTOMER.split(", "), epoch)
 
 
-@query(f"""select * from ({TABLES_SQL}) where schema = 'building' and "table" like 'c%'""")
+@query(f"""select * from ({TABLES_SQL}) where schema = 'building' and "table" like 'c%'""", name="select_tables")
 def select_schema_tables(spark: SparkSession, sf: str) -> DataFrame:
     return select_tables(tables(spark, sf), "building", "c%")
 
@@ -95,7 +95,7 @@ def fan_out_plan(spark: SparkSession, sf: str) -> DataFrame:
     return fan_out(tables(spark, sf), policies)
 
 
-@query(f'select schema, "table", "column", requirement from ({COLUMNS_SQL})')
+@query(f'select schema, "table", "column", requirement from ({COLUMNS_SQL})', name="read_requirements")
 def read_requirement_sheet(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark)
     sheet = column_list(spark, sf).select(
@@ -167,7 +167,7 @@ CLEAN_LINES_SQL = f"""
 
 
 
-@query(CLEAN_LINES_SQL)
+@query(CLEAN_LINES_SQL, name="stream_clean")
 def stream_clean_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Clean files as they arrive, in several runs; each row must come out once."""
     changes, folder = feed(spark, sf), work_folder(spark)

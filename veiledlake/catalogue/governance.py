@@ -56,9 +56,9 @@ RULES_SQL = f"""
 
 @query(f"""
     select schema, "table", "column", requirement from ({COLUMNS_SQL})
-    where schema = 'building' and "table" = 'c7'""")
+    where schema = 'building' and "table" = 'c82'""")
 def requirements_for_table(spark: SparkSession, sf: str) -> DataFrame:
-    return g.requirements_for_table(requirements(spark, sf), "building", "c7")
+    return g.requirements_for_table(requirements(spark, sf), "building", "c82")
 
 
 @query(f"select distinct requirement from ({COLUMNS_SQL})")

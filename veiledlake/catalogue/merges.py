@@ -42,12 +42,13 @@ def halves(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
 @query("""
     select count(*) as total_rows, count(distinct (l_orderkey, l_linenumber)) as distinct_keys,
            count(*) - count(distinct (l_orderkey, l_linenumber)) as duplicate_rows
-    from lineitem""")
+    from lineitem""",
+    name="duplicate_profile")
 def batch_profile(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_profile(read(spark, sf, "lineitem"), FEED_KEY)
 
 
-@query(latest_sql(FEED_SQL))
+@query(latest_sql(FEED_SQL), name="latest_per_key")
 def latest_lines(spark: SparkSession, sf: str) -> DataFrame:
     return latest_per_key(feed(spark, sf), FEED_KEY)
 
@@ -64,7 +65,7 @@ def order_desc_nulls_first(spark: SparkSession, sf: str) -> DataFrame:
     return order_latest_first(read(spark, sf, "events"), "ts", ["event_id"])
 
 
-@query("select * from orders order by o_orderdate, o_orderkey limit 4")
+@query("select * from orders order by o_orderdate, o_orderkey limit 4", name="preview")
 def preview_orders(spark: SparkSession, sf: str) -> DataFrame:
     return preview(read(spark, sf, "orders"), ["o_orderdate", "o_orderkey"])
 

@@ -19,11 +19,11 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Run], Run]:
-    """Register a function under its own name."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Run], Run]:
+    """Register a function, under its own name unless another is given."""
 
     def register(run: Run) -> Run:
-        QUERIES[run.__name__] = Query(run, sql)
+        QUERIES[name or run.__name__] = Query(run, sql)
         return run
 
     return register

@@ -138,7 +138,8 @@ def token_blank_rule(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""
     select c_custkey, {hmac_sql("person_nm", "c_name")} as c_name, c_nationkey, c_acctbal,
            c_mktsegment, {hmac_sql("case_id", "c_custkey")} as c_custkey_token
-    from customer""")
+    from customer""",
+    name="tokenise_keyed")
 def tokenise_keyed_customers(spark: SparkSession, sf: str) -> DataFrame:
     customer = tokenise_keyed(read(spark, sf, "customer"), {"c_name": "person_nm"}, TOKENS)
     return tokenise_keyed(customer, {"c_custkey": "case_id"}, TOKENS, suffix="_token")

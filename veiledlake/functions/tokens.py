@@ -14,14 +14,14 @@ BLANKS = ("empty", "null")
 _BLOCK = 64  # SHA-256 block size in bytes
 
 
-def hmac_sha256(message: Column, key: bytes) -> Column:
-    """HMAC-SHA-256 of a text column as 64 hex digits, from built-in hashes."""
+def hmac_sha256(text: Column, key: bytes, prefix: str = "") -> Column:
+    """HMAC-SHA-256 of a prefix and a text column as 64 hex digits, from built-in hashes."""
     if len(key) > _BLOCK:
         key = hashlib.sha256(key).digest()
     key = key.ljust(_BLOCK, b"\0")
-    inner_pad = bytearray(b ^ 0x36 for b in key)
+    inner_pad = bytearray(b ^ 0x36 for b in key) + prefix.encode()
     outer_pad = bytearray(b ^ 0x5C for b in key)
-    inner = F.sha2(F.concat(F.lit(inner_pad), message.cast("binary")), 256)
+    inner = F.sha2(F.concat(F.lit(inner_pad), text.cast("binary")), 256)
     return F.sha2(F.concat(F.lit(outer_pad), F.unhex(inner)), 256)
 
 
@@ -48,7 +48,7 @@ class KeyedTokens:
 
     def column(self, col: Column, pii_type: str) -> Column:
         text = col.cast("string")
-        token = hmac_sha256(F.concat(F.lit(pii_type + ":"), text), self._key)
+        token = hmac_sha256(text, self._key, pii_type + ":")
         return F.when(is_blank(col), blank_token(self._blank)).otherwise(token)
 
 

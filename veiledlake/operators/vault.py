@@ -50,9 +50,9 @@ def absent_values(values: DataFrame, vault: DataFrame) -> DataFrame:
     return values.select(*KEY).join(vault.select(*KEY), KEY, "left_anti")
 
 
-def new_entries(values: DataFrame, vault: DataFrame, created_ts: datetime) -> DataFrame:
-    """Vault rows with fresh random tokens for absent values. Write them before use."""
-    return absent_values(values, vault).select(
+def new_entries(absent: DataFrame, created_ts: datetime) -> DataFrame:
+    """Vault rows with fresh random tokens for values it lacks. Write them before use."""
+    return absent.select(
         *KEY,
         salted_token(F.col("pii_value")).alias("token"),
         F.lit(created_ts).cast("timestamp").alias("created_ts"),

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from veiledlake.operators.vault import (
     SCHEMA,
     BatchTokens,
+    absent_values,
     batch_values,
     new_entries,
     settled_tokens,
 )
+from veiledlake.sinks.clean import laid_out
 from veiledlake.storage import exists
 
 
@@ -50,7 +52,9 @@ class Vault:
         batch_values(df, pii).write.mode("overwrite").parquet(f"{work}/values")
         values = self.spark.read.parquet(f"{work}/values")
         types = sorted(set(pii.values()))
-        self.add(new_entries(values, self._of_types(types), run_ts))
+        # Laid out before the tokens are made: no shuffle may follow a random value.
+        absent = laid_out(absent_values(values, self._of_types(types)), ["pii_type"])
+        self.add(new_entries(absent, run_ts))
         tokens = settled_tokens(values, self._of_types(types))
         tokens.write.mode("overwrite").parquet(f"{work}/tokens")
         return BatchTokens.measure(self.spark.read.parquet(f"{work}/tokens"))

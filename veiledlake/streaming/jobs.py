@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from veiledlake.functions.tokens import KeyedTokens
-from veiledlake.plans.clean import run_clean
+from veiledlake.plans.clean import clean, run_clean
 from veiledlake.plans.curate import PLAIN, MergeOptions, run_curate
 from veiledlake.policy import DatasetPolicy
 from veiledlake.sinks.curated import PartitionedTable, SnapshotTable
@@ -39,6 +39,18 @@ def stream_clean(
     read_new(spark, raw_path, schema, checkpoint, handle, **options)
 
 
+def clean_schema(
+    spark: SparkSession,
+    schema: StructType | str,
+    policy: DatasetPolicy,
+    with_batch: bool = False,
+) -> StructType:
+    """The columns ``stream_clean`` writes for raw columns."""
+    # Any key will do: only the types count.
+    cleaned = clean(spark.createDataFrame([], schema), policy, KeyedTokens(bytes(16)))
+    return _with_batch(cleaned.schema) if with_batch else cleaned.schema
+
+
 def read_clean(spark: SparkSession, clean_path: str, schema: StructType) -> DataFrame:
     """All rows ``stream_clean`` wrote."""
     return spark.read.schema(_with_batch(schema)).parquet(clean_path).drop(BATCH)
