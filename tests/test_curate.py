@@ -197,6 +197,17 @@ def test_snapshots(spark, tmp_path, rows):
     assert table.read().dtypes == [("k", "int"), ("st", "string"), ("v", "string"), ("dms_commit_ts", "int")]
 
 
+@pytest.mark.parametrize("partitions", [(), ("st",)])
+def test_catalog_entry_follows_the_snapshot(spark, tmp_path, rows, partitions):
+    table, name = SnapshotTable(spark, f"{tmp_path}/t"), f"entry_{len(partitions)}"
+    policy = DatasetPolicy("t", keys=("k",), partitions=partitions)
+    for n in (1, 2):
+        run_curate(spark.createDataFrame([(n, f"0{n}", "v", n)], LAYOUT), policy, table)
+        changes = rows(table.register(name), "column", "change")
+        assert len(changes) == (4 if n == 1 else 0)
+        assert rows(spark.table(name), "k", "st") == [(i, f"0{i}") for i in range(1, n + 1)]
+
+
 def test_failed_attempt_is_invisible_and_overwritten(spark, tmp_path):
     table = SnapshotTable(spark, f"{tmp_path}/t")
     run_curate(spark.createDataFrame([(1, "01", "a", 1)], LAYOUT), POLICY, table)

@@ -53,7 +53,6 @@ def _clean(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy)
         done = clean_schema(spark, schema, policy, with_batch=True)
         table = f"{args.catalog}.{policy.table}"
         sync_catalog(spark, table, target, (BATCH, *policy.partitions), done)
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
 def _curate(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy) -> None:
@@ -71,6 +70,8 @@ def _curate(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy
     )
     checkpoint = f"{target}/_checkpoint"
     stream_curate(spark, source, schema, policy, table, checkpoint, options)
+    if args.catalog and isinstance(table, SnapshotTable) and table.exists():
+        table.register(f"{args.catalog}.{policy.table}")
 
 
 def _schema(spark: SparkSession, args: argparse.Namespace, path: str) -> StructType:

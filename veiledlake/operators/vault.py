@@ -27,6 +27,8 @@ BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1 / 4096
 # Over how many join keys rows that need no lookup are spread.
 SPREAD = 8192
+# Columns added for a while; no dataset should use such names.
+HELPER = "__vault_"
 
 
 def batch_values(df: DataFrame, pii: Mapping[str, str]) -> DataFrame:
@@ -127,33 +129,34 @@ def tokenise_from_vault(
     if batch.total_bytes <= broadcast_bytes:
         for c, t in pii.items():
             token = _renamed(batch.of_type(t))
-            df = df.join(F.broadcast(token), F.col(c).cast("string") == F.col("_value"), "left")
-            df = _settle(df, c, F.col("_token"), blank)
+            df = df.join(F.broadcast(token), F.col(c).cast("string") == F.col(f"{HELPER}value"), "left")
+            df = _settle(df, c, F.col(f"{HELPER}token"), blank)
         return df.select(*columns)
 
     hot_cells = batch.total_cells * hot_share
-    df = df.withColumn("_spread", F.monotonically_increasing_id() % SPREAD)
+    df = df.withColumn(f"{HELPER}spread", F.monotonically_increasing_id() % SPREAD)
     for c, t in pii.items():
         tokens = batch.of_type(t)
-        hot = _renamed(tokens.filter(F.col("cells") > hot_cells), "_hot")
+        hot = _renamed(tokens.filter(F.col("cells") > hot_cells), "hot_")
         rest = _renamed(tokens.filter(F.col("cells") <= hot_cells))
-        df = df.join(F.broadcast(hot), F.col(c).cast("string") == F.col("_hot_value"), "left")
-        settled = is_blank(F.col(c)) | F.col("_hot_token").isNotNull()
+        df = df.join(F.broadcast(hot), F.col(c).cast("string") == F.col(f"{HELPER}hot_value"), "left")
+        settled = is_blank(F.col(c)) | F.col(f"{HELPER}hot_token").isNotNull()
         # First letters keep the two kinds of key apart, whatever the values hold.
-        key = F.when(settled, F.concat(F.lit("s"), F.col("_spread"))).otherwise(
+        key = F.when(settled, F.concat(F.lit("s"), F.col(f"{HELPER}spread"))).otherwise(
             F.concat(F.lit("v"), F.col(c).cast("string"))
         )
-        rest = rest.withColumn("_key", F.concat(F.lit("v"), F.col("_value")))
-        df = df.withColumn("_row_key", key).join(
-            rest, F.col("_row_key") == F.col("_key"), "left"
+        rest = rest.withColumn(f"{HELPER}key", F.concat(F.lit("v"), F.col(f"{HELPER}value")))
+        df = df.withColumn(f"{HELPER}row_key", key).join(
+            rest, F.col(f"{HELPER}row_key") == F.col(f"{HELPER}key"), "left"
         )
-        df = _settle(df, c, F.coalesce("_hot_token", "_token"), blank)
+        df = _settle(df, c, F.coalesce(f"{HELPER}hot_token", f"{HELPER}token"), blank)
     return df.select(*columns)
 
 
 def _renamed(tokens: DataFrame, prefix: str = "") -> DataFrame:
     return tokens.select(
-        F.col("pii_value").alias(f"{prefix}_value"), F.col("token").alias(f"{prefix}_token")
+        F.col("pii_value").alias(f"{HELPER}{prefix}value"),
+        F.col("token").alias(f"{HELPER}{prefix}token"),
     )
 
 
@@ -165,5 +168,5 @@ def _settle(df: DataFrame, column: str, token: Column, blank: str) -> DataFrame:
     found = F.when(is_blank(F.col(column)), blank_token(blank)).otherwise(
         F.coalesce(token, F.raise_error(F.lit(f"no token for a value of {column}")))
     )
-    helpers = ["_value", "_token", "_hot_value", "_hot_token", "_key", "_row_key"]
-    return df.withColumn(column, found).drop(*helpers)
+    helpers = ["value", "token", "hot_value", "hot_token", "key", "row_key"]
+    return df.withColumn(column, found).drop(*(HELPER + h for h in helpers))

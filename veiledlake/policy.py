@@ -75,6 +75,21 @@ class DatasetPolicy:
             strips={c: tuple(p) for c, p in mapping("char_rep_trns").items()},
         )
 
+    def to_config(self) -> dict[str, Any]:
+        """The policy as a registry entry."""
+        return {
+            "table_name": self.table,
+            "primary_key_col": list(self.keys),
+            "partition_cols": list(self.partitions),
+            "pii_col": dict(self.pii),
+            "exclude_cols": list(self.drops),
+            "s3_target_write_folder": self.folder,
+            "date_trns_cols": dict(self.dates),
+            "ts_trns_cols": dict(self.timestamps),
+            "rename_cols": dict(self.renames),
+            "char_rep_trns": {c: list(p) for c, p in self.strips.items()},
+        }
+
     @classmethod
     def load_registry(cls, text: str) -> dict[str, DatasetPolicy]:
         """Read a JSON object that maps dataset names to registry entries."""
@@ -129,3 +144,8 @@ class DatasetPolicy:
             timestamps=rules(self.timestamps),
             strips=rules(self.strips),
         )
+
+
+def dump_registry(policies: Mapping[str, DatasetPolicy]) -> str:
+    """Policies as the JSON text ``load_registry`` reads."""
+    return json.dumps({name: p.to_config() for name, p in policies.items()}, indent=2)

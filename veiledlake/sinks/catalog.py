@@ -27,11 +27,11 @@ def sync_catalog(
     partitions: tuple[str, ...] = (),
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Make a catalog entry agree with the files, and return what changed.
+    """Make a catalog entry agree with the files, and return the columns that changed.
 
     All files are read for their schemas, unless ``schema`` states the result.
-    Columns that are gone leave the entry as well. Only the entry is replaced;
-    files stay.
+    Columns that are gone leave the entry as well, and an entry for another
+    folder moves to this one. Only the entry is replaced; files stay.
     """
     reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
     found = reader.parquet(path)
@@ -48,8 +48,23 @@ def sync_catalog(
             F.lit("added").alias("change"),
         )
     changes = drift.collect()
-    if changes:
+    if changes or location(spark, name) != _qualified(spark, path):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
         declare_table(spark, name, ddl, path, partitions)
+    elif partitions:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.createDataFrame(changes, drift.schema)
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """The folder a catalog entry points to."""
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return details.first()["data_type"]
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path as the catalog would show it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(target).toString()

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from veiledlake.operators.upsert import matched
+from veiledlake.sinks.catalog import sync_catalog
 from veiledlake.sinks.clean import append_parquet
 from veiledlake.storage import children, create_text, delete, read_text
 
@@ -72,7 +73,11 @@ class SnapshotTable:
         if batch is not None:
             applied[batch[0]] = batch[1]
         append_parquet(df, self._snapshot(new), partitions, mode="overwrite")
-        commit = {"schema": df.schema.jsonValue(), "applied": applied}
+        commit = {
+            "schema": df.schema.jsonValue(),
+            "partitions": list(partitions),
+            "applied": applied,
+        }
         create_text(self.spark, f"{self.path}/_commits/{new}", json.dumps(commit))
         if self.keep is not None:
             for name in children(self.spark, self.path):
@@ -81,6 +86,16 @@ class SnapshotTable:
                     delete(self.spark, f"{self.path}/{name}")
         return new
 
+    def register(self, name: str) -> DataFrame:
+        """Point a catalog entry to the current snapshot; return the columns that changed."""
+        version = self.version()
+        if version is None:
+            raise FileNotFoundError(f"no snapshot in {self.path}")
+        commit = self._commit(version)
+        schema = StructType.fromJson(commit["schema"])
+        by = tuple(commit["partitions"])
+        return sync_catalog(self.spark, name, self._snapshot(version), by, schema)
+
     def _snapshot(self, version: int) -> str:
         return f"{self.path}/snapshot={version}"
 
