@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from veiledlake.operators.latest import latest_per_key, order_latest_first
 from veiledlake.operators.profile import duplicate_profile, preview
 from veiledlake.operators.upsert import fits_in_memory, match_rows, matched, upsert
-from veiledlake.plans.curate import MergeOptions, curate, run_curate
+from veiledlake.plans.curate import CurateReport, MergeOptions, curate, run_curate
 from veiledlake.policy import DatasetPolicy
 from veiledlake.sinks.curated import PartitionedTable, SnapshotTable
 
@@ -155,7 +155,7 @@ def table(request, spark, tmp_path):
 def test_tables_follow_the_merged_rows(spark, table, rows):
     def run(*data, **options):
         batch = spark.createDataFrame(list(data), LAYOUT)
-        return run_curate(batch, POLICY, table, MergeOptions(**options))
+        return run_curate(batch, POLICY, table, MergeOptions(**options)).written
 
     assert not run()
     assert not table.exists()
@@ -189,8 +189,8 @@ def test_snapshots(spark, tmp_path, rows):
     table = SnapshotTable(spark, f"{tmp_path}/t", keep=2)
     for n in range(4):
         batch = spark.createDataFrame([(n, "01", "v", n)], LAYOUT)
-        assert run_curate(batch, POLICY, table, batch_id=("reader", n))
-        assert not run_curate(batch, POLICY, table, batch_id=("reader", n))
+        assert run_curate(batch, POLICY, table, batch_id=("reader", n)).written
+        assert not run_curate(batch, POLICY, table, batch_id=("reader", n)).written
     assert table.version() == 3 and table.read().count() == 4
     assert rows(table.read(2), "k") == [(0,), (1,), (2,)]
     assert not (tmp_path / "t" / "snapshot=1").exists()
@@ -221,8 +221,9 @@ def test_pure_plan_equals_job(spark, tmp_path, rows):
     base = spark.createDataFrame([(1, "x", "a", 1), (2, "x", "b", 1)], LAYOUT)
     batch = spark.createDataFrame([(2, "y", "c", 2), (2, "y", "d", 3), (None, "y", "e", 1)], LAYOUT)
     table = SnapshotTable(spark, f"{tmp_path}/t")
-    for part in (base, batch):
-        run_curate(part, POLICY, table)
+    assert run_curate(base, POLICY, table) == CurateReport(True, 2, 2, 0)
+    report = run_curate(batch, POLICY, table)
+    assert report == CurateReport(True, 3, 2, 1) and report.duplicates == 1
     assert rows(curate(base, batch, POLICY)) == rows(table.read())
     assert rows(curate(None, batch, POLICY), "v") == [("d",), ("e",)]
 
@@ -237,4 +238,5 @@ def test_large_base_is_not_shuffled_for_a_small_batch(spark, tmp_path):
         merged = upsert(base, batch, ["id"], small=True, only_if_newer=newer)
         plan = merged._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
-        assert "IsNotNull(id)" in plan and "IsNull(id)" in plan
+    large = upsert(base, batch, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(id)" in large and "IsNull(id)" in large

@@ -79,10 +79,11 @@ ROWS = [(i, None if i % 7 == 0 else "hot" if i % 3 else f"v{i % 11}", i % 5) for
 def test_both_join_strategies_give_the_same(spark, tmp_path, limit, blank):
     df = spark.createDataFrame(ROWS, "id int, name string, n int").repartition(4)
     pii = {"name": "person_nm", "n": "case_id"}
-    batch = Vault(spark, f"{tmp_path}/vault").tokens_for(df, pii, T1, f"{tmp_path}/work")
+    vault = Vault(spark, f"{tmp_path}/vault", blank)
+    batch = vault.tokens_for(df, pii, T1, f"{tmp_path}/work")
     assert batch.total_cells == sum(r[1] is not None for r in ROWS) + len(ROWS)
     known = {tuple(r)[:2]: r["token"] for r in batch.tokens.collect()}
-    done = tokenise_from_vault(df, pii, batch, blank=blank, broadcast_bytes=limit, hot_share=0.1)
+    done = tokenise_from_vault(df, pii, batch, broadcast_bytes=limit, hot_share=0.1)
     assert done.columns == df.columns
     none = "" if blank == "empty" else None
     expected = [
@@ -90,6 +91,11 @@ def test_both_join_strategies_give_the_same(spark, tmp_path, limit, blank):
         for i, name, n in ROWS
     ]
     assert sorted(tuple(r) for r in done.collect()) == sorted(expected)
+    added = tokenise_from_vault(df, pii, batch, suffix="_hash", broadcast_bytes=limit)
+    assert added.columns == ["id", "name", "n", "name_hash", "n_hash"]
+    assert added.select("id", "name", "n").exceptAll(df).isEmpty()
+    kept = added.select("id", "name_hash", "n_hash")
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(expected)
 
 
 def test_value_without_token_raises(spark):

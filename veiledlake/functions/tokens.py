@@ -38,10 +38,8 @@ class KeyedTokens:
         key = key.encode() if isinstance(key, str) else bytes(key)
         if len(key) < 16:
             raise ValueError("the token key needs at least 16 bytes")
-        if blank not in BLANKS:
-            raise ValueError(f"blank must be one of {BLANKS}")
         self._key = key
-        self._blank = blank
+        self._blank = checked_blank(blank)
 
     def __repr__(self) -> str:
         return "KeyedTokens(key=<hidden>)"
@@ -52,6 +50,12 @@ class KeyedTokens:
         return F.when(is_blank(col), blank_token(self._blank)).otherwise(token)
 
 
+def checked_blank(blank: str) -> str:
+    if blank not in BLANKS:
+        raise ValueError(f"blank must be one of {BLANKS}")
+    return blank
+
+
 def blank_token(blank: str) -> Column:
     """What a null or empty value becomes: ``empty`` text, or ``null``."""
     return F.lit("" if blank == "empty" else None).cast("string")

@@ -85,10 +85,10 @@ def upsert(
     if small:
         new_keys = F.broadcast(new_keys)
 
-    if null_safe:
+    if null_safe or small:
         kept = _unmatched(base, new_keys, keys, newer, null_safe)
     else:
-        # Rows with a null key part skip the join: they match nothing, and
+        # Rows with a null key part skip the shuffle: they match nothing, and
         # would all hash to the same task.
         null_key = reduce(or_, (F.col(k).isNull() for k in keys))
         kept = _unmatched(base.filter(~null_key), new_keys, keys, newer)

@@ -15,16 +15,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veiledlake.functions.columns import is_blank
-from veiledlake.functions.tokens import BLANKS, blank_token, salted_token
+from veiledlake.functions.tokens import blank_token, salted_token
 
 SCHEMA = "pii_type string, pii_value string, token string, created_ts timestamp"
 KEY = ["pii_type", "pii_value"]
 
 # A batch whose token table is smaller than this is joined by broadcast.
 BROADCAST_BYTES = 64 << 20
-# A value is hot when it holds more than this share of the batch's PII cells, so
-# that at most its inverse many values are hot: a fixed bound on what is broadcast.
-HOT_SHARE = 1 / 4096
+# A value is hot when it holds more than this share of the batch's PII cells and is
+# no longer than HOT_BYTES. So at most 100,000 values are hot, and what is broadcast
+# for them stays below 120 MB whatever the batch.
+HOT_SHARE = 1 / 100_000
+HOT_BYTES = 1024
 # Over how many join keys rows that need no lookup are spread.
 SPREAD = 8192
 # Columns added for a while; no dataset should use such names.
@@ -92,13 +94,14 @@ class BatchTokens:
     tokens: DataFrame  # pii_type, pii_value, token, cells
     total_cells: int
     total_bytes: int
+    blank: str = "empty"  # what null and empty values become
 
     @classmethod
-    def measure(cls, tokens: DataFrame) -> BatchTokens:
+    def measure(cls, tokens: DataFrame, blank: str = "empty") -> BatchTokens:
         """Size a written token table: one job over it that returns one row."""
         row_bytes = F.octet_length("pii_value") + F.octet_length("token") + F.lit(64)
         size = tokens.agg(F.sum("cells").alias("cells"), F.sum(row_bytes).alias("bytes")).first()
-        return cls(tokens, size["cells"] or 0, size["bytes"] or 0)
+        return cls(tokens, size["cells"] or 0, size["bytes"] or 0, blank)
 
     def of_type(self, pii_type: str) -> DataFrame:
         return self.tokens.filter(F.col("pii_type") == pii_type)
@@ -109,11 +112,11 @@ def tokenise_from_vault(
     pii: Mapping[str, str],
     batch: BatchTokens,
     *,
-    blank: str = "empty",
+    suffix: str = "",
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Replace PII columns by their vault tokens.
+    """Replace PII columns by their vault tokens, or add them under a suffix.
 
     A small token table is broadcast. Beyond ``broadcast_bytes`` each column is
     joined by a shuffle, in which no value holds many rows: the hot values, few
@@ -123,22 +126,21 @@ def tokenise_from_vault(
     The spread follows the row's position, which a retried task repeats only
     when ``df`` reads files without a shuffle in between, as the clean hop does.
     """
-    if blank not in BLANKS:
-        raise ValueError(f"blank must be one of {BLANKS}")
-    columns = df.columns
+    columns = [*df.columns, *(c + suffix for c in pii if suffix)]
     if batch.total_bytes <= broadcast_bytes:
         for c, t in pii.items():
             token = _renamed(batch.of_type(t))
             df = df.join(F.broadcast(token), F.col(c).cast("string") == F.col(f"{HELPER}value"), "left")
-            df = _settle(df, c, F.col(f"{HELPER}token"), blank)
+            df = _settle(df, c, c + suffix, F.col(f"{HELPER}token"), batch.blank)
         return df.select(*columns)
 
     hot_cells = batch.total_cells * hot_share
-    df = df.withColumn(f"{HELPER}spread", F.monotonically_increasing_id() % SPREAD)
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD))
+    df = df.withColumn(f"{HELPER}spread", spread)
     for c, t in pii.items():
         tokens = batch.of_type(t)
-        hot = _renamed(tokens.filter(F.col("cells") > hot_cells), "hot_")
-        rest = _renamed(tokens.filter(F.col("cells") <= hot_cells))
+        is_hot = (F.col("cells") > hot_cells) & (F.octet_length("pii_value") <= HOT_BYTES)
+        hot, rest = _renamed(tokens.filter(is_hot), "hot_"), _renamed(tokens.filter(~is_hot))
         df = df.join(F.broadcast(hot), F.col(c).cast("string") == F.col(f"{HELPER}hot_value"), "left")
         settled = is_blank(F.col(c)) | F.col(f"{HELPER}hot_token").isNotNull()
         # First letters keep the two kinds of key apart, whatever the values hold.
@@ -149,7 +151,8 @@ def tokenise_from_vault(
         df = df.withColumn(f"{HELPER}row_key", key).join(
             rest, F.col(f"{HELPER}row_key") == F.col(f"{HELPER}key"), "left"
         )
-        df = _settle(df, c, F.coalesce(f"{HELPER}hot_token", f"{HELPER}token"), blank)
+        token = F.coalesce(f"{HELPER}hot_token", f"{HELPER}token")
+        df = _settle(df, c, c + suffix, token, batch.blank)
     return df.select(*columns)
 
 
@@ -160,8 +163,8 @@ def _renamed(tokens: DataFrame, prefix: str = "") -> DataFrame:
     )
 
 
-def _settle(df: DataFrame, column: str, token: Column, blank: str) -> DataFrame:
-    """Put the token in place of the value and drop the helper columns.
+def _settle(df: DataFrame, column: str, target: str, token: Column, blank: str) -> DataFrame:
+    """Put the token into the target column and drop the helper columns.
 
     A value without a token raises: it must never be passed on in clear, nor lost.
     """
@@ -169,4 +172,4 @@ def _settle(df: DataFrame, column: str, token: Column, blank: str) -> DataFrame:
         F.coalesce(token, F.raise_error(F.lit(f"no token for a value of {column}")))
     )
     helpers = ["value", "token", "hot_value", "hot_token", "key", "row_key"]
-    return df.withColumn(column, found).drop(*(HELPER + h for h in helpers))
+    return df.withColumn(target, found).drop(*(HELPER + h for h in helpers))

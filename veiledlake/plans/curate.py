@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from veiledlake.operators.latest import latest_per_key
 from veiledlake.operators.upsert import fits_in_memory, upsert, without_deletes
@@ -69,34 +72,68 @@ def merge(
     )
 
 
+@dataclass(frozen=True)
+class CurateReport:
+    """What a run did, counted while it wrote."""
+
+    written: bool
+    rows: int = 0  # in the batch
+    latest: int = 0  # after keeping one per key
+    null_keys: int = 0  # of these, with a null key part
+
+    @property
+    def duplicates(self) -> int:
+        return self.rows - self.latest
+
+
 def run_curate(
     batch: DataFrame,
     policy: DatasetPolicy,
     target: SnapshotTable | PartitionedTable,
     options: MergeOptions = PLAIN,
     batch_id: Batch | None = None,
-) -> bool:
-    """Merge a batch into a curated table. Returns whether anything was written.
+) -> CurateReport:
+    """Merge a batch into a curated table.
 
-    An empty batch, or one the table has already taken, writes nothing. The
-    latest rows are written to a work folder first, as the merge reads them
-    more than once.
+    An empty batch, or one the table has already taken, writes nothing. For a
+    merge the latest rows go to a work folder first, as they are read more
+    than once.
     """
     if batch.isEmpty():
-        return False
+        return CurateReport(False)
     if isinstance(target, SnapshotTable) and batch_id is not None and target.has_applied(batch_id):
-        return False
+        return CurateReport(False)
     policy = policy.resolve(batch.columns)
-    latest = latest_per_key(batch, policy.keys, options.order_by, options.nulls)
-    if not target.exists():
+    taken, kept = Observation(), Observation()
+    null_key = reduce(or_, (F.col(k).isNull() for k in policy.keys))
+    latest = latest_per_key(
+        batch.observe(taken, F.count(F.lit(1)).alias("rows")),
+        policy.keys,
+        options.order_by,
+        options.nulls,
+    ).observe(
+        kept, F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("null_keys")
+    )
+    if target.exists():
+        _merge_into(target, latest, policy, options, batch_id)
+    else:
         rows = merge(None, latest, policy, options)
         if isinstance(target, PartitionedTable):
             target.create(rows.schema)
             target.replace(rows, [])
         else:
             target.replace(rows, policy.partitions, batch_id)
-        return True
-    spark = batch.sparkSession
+    return CurateReport(True, taken.get["rows"], kept.get["rows"], kept.get["null_keys"])
+
+
+def _merge_into(
+    target: SnapshotTable | PartitionedTable,
+    latest: DataFrame,
+    policy: DatasetPolicy,
+    options: MergeOptions,
+    batch_id: Batch | None,
+) -> None:
+    spark = latest.sparkSession
     with scratch(spark) as work:
         latest.write.parquet(work)
         latest = spark.read.schema(latest.schema).parquet(work)
@@ -109,4 +146,3 @@ def run_curate(
         else:
             rows = merge(target.read(), latest, policy, options, small=small)
             target.replace(rows, policy.partitions, batch_id)
-    return True

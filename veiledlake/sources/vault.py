@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veiledlake.functions.tokens import checked_blank
 from veiledlake.operators.vault import (
     SCHEMA,
     BatchTokens,
@@ -28,9 +29,10 @@ class Vault:
     everything the tokens are meant to protect.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, blank: str = "empty") -> None:
         self.spark = spark
         self.path = path
+        self.blank = checked_blank(blank)
 
     def read(self) -> DataFrame:
         if not exists(self.spark, self.path):
@@ -57,7 +59,7 @@ class Vault:
         self.add(new_entries(absent, run_ts))
         tokens = settled_tokens(values, self._of_types(types))
         tokens.write.mode("overwrite").parquet(f"{work}/tokens")
-        return BatchTokens.measure(self.spark.read.parquet(f"{work}/tokens"))
+        return BatchTokens.measure(self.spark.read.parquet(f"{work}/tokens"), self.blank)
 
     def _of_types(self, types: list[str]) -> DataFrame:
         return self.read().filter(F.col("pii_type").isin(types))
