@@ -11,7 +11,7 @@ from veiledlake.operators.profile import duplicate_profile, preview
 from veiledlake.operators.upsert import fits_in_memory, match_rows, matched, upsert
 from veiledlake.plans.curate import CurateReport, MergeOptions, curate, run_curate
 from veiledlake.policy import DatasetPolicy
-from veiledlake.sinks.curated import PartitionedTable, SnapshotTable
+from veiledlake.sinks.curated import MergeTable, PartitionedTable, SnapshotTable
 
 DAY = datetime(2024, 1, 1, tzinfo=UTC).replace(tzinfo=None)
 T = [DAY + timedelta(days=i) for i in range(5)]
@@ -240,3 +240,19 @@ def test_large_base_is_not_shuffled_for_a_small_batch(spark, tmp_path):
         assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     large = upsert(base, batch, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(id)" in large and "IsNull(id)" in large
+
+
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"null_safe": True, "apply_deletes": True, "only_if_newer": "dms_commit_ts"}],
+)
+def test_merge_statement_is_valid_up_to_the_format(spark, options):
+    """No format with MERGE is at hand: Parquet must be what it fails on, and only then."""
+    table = MergeTable(spark, f"t_{random.randrange(10**12)}", "parquet")
+    layout = f"{LAYOUT}, op string"
+    policy = DatasetPolicy("t", keys=("k",), partitions=("st",))
+    run_curate(spark.createDataFrame([(1, "01", "a", 1, "I")], layout), policy, table)
+    assert table.read().count() == 1
+    batch = spark.createDataFrame([(1, "01", "b", 2, "U")], layout)
+    with pytest.raises(Exception, match="does not support MERGE"):
+        run_curate(batch, policy, table, MergeOptions(**options))

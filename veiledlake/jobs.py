@@ -22,7 +22,7 @@ from veiledlake.plans.curate import MergeOptions
 from veiledlake.policy import DatasetPolicy, PolicyError
 from veiledlake.session import build_session
 from veiledlake.sinks.catalog import sync_catalog
-from veiledlake.sinks.curated import PartitionedTable, SnapshotTable
+from veiledlake.sinks.curated import MergeTable, PartitionedTable, SnapshotTable
 from veiledlake.sources.vault import Vault
 from veiledlake.storage import read_text
 from veiledlake.streaming.jobs import BATCH, clean_schema, stream_clean, stream_curate
@@ -48,7 +48,16 @@ def _clean(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy)
         tokens = Vault(spark, args.vault)
     else:
         tokens = KeyedTokens(read_text(spark, args.key_file).strip())
-    stream_clean(spark, source, schema, policy, target, f"{target}/_checkpoint", tokens)
+    stream_clean(
+        spark,
+        source,
+        schema,
+        policy,
+        target,
+        f"{target}/_checkpoint",
+        tokens,
+        max_files_per_batch=args.max_files_per_batch,
+    )
     if args.catalog:
         done = clean_schema(spark, schema, policy, with_batch=True)
         table = f"{args.catalog}.{policy.table}"
@@ -59,7 +68,11 @@ def _curate(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy
     source, target = policy.path(args.source), policy.path(args.target)
     schema = _schema(spark, args, source)
     schema = StructType([f for f in schema.fields if f.name != BATCH])
-    if args.catalog and policy.partitions:
+    if args.merge_format:
+        if not args.catalog:
+            raise PolicyError("a table with MERGE needs --catalog")
+        table = MergeTable(spark, f"{args.catalog}.{policy.table}", args.merge_format)
+    elif args.catalog and policy.partitions:
         table = PartitionedTable(spark, f"{args.catalog}.{policy.table}", target, policy.partitions)
     else:
         table = SnapshotTable(spark, target, args.keep_snapshots)
@@ -68,8 +81,16 @@ def _curate(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy
         apply_deletes=args.apply_deletes,
         only_if_newer=args.only_if_newer,
     )
-    checkpoint = f"{target}/_checkpoint"
-    stream_curate(spark, source, schema, policy, table, checkpoint, options)
+    stream_curate(
+        spark,
+        source,
+        schema,
+        policy,
+        table,
+        f"{target}/_checkpoint",
+        options,
+        max_files_per_batch=args.max_files_per_batch,
+    )
     if args.catalog and isinstance(table, SnapshotTable) and table.exists():
         table.register(f"{args.catalog}.{policy.table}")
 
@@ -101,9 +122,11 @@ def _parser() -> argparse.ArgumentParser:
         hop.add_argument("--target", required=True, help="base path to write")
         hop.add_argument("--source-table", help="catalog table that declares the source's columns")
         hop.add_argument("--catalog", help="database to register the result in")
+        hop.add_argument("--max-files-per-batch", type=int, help="split a large backlog")
     tokens = clean.add_mutually_exclusive_group(required=True)
     tokens.add_argument("--vault", help="folder of the token vault: random tokens")
     tokens.add_argument("--key-file", help="file with the secret key: computed tokens")
+    curate.add_argument("--merge-format", help="table format with MERGE, such as delta")
     curate.add_argument("--null-safe", action="store_true")
     curate.add_argument("--apply-deletes", action="store_true")
     curate.add_argument("--only-if-newer", metavar="COLUMN")

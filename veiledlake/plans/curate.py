@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from veiledlake.operators.latest import latest_per_key
 from veiledlake.operators.upsert import fits_in_memory, upsert, without_deletes
 from veiledlake.policy import DatasetPolicy
-from veiledlake.sinks.curated import Batch, PartitionedTable, SnapshotTable
+from veiledlake.sinks.curated import Batch, MergeTable, PartitionedTable, SnapshotTable
 from veiledlake.storage import scratch
 
 
@@ -36,6 +36,7 @@ class MergeOptions:
 
 
 PLAIN = MergeOptions()
+Target = SnapshotTable | PartitionedTable | MergeTable
 
 
 def curate(
@@ -89,7 +90,7 @@ class CurateReport:
 def run_curate(
     batch: DataFrame,
     policy: DatasetPolicy,
-    target: SnapshotTable | PartitionedTable,
+    target: Target,
     options: MergeOptions = PLAIN,
     batch_id: Batch | None = None,
 ) -> CurateReport:
@@ -121,13 +122,15 @@ def run_curate(
         if isinstance(target, PartitionedTable):
             target.create(rows.schema)
             target.replace(rows, [])
+        elif isinstance(target, MergeTable):
+            target.create(rows, policy.partitions)
         else:
             target.replace(rows, policy.partitions, batch_id)
     return CurateReport(True, taken.get["rows"], kept.get["rows"], kept.get["null_keys"])
 
 
 def _merge_into(
-    target: SnapshotTable | PartitionedTable,
+    target: Target,
     latest: DataFrame,
     policy: DatasetPolicy,
     options: MergeOptions,
@@ -137,6 +140,16 @@ def _merge_into(
     with scratch(spark) as work:
         latest.write.parquet(work)
         latest = spark.read.schema(latest.schema).parquet(work)
+        if isinstance(target, MergeTable):
+            target.merge(
+                latest,
+                policy.keys,
+                null_safe=options.null_safe,
+                apply_deletes=options.apply_deletes,
+                only_if_newer=options.only_if_newer,
+                missing=options.missing,
+            )
+            return
         needed = [*policy.keys, *([options.only_if_newer] if options.only_if_newer else [])]
         small = fits_in_memory(latest, needed)
         if isinstance(target, PartitionedTable):

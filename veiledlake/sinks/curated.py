@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from veiledlake.operators.upsert import matched
+from veiledlake.operators.upsert import DELETE, OP, align, matched
 from veiledlake.sinks.catalog import sync_catalog
-from veiledlake.sinks.clean import append_parquet
+from veiledlake.sinks.clean import append_parquet, laid_out
 from veiledlake.storage import children, create_text, delete, read_text
 
 Batch = tuple[str, int]  # reader id and batch number
@@ -190,10 +190,51 @@ class PartitionedTable:
         return reduce(and_, parts)
 
 
-def merge_into(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Upsert into a table whose format supports MERGE, such as Delta, by its own transaction."""
-    condition = reduce(and_, (F.col(f"{table}.{k}") == batch[k] for k in keys))
-    batch.mergeInto(table, condition).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+class MergeTable:
+    """A catalog table whose format supports MERGE, such as Delta: merged in one transaction."""
+
+    def __init__(self, spark: SparkSession, name: str, table_format: str = "delta") -> None:
+        self.spark = spark
+        self.name = name
+        self.table_format = table_format
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def create(self, df: DataFrame, partitions: Sequence[str] = ()) -> None:
+        writer = laid_out(df, partitions).write.format(self.table_format)
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        writer.saveAsTable(self.name)
+
+    def merge(
+        self,
+        batch: DataFrame,
+        keys: Sequence[str],
+        *,
+        null_safe: bool = False,
+        apply_deletes: bool = False,
+        only_if_newer: str | None = None,
+        missing: str = "error",
+    ) -> None:
+        """Merge a batch with one row per key, by the same rules as ``upsert``."""
+        batch = align(batch, self.read().schema, missing)
+        pairs = [(F.col(f"{self.name}.{k}"), batch[k]) for k in keys]
+        same = reduce(and_, (a.eqNullSafe(b) if null_safe else a == b for a, b in pairs))
+        merging = batch.mergeInto(self.name, same)
+        newer = F.lit(True)
+        if only_if_newer is not None:
+            newer = batch[only_if_newer] >= F.col(f"{self.name}.{only_if_newer}")
+        if apply_deletes:
+            deleted = batch[OP].eqNullSafe(DELETE)
+            merging = merging.whenMatched(newer & deleted).delete()
+            merging = merging.whenMatched(newer).updateAll().whenNotMatched(~deleted).insertAll()
+        else:
+            merging = merging.whenMatched(newer).updateAll().whenNotMatched().insertAll()
+        merging.merge()
 
 
 def _quoted(name: str) -> str:

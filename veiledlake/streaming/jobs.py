@@ -7,9 +7,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from veiledlake.functions.tokens import KeyedTokens
 from veiledlake.plans.clean import clean, run_clean
-from veiledlake.plans.curate import PLAIN, MergeOptions, run_curate
+from veiledlake.plans.curate import PLAIN, MergeOptions, Target, run_curate
 from veiledlake.policy import DatasetPolicy
-from veiledlake.sinks.curated import PartitionedTable, SnapshotTable
 from veiledlake.sources.incremental import read_new
 from veiledlake.sources.vault import Vault
 
@@ -61,7 +60,7 @@ def stream_curate(
     clean_path: str,
     schema: StructType,
     policy: DatasetPolicy,
-    target: SnapshotTable | PartitionedTable,
+    target: Target,
     checkpoint: str,
     merge: MergeOptions = PLAIN,
     **options,
