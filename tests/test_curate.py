@@ -183,6 +183,11 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path):
     assert set(table.read().filter("st = 'b'").inputFiles()) == before
     pruned = table.read().filter("st = 'b'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(st" in pruned
+    run_curate(spark.createDataFrame([(2, "b", "Y", 3)], LAYOUT), policy, table)
+    assert len(list((tmp_path / "t").glob("version=*"))) == 3
+    table.remove_unused()
+    assert len(list((tmp_path / "t").glob("version=*"))) == 2
+    assert sorted(r["v"] for r in table.read().collect()) == ["X", "Y"]
 
 
 def test_snapshots(spark, tmp_path, rows):
@@ -203,8 +208,7 @@ def test_catalog_entry_follows_the_snapshot(spark, tmp_path, rows, partitions):
     policy = DatasetPolicy("t", keys=("k",), partitions=partitions)
     for n in (1, 2):
         run_curate(spark.createDataFrame([(n, f"0{n}", "v", n)], LAYOUT), policy, table)
-        changes = rows(table.register(name), "column", "change")
-        assert len(changes) == (4 if n == 1 else 0)
+        assert len(table.register(name)) == (4 if n == 1 else 0)
         assert rows(spark.table(name), "k", "st") == [(i, f"0{i}") for i in range(1, n + 1)]
 
 

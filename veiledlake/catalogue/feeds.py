@@ -79,9 +79,9 @@ def stamp_customers(spark: SparkSession, sf: str) -> DataFrame:
     return stamped.select("op", *CUSTOMER.split(", "), epoch)
 
 
-@query(f"""select * from ({TABLES_SQL}) where schema = 'building' and "table" like 'c%'""", name="select_tables")
+@query(f"""select * from ({TABLES_SQL}) where schema = 'area3' and "table" like 'c%'""", name="select_tables")
 def select_schema_tables(spark: SparkSession, sf: str) -> DataFrame:
-    return select_tables(tables(spark, sf), "building", "c%")
+    return select_tables(tables(spark, sf), "area3", "c%")
 
 
 @query(f"""

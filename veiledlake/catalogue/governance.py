@@ -56,9 +56,9 @@ RULES_SQL = f"""
 
 @query(f"""
     select schema, "table", "column", requirement from ({COLUMNS_SQL})
-    where schema = 'building' and "table" = 'c82'""")
+    where schema = 'area2' and "table" = 'c82'""")
 def requirements_for_table(spark: SparkSession, sf: str) -> DataFrame:
-    return g.requirements_for_table(requirements(spark, sf), "building", "c82")
+    return g.requirements_for_table(requirements(spark, sf), "area2", "c82")
 
 
 @query(f"select distinct requirement from ({COLUMNS_SQL})")
@@ -130,12 +130,12 @@ AUGMENTED_SQL = f"""
     select distinct schema, "table", 0, 'op', 'string' from c
     union all
     select schema, "table", max(ordinal) + 1, 'dms_commit_ts', 'timestamp' from c
-    where schema in ('building', 'machinery') group by all"""
+    where schema in ('area1', 'area7') group by all"""
 
 
 @query(f"with c as ({COLUMNS_SQL}) {AUGMENTED_SQL}")
 def augment_schema(spark: SparkSession, sf: str) -> DataFrame:
-    return g.augment_schema(columns(spark, sf), ["building", "machinery"])
+    return g.augment_schema(columns(spark, sf), ["area1", "area7"])
 
 
 @query(f"""
@@ -144,7 +144,7 @@ def augment_schema(spark: SparkSession, sf: str) -> DataFrame:
         "when 'timestamp' then 'timestamp' when 'timestamp(6)'")} as catalog_type
     from ({AUGMENTED_SQL})""")
 def catalog_schema(spark: SparkSession, sf: str) -> DataFrame:
-    return g.catalog_schema(columns(spark, sf), ["building", "machinery"])
+    return g.catalog_schema(columns(spark, sf), ["area1", "area7"])
 
 
 @query(f"""

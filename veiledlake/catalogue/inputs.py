@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veiledlake.functions.tokens import KeyedTokens
@@ -86,8 +86,8 @@ def halves_sql(source: str = FEED_SQL) -> str:
     return f"with base as ({base}), new as ({new})"
 
 
-# A column list with one row per order: the customer is the table, the market
-# segment its schema. The priority names the column, the month gives its type.
+# A column list with one row per order: the customer is the table, the last digit
+# of its key the schema. The priority names the column, the month gives its type.
 # Columns of pending orders form the key; finished and open ones must be hashed
 # or excluded.
 NAMES = {
@@ -112,7 +112,8 @@ TYPES = (
     "text",
 )
 COLUMNS_SQL = f"""
-    select lower(c_mktsegment) as schema, 'c' || c_custkey as "table", o_orderkey + 1 as ordinal,
+    select 'area' || right(o_custkey::varchar, 1) as schema, 'c' || o_custkey as "table",
+           o_orderkey + 1 as ordinal,
            case o_orderpriority {" ".join(f"when '{p}' then '{n}'" for p, n in NAMES.items())} end
                || '_' || o_orderkey as "column",
            ({list(TYPES)})[month(o_orderdate)] as source_type,
@@ -121,9 +122,10 @@ COLUMNS_SQL = f"""
            case when o_totalprice < 50000 then null when o_totalprice > 450000 then 'Mask'
                 when o_orderstatus = 'F' then 'Hash' when o_orderstatus = 'O' then 'Exclude'
                 else 'None Required' end as requirement
-    from orders join customer on o_custkey = c_custkey"""
+    from orders"""
 TABLES_SQL = """
-    select lower(c_mktsegment) as schema, 'c' || c_custkey as "table" from customer"""
+    select 'area' || right(c_custkey::varchar, 1) as schema, 'c' || c_custkey as "table"
+    from customer"""
 
 
 def column_list(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,11 +141,8 @@ def column_list(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise("None Required")
     )
     place = F.col("o_orderkey") + 1
-    orders = read(spark, sf, "orders")
-    customer = read(spark, sf, "customer")
-    return orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select(
-        F.lower("c_mktsegment").alias("schema"),
-        F.concat(F.lit("c"), "c_custkey").alias("table"),
+    return read(spark, sf, "orders").select(
+        *table_of("o_custkey"),
         place.alias("ordinal"),
         F.concat_ws("_", prefix, "o_orderkey").alias("column"),
         kind.alias("source_type"),
@@ -162,6 +161,12 @@ def requirements(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tables(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "customer").select(
-        F.lower("c_mktsegment").alias("schema"), F.concat(F.lit("c"), "c_custkey").alias("table")
-    )
+    return read(spark, sf, "customer").select(*table_of("c_custkey"))
+
+
+def table_of(customer: str) -> list[Column]:
+    digit = F.right(F.col(customer).cast("string"), F.lit(1))
+    return [
+        F.concat(F.lit("area"), digit).alias("schema"),
+        F.concat(F.lit("c"), customer).alias("table"),
+    ]

@@ -38,9 +38,9 @@ def requirement_values(requirements: DataFrame) -> DataFrame:
 
 def requirement_diff(requirements: DataFrame) -> DataFrame:
     """Known values the sheet never uses (``unused``), and values it should not hold (``unknown``)."""
-    known = requirements.sparkSession.createDataFrame(
-        [(r, True, False) for r in (*REQUIREMENTS, None)],
-        "requirement string, is_known boolean, is_used boolean",
+    known = F.explode(F.array(*(F.lit(r) for r in (*REQUIREMENTS, None)))).alias("requirement")
+    known = requirements.sparkSession.range(1).select(
+        known, F.lit(True).alias("is_known"), F.lit(False).alias("is_used")
     )
     used = requirement_values(requirements).select(
         "requirement", F.lit(False).alias("is_known"), F.lit(True).alias("is_used")
@@ -262,11 +262,16 @@ def schema_drift(declared: DataFrame, found: DataFrame) -> DataFrame:
 def schema_columns(df: DataFrame, schema: str, table: str) -> DataFrame:
     """The columns a table really has."""
     rows = [
-        (schema, table, i, f.name, f.dataType.simpleString())
+        F.struct(
+            F.lit(schema).alias("schema"),
+            F.lit(table).alias("table"),
+            F.lit(i).alias("ordinal"),
+            F.lit(f.name).alias("column"),
+            F.lit(f.dataType.simpleString()).alias("catalog_type"),
+        )
         for i, f in enumerate(df.schema.fields)
     ]
-    layout = "schema string, table string, ordinal int, column string, catalog_type string"
-    return df.sparkSession.createDataFrame(rows, layout)
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def _named(side: str) -> list[Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,7 +26,7 @@ def sync_catalog(
     path: str,
     partitions: tuple[str, ...] = (),
     schema: StructType | None = None,
-) -> DataFrame:
+) -> list[Row]:
     """Make a catalog entry agree with the files, and return the columns that changed.
 
     All files are read for their schemas, unless ``schema`` states the result.
@@ -54,7 +54,7 @@ def sync_catalog(
         declare_table(spark, name, ddl, path, partitions)
     elif partitions:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    return spark.createDataFrame(changes, drift.schema)
+    return changes
 
 
 def location(spark: SparkSession, name: str) -> str:

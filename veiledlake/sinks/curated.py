@@ -86,7 +86,7 @@ class SnapshotTable:
                     delete(self.spark, f"{self.path}/{name}")
         return new
 
-    def register(self, name: str) -> DataFrame:
+    def register(self, name: str) -> list[Row]:
         """Point a catalog entry to the current snapshot; return the columns that changed."""
         version = self.version()
         if version is None:
@@ -172,6 +172,14 @@ class PartitionedTable:
             spec = self._spec(values)
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
 
+    def remove_unused(self) -> None:
+        """Delete folders no partition points to any more. Run it when no older read is under way."""
+        version = F.regexp_extract("_metadata.file_path", "/version=([0-9a-f]+)/", 1)
+        used = {r[0] for r in self.read().select(version).distinct().collect()}
+        for folder in children(self.spark, self.path):
+            if folder.startswith("version=") and folder.removeprefix("version=") not in used:
+                delete(self.spark, f"{self.path}/{folder}")
+
     def _spec(self, values: Sequence) -> str:
         pairs = zip(self.partitions, values, strict=True)
         return ", ".join(f"{_quoted(p)} = {_literal(v)}" for p, v in pairs)
