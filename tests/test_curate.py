@@ -169,9 +169,16 @@ def test_tables_follow_the_merged_rows(spark, table, rows):
         (4, None, "N"),
     ]
     assert not run()
+    again = spark.createDataFrame([(None, "01", "no key", 9)], LAYOUT)
+    for number in (7, 7, 6):
+        report = run_curate(again, POLICY, table, batch_id=("reader", number))
+    assert not report.written
+    assert table.read().filter("k is null").count() == 1
+    run_curate(again, POLICY, table, batch_id=("other", 0))
+    assert table.read().filter("k is null").count() == 2
     assert run((1, "01", "late", 0), only_if_newer="dms_commit_ts")
     assert (1, "01", "b") in rows(table.read(), "k", "st", "v")
-    assert table.read().count() == 4
+    assert table.read().filter("k is not null").count() == 4
 
 
 def test_untouched_partitions_keep_their_files(spark, tmp_path):

@@ -74,14 +74,15 @@ def test_tokens_are_random_stable_and_one_per_value(spark, vault, tmp_path):
 ROWS = [(i, None if i % 7 == 0 else "hot" if i % 3 else f"v{i % 11}", i % 5) for i in range(2000)]
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 0])
+@pytest.mark.parametrize("limit", [1 << 20, 1000, 0])
 @pytest.mark.parametrize("blank", ["empty", "null"])
 def test_both_join_strategies_give_the_same(spark, tmp_path, limit, blank):
     df = spark.createDataFrame(ROWS, "id int, name string, n int").repartition(4)
     pii = {"name": "person_nm", "n": "case_id"}
     vault = Vault(spark, f"{tmp_path}/vault", blank)
     batch = vault.tokens_for(df, pii, T1, f"{tmp_path}/work")
-    assert batch.total_cells == sum(r[1] is not None for r in ROWS) + len(ROWS)
+    assert set(batch.bytes_by_type) == {"person_nm", "case_id"}
+    assert batch.cells == sum(r[1] is not None for r in ROWS) + len(ROWS)
     known = {tuple(r)[:2]: r["token"] for r in batch.tokens.collect()}
     done = tokenise_from_vault(df, pii, batch, broadcast_bytes=limit, hot_share=0.1)
     assert done.columns == df.columns

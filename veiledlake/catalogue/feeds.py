@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from veiledlake.catalogue.inputs import (
     COLUMNS_SQL,
-    FEED_COLUMNS,
     FEED_SQL,
     TABLES_SQL,
     TOKENS,
@@ -26,7 +25,6 @@ from veiledlake.catalogue.inputs import (
 from veiledlake.catalogue.registry import query
 from veiledlake.operators.feed import count_operations, stamp_full_load
 from veiledlake.operators.governance import policy_with_keys
-from veiledlake.operators.latest import latest_per_key
 from veiledlake.plans.curate import run_curate
 from veiledlake.policy import DatasetPolicy
 from veiledlake.sinks.clean import append_parquet
@@ -72,14 +70,20 @@ def cdc_feed_read(spark: SparkSession, sf: str) -> DataFrame:
     return count_operations(feed(spark, sf))
 
 
-@query(f"select 'I' as op, {CUSTOMER}, 1704067200 as commit_epoch from customer", name="stamp_full_load")
+@query(
+    f"select 'I' as op, {CUSTOMER}, 1704067200 as commit_epoch from customer",
+    name="stamp_full_load",
+)
 def stamp_customers(spark: SparkSession, sf: str) -> DataFrame:
     stamped = stamp_full_load(read(spark, sf, "customer"), datetime(2024, 1, 1, tzinfo=UTC))
     epoch = F.unix_timestamp("dms_commit_ts").alias("commit_epoch")
     return stamped.select("op", *CUSTOMER.split(", "), epoch)
 
 
-@query(f"""select * from ({TABLES_SQL}) where schema = 'area3' and "table" like 'c%'""", name="select_tables")
+@query(
+    f"""select * from ({TABLES_SQL}) where schema = 'area3' and "table" like 'c%'""",
+    name="select_tables",
+)
 def select_schema_tables(spark: SparkSession, sf: str) -> DataFrame:
     return select_tables(tables(spark, sf), "area3", "c%")
 
@@ -95,7 +99,10 @@ def fan_out_plan(spark: SparkSession, sf: str) -> DataFrame:
     return fan_out(tables(spark, sf), policies)
 
 
-@query(f'select schema, "table", "column", requirement from ({COLUMNS_SQL})', name="read_requirements")
+@query(
+    f'select schema, "table", "column", requirement from ({COLUMNS_SQL})',
+    name="read_requirements",
+)
 def read_requirement_sheet(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark)
     sheet = column_list(spark, sf).select(

@@ -18,7 +18,8 @@ from veiledlake.operators import governance as g
 
 PII_SQL = """
     case when "column" like '%phone%' or "column" like '%phnnum_txt%' then 'phone_num'
-         when "column" like '%fnm%' or "column" like '%mnm%' or "column" like '%lnm%' then 'person_nm'
+         when "column" like '%fnm%' or "column" like '%mnm%' or "column" like '%lnm%'
+             then 'person_nm'
          when "column" like '%fein%' then 'fein'
          when "column" like '%\\_id%' escape '\\' then 'case_id'
          when "column" like '%ssn%' then 'ssn'
@@ -49,7 +50,8 @@ RULES_SQL = f"""
         where requirement = 'Hash' and {PII_SQL} is not null),
     policy as (
         select schema || '_' || "table" as dataset,
-               schema || '/' || schema || '_' || "table" as folder, rule, position, "column", pii_type
+               schema || '/' || schema || '_' || "table" as folder, rule, position, "column",
+               pii_type
         from rules where (schema, "table") in (
             select (schema, "table") from c where pk_position is not null))"""
 
@@ -92,7 +94,8 @@ def table_column_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
     select schema, "table" from ({TABLES_SQL}) t
-    anti join (from ({COLUMNS_SQL}) where since >= timestamp '2000-01-01') using (schema, "table")""")
+    anti join (from ({COLUMNS_SQL}) where since >= timestamp '2000-01-01')
+        using (schema, "table")""")
 def empty_table_check(spark: SparkSession, sf: str) -> DataFrame:
     recent = column_list(spark, sf).filter("since >= timestamp_ntz '2000-01-01 00:00:00'")
     return g.empty_table_check(tables(spark, sf), recent)
@@ -113,13 +116,15 @@ def primary_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-    select schema, "table", "column", source_type, {STATED_SQL} as catalog_type from ({COLUMNS_SQL})""")
+    select schema, "table", "column", source_type, {STATED_SQL} as catalog_type
+    from ({COLUMNS_SQL})""")
 def map_source_types(spark: SparkSession, sf: str) -> DataFrame:
     return g.map_source_types(columns(spark, sf).drop("ordinal", "pk_position"))
 
 
 @query(f"""
-    select schema, "table", "column", source_type, {LEGACY_SQL} as catalog_type from ({COLUMNS_SQL})""")
+    select schema, "table", "column", source_type, {LEGACY_SQL} as catalog_type
+    from ({COLUMNS_SQL})""")
 def map_source_types_legacy(spark: SparkSession, sf: str) -> DataFrame:
     return g.map_source_types(columns(spark, sf).drop("ordinal", "pk_position"), legacy=True)
 
@@ -181,7 +186,8 @@ def policy_gaps(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""{RULES_SQL},
     other as (
-        select dataset, rule, case when rule = 'key' then upper("column") else "column" end as "column",
+        select dataset, rule,
+               case when rule = 'key' then upper("column") else "column" end as "column",
                case when position > 5000 then position + 1 else position end as position,
                case when pii_type = 'ssn' then 'case_id' else pii_type end as pii_type
         from policy where pii_type is null or pii_type <> 'email')
@@ -201,7 +207,9 @@ def policy_mismatch(spark: SparkSession, sf: str) -> DataFrame:
     other = rules.filter(kind.isNull() | (kind != "email")).select(
         "dataset",
         "rule",
-        F.when(F.col("rule") == "key", F.upper("column")).otherwise(F.col("column")).alias("column"),
+        F.when(F.col("rule") == "key", F.upper("column"))
+        .otherwise(F.col("column"))
+        .alias("column"),
         F.when(F.col("position") > 5000, F.col("position") + 1)
         .otherwise(F.col("position"))
         .alias("position"),
@@ -223,5 +231,6 @@ def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     """Columns known before 2000 against those of later years and narrower types."""
     listed = column_list(spark, sf)
     old = g.map_source_types(listed.filter("since < timestamp_ntz '2000-01-01 00:00:00'"))
-    new = g.map_source_types(listed.filter("since >= timestamp_ntz '1996-01-01 00:00:00'"), legacy=True)
+    later = listed.filter("since >= timestamp_ntz '1996-01-01 00:00:00'")
+    new = g.map_source_types(later, legacy=True)
     return g.schema_drift(old, new)

@@ -36,7 +36,8 @@ UPSERT_SQL = f"""{halves_sql()}
 
 
 def halves(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return latest_per_key(first_load(changes), FEED_KEY), latest_per_key(increment(changes), FEED_KEY)
+    parts = (first_load(changes), increment(changes))
+    return tuple(latest_per_key(part, FEED_KEY) for part in parts)
 
 
 @query("""
@@ -55,7 +56,8 @@ def latest_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     select * from events
-    qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1""")
+    qualify row_number() over (
+        partition by user_id, event_type order by ts desc, event_id desc) = 1""")
 def latest_events(spark: SparkSession, sf: str) -> DataFrame:
     return latest_per_key(read(spark, sf, "events"), ["user_id", "event_type"], "ts")
 
@@ -123,7 +125,8 @@ def upsert_only_if_newer(spark: SparkSession, sf: str) -> DataFrame:
     select * from new
     union all
     select * from base where not exists (
-        from new where base.l_orderkey = new.l_orderkey and base.l_linenumber = new.l_linenumber)""")
+        from new where base.l_orderkey = new.l_orderkey
+            and base.l_linenumber = new.l_linenumber)""")
 def upsert_null_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Rows with a null key part match nothing; a third of the feed has one."""
     base, new = halves(null_key_feed(spark, sf))
@@ -153,7 +156,7 @@ def curate_dataset(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(UPSERT_SQL)
 def curate_partitions(spark: SparkSession, sf: str) -> DataFrame:
-    """The same in a table that rewrites only the partitions a batch touches; rows move between them."""
+    """The same in a table that rewrites only touched partitions, between which rows move."""
     changes, folder = feed(spark, sf), work_folder(spark)
     policy = DatasetPolicy("feed", keys=tuple(FEED_KEY), partitions=("op",))
     target = PartitionedTable(spark, f"feed_{uuid.uuid4().hex}", folder, policy.partitions)

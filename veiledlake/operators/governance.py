@@ -37,7 +37,7 @@ def requirement_values(requirements: DataFrame) -> DataFrame:
 
 
 def requirement_diff(requirements: DataFrame) -> DataFrame:
-    """Known values the sheet never uses (``unused``), and values it should not hold (``unknown``)."""
+    """Known values never used (``unused``), and values the sheet should not hold (``unknown``)."""
     known = F.explode(F.array(*(F.lit(r) for r in (*REQUIREMENTS, None)))).alias("requirement")
     known = requirements.sparkSession.range(1).select(
         known, F.lit(True).alias("is_known"), F.lit(False).alias("is_used")
@@ -78,10 +78,12 @@ def map_source_types(columns: DataFrame, legacy: bool = False) -> DataFrame:
 def augment_schema(
     columns: DataFrame, commit_time_schemas: Iterable[str] = COMMIT_TIME_SCHEMAS
 ) -> DataFrame:
-    """Add the feed's own columns to each table: ``op`` first, the commit time last where recorded."""
+    """Add the feed's own columns to each table: ``op`` first, the commit time last if recorded."""
     last = columns.groupBy(*TABLE).agg(F.max("ordinal").alias("last"))
     added = F.array(
-        F.struct(F.lit(0).alias("ordinal"), F.lit("op").alias("column"), F.lit("string").alias("t")),
+        F.struct(
+            F.lit(0).alias("ordinal"), F.lit("op").alias("column"), F.lit("string").alias("t")
+        ),
         F.struct(
             (F.col("last") + 1).alias("ordinal"),
             F.lit("dms_commit_ts").alias("column"),

@@ -50,6 +50,8 @@ def latest_per_key(
     Spark limits each key to one row before the shuffle (``WindowGroupLimit``
     in the plan), so a key that holds much of the input does not end up in one task.
     """
+    if not keys:
+        raise ValueError("the rows need a key")
     order = recency(df, keys, order_by, nulls)
     if not order:  # every column is a key column
         return df.dropDuplicates(list(keys))

@@ -53,7 +53,7 @@ def parse_dates(df: DataFrame, formats: Mapping[str, str]) -> DataFrame:
 
 
 def parse_timestamps(df: DataFrame, formats: Mapping[str, str]) -> DataFrame:
-    """Parse text columns to timestamps; a column that is no text is cast. Absent columns are ignored."""
+    """Parse text columns to timestamps, by the same rules."""
     return df.withColumns(
         {
             c: parse_timestamp(F.col(c), fmt) if _is_text(df, c) else F.col(c).cast("timestamp")

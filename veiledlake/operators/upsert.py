@@ -127,7 +127,7 @@ def matched(
 
 
 def fits_in_memory(df: DataFrame, columns: Sequence[str], limit: int = BROADCAST_BYTES) -> bool:
-    """Whether columns of a written table are small enough to broadcast. Runs a job that reads them."""
+    """Whether columns of a written table are small enough to broadcast; a job reads them."""
     size = F.lit(16 * (len(columns) + 1))
     for c in columns:
         if isinstance(df.schema[c].dataType, (StringType, BinaryType)):

@@ -92,16 +92,20 @@ class BatchTokens:
     """The tokens of a batch's values, and how to join them to its rows."""
 
     tokens: DataFrame  # pii_type, pii_value, token, cells
-    total_cells: int
-    total_bytes: int
+    cells: int  # in all
+    bytes_by_type: Mapping[str, int]
     blank: str = "empty"  # what null and empty values become
 
     @classmethod
     def measure(cls, tokens: DataFrame, blank: str = "empty") -> BatchTokens:
-        """Size a written token table: one job over it that returns one row."""
+        """Size a written token table: one job over it that returns one row per type."""
         row_bytes = F.octet_length("pii_value") + F.octet_length("token") + F.lit(64)
-        size = tokens.agg(F.sum("cells").alias("cells"), F.sum(row_bytes).alias("bytes")).first()
-        return cls(tokens, size["cells"] or 0, size["bytes"] or 0, blank)
+        sizes = tokens.groupBy("pii_type").agg(
+            F.sum("cells").alias("cells"), F.sum(row_bytes).alias("bytes")
+        )
+        found = sizes.collect()
+        by_type = {r["pii_type"]: r["bytes"] for r in found}
+        return cls(tokens, sum(r["cells"] for r in found), by_type, blank)
 
     def of_type(self, pii_type: str) -> DataFrame:
         return self.tokens.filter(F.col("pii_type") == pii_type)
@@ -118,58 +122,61 @@ def tokenise_from_vault(
 ) -> DataFrame:
     """Replace PII columns by their vault tokens, or add them under a suffix.
 
-    A small token table is broadcast. Beyond ``broadcast_bytes`` each column is
-    joined by a shuffle, in which no value holds many rows: the hot values, few
-    by definition, are looked up by broadcast first, and rows already settled
-    (hot or blank) are spread evenly.
+    Types whose tokens take up to ``broadcast_bytes`` are joined by broadcast.
+    Beyond that a column is joined by a shuffle, in which no value holds many
+    rows: the hot values, few by definition, are looked up by broadcast first,
+    and rows already settled (hot or blank) are spread evenly.
 
     The spread follows the row's position, which a retried task repeats only
     when ``df`` reads files without a shuffle in between, as the clean hop does.
     """
     columns = [*df.columns, *(c + suffix for c in pii if suffix)]
-    if batch.total_bytes <= broadcast_bytes:
-        for c, t in pii.items():
-            token = _renamed(batch.of_type(t))
-            df = df.join(F.broadcast(token), F.col(c).cast("string") == F.col(f"{HELPER}value"), "left")
-            df = _settle(df, c, c + suffix, F.col(f"{HELPER}token"), batch.blank)
-        return df.select(*columns)
-
-    hot_cells = batch.total_cells * hot_share
-    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD))
-    df = df.withColumn(f"{HELPER}spread", spread)
+    small = {t for t in pii.values() if batch.bytes_by_type.get(t, 0) <= broadcast_bytes}
+    if not small.issuperset(pii.values()):
+        spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD))
+        df = df.withColumn(f"{HELPER}spread", spread)
     for c, t in pii.items():
-        tokens = batch.of_type(t)
-        is_hot = (F.col("cells") > hot_cells) & (F.octet_length("pii_value") <= HOT_BYTES)
-        hot, rest = _renamed(tokens.filter(is_hot), "hot_"), _renamed(tokens.filter(~is_hot))
-        df = df.join(F.broadcast(hot), F.col(c).cast("string") == F.col(f"{HELPER}hot_value"), "left")
-        settled = is_blank(F.col(c)) | F.col(f"{HELPER}hot_token").isNotNull()
-        # First letters keep the two kinds of key apart, whatever the values hold.
-        key = F.when(settled, F.concat(F.lit("s"), F.col(f"{HELPER}spread"))).otherwise(
-            F.concat(F.lit("v"), F.col(c).cast("string"))
-        )
-        rest = rest.withColumn(f"{HELPER}key", F.concat(F.lit("v"), F.col(f"{HELPER}value")))
-        df = df.withColumn(f"{HELPER}row_key", key).join(
-            rest, F.col(f"{HELPER}row_key") == F.col(f"{HELPER}key"), "left"
+        value, tokens = F.col(c).cast("string"), batch.of_type(t)
+        if t in small:
+            df = _look_up(df, value, tokens, "token")
+        else:
+            is_hot = (F.col("cells") > batch.cells * hot_share) & (
+                F.octet_length("pii_value") <= HOT_BYTES
+            )
+            df = _look_up(df, value, tokens.filter(is_hot), "hot_token")
+            df = _look_up_by_shuffle(df, value, tokens.filter(~is_hot))
+        token = F.col(f"{HELPER}token")
+        # A value without a token must never be passed on in clear, nor get lost.
+        missing = F.raise_error(F.lit(f"no token for a value of {c}"))
+        found = F.when(is_blank(value), blank_token(batch.blank)).otherwise(
+            F.coalesce(token, missing)
         )
-        token = F.coalesce(f"{HELPER}hot_token", f"{HELPER}token")
-        df = _settle(df, c, c + suffix, token, batch.blank)
+        df = df.withColumn(c + suffix, found).drop(f"{HELPER}token")
     return df.select(*columns)
 
 
-def _renamed(tokens: DataFrame, prefix: str = "") -> DataFrame:
-    return tokens.select(
-        F.col("pii_value").alias(f"{HELPER}{prefix}value"),
-        F.col("token").alias(f"{HELPER}{prefix}token"),
+def _look_up(df: DataFrame, value: Column, tokens: DataFrame, name: str) -> DataFrame:
+    """Add the token of a value from a small table."""
+    tokens = tokens.select(
+        F.col("pii_value").alias(f"{HELPER}value"), F.col("token").alias(HELPER + name)
     )
+    found = df.join(F.broadcast(tokens), value == F.col(f"{HELPER}value"), "left")
+    return found.drop(f"{HELPER}value")
 
 
-def _settle(df: DataFrame, column: str, target: str, token: Column, blank: str) -> DataFrame:
-    """Put the token into the target column and drop the helper columns.
-
-    A value without a token raises: it must never be passed on in clear, nor lost.
-    """
-    found = F.when(is_blank(F.col(column)), blank_token(blank)).otherwise(
-        F.coalesce(token, F.raise_error(F.lit(f"no token for a value of {column}")))
+def _look_up_by_shuffle(df: DataFrame, value: Column, tokens: DataFrame) -> DataFrame:
+    """Add the token of a value from a large table, unless it is hot or blank."""
+    settled = is_blank(value) | F.col(f"{HELPER}hot_token").isNotNull()
+    # First letters keep the two kinds of key apart, whatever the values hold.
+    key = F.when(settled, F.concat(F.lit("s"), F.col(f"{HELPER}spread"))).otherwise(
+        F.concat(F.lit("v"), value)
+    )
+    tokens = tokens.select(
+        F.concat(F.lit("v"), "pii_value").alias(f"{HELPER}key"),
+        F.col("token").alias(f"{HELPER}cold_token"),
     )
-    helpers = ["value", "token", "hot_value", "hot_token", "key", "row_key"]
-    return df.withColumn(target, found).drop(*(HELPER + h for h in helpers))
+    df = df.withColumn(f"{HELPER}row_key", key)
+    df = df.join(tokens, F.col(f"{HELPER}row_key") == F.col(f"{HELPER}key"), "left")
+    token = F.coalesce(f"{HELPER}hot_token", f"{HELPER}cold_token")
+    helpers = [HELPER + h for h in ("hot_token", "cold_token", "row_key", "key")]
+    return df.withColumn(f"{HELPER}token", token).drop(*helpers)

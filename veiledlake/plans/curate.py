@@ -102,7 +102,7 @@ def run_curate(
     """
     if batch.isEmpty():
         return CurateReport(False)
-    if isinstance(target, SnapshotTable) and batch_id is not None and target.has_applied(batch_id):
+    if batch_id is not None and target.has_applied(batch_id):
         return CurateReport(False)
     policy = policy.resolve(batch.columns)
     taken, kept = Observation(), Observation()
@@ -126,6 +126,8 @@ def run_curate(
             target.create(rows, policy.partitions)
         else:
             target.replace(rows, policy.partitions, batch_id)
+    if batch_id is not None and not isinstance(target, SnapshotTable):
+        target.note_applied(batch_id)  # a snapshot notes it in its commit
     return CurateReport(True, taken.get["rows"], kept.get["rows"], kept.get["null_keys"])
 
 

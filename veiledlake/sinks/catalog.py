@@ -33,8 +33,8 @@ def sync_catalog(
     Columns that are gone leave the entry as well, and an entry for another
     folder moves to this one. Only the entry is replaced; files stay.
     """
-    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
-    found = reader.parquet(path)
+    reader = spark.read.option("mergeSchema", "true")
+    found = (reader if schema is None else reader.schema(schema)).parquet(path)
     columns = schema_columns(found, "", name)
     if spark.catalog.tableExists(name):
         drift = schema_drift(schema_columns(spark.table(name), "", name), columns)

@@ -16,9 +16,9 @@ def append_parquet(
     mode: str = "append",
 ) -> None:
     """Append Snappy Parquet, and register table and new partitions if a name is given."""
-    writer = (
-        laid_out(df, partitions).write.mode(mode).format("parquet").option("compression", "snappy")
-    )
+    writer = laid_out(df, partitions).write.mode(mode).format("parquet")
+    # An overwrite always replaces the whole folder, whatever the session's setting.
+    writer = writer.option("compression", "snappy").option("partitionOverwriteMode", "static")
     if partitions:
         writer = writer.partitionBy(*partitions)
     if table is None:

@@ -109,10 +109,13 @@ class PartitionedTable:
     A merge writes only the partitions it touches, below a new folder, and
     then switches those partitions to it. Each partition switches in one
     step; the table as a whole does not. A run that failed in between is
-    repeated: merging the same batch again gives the same rows.
+    repeated: merging the same batch again gives the same rows, except that
+    rows with a null key part, which match nothing, may come twice.
     """
 
-    def __init__(self, spark: SparkSession, name: str, path: str, partitions: Sequence[str]) -> None:
+    def __init__(
+        self, spark: SparkSession, name: str, path: str, partitions: Sequence[str]
+    ) -> None:
         if not partitions:
             raise ValueError("the table needs partition columns")
         self.spark = spark
@@ -123,6 +126,12 @@ class PartitionedTable:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
+    def has_applied(self, batch: Batch) -> bool:
+        return _noted_batch(self.spark, self.name, batch)
+
+    def note_applied(self, batch: Batch) -> None:
+        _note_batch(self.spark, self.name, batch)
+
     def read(self, only: list[Row] | None = None) -> DataFrame:
         """The table, or those of its partitions that ``only`` lists."""
         table = self.spark.table(self.name)
@@ -173,7 +182,7 @@ class PartitionedTable:
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
 
     def remove_unused(self) -> None:
-        """Delete folders no partition points to any more. Run it when no older read is under way."""
+        """Delete folders no partition points to any more, while no older read is under way."""
         version = F.regexp_extract("_metadata.file_path", "/version=([0-9a-f]+)/", 1)
         used = {r[0] for r in self.read().select(version).distinct().collect()}
         for folder in children(self.spark, self.path):
@@ -209,6 +218,12 @@ class MergeTable:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
+    def has_applied(self, batch: Batch) -> bool:
+        return _noted_batch(self.spark, self.name, batch)
+
+    def note_applied(self, batch: Batch) -> None:
+        _note_batch(self.spark, self.name, batch)
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -245,6 +260,20 @@ class MergeTable:
         merging.merge()
 
 
+def _noted_batch(spark: SparkSession, table: str, batch: Batch) -> bool:
+    """Whether a table's properties say that it has taken a reader's batch."""
+    if not spark.catalog.tableExists(table):
+        return False
+    properties = spark.sql(f"SHOW TBLPROPERTIES {table}")
+    noted = properties.filter(F.col("key") == f"applied.{batch[0]}").collect()
+    return bool(noted) and int(noted[0]["value"]) >= batch[1]
+
+
+def _note_batch(spark: SparkSession, table: str, batch: Batch) -> None:
+    name = _literal(f"applied.{batch[0]}")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({name} = '{batch[1]}')")
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -36,7 +36,8 @@ class Vault:
 
     def read(self) -> DataFrame:
         if not exists(self.spark, self.path):
-            return self.spark.range(0).select(F.from_json(F.lit("{}"), SCHEMA).alias("v")).select("v.*")
+            nothing = F.from_json(F.lit("{}"), SCHEMA)
+            return self.spark.range(0).select(nothing.alias("entry")).select("entry.*")
         return self.spark.read.schema(SCHEMA).parquet(self.path)
 
     def add(self, entries: DataFrame) -> None:
