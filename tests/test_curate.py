@@ -7,8 +7,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from veiledlake.operators.latest import latest_per_key, order_latest_first
+from veiledlake.operators.sizes import fits_in_memory
 from veiledlake.operators.profile import duplicate_profile, preview
-from veiledlake.operators.upsert import fits_in_memory, match_rows, matched, upsert
+from veiledlake.operators.upsert import match_rows, matched, upsert
 from veiledlake.plans.curate import CurateReport, MergeOptions, curate, run_curate
 from veiledlake.policy import DatasetPolicy
 from veiledlake.sinks.curated import MergeTable, PartitionedTable, SnapshotTable

@@ -1,3 +1,4 @@
+import time
 from datetime import UTC, datetime
 
 import pytest
@@ -8,9 +9,8 @@ from veiledlake.operators.vault import (
     BatchTokens,
     absent_values,
     batch_values,
-    lookup,
+    find_tokens,
     resolve_conflicts,
-    settled_tokens,
     tokenise_from_vault,
 )
 from veiledlake.plans.clean import run_clean
@@ -43,7 +43,7 @@ def test_lookup_and_absent(spark, rows):
     values = spark.createDataFrame([("ssn", "1", 1), ("ssn", "2", 1)], CELLS)
     held = spark.createDataFrame([("ssn", "1", "t", T1), ("fein", "2", "u", T1)], SCHEMA)
     assert rows(absent_values(values, held)) == [("ssn", "2")]
-    assert rows(lookup(values, held)) == [("ssn", "1", 1, "t"), ("ssn", "2", 1, None)]
+    assert rows(find_tokens(values, held)) == [("ssn", "1", "t", 1), ("ssn", "2", None, 1)]
 
 
 def test_earliest_entry_wins_a_conflict(spark, rows):
@@ -53,7 +53,7 @@ def test_earliest_entry_wins_a_conflict(spark, rows):
     )
     assert rows(resolve_conflicts(held), "pii_value", "token") == [("1", "b"), ("2", "z")]
     values = spark.createDataFrame([("ssn", "1", 7)], CELLS)
-    assert rows(settled_tokens(values, held)) == [("ssn", "1", "b", 7)]
+    assert rows(find_tokens(values, held)) == [("ssn", "1", "b", 7)]
 
 
 def test_tokens_are_random_stable_and_one_per_value(spark, vault, tmp_path):
@@ -71,6 +71,36 @@ def test_tokens_are_random_stable_and_one_per_value(spark, vault, tmp_path):
     assert not set(first.values()) & {r["token"] for r in other.tokens.collect()}
 
 
+def test_read_back_opens_only_new_files(spark, vault, tmp_path):
+    assert vault.last_change(["ssn"]) == 0
+    entry = spark.createDataFrame([("ssn", "1", "t", T1)], SCHEMA)
+    vault.add(entry)
+    first = vault.last_change(["ssn", "fein"])
+    time.sleep(1.1)
+    vault.add(spark.createDataFrame([("ssn", "2", "u", T1), ("fein", "3", "v", T1)], SCHEMA))
+    assert vault.last_change(["ssn"]) > first > vault.last_change(["email"]) == 0
+    later = vault.read(["ssn"], since=first + 1)
+    assert [r["pii_value"] for r in later.collect()] == ["2"]
+    assert vault.read(["ssn"], since=first).count() == 2
+    scan = later._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().get("numFiles").get().value() == 1
+
+
+def test_entry_another_run_added_meanwhile_is_respected(spark, vault, tmp_path, monkeypatch):
+    """The token of the earlier entry is used, though this run made one of its own."""
+    df = spark.createDataFrame([("1",), ("2",)], "ssn string")
+    real = Vault.add
+
+    def add_after_another_run(self, entries):
+        real(self, spark.createDataFrame([("ssn", "1", "theirs", T1)], SCHEMA))
+        real(self, entries)
+
+    monkeypatch.setattr(Vault, "add", add_after_another_run)
+    tokens = vault.tokens_for(df, {"ssn": "ssn"}, T2, f"{tmp_path}/work").tokens
+    found = {r["pii_value"]: r["token"] for r in tokens.collect()}
+    assert found["1"] == "theirs" and len(found["2"]) == 64
+
+
 ROWS = [(i, None if i % 7 == 0 else "hot" if i % 3 else f"v{i % 11}", i % 5) for i in range(2000)]
 
 

@@ -17,7 +17,7 @@ from veiledlake.operators.shape import tokenise_keyed
 from veiledlake.operators.vault import (
     absent_values,
     batch_values,
-    lookup,
+    find_tokens,
     resolve_conflicts,
     tokenise_from_vault,
 )
@@ -56,7 +56,7 @@ def order_values(spark: SparkSession, sf: str) -> DataFrame:
     select pii_type, pii_value, cells, token
     from ({ORDER_VALUES_SQL}) left join ({VAULT_SQL}) using (pii_type, pii_value)""")
 def token_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return lookup(order_values(spark, sf), customer_vault(spark, sf))
+    return find_tokens(order_values(spark, sf), customer_vault(spark, sf))
 
 
 @query(f"""

@@ -16,12 +16,11 @@ from pyspark.sql import functions as F
 
 from veiledlake.functions.columns import is_blank
 from veiledlake.functions.tokens import blank_token, salted_token
+from veiledlake.operators.sizes import BROADCAST_BYTES
 
 SCHEMA = "pii_type string, pii_value string, token string, created_ts timestamp"
 KEY = ["pii_type", "pii_value"]
 
-# A batch whose token table is smaller than this is joined by broadcast.
-BROADCAST_BYTES = 64 << 20
 # A value is hot when it holds more than this share of the batch's PII cells and is
 # no longer than HOT_BYTES. So at most 100,000 values are hot, and what is broadcast
 # for them stays below 120 MB whatever the batch.
@@ -54,15 +53,6 @@ def absent_values(values: DataFrame, vault: DataFrame) -> DataFrame:
     return values.select(*KEY).join(vault.select(*KEY), KEY, "left_anti")
 
 
-def new_entries(absent: DataFrame, created_ts: datetime) -> DataFrame:
-    """Vault rows with fresh random tokens for values it lacks. Write them before use."""
-    return absent.select(
-        *KEY,
-        salted_token(F.col("pii_value")).alias("token"),
-        F.lit(created_ts).cast("timestamp").alias("created_ts"),
-    )
-
-
 def resolve_conflicts(vault: DataFrame) -> DataFrame:
     """One token per key: the earliest, and the least of equally early ones."""
     first = F.min(F.struct("created_ts", "token"))
@@ -71,22 +61,37 @@ def resolve_conflicts(vault: DataFrame) -> DataFrame:
     )
 
 
-def lookup(values: DataFrame, vault: DataFrame) -> DataFrame:
-    """Values with their token, null where the vault holds none."""
-    return values.join(vault.select(*KEY, "token"), KEY, "left")
+def find_tokens(values: DataFrame, vault: DataFrame, small: bool = False) -> DataFrame:
+    """Values with their one token, conflicts resolved, null where the vault holds none.
 
-
-def settled_tokens(values: DataFrame, vault: DataFrame) -> DataFrame:
-    """The one token of each value of a batch, conflicts resolved, with its cell count."""
+    Values and vault are shuffled once, for the join and the aggregation.
+    ``small`` states that the values were measured to fit in memory: the vault
+    is then cut down to them first, without a shuffle.
+    """
+    if small:
+        vault = vault.join(F.broadcast(values.select(*KEY)), KEY, "left_semi")
     first = F.min(F.struct("created_ts", "token"))
-    entries = values.join(vault, KEY)
     return (
-        entries.groupBy(*KEY)
+        values.join(vault, KEY, "left")
+        .groupBy(*KEY)
         .agg(first.alias("first"), F.max("cells").alias("cells"))
         .select(*KEY, "first.token", "cells")
     )
 
 
+def with_fresh_tokens(found: DataFrame) -> DataFrame:
+    """Add a random token where there is none yet, as ``fresh``. Write the result before use."""
+    fresh = F.when(F.col("token").isNull(), salted_token(F.col("pii_value")))
+    return found.withColumn("fresh", fresh)
+
+
+def new_entries(marked: DataFrame, created_ts: datetime) -> DataFrame:
+    """The vault rows to add, from written fresh tokens."""
+    return marked.filter("token is null").select(
+        *KEY, F.col("fresh").alias("token"), F.lit(created_ts).cast("timestamp").alias("created_ts")
+    )
+
+
 @dataclass(frozen=True)
 class BatchTokens:
     """The tokens of a batch's values, and how to join them to its rows."""

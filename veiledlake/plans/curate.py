@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from veiledlake.operators.latest import latest_per_key
-from veiledlake.operators.upsert import fits_in_memory, upsert, without_deletes
+from veiledlake.operators.sizes import fits_in_memory
+from veiledlake.operators.upsert import upsert, without_deletes
 from veiledlake.policy import DatasetPolicy
 from veiledlake.sinks.curated import Batch, MergeTable, PartitionedTable, SnapshotTable
 from veiledlake.storage import scratch

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veiledlake.functions.tokens import checked_blank
+from veiledlake.operators.sizes import fits_in_memory
 from veiledlake.operators.vault import (
+    KEY,
     SCHEMA,
     BatchTokens,
-    absent_values,
     batch_values,
+    find_tokens,
     new_entries,
-    settled_tokens,
+    with_fresh_tokens,
 )
-from veiledlake.sinks.clean import laid_out
-from veiledlake.storage import exists
+from veiledlake.policy import TOKEN_TYPES
+from veiledlake.sinks.clean import append_parquet
+from veiledlake.storage import exists, newest
+
+REST = ("pii_value", "token", "created_ts")
 
 
 class Vault:
@@ -34,14 +39,24 @@ class Vault:
         self.path = path
         self.blank = checked_blank(blank)
 
-    def read(self) -> DataFrame:
+    def read(self, types: Sequence[str] = TOKEN_TYPES, since: int | None = None) -> DataFrame:
+        """Entries of some types, or only those in files as new as a change time."""
         if not exists(self.spark, self.path):
             nothing = F.from_json(F.lit("{}"), SCHEMA)
             return self.spark.range(0).select(nothing.alias("entry")).select("entry.*")
-        return self.spark.read.schema(SCHEMA).parquet(self.path)
+        entries = self.spark.read.schema(SCHEMA).parquet(self.path)
+        if since is not None:  # checked against the list of files: the others are not opened
+            changed = F.col("_metadata.file_modification_time")
+            entries = entries.filter(changed >= F.timestamp_millis(F.lit(since)))
+        return entries.filter(F.col("pii_type").isin(list(types))).select("pii_type", *REST)
 
     def add(self, entries: DataFrame) -> None:
-        entries.write.mode("append").partitionBy("pii_type").parquet(self.path)
+        append_parquet(entries, self.path, ["pii_type"])
+
+    def last_change(self, types: Sequence[str]) -> int:
+        """When a file of these types was last added, 0 if there is none."""
+        folders = [f"{self.path}/pii_type={t}" for t in types]
+        return max((newest(self.spark, folder) for folder in folders), default=0)
 
     def tokens_for(
         self, df: DataFrame, pii: Mapping[str, str], run_ts: datetime, work: str
@@ -49,18 +64,22 @@ class Vault:
         """Tokens of all values in the rows, created where there are none.
 
         ``work`` is a folder for the batch's values in clear; delete it once
-        the tokens are joined. Each step is written before the next one reads
-        it, so a lost executor can never lead to a second token.
+        the tokens are joined. Fresh tokens are written before anything reads
+        them, so a lost executor can never lead to a second token. They are
+        used only as read back from the vault.
         """
+        types = sorted(set(pii.values()))
         batch_values(df, pii).write.mode("overwrite").parquet(f"{work}/values")
         values = self.spark.read.parquet(f"{work}/values")
-        types = sorted(set(pii.values()))
-        # Laid out before the tokens are made: no shuffle may follow a random value.
-        absent = laid_out(absent_values(values, self._of_types(types)), ["pii_type"])
-        self.add(new_entries(absent, run_ts))
-        tokens = settled_tokens(values, self._of_types(types))
-        tokens.write.mode("overwrite").parquet(f"{work}/tokens")
-        return BatchTokens.measure(self.spark.read.parquet(f"{work}/tokens"), self.blank)
-
-    def _of_types(self, types: list[str]) -> DataFrame:
-        return self.read().filter(F.col("pii_type").isin(types))
+        small = fits_in_memory(values, KEY)
+        since = self.last_change(types)
+        found = find_tokens(values, self.read(types), small)
+        with_fresh_tokens(found).write.mode("overwrite").parquet(f"{work}/found")
+        marked = self.spark.read.parquet(f"{work}/found")
+        self.add(new_entries(marked, run_ts))
+        absent = marked.filter("token is null").select(*KEY, "cells")
+        added = find_tokens(absent, self.read(types, since), small)
+        added.write.mode("overwrite").parquet(f"{work}/added")
+        known = marked.filter("token is not null").drop("fresh")
+        tokens = known.unionByName(self.spark.read.parquet(f"{work}/added"))
+        return BatchTokens.measure(tokens, self.blank)

@@ -46,6 +46,14 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
+def newest(spark: SparkSession, folder: str) -> int:
+    """Change time in milliseconds of the newest file in a folder, 0 if there is none."""
+    fs, target = _locate(spark, folder)
+    if not fs.exists(target):
+        return 0
+    return max((s.getModificationTime() for s in fs.listStatus(target) if s.isFile()), default=0)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _locate(spark, path)
     stream = fs.open(target)
