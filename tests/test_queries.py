@@ -8,7 +8,20 @@ import pytest
 import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+)
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "decimal(18,2)": "DECIMAL(18,2)",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 
 
@@ -35,6 +48,8 @@ def test_query_equals_sql(spark, duck, name):
     found = sorted((plain(r) for r in df.select(*columns).collect()), key=order)
     relation = duck.sql(contract.oracle_sql()[name])
     assert sorted(relation.columns) == columns
+    types = dict(zip(relation.columns, map(str, relation.types), strict=True))
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == types
     quoted = ", ".join(f'"{c}"' for c in columns)
     assert found == sorted((plain(r) for r in relation.project(quoted).fetchall()), key=order)
 

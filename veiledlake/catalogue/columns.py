@@ -76,7 +76,7 @@ def parse_event_times(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-@query(f"select event_id, user_id, {RUN_EPOCH} as ingested_epoch from events")
+@query(f"select event_id, user_id, {RUN_EPOCH}::bigint as ingested_epoch from events")
 def audit_stamp(spark: SparkSession, sf: str) -> DataFrame:
     stamped = stamp_ingestion(read(spark, sf, "events"), RUN_TS)
     epoch = F.unix_timestamp("rec_ingested_dt").alias("ingested_epoch")
@@ -127,7 +127,7 @@ ORDER_POLICY = DatasetPolicy(
            {hmac_sql("user_cd", "regexp_replace(o_orderpriority, '[0-9]|-| ', '', 'g')")}
                as o_orderpriority,
            case when o_orderstatus <> 'P' then o_orderdate::date end as paid,
-           {RUN_EPOCH} as ingested_epoch
+           {RUN_EPOCH}::bigint as ingested_epoch
     from orders""")
 def clean_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """All steps of the clean hop on one table, in one plan without a shuffle."""

@@ -71,7 +71,7 @@ def cdc_feed_read(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"select 'I' as op, {CUSTOMER}, 1704067200 as commit_epoch from customer",
+    f"select 'I' as op, {CUSTOMER}, 1704067200::bigint as commit_epoch from customer",
     name="stamp_full_load",
 )
 def stamp_customers(spark: SparkSession, sf: str) -> DataFrame:

@@ -84,7 +84,7 @@ def vault_resolve_conflicts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    select pii_type, pii_value, 1 as entries, 64 as token_length, true as is_hex from (
+    select pii_type, pii_value, 1::bigint as entries, 64 as token_length, true as is_hex from (
         select distinct 'person_nm' as pii_type, c_name as pii_value from customer
         union all
         select distinct 'case_id', c_custkey::varchar from customer)""")
@@ -171,7 +171,7 @@ def token_join_integrity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    select what, raw, count(*) as n_rows, case when raw is null then 0 else 1 end as n_tokens
+    select what, raw, count(*) as n_rows, case when raw is null then 0::bigint else 1 end as n_tokens
     from (select 'flag' as what, l_returnflag as raw from lineitem
           union all
           select 'supplier', case when l_linenumber > 1 then l_suppkey::varchar end from lineitem)
