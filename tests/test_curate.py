@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from veiledlake.operators.latest import latest_per_key, order_latest_first
-from veiledlake.operators.sizes import fits_in_memory
+from veiledlake.operators.sizes import BROADCAST_BYTES, memory_size
 from veiledlake.operators.profile import duplicate_profile, preview
 from veiledlake.operators.upsert import match_rows, matched, upsert
 from veiledlake.plans.curate import CurateReport, MergeOptions, curate, run_curate
@@ -245,7 +245,11 @@ def test_large_base_is_not_shuffled_for_a_small_batch(spark, tmp_path):
     base = spark.read.parquet(f"{tmp_path}/base")
     spark.range(10).select("id", F.col("id").alias("v")).write.parquet(f"{tmp_path}/batch")
     batch = spark.read.parquet(f"{tmp_path}/batch")
-    assert fits_in_memory(batch, ["id"]) and not fits_in_memory(base, ["id"], limit=1 << 20)
+    size = memory_size(base.schema, ["id", "v"])
+    assert batch.select(size).first()[0] == 480 and base.select(size).first()[0] == 4800000
+    nested = base.withColumn("a", F.array("id"))
+    assert nested.select(memory_size(nested.schema, ["a"])).first()[0] > BROADCAST_BYTES
+    assert base.filter("id < 0").select(size).first()[0] == 0
     for newer in (None, "v"):
         merged = upsert(base, batch, ["id"], small=True, only_if_newer=newer)
         plan = merged._jdf.queryExecution().executedPlan().toString()

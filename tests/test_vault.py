@@ -133,7 +133,7 @@ def test_value_without_token_raises(spark):
     tokens = spark.createDataFrame([("ssn", "1", "t", 1)], "pii_type string, pii_value string, token string, cells long")
     df = spark.createDataFrame([("1",), ("2",)], "ssn string")
     for limit in (1 << 20, 0):
-        done = tokenise_from_vault(df, {"ssn": "ssn"}, BatchTokens.measure(tokens), broadcast_bytes=limit)
+        done = tokenise_from_vault(df, {"ssn": "ssn"}, BatchTokens(tokens, 1, {"ssn": 200}), broadcast_bytes=limit)
         with pytest.raises(Exception, match="no token for a value of ssn"):
             done.collect()
 
@@ -179,3 +179,12 @@ def test_work_folder_with_clear_values_is_deleted(spark, vault, tmp_path, monkey
     policy = DatasetPolicy("p", pii={"ssn": "ssn"})
     run_clean(spark.createDataFrame([("1",)], "ssn string"), policy, f"{tmp_path}/p", vault)
     assert not (tmp_path / "work").exists()
+
+
+def test_batch_with_blank_values_only(spark, vault, tmp_path):
+    policy = DatasetPolicy("p", pii={"ssn": "ssn"})
+    blank = spark.createDataFrame([(None, 1), ("", 2)], "ssn string, n int").repartition(2)
+    report = run_clean(blank, policy, f"{tmp_path}/p", vault)
+    assert (report.rows, report.blanks) == (2, {"ssn": 2})
+    assert [r["ssn"] for r in spark.read.parquet(f"{tmp_path}/p").collect()] == ["", ""]
+    assert vault.read().isEmpty()

@@ -61,7 +61,7 @@ def upsert(
 
     ``batch_keys``, if given, holds the batch's keys at less cost than the
     batch itself; it is not used with ``only_if_newer``. ``small`` states that
-    the keys were measured to fit in memory (see ``fits_in_memory``): they are
+    the keys were measured to fit in memory (see ``memory_size``): they are
     then broadcast, and the table is not shuffled.
     """
     batch = align(batch, base.schema, missing)

@@ -7,7 +7,7 @@ on the distinct values of a batch, never per row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -21,6 +21,8 @@ from veiledlake.operators.sizes import BROADCAST_BYTES
 SCHEMA = "pii_type string, pii_value string, token string, created_ts timestamp"
 KEY = ["pii_type", "pii_value"]
 
+# What a token takes in memory, with its share of the table around it.
+TOKEN_BYTES = 128
 # A value is hot when it holds more than this share of the batch's PII cells and is
 # no longer than HOT_BYTES. So at most 100,000 values are hot, and what is broadcast
 # for them stays below 120 MB whatever the batch.
@@ -48,6 +50,16 @@ def batch_values(df: DataFrame, pii: Mapping[str, str]) -> DataFrame:
     )
 
 
+def value_sizes(types: Iterable[str]) -> dict[str, Column]:
+    """Aggregates over batch values: cells in all, and bytes with their tokens by type."""
+    row_bytes = F.octet_length("pii_value") + F.lit(TOKEN_BYTES)
+    sizes = {"cells": F.coalesce(F.sum("cells"), F.lit(0))}
+    for t in types:
+        of_type = F.when(F.col("pii_type") == t, row_bytes)
+        sizes[f"bytes {t}"] = F.coalesce(F.sum(of_type), F.lit(0))
+    return sizes
+
+
 def absent_values(values: DataFrame, vault: DataFrame) -> DataFrame:
     """Values the vault does not hold yet."""
     return values.select(*KEY).join(vault.select(*KEY), KEY, "left_anti")
@@ -101,17 +113,6 @@ class BatchTokens:
     bytes_by_type: Mapping[str, int]
     blank: str = "empty"  # what null and empty values become
 
-    @classmethod
-    def measure(cls, tokens: DataFrame, blank: str = "empty") -> BatchTokens:
-        """Size a written token table: one job over it that returns one row per type."""
-        row_bytes = F.octet_length("pii_value") + F.octet_length("token") + F.lit(64)
-        sizes = tokens.groupBy("pii_type").agg(
-            F.sum("cells").alias("cells"), F.sum(row_bytes).alias("bytes")
-        )
-        found = sizes.collect()
-        by_type = {r["pii_type"]: r["bytes"] for r in found}
-        return cls(tokens, sum(r["cells"] for r in found), by_type, blank)
-
     def of_type(self, pii_type: str) -> DataFrame:
         return self.tokens.filter(F.col("pii_type") == pii_type)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from veiledlake.operators.latest import latest_per_key
-from veiledlake.operators.sizes import fits_in_memory
+from veiledlake.operators.sizes import BROADCAST_BYTES, memory_size
 from veiledlake.operators.upsert import upsert, without_deletes
 from veiledlake.policy import DatasetPolicy
 from veiledlake.sinks.curated import Batch, MergeTable, PartitionedTable, SnapshotTable
@@ -114,10 +114,13 @@ def run_curate(
         options.order_by,
         options.nulls,
     ).observe(
-        kept, F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("null_keys")
+        kept,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(null_key).alias("null_keys"),
+        memory_size(batch.schema, _compared(policy, options)).alias("key_bytes"),
     )
     if target.exists():
-        _merge_into(target, latest, policy, options, batch_id)
+        _merge_into(target, latest, kept, policy, options, batch_id)
     else:
         rows = merge(None, latest, policy, options)
         if isinstance(target, PartitionedTable):
@@ -135,6 +138,7 @@ def run_curate(
 def _merge_into(
     target: Target,
     latest: DataFrame,
+    measured: Observation,
     policy: DatasetPolicy,
     options: MergeOptions,
     batch_id: Batch | None,
@@ -153,8 +157,7 @@ def _merge_into(
                 missing=options.missing,
             )
             return
-        needed = [*policy.keys, *([options.only_if_newer] if options.only_if_newer else [])]
-        small = fits_in_memory(latest, needed)
+        small = measured.get["key_bytes"] <= BROADCAST_BYTES
         if isinstance(target, PartitionedTable):
             touched = target.touched(latest, policy.keys, options.null_safe, small)
             base = target.read(touched)
@@ -162,3 +165,8 @@ def _merge_into(
         else:
             rows = merge(target.read(), latest, policy, options, small=small)
             target.replace(rows, policy.partitions, batch_id)
+
+
+def _compared(policy: DatasetPolicy, options: MergeOptions) -> list[str]:
+    """The columns of a batch that are compared with the table."""
+    return [*policy.keys, *([options.only_if_newer] if options.only_if_newer else [])]

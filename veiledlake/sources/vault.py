@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veiledlake.functions.tokens import checked_blank
-from veiledlake.operators.sizes import fits_in_memory
+from veiledlake.operators.sizes import BROADCAST_BYTES
 from veiledlake.operators.vault import (
     KEY,
     SCHEMA,
@@ -17,6 +17,7 @@ from veiledlake.operators.vault import (
     batch_values,
     find_tokens,
     new_entries,
+    value_sizes,
     with_fresh_tokens,
 )
 from veiledlake.policy import TOKEN_TYPES
@@ -69,17 +70,25 @@ class Vault:
         used only as read back from the vault.
         """
         types = sorted(set(pii.values()))
-        batch_values(df, pii).write.mode("overwrite").parquet(f"{work}/values")
+        seen, looked_up = Observation(), Observation()
+        sizes = [size.alias(name) for name, size in value_sizes(types).items()]
+        values = batch_values(df, pii).observe(seen, *sizes)
+        values.write.mode("overwrite").parquet(f"{work}/values")
         values = self.spark.read.parquet(f"{work}/values")
-        small = fits_in_memory(values, KEY)
+        bytes_by_type = {t: seen.get[f"bytes {t}"] for t in types}
+        small = sum(bytes_by_type.values()) <= BROADCAST_BYTES
+
         since = self.last_change(types)
         found = find_tokens(values, self.read(types), small)
+        is_absent = F.col("token").isNull()
+        found = found.observe(looked_up, F.count_if(is_absent).alias("absent"))
         with_fresh_tokens(found).write.mode("overwrite").parquet(f"{work}/found")
         marked = self.spark.read.parquet(f"{work}/found")
-        self.add(new_entries(marked, run_ts))
-        absent = marked.filter("token is null").select(*KEY, "cells")
-        added = find_tokens(absent, self.read(types, since), small)
-        added.write.mode("overwrite").parquet(f"{work}/added")
-        known = marked.filter("token is not null").drop("fresh")
-        tokens = known.unionByName(self.spark.read.parquet(f"{work}/added"))
-        return BatchTokens.measure(tokens, self.blank)
+        tokens = marked.filter(~is_absent).drop("fresh")
+        if looked_up.get["absent"]:
+            self.add(new_entries(marked, run_ts))
+            absent = marked.filter(is_absent).select(*KEY, "cells")
+            added = find_tokens(absent, self.read(types, since), small)
+            added.write.mode("overwrite").parquet(f"{work}/added")
+            tokens = tokens.unionByName(self.spark.read.parquet(f"{work}/added"))
+        return BatchTokens(tokens, seen.get["cells"], bytes_by_type, self.blank)
