@@ -272,3 +272,36 @@ def test_merge_statement_is_valid_up_to_the_format(spark, options):
     batch = spark.createDataFrame([(1, "01", "b", 2, "U")], layout)
     with pytest.raises(Exception, match="does not support MERGE"):
         run_curate(batch, policy, table, MergeOptions(**options))
+
+
+def test_tables_may_become_empty_and_fill_again(spark, table, rows):
+    layout = f"{LAYOUT}, op string"
+    options = MergeOptions(apply_deletes=True)
+
+    def run(*data):
+        run_curate(spark.createDataFrame(list(data), layout), POLICY, table, options)
+
+    run((1, "01", "gone", 1, "D"))
+    assert table.exists() and table.read().isEmpty()
+    run((1, "01", "a", 2, "I"), (2, "02", "b", 2, "I"))
+    assert rows(table.read(), "k", "st") == [(1, "01"), (2, "02")]
+    run((1, "01", "a", 3, "D"), (2, "01", "b", 3, "D"))
+    assert table.read().isEmpty()
+    run((3, "02", "c", 4, "I"))
+    assert rows(table.read(), "k", "st", "v") == [(3, "02", "c")]
+
+
+def test_partitions_of_other_types(spark, tmp_path, rows):
+    layout = "k int, d date, n int, b boolean, dms_commit_ts int"
+    table = PartitionedTable(
+        spark, f"t_{random.randrange(10**12)}", f"{tmp_path}/t", ["d", "n", "b"]
+    )
+    policy = DatasetPolicy("t", keys=("k",), partitions=("d", "n", "b"))
+    day = [DAY.date() + timedelta(days=i) for i in range(3)]
+    first = [(1, day[0], 1, True, 1), (2, day[1], 2, False, 1), (3, None, None, None, 1)]
+    run_curate(spark.createDataFrame(first, layout), policy, table)
+    second = [(1, day[2], 7, False, 2), (3, day[0], 1, True, 2)]
+    run_curate(spark.createDataFrame(second, layout), policy, table)
+    expected = [(1, day[2], 7, False), (2, day[1], 2, False), (3, day[0], 1, True)]
+    assert rows(table.read(), "k", "d", "n", "b") == expected
+    assert spark.sql(f"show partitions {table.name}").count() == 3

@@ -99,7 +99,8 @@ def run_curate(
 
     An empty batch, or one the table has already taken, writes nothing. For a
     merge the latest rows go to a work folder first, as they are read more
-    than once.
+    than once. So they do when deletes are dropped: counts made on the way to
+    an empty result would be lost.
     """
     if batch.isEmpty():
         return CurateReport(False)
@@ -119,22 +120,27 @@ def run_curate(
         F.count_if(null_key).alias("null_keys"),
         memory_size(batch.schema, _compared(policy, options)).alias("key_bytes"),
     )
-    if target.exists():
+    if target.exists() or options.apply_deletes:
         _merge_into(target, latest, kept, policy, options, batch_id)
     else:
-        rows = merge(None, latest, policy, options)
-        if isinstance(target, PartitionedTable):
-            target.create(rows.schema)
-            target.replace(rows, [])
-        elif isinstance(target, MergeTable):
-            target.create(rows, policy.partitions)
-        else:
-            target.replace(rows, policy.partitions, batch_id)
+        _first_load(target, latest, policy, batch_id)
     if batch_id is not None and not isinstance(target, SnapshotTable):
         target.note_applied(batch_id)  # a snapshot notes it in its commit
     return CurateReport(True, taken.get["rows"], kept.get["rows"], kept.get["null_keys"])
 
 
+def _first_load(
+    target: Target, rows: DataFrame, policy: DatasetPolicy, batch_id: Batch | None
+) -> None:
+    if isinstance(target, PartitionedTable):
+        target.create(rows.schema)
+        target.replace(rows, [])
+    elif isinstance(target, MergeTable):
+        target.create(rows, policy.partitions)
+    else:
+        target.replace(rows, policy.partitions, batch_id)
+
+
 def _merge_into(
     target: Target,
     latest: DataFrame,
@@ -147,6 +153,9 @@ def _merge_into(
     with scratch(spark) as work:
         latest.write.parquet(work)
         latest = spark.read.schema(latest.schema).parquet(work)
+        if not target.exists():
+            _first_load(target, merge(None, latest, policy, options), policy, batch_id)
+            return
         if isinstance(target, MergeTable):
             target.merge(
                 latest,
