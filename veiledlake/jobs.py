@@ -1,8 +1,8 @@
 """The two hops as jobs for spark-submit.
 
-    spark-submit -m veiledlake.jobs clean  --registry policies.json --dataset comm_comm \\
+    spark-submit -m veiledlake.jobs clean  --registry policies.json --dataset person \\
         --source s3a://raw --target s3a://clean --vault s3a://vault
-    spark-submit -m veiledlake.jobs curate --registry policies.json --dataset comm_comm \\
+    spark-submit -m veiledlake.jobs curate --registry policies.json --dataset person \\
         --source s3a://clean --target s3a://curated
 
 Each run takes the files that arrived since the last one. Paths are base paths;
