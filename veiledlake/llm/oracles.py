@@ -56,4 +56,21 @@ SELECT doc_id, source, CASE WHEN solid > 0 THEN t ELSE text END AS text, CAST(co
 FROM pages LEFT JOIN kept USING (r)
 """
 
-ORACLES = {"op1_decontamination": OP1, "op4_jaccard_join": OP4, "op10_line_dedup": OP10}
+OP5 = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    coalesce(CAST(floor(turn / 256) AS BIGINT), -1) AS block FROM conversations),
+p AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
+pieces AS (SELECT t.conv_id, perspective, block, turn, role = perspective AS own,
+    '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN 'system'
+        ELSE 'user name=' || replace(role, '<|', '< |') END || chr(10) AS head,
+    replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body
+    FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+placed AS (SELECT *, CAST(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, block ORDER BY turn
+    ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM pieces)
+SELECT conv_id, perspective, block, CAST(0 AS BIGINT) AS slice, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+    string_agg(head || body, '' ORDER BY turn) AS text,
+    coalesce(string_agg((stop - length(body)) || ':' || stop, ',' ORDER BY turn) FILTER (own), '') AS spans
+FROM placed GROUP BY conv_id, perspective, block
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op4_jaccard_join": OP4, "op5_chat_perspectives": OP5, "op10_line_dedup": OP10}

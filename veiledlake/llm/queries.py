@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veiledlake.llm import decontaminate, jaccard, lines
+from veiledlake.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    fingerprints,
+    jaccard,
+    language,
+    lines,
+    pii,
+    secret_scan,
+    site_trees,
+)
 from veiledlake.llm.common import table
 from veiledlake.llm.oracles import ORACLES
 
@@ -15,13 +28,90 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    counts = [_count("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(_span_text("base"), 256).alias("base_sha256"), _span_text("spans").alias("spans")
+    )
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = chat.perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return views.withColumn("spans", F.array_join(spans, ","))
+
+
+def op6_site_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = site_trees.extract(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.fit(docs))
+    found = found.withColumn("base", F.filter("secrets", lambda s: s["kind"] != "secret"))
+    counts = [_count("base", kind).alias(f"n_{kind}") for kind in secret_scan.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(_span_text("base"), 256).alias("base_sha256"), _span_text("secrets").alias("spans")
+    )
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = F.col("ids")
+    return bpe.encode(docs.select("doc_id", "text"), vocabulary).select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(vocabulary.ids_as_bytes(ids), 256).alias("ids_sha256"),
+        F.sha2(vocabulary.decode(ids), 256).alias("decoded_sha256"),
+    )
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return fingerprints.compare_with_next(docs, fingerprints.rarity_of(docs))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = lines.drop_site_lines(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op4_jaccard_join, op10_line_dedup)}
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def _span_text(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_language_id,
+        op3_personal_data,
+        op4_jaccard_join,
+        op5_chat_perspectives,
+        op6_site_trees,
+        op7_secrets,
+        op8_byte_bpe,
+        op9_fingerprints,
+        op10_line_dedup,
+    )
+}
