@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import string
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python on the executors import the library, wherever the driver has it from. Once a session."""
+    context, package = spark.sparkContext, Path(__file__).parent.parent
+    if getattr(context, "_shipped_library", False) or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="library-"), "veiledlake.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, Path(package.name, file.relative_to(package)))
+    context.addPyFile(str(archive))
+    context._shipped_library = True
+
+
 def lower_ascii(text: str) -> Column:
     """A-Z in lower case, all else as it is; null is the empty text.
 

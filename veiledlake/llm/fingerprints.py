@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veiledlake.llm.common import ship
+
 # Bytes of a feature, how many neighbours it is ranked among, and in how many of their windows it has to win.
 WINDOW = 64
 RIVALS = 64
@@ -185,6 +187,7 @@ def likeness(a: bytes, b: bytes) -> float:
 
 def rarity_of(docs: DataFrame, *, text: str = "text") -> np.ndarray:
     """For each entropy step how often windows of all documents have it: the rank of a feature."""
+    ship(docs.sparkSession)
     counts = (
         docs.select(F.col(text).cast("string").alias("text"))
         .mapInArrow(_count, "step int, found long")
@@ -237,6 +240,7 @@ def fingerprints(docs: DataFrame, rarity: np.ndarray, *, text: str = "text", out
     Equal texts have equal digests; null counts as the empty text, whose digest is empty. A column named like `out`
     is replaced.
     """
+    ship(docs.sparkSession)
 
     @F.udf("string", useArrow=True)
     def of(value: str | None) -> str:
@@ -265,6 +269,7 @@ def compare_with_next(
     so that no range has to see another; a document alone in the table is its own next. Other columns are not looked
     at; repeated rows are kept.
     """
+    ship(docs.sparkSession)
     docs = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     )

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import broadcast_if_small, settled
+from veiledlake.llm.common import broadcast_if_small, settled, ship
 from veiledlake.llm.shingles import set_id, sets_of
 
 SHINGLE = 5
@@ -46,6 +46,7 @@ def jaccard_components(
     component. Repeated rows are kept. A null id never becomes a component's id; if no member has one, it is null.
     Sets and shingles are told apart by 64-bit hashes. Columns other than the two named are not looked at.
     """
+    ship(docs.sparkSession)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     weights = _weights(texts, size)
     prefixes = settled(

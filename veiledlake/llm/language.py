@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veiledlake.llm.common import ship
+
 # N-grams of 1 to so many characters are hashed to so many features.
 LONGEST = 3
 FEATURE_BITS = 14
@@ -43,6 +45,7 @@ def fit(
     language, chosen by a hash of the text, so that a language with few documents gives all it has. Of the sample,
     every fifth document is kept apart and sets the temperature. Without any label the model knows no language.
     """
+    ship(docs.sparkSession)
     known = docs.select(F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("lang"))
     known = known.where("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -79,6 +82,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     A text that is null or has no letter gets `und` with score 0, and so do all if the model knows no language.
     Every text is read to its end. Columns of these names are replaced; no column but the text is looked at.
     """
+    ship(docs.sparkSession)
     answer = _predictor(model)(F.col(text).cast("string"))
     marked = docs.withColumn("_answer", answer)
     return marked.withColumns({"lang_pred": F.col("_answer.lang"), "score": F.col("_answer.score")}).drop("_answer")

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veiledlake.llm.common import ship
+
 # The kinds in their order, and what they match.
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -214,6 +216,7 @@ def fit(docs: DataFrame, *, text: str = "text", sample: int = SAMPLE, epochs: in
     marks between its groups, an address in words. Other groups of digits are what is no entity. None if the sample
     has no entity.
     """
+    ship(docs.sparkSession)
     rows = (
         docs.select(F.col(text).cast("string").alias("text"))
         .where(F.col("text").rlike("[0-9]{2}|@"))
@@ -333,6 +336,7 @@ def find(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFra
     adds spans that touch no base span. Every text is read to its end; null and empty texts have no spans. Columns
     named `base` or `spans` are replaced, others are not looked at.
     """
+    ship(docs.sparkSession)
     found = docs.withColumn("_found", _finder(model)(F.col(text).cast("string")))
     return found.withColumns({"base": F.col("_found.base"), "spans": F.col("_found.spans")}).drop("_found")
 

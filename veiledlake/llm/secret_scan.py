@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veiledlake.llm.common import ship
+
 # The kinds in their order, and what they match.
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
@@ -164,6 +166,7 @@ def fit(docs: DataFrame, *, text: str = "text", sample: int = SAMPLE, epochs: in
     The patterns give the tags to learn from; tokens are seen by their shape and neighbours only, so that the field
     also marks what the patterns do not name. None if no document has a suspicious run.
     """
+    ship(docs.sparkSession)
     rows = (
         docs.select(F.col(text).cast("string").alias("text"))
         .where(F.col("text").rlike("[A-Za-z0-9+/_.=-]{16}"))
@@ -240,6 +243,7 @@ def scan(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFra
     Patterns first (`base`); the field adds spans that overlap none of these, of kind `secret`. Every text is read to
     its end; null and empty texts have no spans. A column named `secrets` is replaced, others are not looked at.
     """
+    ship(docs.sparkSession)
     return docs.withColumn("secrets", _finder(model)(F.col(text).cast("string")))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from veiledlake.llm.common import broadcast_if_small, settled
+from veiledlake.llm.common import broadcast_if_small, settled, ship
 
 # A branch stays if its importance and what its names say add up to this.
 KEEP = 0.3
@@ -213,6 +213,7 @@ def style_tree(pages: DataFrame, *, url: str = "url", html: str = "html") -> Dat
     Counts are added up in the tasks first, so a host with very many pages is no hot key: its rows are spread by node
     and text.
     """
+    ship(pages.sparkSession)
     counts = (
         pages.select(host_of(url).alias("host"), F.col(html).cast("string").alias("html"))
         .mapInArrow(_count, "host string, path long, kind int, feature long, n long")
@@ -243,6 +244,7 @@ def extract(pages: DataFrame, *, url: str = "url", html: str = "html", out: str
     Blocks are joined by one line end; white space inside a block is one space; character references are decoded. A
     null or empty page has the empty text. Pages whose url is null or has no host are one site.
     """
+    ship(pages.sparkSession)
     low = settled(style_tree(pages, url=url, html=html))
     table = low.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("path", "importance"))).alias("_low"))
     table = table.withColumnRenamed("host", "_host")
