@@ -16,8 +16,10 @@ SHINGLE = 5
 PERCENT = 80
 # Counters from which the rarity of shingles is read. More of them tell frequencies apart better; results are the same.
 COUNTERS = 1 << 17
-# Rounds with one pivot a list; what is then left is compared completely.
-PIVOT_ROUNDS = 4
+# Rounds with one pivot a list go on, up to so many, while the links of a round are this share of the components
+# still open; what is then left is compared completely.
+PIVOT_ROUNDS = 6
+WORTH = 0.05
 
 
 def jaccard_components(
@@ -61,22 +63,20 @@ def jaccard_components(
 
     labels = settled(entries.select("set", F.col("set").alias("label")).distinct())
     known: DataFrame | None = None
-    edges: DataFrame | None = None
+    last = False
     for step in range(PIVOT_ROUNDS + 1):
+        last = last or step == PIVOT_ROUNDS
         entries = settled(_still_open(entries, labels))
-        if entries.isEmpty():
-            break
-        pairs = _pivot_pairs(entries, step, percent) if step < PIVOT_ROUNDS else _all_pairs(entries, percent)
+        pairs = _all_pairs(entries, percent) if last else _pivot_pairs(entries, step, percent)
         if known is not None:
-            pairs = _skip_known(pairs, known, percent)
-        pairs = settled(pairs)
-        if pairs.isEmpty():
-            continue
-        overlaps = settled(_overlaps(pairs, classes, texts, size))
-        known = overlaps if known is None else settled(known.union(overlaps))
+            pairs = _skip_known(pairs, known, percent) if last else pairs.join(known, ["set", "other"], "left_anti")
+        overlaps = settled(_overlaps(settled(pairs), classes, texts, size))
         linked = overlaps.where(_similar("overlap", "n", "m", percent)).select("set", "other")
-        edges = linked if edges is None else edges.union(linked)
-        labels = connected(labels, edges)
+        labels, links = _joined(labels, linked)
+        if last:
+            break
+        known = overlaps if known is None else settled(known.union(overlaps))
+        last = links < WORTH * entries.select("label").distinct().count()
     smallest = (
         labels.join(classes.select("set", "doc"), "set").groupBy("label").agg(F.min("doc").alias("component"))
     )
@@ -92,30 +92,38 @@ def jaccard_components(
     )
 
 
-def connected(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Labels after all edges are followed: equal for two sets exactly if edges connect them.
+def _joined(labels: DataFrame, linked: DataFrame) -> tuple[DataFrame, int]:
+    """Labels after links between sets, and how many links between components there were.
 
-    Each round takes the smallest label next to a set, and then the label that this label's own set has.
+    Components are one node each, so only what changes is followed.
     """
-    both = settled(edges.union(edges.select(edges.columns[1], edges.columns[0])).toDF("set", "other").distinct())
+    one = labels.withColumnRenamed("label", "one")
+    two = labels.select(F.col("set").alias("other"), F.col("label").alias("two"))
+    edges = linked.join(one, "set").join(two, "other").where("one <> two").select("one", "two").distinct()
+    edges = settled(edges)
+    links = edges.count()
+    if not links:
+        return labels, 0
+    after = connected(edges).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    moved = labels.join(after, "label", "left").select("set", F.coalesce("new", "label").alias("label"))
+    return settled(moved), links
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """Nodes of the edges (two columns) with labels that are equal exactly if edges connect them: node, label.
+
+    Each round a node takes the smallest label next to it, and then the label of the node of that name.
+    """
+    both = settled(edges.toDF("node", "other").union(edges.toDF("other", "node").select("node", "other")).distinct())
+    labels = settled(both.groupBy("node").agg(F.least("node", F.min("other")).alias("label")))
     while True:
-        near = (
-            both.join(labels.withColumnsRenamed({"set": "other", "label": "near"}), "other")
-            .groupBy("set")
-            .agg(F.min("near").alias("near"))
-        )
-        lower = settled(
-            labels.join(near, "set", "left").select(
-                "set", "label", F.least("label", F.coalesce("near", "label")).alias("new")
-            )
-        )
-        jump = lower.select(F.col("set").alias("new"), F.col("new").alias("far"))
-        after = settled(
-            lower.join(jump, "new", "left").select(
-                "set", F.least("new", F.coalesce("far", "new")).alias("label"), F.col("label").alias("old")
-            )
-        )
-        labels = after.select("set", "label")
+        near = labels.select(F.col("node").alias("other"), F.col("label").alias("near"))
+        near = both.join(near, "other").groupBy("node").agg(F.min("near").alias("near"))
+        lower = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("new"))
+        jump = labels.select(F.col("node").alias("new"), F.col("label").alias("far"))
+        after = lower.join(jump, "new").select("node", F.least("new", "far").alias("label"), F.col("label").alias("old"))
+        after = settled(after)
+        labels = after.select("node", "label")
         if after.where("label <> old").isEmpty():
             return labels
 
