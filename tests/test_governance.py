@@ -4,23 +4,23 @@ from veiledlake.operators import governance as g
 from veiledlake.policy import PolicyError
 
 COLUMNS = [
-    ("ptl", "contact", 1, "contact_uid", "bigserial", 1),
-    ("ptl", "contact", 2, "contact_email_txt", "character varying(80)", None),
-    ("ptl", "contact", 3, "ssn_id", "character(9)", None),
-    ("ptl", "contact", 4, "user_cd", "text", None),
-    ("ptl", "contact", 5, "contact_fax_num", "text", None),
-    ("ptl", "contact", 6, "lnm", "text", None),
+    ("desk", "card", 1, "card_uid", "bigserial", 1),
+    ("desk", "card", 2, "card_email", "character varying(80)", None),
+    ("desk", "card", 3, "ssn_id", "character(9)", None),
+    ("desk", "card", 4, "user_cd", "text", None),
+    ("desk", "card", 5, "card_fax", "text", None),
+    ("desk", "card", 6, "lnm", "text", None),
     ("comm", "ref", 1, "b", "date", 2),
     ("comm", "ref", 2, "a", "numeric(12,2)", 1),
     ("comm", "nokey", 1, "ssn", "text", None),
 ]
 REQUIREMENTS = [
-    ("ptl", "contact", "contact_email_txt", "Hash"),
-    ("ptl", "contact", "contact_email_txt", "hash"),
-    ("ptl", "contact", "ssn_id", "HASH"),
-    ("ptl", "contact", "user_cd", "Hash"),
-    ("ptl", "contact", "contact_fax_num", "Exclude"),
-    ("ptl", "contact", "lnm", "None Required"),
+    ("desk", "card", "card_email", "Hash"),
+    ("desk", "card", "card_email", "hash"),
+    ("desk", "card", "ssn_id", "HASH"),
+    ("desk", "card", "user_cd", "Hash"),
+    ("desk", "card", "card_fax", "Exclude"),
+    ("desk", "card", "lnm", "None Required"),
     ("comm", "nokey", "ssn", "Mask"),
     ("comm", "ref", "a", None),
 ]
@@ -82,29 +82,29 @@ def test_names(spark, name, expected):
 
 
 def test_schemas_get_the_feed_columns(columns):
-    catalog = g.catalog_schema(columns)
+    catalog = g.catalog_schema(columns, ["desk"])
     assert g.table_ddl(catalog, "comm", "ref") == "`op` string, `b` date, `a` decimal(12,2)"
-    assert g.table_ddl(catalog, "ptl", "contact").startswith("`op` string, `contact_uid` bigint,")
-    assert g.table_ddl(catalog, "ptl", "contact").endswith("`dms_commit_ts` timestamp")
+    assert g.table_ddl(catalog, "desk", "card").startswith("`op` string, `card_uid` bigint,")
+    assert g.table_ddl(catalog, "desk", "card").endswith("`dms_commit_ts` timestamp")
 
 
 def test_policies(columns, requirements, rows):
     rules = g.build_policy(columns, requirements)
-    policies = g.load_policies(rules, ["ptl_contact", "comm_ref", "comm_nokey"])
-    contact, ref = policies["ptl_contact"], policies["comm_ref"]
-    assert contact.keys == ("contact_uid",) and contact.drops == ("contact_fax_num",)
-    assert contact.pii == {"contact_email_txt": "email", "ssn_id": "case_id"}
-    assert contact.path("/clean") == "/clean/ptl/ptl_contact"
+    policies = g.load_policies(rules, ["desk_card", "comm_ref", "comm_nokey"])
+    card, ref = policies["desk_card"], policies["comm_ref"]
+    assert card.keys == ("card_uid",) and card.drops == ("card_fax",)
+    assert card.pii == {"card_email": "email", "ssn_id": "case_id"}
+    assert card.path("/clean") == "/clean/desk/desk_card"
     assert ref.keys == ("a", "b") and not ref.pii and not ref.drops
     assert "comm_nokey" not in policies
-    assert rows(g.policy_with_keys(columns, requirements)) == [("comm", "ref", 2, 0, 0), ("ptl", "contact", 1, 1, 3)]
+    assert rows(g.policy_with_keys(columns, requirements)) == [("comm", "ref", 2, 0, 0), ("desk", "card", 1, 1, 3)]
 
 
 def test_gaps(columns, requirements, rows):
     assert rows(g.policy_gaps(columns, requirements)) == [
         ("comm", "nokey", "ssn", "in clear", "ssn"),
-        ("ptl", "contact", "lnm", "in clear", "person_nm"),
-        ("ptl", "contact", "user_cd", "no type", None),
+        ("desk", "card", "lnm", "in clear", "person_nm"),
+        ("desk", "card", "user_cd", "no type", None),
     ]
 
 
@@ -117,23 +117,23 @@ def test_vocabulary(requirements, rows):
 
 
 def test_list_checks(spark, columns, rows):
-    tables = spark.createDataFrame([("ptl", "contact"), ("ptl", "empty")], "schema string, table string")
-    assert rows(g.empty_table_check(tables, columns)) == [("ptl", "empty")]
+    tables = spark.createDataFrame([("desk", "card"), ("desk", "empty")], "schema string, table string")
+    assert rows(g.empty_table_check(tables, columns)) == [("desk", "empty")]
     assert rows(g.single_schema_check(columns)) == [(2, False)]
-    assert rows(g.single_schema_check(columns.filter("schema = 'ptl'"))) == [(1, True)]
+    assert rows(g.single_schema_check(columns.filter("schema = 'desk'"))) == [(1, True)]
 
 
 def test_mismatch_between_hops(columns, requirements, rows):
     rules = g.build_policy(columns, requirements)
     upper = rules.selectExpr(
-        "dataset", "rule", "if(column = 'contact_uid', 'CONTACT_UID', column) as column",
+        "dataset", "rule", "if(column = 'card_uid', 'CARD_UID', column) as column",
         "if(column = 'a', 3, position) as position", "if(column = 'ssn_id', 'ssn', pii_type) as pii_type",
     ).filter("rule <> 'exclude'")
     assert rows(g.policy_mismatch(rules, rules)) == []
     assert rows(g.policy_mismatch(rules, upper), "left_column", "right_column", "difference") == [
         ("a", "a", "position"),
-        ("contact_fax_num", None, "left only"),
-        ("contact_uid", "CONTACT_UID", "letter case"),
+        ("card_fax", None, "left only"),
+        ("card_uid", "CARD_UID", "letter case"),
         ("ssn_id", "ssn_id", "pii type"),
     ]
 

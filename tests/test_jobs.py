@@ -11,12 +11,12 @@ REGISTRY = {
         "primary_key_col": ["ST", "case_id"],
         "partition_cols": ["st"],
         "pii_col": {"ssn": "ssn"},
-        "exclude_cols": ["subj"],
+        "exclude_cols": ["remark"],
         "s3_target_write_folder": "area/cases",
-        "char_rep_trns": {"ssn": [" ", "-"]},
+        "char_rep_trns": {"ssn": ["/", "_"]},
     }
 }
-RAW = "op string, st string, case_id int, ssn string, subj string, dms_commit_ts timestamp"
+RAW = "op string, st string, case_id int, ssn string, remark string, dms_commit_ts timestamp"
 
 
 @pytest.mark.parametrize("tokens", ["vault", "key-file"])
@@ -43,13 +43,13 @@ def test_both_hops_from_the_command_line(spark, tmp_path, tokens):
         )
 
     run(
-        ("I", "01", 1, "1-2", "text", "2024-01-01"),
-        ("U", "01", 1, "1 3", "text", "2024-01-02"),
+        ("I", "01", 1, "1/2", "text", "2024-01-01"),
+        ("U", "01", 1, "1_3", "text", "2024-01-02"),
         ("I", "02", 2, "12", "text", "2024-01-01"),
     )
     run(("U", "02", 2, None, "text", "2024-01-03"), ("I", "10", 3, "12", None, "2024-01-03"))
     clean = spark.table(f"{name}_clean.cases")
-    assert clean.count() == 5 and "subj" not in clean.columns
+    assert clean.count() == 5 and "remark" not in clean.columns
     first = {(r["st"], r["case_id"]): r["ssn"] for r in clean.filter("op = 'I'").collect()}
     assert first["01", 1] == first["02", 2] == first["10", 3] != "12"
     curated = {(r["st"], r["case_id"]): r["ssn"] for r in spark.table(f"{name}_curated.cases").collect()}

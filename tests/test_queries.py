@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from veiledlake import catalogue
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -41,7 +42,7 @@ def order(row):
     return [(v is None, str(v)) for v in row]
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = contract.queries()[name](spark, SF)
     columns = sorted(df.columns)

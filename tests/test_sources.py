@@ -29,7 +29,7 @@ def test_scan_reads_only_needed_columns_and_pushes_filters(spark, tmp_path):
 SHEET = (
     "Approved requirements,,,,\n"
     "Schema,No,Table,Column,Final De-ID Requirement\n"
-    'ptl,1,contact,contact_nm,Exclude\nptl,2,contact,"a, b",\n'
+    'desk,1,card,card_nm,Exclude\ndesk,2,card,"a, b",\n'
 )
 
 
@@ -37,7 +37,7 @@ def test_requirement_sheet_with_banner(spark, tmp_path, rows):
     (tmp_path / "sheet.csv").write_text(SHEET)
     found = read_requirements(spark, f"{tmp_path}/sheet.csv")
     assert found.columns == ["schema", "table", "column", "requirement"]
-    assert rows(found) == [("ptl", "contact", "a, b", None), ("ptl", "contact", "contact_nm", "Exclude")]
+    assert rows(found) == [("desk", "card", "a, b", None), ("desk", "card", "card_nm", "Exclude")]
     (tmp_path / "plain.csv").write_text(SHEET.split("\n", 1)[1])
     assert rows(read_requirements(spark, f"{tmp_path}/plain.csv", banner=False)) == rows(found)
     with pytest.raises(ValueError, match="Schema"):
@@ -45,11 +45,11 @@ def test_requirement_sheet_with_banner(spark, tmp_path, rows):
 
 
 def test_select_and_fan_out(spark, rows):
-    tables = spark.createDataFrame([("ptl", "a"), ("ptl", "b_ref"), ("comm", "a")], "schema string, table string")
-    assert rows(select_tables(tables, "ptl", "%_ref")) == [("ptl", "b_ref")]
-    assert len(rows(select_tables(tables, "ptl"))) == 2
-    policies = spark.createDataFrame([("ptl_a", 1), ("comm_a", 2), ("comm_x", 3)], "dataset string, n int")
-    assert rows(fan_out(tables, policies), "dataset", "n") == [("comm_a", 2), ("ptl_a", 1)]
+    tables = spark.createDataFrame([("desk", "a"), ("desk", "b_ref"), ("comm", "a")], "schema string, table string")
+    assert rows(select_tables(tables, "desk", "%_ref")) == [("desk", "b_ref")]
+    assert len(rows(select_tables(tables, "desk"))) == 2
+    policies = spark.createDataFrame([("desk_a", 1), ("comm_a", 2), ("comm_x", 3)], "dataset string, n int")
+    assert rows(fan_out(tables, policies), "dataset", "n") == [("comm_a", 2), ("desk_a", 1)]
 
 
 def test_each_file_is_read_once(spark, tmp_path):

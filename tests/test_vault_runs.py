@@ -1,0 +1,107 @@
+"""Several runs on one vault, and values that are long and frequent."""
+
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from veiledlake.operators.upsert import upsert
+from veiledlake.operators.vault import BatchTokens, tokenise_from_vault
+from veiledlake.plans.clean import run_clean
+from veiledlake.policy import DatasetPolicy
+from veiledlake.sources.batch import read_requirements
+from veiledlake.sources.incremental import read_new
+from veiledlake.sources.vault import Vault, VaultBusyError
+
+POLICY = DatasetPolicy("t", keys=("id",), pii={"ssn": "ssn"})
+
+
+def people(spark, start, n):
+    return spark.range(start, start + n).selectExpr("'I' op", "id", "cast(id % 300 as string) ssn", "timestamp'2024-01-01' dms_commit_ts")
+
+
+def test_a_taken_vault_fails_fast_and_can_be_freed(spark, tmp_path):
+    vault = Vault(spark, str(tmp_path / "vault"))
+    with vault.locked():
+        with pytest.raises(VaultBusyError, match="since"):
+            run_clean(people(spark, 0, 5), POLICY, str(tmp_path / "out"), Vault(spark, vault.path))
+    run_clean(people(spark, 0, 5), POLICY, str(tmp_path / "out"), vault)
+    (tmp_path / "vault/_lock").write_text("left by a dead run")
+    with pytest.raises(VaultBusyError, match="dead run"):
+        run_clean(people(spark, 5, 5), POLICY, str(tmp_path / "out"), vault)
+    vault.break_lock()
+    run_clean(people(spark, 5, 5), POLICY, str(tmp_path / "out"), vault)
+    assert vault.read().count() == 10 and vault.lock_holder() is None
+
+
+def test_runs_at_once_give_one_token_a_value(spark, tmp_path):
+    def run(k):
+        vault = Vault(spark, str(tmp_path / "vault"), wait=120)
+        run_clean(people(spark, 1000 * k, 400), POLICY, str(tmp_path / f"out{k}"), vault)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(run, range(3)))
+    entries = Vault(spark, str(tmp_path / "vault")).read()
+    assert entries.count() == entries.select("pii_value").distinct().count() == 300
+    tokens = spark.read.parquet(*(str(tmp_path / f"out{k}") for k in range(3)))
+    assert tokens.select("ssn").distinct().count() == 300 and tokens.count() == 1200
+
+
+def test_a_long_hot_value_is_spread(spark):
+    hot = "x" * 1500
+    rows = spark.range(0, 40_000, 1, 4).select(
+        F.when(F.col("id") % 10 < 9, hot).otherwise(F.col("id").cast("string")).alias("ssn"), "id"
+    )
+    counts = rows.groupBy(F.col("ssn").alias("pii_value")).agg(F.count("*").alias("cells"))
+    tokens = counts.select(F.lit("ssn").alias("pii_type"), "pii_value", F.sha2("pii_value", 256).alias("token"), "cells")
+    batch = BatchTokens(tokens, 40_000, {"ssn": 10**9})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = tokenise_from_vault(rows, {"ssn": "ssn"}, batch, broadcast_bytes=0, hot_share=1 / 100)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        wrong = joined.join(rows.withColumnRenamed("ssn", "clear"), "id").filter("ssn <> sha2(clear, 256)").count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 40_000 and max(sizes) < 2 * 40_000 / len(sizes) and wrong == 0
+
+
+def test_newer_rows_by_one_shuffle_of_each_side(spark):
+    base = spark.sql("select 'U' op, * from values (1, 5, 'a'), (2, 5, 'b'), (3, cast(null as int), 'c'), (null, 1, 'n') t(k, at, v)")
+    new = spark.sql("select op, k, at, v from values ('U', 1, 4, 'A'), ('U', 2, 5, 'B'), ('U', 3, 9, 'C'), ('D', 4, 1, 'D'), ('U', 5, null, 'E'), ('U', null, 9, 'N') t(op, k, at, v)")
+    found = upsert(base, new, ["k"], only_if_newer="at")
+    assert sorted((r["k"] or 0, r["v"]) for r in found.collect()) == [(0, "N"), (0, "n"), (1, "a"), (2, "B"), (3, "c"), (4, "D"), (5, "E")]
+    gone = upsert(base, new, ["k"], only_if_newer="at", apply_deletes=True)
+    assert {r["k"] for r in gone.collect()} == {None, 1, 2, 3, 5}
+    plan = upsert(base, new, ["k"], only_if_newer="at")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    same = upsert(base.filter("k = 2"), new.filter("k = 2"), ["k", "at"], only_if_newer="at")
+    assert [r["v"] for r in same.collect()] == ["B"]
+
+
+def test_old_files_are_read(spark, tmp_path):
+    import os
+
+    seen = []
+
+    def run():
+        read_new(spark, str(tmp_path / "in"), "id long", str(tmp_path / "state"), lambda b, *_: seen.extend(r[0] for r in b.collect()))
+
+    spark.range(3).coalesce(1).write.parquet(str(tmp_path / "in"))
+    run()
+    spark.range(100, 101).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    old = datetime(2010, 1, 1).timestamp()
+    newest = max((tmp_path / "in").glob("*.parquet"), key=lambda p: p.stat().st_mtime)
+    os.utime(newest, (old, old))
+    run()
+    run()
+    assert sorted(seen) == [0, 1, 2, 100]
+
+
+def test_sheets_with_different_banners(spark, tmp_path):
+    head = "Schema,Table,Column,Final De-ID Requirement\n"
+    (tmp_path / "sheets").mkdir()
+    (tmp_path / "sheets/a.csv").write_text("Banner one\n" + head + "s,t,c1,Hash\n")
+    (tmp_path / "sheets/b.csv").write_text("Another, banner,x\n" + head + "s,t,c2,\n")
+    found = read_requirements(spark, str(tmp_path / "sheets"))
+    assert sorted(r["column"] for r in found.collect()) == ["c1", "c2"]

@@ -16,7 +16,9 @@ from veiledlake.catalogue.inputs import (
     column_list,
     columns,
     feed,
+    first_load,
     hmac_sql,
+    increment,
     latest_sql,
     read,
     requirements,
@@ -44,7 +46,7 @@ def scan_orders(spark: SparkSession, sf: str) -> DataFrame:
     return scan_dataset(spark, path=f"{sf}/orders.parquet", schema=schema)
 
 
-@query(f"select {ORDERS}, case when o_orderstatus = 'F' then 1 else 2 end as run_no from orders")
+@query(f"select {ORDERS}, case when o_orderstatus is not distinct from 'F' then 1 else 2 end as run_no from orders")
 def incremental_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Two files drops, three runs: each row must be read by the run after its drop, once."""
     orders = read(spark, sf, "orders")
@@ -57,9 +59,9 @@ def incremental_scan(spark: SparkSession, sf: str) -> DataFrame:
 
         read_new(spark, f"{folder}/landing", orders.schema, f"{folder}/checkpoint", handle)
 
-    orders.filter("o_orderstatus = 'F'").write.parquet(f"{folder}/landing")
+    orders.filter("o_orderstatus <=> 'F'").write.parquet(f"{folder}/landing")
     read_drop(1)
-    orders.filter("o_orderstatus <> 'F'").write.mode("append").parquet(f"{folder}/landing")
+    orders.filter("not o_orderstatus <=> 'F'").write.mode("append").parquet(f"{folder}/landing")
     read_drop(2)
     read_drop(3)
     return spark.read.parquet(f"{folder}/seen").drop("batch")
@@ -119,8 +121,9 @@ def read_requirement_sheet(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"select {CUSTOMER} from customer")
 def clean_append_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     customer, folder = read(spark, sf, "customer"), work_folder(spark)
-    append_parquet(customer.filter("c_acctbal < 0"), folder, ["c_mktsegment"])
-    append_parquet(customer.filter("c_acctbal >= 0"), folder, ["c_mktsegment"])
+    owing = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    append_parquet(customer.filter(owing), folder, ["c_mktsegment"])
+    append_parquet(customer.filter(~owing), folder, ["c_mktsegment"])
     return spark.read.schema(customer.schema).parquet(folder)
 
 
@@ -128,8 +131,9 @@ def clean_append_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def catalog_register(spark: SparkSession, sf: str) -> DataFrame:
     customer, name = read(spark, sf, "customer"), f"customer_{uuid.uuid4().hex}"
     folder = work_folder(spark)
-    append_parquet(customer.filter("c_acctbal < 0"), folder, ["c_nationkey"], name)
-    append_parquet(customer.filter("c_acctbal >= 0"), folder, ["c_nationkey"], name)
+    owing = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    append_parquet(customer.filter(owing), folder, ["c_nationkey"], name)
+    append_parquet(customer.filter(~owing), folder, ["c_nationkey"], name)
     return scan_dataset(spark, table=name)
 
 
@@ -190,8 +194,7 @@ def stream_clean_lines(spark: SparkSession, sf: str) -> DataFrame:
             TOKENS,
         )
 
-    for status in ("F", "O"):
-        part = changes.filter(F.col("l_linestatus") == status)
+    for part in (first_load(changes), increment(changes)):
         part.write.mode("append").parquet(f"{folder}/landing")
         run()
     run()
@@ -201,8 +204,8 @@ def stream_clean_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 LATEST_OF_DROPS_SQL = f"""
     with two as (select * from ({FEED_SQL})),
-    base as ({latest_sql("select * from two where l_linestatus = 'F'")}),
-    new as ({latest_sql("select * from two where l_linestatus = 'O'")})
+    base as ({latest_sql("select * from two where l_linestatus is not distinct from 'F'")}),
+    new as ({latest_sql("select * from two where l_linestatus is distinct from 'F'")})
     select * from new
     union all
     select base.* from base anti join new using (l_orderkey, l_linenumber)"""
@@ -220,9 +223,8 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
             spark, f"{folder}/landing", changes.schema, policy, target, f"{folder}/checkpoint"
         )
 
-    for status in ("F", "O"):
-        part = changes.filter(F.col("l_linestatus") == status)
-        part.write.mode("append").parquet(f"{folder}/landing/ingest_batch={status}")
+    for drop, part in enumerate((first_load(changes), increment(changes))):
+        part.write.mode("append").parquet(f"{folder}/landing/ingest_batch={drop}")
         run()
     run()
     return target.read()

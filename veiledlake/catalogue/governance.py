@@ -79,8 +79,8 @@ def requirement_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-    select count(distinct schema) as n_schemas, count(distinct schema) = 1 as is_single
-    from ({COLUMNS_SQL})""")
+    select count(*) as n_schemas, count(*) = 1 and bool_and(schema is not null) as is_single
+    from (select distinct schema from ({COLUMNS_SQL}))""")
 def single_schema_check(spark: SparkSession, sf: str) -> DataFrame:
     return g.single_schema_check(columns(spark, sf))
 
@@ -94,11 +94,11 @@ def table_column_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
     select schema, "table" from ({TABLES_SQL}) t
-    anti join (from ({COLUMNS_SQL}) where since >= timestamp '2000-01-01')
-        using (schema, "table")""")
+    anti join (from ({COLUMNS_SQL}) where requirement is not null) using (schema, "table")""")
 def empty_table_check(spark: SparkSession, sf: str) -> DataFrame:
-    recent = column_list(spark, sf).filter("since >= timestamp_ntz '2000-01-01 00:00:00'")
-    return g.empty_table_check(tables(spark, sf), recent)
+    """Tables none of whose columns carries a requirement."""
+    ruled = requirements(spark, sf).filter("requirement is not null")
+    return g.empty_table_check(tables(spark, sf), ruled)
 
 
 @query(f"""

@@ -61,11 +61,12 @@ def null_key_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_load(changes: DataFrame) -> DataFrame:
-    return changes.filter("l_linestatus = 'F'")
+    return changes.filter("l_linestatus <=> 'F'")
 
 
 def increment(changes: DataFrame) -> DataFrame:
-    return changes.filter("l_linestatus = 'O'")
+    """All that ``first_load`` leaves."""
+    return changes.filter("not l_linestatus <=> 'F'")
 
 
 def latest_sql(source: str, key: str = "l_orderkey, l_linenumber") -> str:
@@ -81,8 +82,8 @@ def latest_sql(source: str, key: str = "l_orderkey, l_linenumber") -> str:
 
 def halves_sql(source: str = FEED_SQL) -> str:
     """SQL for the first load and the increment, one row per key each."""
-    base = latest_sql(f"select * from ({source}) where l_linestatus = 'F'")
-    new = latest_sql(f"select * from ({source}) where l_linestatus = 'O'")
+    base = latest_sql(f"select * from ({source}) where l_linestatus is not distinct from 'F'")
+    new = latest_sql(f"select * from ({source}) where l_linestatus is distinct from 'F'")
     return f"with base as ({base}), new as ({new})"
 
 

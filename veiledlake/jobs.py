@@ -5,18 +5,22 @@
     spark-submit -m veiledlake.jobs curate --registry policies.json --dataset person \\
         --source s3a://clean --target s3a://curated
 
-Each run takes the files that arrived since the last one. Paths are base paths;
+Each run takes the files that arrived since the last one, and prints what each
+batch counted, one line of JSON each. Paths are base paths;
 a dataset lies below them in the folder its policy names.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Sequence
+from dataclasses import asdict
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
+from veiledlake.functions.columns import MASKS
 from veiledlake.functions.tokens import KeyedTokens
 from veiledlake.plans.curate import MergeOptions
 from veiledlake.policy import DatasetPolicy, PolicyError
@@ -45,10 +49,10 @@ def _clean(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy)
     source, target = policy.path(args.source), policy.path(args.target)
     schema = _schema(spark, args, source)
     if args.vault:
-        tokens = Vault(spark, args.vault)
+        tokens = Vault(spark, args.vault, args.blank, args.wait)
     else:
-        tokens = KeyedTokens(read_text(spark, args.key_file).strip())
-    stream_clean(
+        tokens = KeyedTokens(read_text(spark, args.key_file).strip(), blank=args.blank)
+    reports = stream_clean(
         spark,
         source,
         schema,
@@ -56,10 +60,13 @@ def _clean(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy)
         target,
         f"{target}/_checkpoint",
         tokens,
+        keep=args.keep,
+        strict=not args.lenient,
         max_files_per_batch=args.max_files_per_batch,
     )
-    if args.catalog:
-        done = clean_schema(spark, schema, policy, with_batch=True)
+    _tell(args, reports)
+    if args.catalog and reports:
+        done = clean_schema(spark, schema, policy, with_batch=True, strict=not args.lenient)
         table = f"{args.catalog}.{policy.table}"
         sync_catalog(spark, table, target, (BATCH, *policy.partitions), done)
 
@@ -77,11 +84,14 @@ def _curate(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy
     else:
         table = SnapshotTable(spark, target, args.keep_snapshots)
     options = MergeOptions(
+        order_by=args.order_by,
+        nulls=args.nulls,
+        missing=args.missing,
         null_safe=args.null_safe,
         apply_deletes=args.apply_deletes,
         only_if_newer=args.only_if_newer,
     )
-    stream_curate(
+    reports = stream_curate(
         spark,
         source,
         schema,
@@ -91,10 +101,16 @@ def _curate(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy
         options,
         max_files_per_batch=args.max_files_per_batch,
     )
+    _tell(args, reports)
     if args.catalog and isinstance(table, SnapshotTable) and table.exists():
         table.register(f"{args.catalog}.{policy.table}")
 
 
+def _tell(args: argparse.Namespace, reports: Sequence) -> None:
+    for report in reports:
+        print(json.dumps({"hop": args.hop, "dataset": args.dataset, **asdict(report)}), flush=True)
+
+
 def _schema(spark: SparkSession, args: argparse.Namespace, path: str) -> StructType:
     """The source's columns: as declared in the catalog, else as found in the files.
 
@@ -126,6 +142,13 @@ def _parser() -> argparse.ArgumentParser:
     tokens = clean.add_mutually_exclusive_group(required=True)
     tokens.add_argument("--vault", help="folder of the token vault: random tokens")
     tokens.add_argument("--key-file", help="file with the secret key: computed tokens")
+    clean.add_argument("--blank", default="empty", help="what becomes of blank values")
+    clean.add_argument("--wait", type=float, default=0, help="seconds to wait for a vault in use")
+    clean.add_argument("--keep", choices=sorted(MASKS), default="month", help="what a masked date keeps")
+    clean.add_argument("--lenient", action="store_true", help="PII columns may be absent")
+    curate.add_argument("--order-by", help="column that tells the latest row; default: commit time")
+    curate.add_argument("--nulls", choices=("first", "last"), default="first")
+    curate.add_argument("--missing", choices=("error", "null"), default="error")
     curate.add_argument("--merge-format", help="table format with MERGE, such as delta")
     curate.add_argument("--null-safe", action="store_true")
     curate.add_argument("--apply-deletes", action="store_true")

@@ -21,11 +21,6 @@ COLUMN = [*TABLE, "column"]
 
 # What a requirement sheet may say; an empty cell is fine as well.
 REQUIREMENTS = ("None Required", "Hash", "Exclude")
-# Source schemas whose feeds record the commit time.
-COMMIT_TIME_SCHEMAS = ("ofcr", "ptl")
-
-# Over how many join keys the rules of one table are spread.
-SLOTS = 16
 
 
 def requirements_for_table(requirements: DataFrame, schema: str, table: str) -> DataFrame:
@@ -53,9 +48,15 @@ def requirement_diff(requirements: DataFrame) -> DataFrame:
 
 
 def single_schema_check(columns: DataFrame) -> DataFrame:
-    """One row: how many schemas a column list covers, and whether it is exactly one."""
-    n = columns.select("schema").distinct().agg(F.count("schema").alias("n_schemas"))
-    return n.withColumn("is_single", F.col("n_schemas") == 1)
+    """One row: how many schemas a column list covers, and whether it is exactly one.
+
+    Rows without a schema count as one of their own, and no schema is never a single one.
+    """
+    found = columns.select("schema").distinct()
+    return found.agg(
+        F.count(F.lit(1)).alias("n_schemas"),
+        ((F.count(F.lit(1)) == 1) & F.bool_and(F.col("schema").isNotNull())).alias("is_single"),
+    )
 
 
 def table_column_counts(tables: DataFrame, columns: DataFrame) -> DataFrame:
@@ -76,9 +77,12 @@ def map_source_types(columns: DataFrame, legacy: bool = False) -> DataFrame:
 
 
 def augment_schema(
-    columns: DataFrame, commit_time_schemas: Iterable[str] = COMMIT_TIME_SCHEMAS
+    columns: DataFrame, commit_time_schemas: Iterable[str]
 ) -> DataFrame:
-    """Add the feed's own columns to each table: ``op`` first, the commit time last if recorded."""
+    """Add the feed's own columns to each table: ``op`` first, the commit time last if recorded.
+
+    ``commit_time_schemas`` are the source schemas whose feeds record it.
+    """
     last = columns.groupBy(*TABLE).agg(F.max("ordinal").alias("last"))
     added = F.array(
         F.struct(
@@ -101,7 +105,7 @@ def augment_schema(
 
 def catalog_schema(
     columns: DataFrame,
-    commit_time_schemas: Iterable[str] = COMMIT_TIME_SCHEMAS,
+    commit_time_schemas: Iterable[str],
     legacy: bool = False,
 ) -> DataFrame:
     """The columns and types to declare for each raw table."""
@@ -160,13 +164,11 @@ def build_policy(columns: DataFrame, requirements: DataFrame) -> DataFrame:
         .withColumn("pii_type", F.lit(None).cast("string"))
         .unionByName(marked)
     )
-    # Only tables with a key are datasets. Each is listed once per slot, so that
-    # the rules of a table with very many columns are spread over the slots.
-    slots = F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("slot")
-    datasets = primary_keys(columns).select(*TABLE).distinct().select(*TABLE, slots)
-    rules = rules.withColumn("slot", F.pmod(F.hash("column"), F.lit(SLOTS)))
+    # Only tables with a key are datasets. They are one row each, and nothing is aggregated
+    # after the join, so the adaptive plan splits the rules of a table with very many columns.
+    datasets = primary_keys(columns).select(*TABLE).distinct()
     name = F.concat_ws("_", "schema", "table")
-    return rules.join(datasets, [*TABLE, "slot"], "left_semi").select(
+    return rules.join(datasets, TABLE, "left_semi").select(
         name.alias("dataset"),
         F.concat_ws("/", "schema", name).alias("folder"),
         "rule",

@@ -102,7 +102,10 @@ def parse_and_stamp(
 
 
 def shape_counts(df: DataFrame, policy: DatasetPolicy) -> dict[str, Column]:
-    """What to count on prepared rows: rows, blanks, and texts that fit no date format."""
+    """What to count on prepared rows: rows, blanks, and texts that are read as no date.
+
+    These are texts to be parsed, and texts that a mask has to read.
+    """
     counts = {"rows": F.count(F.lit(1))}
     for c in policy.token_columns:
         counts[f"blank {c}"] = F.count_if(is_blank(F.col(c)))
@@ -111,6 +114,10 @@ def shape_counts(df: DataFrame, policy: DatasetPolicy) -> dict[str, Column]:
             if _is_text(df, c):
                 unfit = F.col(c).isNotNull() & parse(F.col(c), fmt).isNull()
                 counts[f"unparsed {c}"] = F.count_if(unfit)
+    for c in policy.masked_columns:
+        if f"unparsed {c}" not in counts and _is_text(df, c):
+            unread = ~is_blank(F.col(c)) & MASKS["month"](F.col(c)).isNull()
+            counts[f"unparsed {c}"] = F.count_if(unread)
     return counts
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -57,7 +57,8 @@ def upsert(
     null key part match nothing and are always added, unless ``null_safe``. Deleted rows stay as
     rows marked ``D``, unless ``apply_deletes``. The batch wins even if older,
     unless ``only_if_newer`` names the time column to compare; a null time on
-    either side then leaves the table row.
+    either side then leaves the table row. With it the table, too, is taken to
+    have one row per key.
 
     ``batch_keys``, if given, holds the batch's keys at less cost than the
     batch itself; it is not used with ``only_if_newer``. ``small`` states that
@@ -65,11 +66,13 @@ def upsert(
     then broadcast, and the table is not shuffled.
     """
     batch = align(batch, base.schema, missing)
+    if only_if_newer is not None and not small:
+        return _upsert_newer(base, batch, keys, only_if_newer, null_safe, apply_deletes)
     newer = stale = None
     if only_if_newer is not None:
         newer = F.col(_other(only_if_newer)) >= F.col(only_if_newer)
         stale = F.coalesce(F.col(only_if_newer) < F.col(_other(only_if_newer)), F.lit(True))
-        columns = [*keys, only_if_newer]
+        columns = list(dict.fromkeys([*keys, only_if_newer]))
         new_keys = batch.select(*columns)
     else:
         new_keys = batch.select(*keys) if batch_keys is None else batch_keys.select(*keys)
@@ -90,6 +93,29 @@ def upsert(
     return kept.unionByName(without_deletes(batch) if apply_deletes else batch)
 
 
+def _upsert_newer(
+    base: DataFrame, batch: DataFrame, keys: Sequence[str], time: str, null_safe: bool, apply_deletes: bool
+) -> DataFrame:
+    """Of the table row and the batch row of a key the one that holds: one shuffle for both sides.
+
+    The later row wins, and the batch row if both are as late. A null time on either side leaves the table
+    row. Only the first row of a key in each task is shuffled. Rows with a null key part stay out of it,
+    unless nulls match each other.
+    """
+    null_key = reduce(or_, (F.col(k).isNull() for k in keys))
+    side, place = _other("side"), _other("place")
+    both = base.withColumn(side, F.lit(0)).unionByName(batch.withColumn(side, F.lit(1)))
+    compared = both if null_safe else both.filter(~null_key)
+    untimed = F.col(time).isNull() & (F.col(side) == 0)
+    window = Window.partitionBy(*keys).orderBy(untimed.desc(), F.col(time).desc_nulls_last(), F.col(side).desc())
+    found = compared.withColumn(place, F.row_number().over(window)).filter(F.col(place) == 1).drop(place)
+    if not null_safe:
+        found = found.unionByName(both.filter(null_key))
+    if apply_deletes:
+        found = found.filter((F.col(side) == 0) | ~F.col(OP).eqNullSafe(DELETE))
+    return found.drop(side)
+
+
 def without_deletes(df: DataFrame) -> DataFrame:
     """Rows whose change is not a delete."""
     return df.filter(~F.col(OP).eqNullSafe(DELETE))

@@ -23,13 +23,12 @@ KEY = ["pii_type", "pii_value"]
 
 # What a token takes in memory, with its share of the table around it.
 TOKEN_BYTES = 128
-# A value is hot when it holds more than this share of the batch's PII cells and is
-# no longer than HOT_BYTES. So at most 100,000 values are hot, and what is broadcast
-# for them stays below 120 MB whatever the batch.
+# A value is hot when it holds more than this share of the batch's PII cells. So at
+# most 100,000 values are hot. Values are looked up by digests of a fixed size, and
+# what is broadcast for the hot ones stays below 20 MB, however long they are.
 HOT_SHARE = 1 / 100_000
-HOT_BYTES = 1024
-# Over how many join keys rows that need no lookup are spread.
-SPREAD = 8192
+# Over how many join keys for each task rows that need no lookup are spread.
+SPREAD = 64
 # Columns added for a while; no dataset should use such names.
 HELPER = "__vault_"
 
@@ -128,8 +127,8 @@ def tokenise_from_vault(
 ) -> DataFrame:
     """Replace PII columns by their vault tokens, or add them under a suffix.
 
-    Types whose tokens take up to ``broadcast_bytes`` are joined by broadcast.
-    Beyond that a column is joined by a shuffle, in which no value holds many
+    Types whose tokens together take up to ``broadcast_bytes``, the smallest
+    first, are joined by broadcast. Beyond that a column is joined by a shuffle, in which no value holds many
     rows: the hot values, few by definition, are looked up by broadcast first,
     and rows already settled (hot or blank) are spread evenly.
 
@@ -137,18 +136,21 @@ def tokenise_from_vault(
     when ``df`` reads files without a shuffle in between, as the clean hop does.
     """
     columns = [*df.columns, *(c + suffix for c in pii if suffix)]
-    small = {t for t in pii.values() if batch.bytes_by_type.get(t, 0) <= broadcast_bytes}
+    small, held = set(), 0
+    for t in sorted(set(pii.values()), key=lambda t: (batch.bytes_by_type.get(t, 0), t)):
+        held += batch.bytes_by_type.get(t, 0)
+        if held <= broadcast_bytes:
+            small.add(t)
     if not small.issuperset(pii.values()):
-        spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD))
+        keys = SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(keys))
         df = df.withColumn(f"{HELPER}spread", spread)
     for c, t in pii.items():
         value, tokens = F.col(c).cast("string"), batch.of_type(t)
         if t in small:
             df = _look_up(df, value, tokens, "token")
         else:
-            is_hot = (F.col("cells") > batch.cells * hot_share) & (
-                F.octet_length("pii_value") <= HOT_BYTES
-            )
+            is_hot = F.col("cells") > batch.cells * hot_share
             df = _look_up(df, value, tokens.filter(is_hot), "hot_token")
             df = _look_up_by_shuffle(df, value, tokens.filter(~is_hot))
         token = F.col(f"{HELPER}token")
@@ -164,21 +166,25 @@ def tokenise_from_vault(
 def _look_up(df: DataFrame, value: Column, tokens: DataFrame, name: str) -> DataFrame:
     """Add the token of a value from a small table."""
     tokens = tokens.select(
-        F.col("pii_value").alias(f"{HELPER}value"), F.col("token").alias(HELPER + name)
+        _digest(F.col("pii_value")).alias(f"{HELPER}value"), F.col("token").alias(HELPER + name)
     )
-    found = df.join(F.broadcast(tokens), value == F.col(f"{HELPER}value"), "left")
+    found = df.join(F.broadcast(tokens), _digest(value) == F.col(f"{HELPER}value"), "left")
     return found.drop(f"{HELPER}value")
 
 
+def _digest(value: Column) -> Column:
+    """A value as a join key: as long for every value, and nothing in clear is shuffled."""
+    return F.unhex(F.sha2(value, 256))
+
+
 def _look_up_by_shuffle(df: DataFrame, value: Column, tokens: DataFrame) -> DataFrame:
     """Add the token of a value from a large table, unless it is hot or blank."""
     settled = is_blank(value) | F.col(f"{HELPER}hot_token").isNotNull()
-    # First letters keep the two kinds of key apart, whatever the values hold.
-    key = F.when(settled, F.concat(F.lit("s"), F.col(f"{HELPER}spread"))).otherwise(
-        F.concat(F.lit("v"), value)
-    )
+    # A digest has 32 bytes, and the other kind of key is shorter.
+    spread = F.concat(F.lit("s"), F.col(f"{HELPER}spread")).cast("binary")
+    key = F.when(settled, spread).otherwise(_digest(value))
     tokens = tokens.select(
-        F.concat(F.lit("v"), "pii_value").alias(f"{HELPER}key"),
+        _digest(F.col("pii_value")).alias(f"{HELPER}key"),
         F.col("token").alias(f"{HELPER}cold_token"),
     )
     df = df.withColumn(f"{HELPER}row_key", key)

@@ -31,7 +31,9 @@ def sync_catalog(
 
     All files are read for their schemas, unless ``schema`` states the result.
     Columns that are gone leave the entry as well, and an entry for another
-    folder moves to this one. Only the entry is replaced; files stay.
+    folder moves to this one. New columns and a new folder change the entry in
+    place, so that readers always find it; only columns that are gone or have
+    another type, or partitions that move, take a new entry. Files stay.
     """
     reader = spark.read.option("mergeSchema", "true")
     found = (reader if schema is None else reader.schema(schema)).parquet(path)
@@ -48,15 +50,38 @@ def sync_catalog(
             F.lit("added").alias("change"),
         )
     changes = drift.collect()
-    if changes or location(spark, name) != _qualified(spark, path):
+    kinds = {f.name: f.dataType.simpleString() for f in found.schema.fields}
+    known = spark.catalog.tableExists(name)
+    moved = known and location(spark, name) != _qualified(spark, path)
+    # Known partitions keep their folders, so an entry with partitions does not move in place.
+    if not known or (moved and partitions) or not _can_alter(spark, name, changes, partitions):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
+        ddl = ", ".join(f"`{c}` {kind}" for c, kind in kinds.items())
         declare_table(spark, name, ddl, path, partitions)
-    elif partitions:
+        return changes
+    added = [r["column"] for r in changes]
+    if added:
+        columns = ", ".join(f"`{c}` {kinds[c]}" for c in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    if moved:
+        where = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{where}'")
+        spark.catalog.refreshTable(name)
+    if partitions:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return changes
 
 
+def _can_alter(
+    spark: SparkSession, name: str, changes: list[Row], partitions: tuple[str, ...]
+) -> bool:
+    """Whether an entry can change in place: columns are only added, and it has the same partitions."""
+    columns = spark.catalog.listColumns(name)
+    same = [c.name for c in columns if c.isPartition] == list(partitions)
+    added = all(r["change"] == "added" and r["column"] not in partitions for r in changes)
+    return same and added
+
+
 def location(spark: SparkSession, name: str) -> str:
     """The folder a catalog entry points to."""
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")

@@ -7,15 +7,16 @@ then becomes the current one in a single step.
 from __future__ import annotations
 
 import json
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from veiledlake.operators.upsert import DELETE, OP, align, matched
 from veiledlake.sinks.catalog import sync_catalog
@@ -24,6 +25,38 @@ from veiledlake.storage import children, create_text, delete, read_text
 
 Batch = tuple[str, int]  # reader id and batch number
 
+# What blank text in a partition column is stored as: a folder name cannot be blank,
+# and Spark would read null. Text that begins like this is stored with one more in front.
+BLANK = "__blank__"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+# Partitions that one catalog statement adds or drops.
+STATEMENT = 200
+
+
+def stored(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows as they are written, with text that a partition can hold."""
+    return _recoded(
+        df,
+        partitions,
+        lambda c: F.when(c == "", BLANK).when(c.startswith(BLANK), F.concat(F.lit(BLANK), c)).otherwise(c),
+    )
+
+
+def shown(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows as they were before ``stored``."""
+    rest = F.lit(len(BLANK) + 1)
+    return _recoded(
+        df,
+        partitions,
+        lambda c: F.when(c.startswith(BLANK), F.substring(c, rest, F.length(c))).otherwise(c),
+    )
+
+
+def _recoded(df: DataFrame, partitions: Sequence[str], code: Callable[[Column], Column]) -> DataFrame:
+    wanted = {p.lower() for p in partitions}
+    texts = [f.name for f in df.schema.fields if f.name.lower() in wanted and isinstance(f.dataType, StringType)]
+    return df.withColumns({c: code(F.col(c)) for c in texts})
+
 
 class SnapshotTable:
     """A folder of numbered snapshots. A snapshot counts once its commit file exists.
@@ -48,8 +81,10 @@ class SnapshotTable:
         version = self.version() if version is None else version
         if version is None:
             raise FileNotFoundError(f"no snapshot in {self.path}")
-        schema = StructType.fromJson(self._commit(version)["schema"])
-        return self.spark.read.schema(schema).parquet(self._snapshot(version)).select(*schema.names)
+        commit = self._commit(version)
+        schema = StructType.fromJson(commit["schema"])
+        rows = self.spark.read.schema(schema).parquet(self._snapshot(version))
+        return shown(rows.select(*schema.names), commit["partitions"])
 
     def has_applied(self, batch: Batch) -> bool:
         version = self.version()
@@ -72,7 +107,8 @@ class SnapshotTable:
         applied = {} if old is None else self._commit(old)["applied"]
         if batch is not None:
             applied[batch[0]] = batch[1]
-        append_parquet(df, self._snapshot(new), partitions, mode="overwrite")
+        rows = stored(df, partitions)
+        append_parquet(rows, self._snapshot(new), partitions, mode="overwrite")
         commit = {
             "schema": df.schema.jsonValue(),
             "partitions": list(partitions),
@@ -80,9 +116,13 @@ class SnapshotTable:
         }
         create_text(self.spark, f"{self.path}/_commits/{new}", json.dumps(commit))
         if self.keep is not None:
+            last = new - max(self.keep, 1)
+            for number in children(self.spark, f"{self.path}/_commits"):
+                if number.isdigit() and int(number) <= last:  # the commit first: it must not point nowhere
+                    delete(self.spark, f"{self.path}/_commits/{number}")
             for name in children(self.spark, self.path):
                 number = name.removeprefix("snapshot=")
-                if number.isdigit() and int(number) <= new - max(self.keep, 1):
+                if number.isdigit() and int(number) <= last:
                     delete(self.spark, f"{self.path}/{name}")
         return new
 
@@ -135,20 +175,23 @@ class PartitionedTable:
     def read(self, only: list[Row] | None = None) -> DataFrame:
         """The table, or those of its partitions that ``only`` lists."""
         table = self.spark.table(self.name)
-        return table if only is None else table.filter(self._in(only))
+        return shown(table if only is None else table.filter(self._in(only)), self.partitions)
 
     def touched(
         self, batch: DataFrame, keys: Sequence[str], null_safe: bool = False, small: bool = False
     ) -> list[Row]:
         """Partitions a batch changes: where its rows go, and where their old versions lie.
 
-        The list is no longer than the catalog's list of partitions.
+        The list is no longer than the catalog's list of partitions. Values are
+        texts as Spark writes them: as Python values, times would change zones.
         """
         found = batch.select(*self.partitions)
-        if any(p not in keys for p in self.partitions):
+        known = {k.lower() for k in keys}
+        if any(p.lower() not in known for p in self.partitions):
             old = matched(self.read(), batch, keys, null_safe, small)
             found = found.unionByName(old.select(*self.partitions))
-        return found.distinct().collect()
+        texts = [F.col(p).cast("string").alias(p) for p in self.partitions]
+        return stored(found, self.partitions).select(*texts).distinct().collect()
 
     def create(self, schema: StructType) -> None:
         columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
@@ -159,32 +202,40 @@ class PartitionedTable:
         )
 
     def replace(self, df: DataFrame, touched: list[Row]) -> None:
-        """Make rows the whole content of the touched partitions; the others stay."""
+        """Make rows the whole content of the touched partitions; the others stay.
+
+        Folders are taken from the list of files. New partitions are added many
+        at a time, and each old one is switched by a statement of its own.
+        """
         folder = f"{self.path}/version={uuid.uuid4().hex}"
-        append_parquet(df, folder, self.partitions, mode="overwrite")
-        file_folder = F.regexp_replace("_metadata.file_path", "/[^/]+$", "")
-        written = (
-            self.spark.read.schema(df.schema)
-            .parquet(folder)
-            .select(*self.partitions, file_folder.alias("_folder"))
-            .distinct()
-            .collect()
-        )
-        for row in written:
-            *values, where = row
-            spec = self._spec(values)
-            where = _literal(unquote(where))
-            alter = f"ALTER TABLE {self.name}"
-            self.spark.sql(f"{alter} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {where}")
-            self.spark.sql(f"{alter} PARTITION ({spec}) SET LOCATION {where}")
-        for values in {tuple(r) for r in touched} - {tuple(r)[:-1] for r in written}:
-            spec = self._spec(values)
-            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+        append_parquet(stored(df, self.partitions), folder, self.partitions, mode="overwrite")
+        files = self.spark.read.schema(df.schema).parquet(folder).inputFiles()
+        folders = {unquote(f.rpartition("/")[0]) for f in files}
+        written = {_folder_values(f, len(self.partitions)): f for f in folders}
+        known = {
+            _folder_values(r[0], len(self.partitions))
+            for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()
+        }
+        new = [f"PARTITION ({self._spec(v)}) LOCATION {_literal(f)}" for v, f in written.items() if v not in known]
+        self._alter("ADD IF NOT EXISTS", new, " ")
+        for values, where in written.items():
+            if values in known:
+                spec = self._spec(values)
+                self.spark.sql(
+                    f"ALTER TABLE {self.name} PARTITION ({spec}) SET LOCATION {_literal(where)}"
+                )
+        gone = {tuple(r) for r in touched} & known - set(written)
+        self._alter("DROP IF EXISTS", [f"PARTITION ({self._spec(v)})" for v in gone], ", ")
+
+    def _alter(self, what: str, parts: list[str], between: str) -> None:
+        for i in range(0, len(parts), STATEMENT):
+            some = between.join(parts[i : i + STATEMENT])
+            self.spark.sql(f"ALTER TABLE {self.name} {what} {some}")
 
     def remove_unused(self) -> None:
         """Delete folders no partition points to any more, while no older read is under way."""
-        version = F.regexp_extract("_metadata.file_path", "/version=([0-9a-f]+)/", 1)
-        used = {r[0] for r in self.read().select(version).distinct().collect()}
+        files = self.spark.table(self.name).inputFiles()
+        used = {m[1] for f in files if (m := re.search("/version=([0-9a-f]+)/", f))}
         for folder in children(self.spark, self.path):
             if folder.startswith("version=") and folder.removeprefix("version=") not in used:
                 delete(self.spark, f"{self.path}/{folder}")
@@ -201,7 +252,7 @@ class PartitionedTable:
             half = len(rows) // 2
             return self._in(rows[:half]) | self._in(rows[half:])
         parts = [
-            F.col(p).isNull() if v is None else F.col(p) == F.lit(v)
+            F.col(p).isNull() if v is None else F.col(p).cast("string") == F.lit(v)
             for p, v in zip(self.partitions, rows[0], strict=True)
         ]
         return reduce(and_, parts)
@@ -260,6 +311,12 @@ class MergeTable:
         merging.merge()
 
 
+def _folder_values(folder: str, depth: int) -> tuple[str | None, ...]:
+    """The values of the partition that a folder holds, as Spark has written them."""
+    parts = (p.partition("=")[2] for p in folder.split("/")[-depth:])
+    return tuple(None if p == NULL_FOLDER else unquote(p) for p in parts)
+
+
 def _noted_batch(spark: SparkSession, table: str, batch: Batch) -> bool:
     """Whether a table's properties say that it has taken a reader's batch."""
     if not spark.catalog.tableExists(table):

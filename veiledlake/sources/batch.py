@@ -40,8 +40,9 @@ def read_requirements(
 ) -> DataFrame:
     """Read a requirement sheet exported as CSV: schema, table, column, requirement.
 
-    With ``banner`` a title line stands above the headings. Columns are found
-    by heading; others are ignored. ``multi_line`` is for cells that hold line
+    With ``banner`` a title line stands above the headings of each file, and
+    may differ between files; the headings may not. Columns are found by
+    heading; others are ignored. ``multi_line`` is for cells that hold line
     breaks, and reads each file in one task.
     """
     top = [row["value"] for row in spark.read.text(path).take(2 if banner else 1)]
@@ -51,9 +52,11 @@ def read_requirements(
         raise ValueError(f"the sheet lacks the headings {absent}")
     columns = [f"c{i}" for i in range(len(headings))]
     layout = ", ".join(f"{c} string" for c in columns)
-    rows = spark.read.schema(layout).option("multiLine", multi_line).csv(path)
-    for line in top:  # drop banner and headings by content, in whichever task they are read
-        rows = rows.filter(~F.struct(*columns).eqNullSafe(F.from_csv(F.lit(line), layout)))
+    # The first line of each file goes by its place, whatever it says; headings below a banner by content.
+    reader = spark.read.schema(layout).option("multiLine", multi_line).option("header", True)
+    rows = reader.csv(path)
+    if banner:
+        rows = rows.filter(~F.struct(*columns).eqNullSafe(F.from_csv(F.lit(top[-1]), layout)))
     return rows.select(
         *(F.col(columns[headings.index(h)]).alias(name) for h, name in SHEET_HEADINGS.items())
     )

@@ -11,6 +11,10 @@ from pyspark.sql.types import StructType
 from veiledlake.storage import read_text
 
 
+# Longer than any file can be old: Spark itself would pass over files after a week.
+NO_LIMIT = "36500000d"
+
+
 def read_new(
     spark: SparkSession,
     path: str,
@@ -18,7 +22,7 @@ def read_new(
     checkpoint: str,
     handle: Callable[[DataFrame, str, int], None],
     max_files_per_batch: int | None = None,
-    max_file_age: str = "3650d",
+    max_file_age: str | None = None,
 ) -> None:
     """Hand all files not seen yet to ``handle``, as one or more batches, and return.
 
@@ -26,11 +30,11 @@ def read_new(
     checkpoint, and the batch number. After a failure it may get the same
     batch again, with the same id and number.
 
-    Files older than ``max_file_age``, counted back from the newest, are
-    passed over without being read. The default is long, so that no late file
-    is lost; shorten it only if the list of known files outgrows the driver.
+    Every file is read, however old its change time. The driver keeps the names
+    of all files read. ``max_file_age`` bounds that list, at a price: files
+    older than this, counted back from the newest, are then passed over for good.
     """
-    reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age or NO_LIMIT)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
 

@@ -21,7 +21,10 @@ def work_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="veiledlake-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/veiledlake-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/veiledlake-{uuid.uuid4().hex}"
+    fs, target = _locate(spark, folder)
+    fs.deleteOnExit(target)  # what is left in it, perhaps in clear, goes with the session
+    return folder
 
 
 @contextmanager
@@ -82,6 +85,33 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless it is there; of several writers at once one succeeds.
+
+    On a local disk and on HDFS creation is atomic. On a store where it is not, the
+    writers read back who was last, which leaves one as well.
+    """
+    fs, target = _locate(spark, path)
+    fs.mkdirs(target.getParent())
+    try:
+        if fs.getScheme() == "file":
+            local = spark._jvm.java.io.File(target.toUri().getPath())
+            if not local.createNewFile():
+                return False
+            stream = fs.create(target, True)
+        else:
+            stream = fs.create(target, False)
+    except Exception as error:
+        if fs.exists(target):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return read_text(spark, path) == text
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _locate(spark, path)
     fs.delete(target, True)

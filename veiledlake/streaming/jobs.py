@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from veiledlake.functions.tokens import KeyedTokens
-from veiledlake.plans.clean import clean, run_clean
-from veiledlake.plans.curate import PLAIN, MergeOptions, Target, run_curate
+from veiledlake.plans.clean import CleanReport, clean, run_clean
+from veiledlake.plans.curate import PLAIN, CurateReport, MergeOptions, Target, run_curate
 from veiledlake.policy import DatasetPolicy
 from veiledlake.sources.incremental import read_new
 from veiledlake.sources.vault import Vault
@@ -23,19 +23,27 @@ def stream_clean(
     clean_path: str,
     checkpoint: str,
     tokens: KeyedTokens | Vault,
+    *,
+    keep: str = "month",
+    strict: bool = True,
     **options,
-) -> None:
-    """Clean new raw files, each batch into a folder of its own.
+) -> list[CleanReport]:
+    """Clean new raw files, each batch into a folder of its own; return what each batch counted.
 
     A batch that is repeated after a failure overwrites its folder, so every
     raw row ends up in the clean table once.
     """
 
+    reports = []
+
     def handle(batch: DataFrame, reader: str, number: int) -> None:
         folder = f"{clean_path.rstrip('/')}/{BATCH}={reader}-{number}"
-        run_clean(batch, policy, folder, tokens, mode="overwrite")
+        reports.append(
+            run_clean(batch, policy, folder, tokens, mode="overwrite", keep=keep, strict=strict)
+        )
 
     read_new(spark, raw_path, schema, checkpoint, handle, **options)
+    return reports
 
 
 def clean_schema(
@@ -43,10 +51,11 @@ def clean_schema(
     schema: StructType | str,
     policy: DatasetPolicy,
     with_batch: bool = False,
+    strict: bool = True,
 ) -> StructType:
     """The columns ``stream_clean`` writes for raw columns."""
     # Any key will do: only the types count.
-    cleaned = clean(spark.createDataFrame([], schema), policy, KeyedTokens(bytes(16)))
+    cleaned = clean(spark.createDataFrame([], schema), policy, KeyedTokens(bytes(16)), strict=strict)
     return _with_batch(cleaned.schema) if with_batch else cleaned.schema
 
 
@@ -64,13 +73,18 @@ def stream_curate(
     checkpoint: str,
     merge: MergeOptions = PLAIN,
     **options,
-) -> None:
-    """Merge new clean files into the curated table. A repeated batch changes nothing."""
+) -> list[CurateReport]:
+    """Merge new clean files into the curated table; return what each batch counted.
+
+    A repeated batch changes nothing.
+    """
+    reports = []
 
     def handle(batch: DataFrame, reader: str, number: int) -> None:
-        run_curate(batch.drop(BATCH), policy, target, merge, (reader, number))
+        reports.append(run_curate(batch.drop(BATCH), policy, target, merge, (reader, number)))
 
     read_new(spark, clean_path, _with_batch(schema), checkpoint, handle, **options)
+    return reports
 
 
 def _with_batch(schema: StructType) -> StructType:
