@@ -49,11 +49,13 @@ def words(text: str, pattern: str) -> Column:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Written to the shared checkpoint folder: executors may be lost, and nothing is computed twice."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        storage.work_folder(spark)
-    return df.checkpoint()
+    """Written to the folder that the cluster shares: executors may be lost, and nothing is computed twice.
+
+    The folder goes with the session.
+    """
+    spark, folder = df.sparkSession, storage.work_folder(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

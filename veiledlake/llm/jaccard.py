@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ COUNTERS = 1 << 17
 # Rounds with one pivot a list go on, up to so many, while the links of a round are this share of the components
 # still open; what is then left is compared completely.
 PIVOT_ROUNDS = 6
-WORTH = 0.05
+WORTH = 0.1
 
 
 def jaccard_components(
@@ -36,8 +37,8 @@ def jaccard_components(
     Equal sets are one class first. Classes meet in index lists of their prefix shingles, rare ones first, which hold
     position and length. Two relations between sets save comparisons, and neither loses a link:
 
-    - In a list, all entries of a block (same set length, same position) pass or fail the bound on the overlap alike,
-      so blocks are skipped without a look at their sets. A list whose sets are all connected is skipped whole.
+    - A list is cut into blocks by length, and blocks too far apart are skipped without a look at their entries. Within
+      blocks the positions bound what two sets can still share. A list whose sets are all connected is skipped whole.
     - Answers of a set follow from those of a similar set: with the overlaps of x and of y with a pivot known, the
       overlap of x and y is bounded, and the pair is looked at only if the bound leaves it open.
 
@@ -54,19 +55,16 @@ def jaccard_components(
     prefixes = settled(
         texts.mapInArrow(_each(_prefix_row, size, weights, percent), "doc long, set long, n long, marks array<long>")
     )
-    classes = settled(
-        prefixes.where("n > 0").groupBy("set", "n").agg(F.min("doc").alias("doc"), F.first("marks").alias("marks"))
-    )
-    entries = classes.select("set", "n", F.posexplode_outer("marks").alias("pos", "mark"))
-    shared = entries.groupBy("mark").agg(F.count("*").alias("members")).where("members > 1").select("mark")
-    entries = settled(entries.join(shared, "mark").select("mark", "set", "n", "pos"))
-
-    labels = settled(entries.select("set", F.col("set").alias("label")).distinct())
+    classes = settled(prefixes.where("n > 0").groupBy("set", "n").agg(F.min("doc").alias("doc")))
+    entries = settled(_shared_entries(prefixes, classes))
+    entries = entries.withColumn("label", F.col("set"))
+    labels = settled(entries.select("set", "label").distinct())
     known: DataFrame | None = None
     last = False
     for step in range(PIVOT_ROUNDS + 1):
         last = last or step == PIVOT_ROUNDS
-        entries = settled(_still_open(entries, labels))
+        if step:
+            entries = settled(_still_open(entries, labels))
         pairs = _all_pairs(entries, percent) if last else _pivot_pairs(entries, step, percent)
         if known is not None:
             pairs = _skip_known(pairs, known, percent) if last else pairs.join(known, ["set", "other"], "left_anti")
@@ -92,6 +90,22 @@ def jaccard_components(
     )
 
 
+def _shared_entries(prefixes: DataFrame, classes: DataFrame) -> DataFrame:
+    """Entries of the index lists that hold more than one: mark, set, length, position.
+
+    Lists are counted in the tasks first. A set comes from one of its documents; the copies to leave out are told by
+    their ids, not by their marks.
+    """
+    own = classes.select(F.col("set").alias("copied"), F.col("doc").alias("first"))
+    copies = prefixes.select("set", "doc").join(own, F.col("set") == F.col("copied"))
+    copies = copies.where(~F.col("doc").eqNullSafe(F.col("first"))).select("copied", F.col("doc").alias("copy")).distinct()
+    same = (F.col("set") == F.col("copied")) & F.col("doc").eqNullSafe(F.col("copy"))
+    single = prefixes.where("n > 0").join(broadcast_if_small(settled(copies)), same, "left_anti")
+    entries = single.select("set", F.col("n").cast("int").alias("n"), F.posexplode_outer("marks").alias("pos", "mark"))
+    shared = entries.groupBy("mark").agg(F.count("*").alias("members")).where("members > 1").select("mark")
+    return entries.select("mark", "set", "n", "pos").join(shared, "mark", "left_semi")
+
+
 def _joined(labels: DataFrame, linked: DataFrame) -> tuple[DataFrame, int]:
     """Labels after links between sets, and how many links between components there were.
 
@@ -145,16 +159,17 @@ def _pivot_pairs(entries: DataFrame, step: int, percent: int) -> DataFrame:
 
 
 def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list between components, blocks being skipped by length and position."""
-    blocks = settled(entries.groupBy("mark", "n", "pos").agg(F.min("label").alias("least"), F.max("label").alias("most")))
-    others = blocks.select("mark", *[F.col(c).alias(f"p_{c}") for c in ("n", "pos", "least", "most")])
-    met = blocks.join(others, "mark").where(_room(percent))
-    met = met.where("least <> most or p_least <> p_most or least <> p_least").select("mark", "n", "pos", "p_n", "p_pos")
-    left = entries.join(met, ["mark", "n", "pos"])
-    right = entries.select(
-        "mark", *[F.col(c).alias(f"p_{c}") for c in ("set", "n", "pos", "label")]
-    )
-    return _open_pairs(left.join(right, ["mark", "p_n", "p_pos"]), percent)
+    """All pairs of a list between components; blocks of lengths that are too far apart do not meet.
+
+    Blocks are steps of the logarithm of the length. Similar lengths lie in the same block or in the next, so each
+    entry is a candidate in its own block and in the one above it.
+    """
+    block = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) * 0.999).cast("int")
+    left = entries.select("mark", "set", "n", "pos", "label", F.explode(F.array(block, block + 1)).alias("block"))
+    right = entries.select("mark", block.alias("block"), *[F.col(c).alias(f"p_{c}") for c in ("set", "n", "pos", "label")])
+    # Each pair once: the shorter set, of equal lengths the one with the smaller id, comes from the left.
+    once = (F.col("n") < F.col("p_n")) | ((F.col("n") == F.col("p_n")) & (F.col("set") < F.col("p_set")))
+    return _open_pairs(left.join(right, ["mark", "block"]).where(once), percent)
 
 
 def _open_pairs(pairs: DataFrame, percent: int) -> DataFrame:
@@ -278,11 +293,14 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _prefix_row(doc: int | None, marks: np.ndarray, weights: np.ndarray, percent: int) -> dict:
-    """The set's id and size, and its prefix with rare shingles first."""
+    """The set's id and size, and its prefix with rare shingles first.
+
+    Of the marks 40 bits go into the lists: sets that share these by chance are told apart when they are compared.
+    """
     n = len(marks)
     order = np.lexsort((marks, weights[(marks & np.uint64(COUNTERS - 1)).astype(np.int64)]))
     prefix = marks[order[: n - -(-percent * n // 100) + 1]]
-    return {"doc": doc, "set": set_id(marks), "n": n, "marks": prefix}
+    return {"doc": doc, "set": set_id(marks), "n": n, "marks": prefix >> np.uint64(24)}
 
 
 def _set_row(doc: int | None, marks: np.ndarray) -> dict:

@@ -189,7 +189,8 @@ def parse(html: str | None) -> Tree:
 def main_text(tree: Tree, low: dict[int, float]) -> str:
     """The blocks that stay: no part of their branch may fall below KEEP.
 
-    A path that is not in `low` has importance 1. On pages with a main part, what stands outside it counts less.
+    A path that is not in `low` has importance 1. On pages with a main part, what stands outside it counts less. Where
+    nothing would stay, names alone decide: a site may be copies of one page.
     """
     has_main = any(p == 1 for branch, _ in tree.blocks for _, p in branch if all(q >= 0 for _, q in branch))
     kept = []
@@ -199,7 +200,7 @@ def main_text(tree: Tree, low: dict[int, float]) -> str:
         worth = [low.get(path, 1.0) + (1.0 if inside and p >= 0 else p) - outside for path, p in branch]
         if min(worth, default=1.0 - outside) >= KEEP:
             kept.append(text)
-    return "\n".join(kept)
+    return "\n".join(kept) if kept or not low else main_text(tree, {})
 
 
 def style_tree(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
