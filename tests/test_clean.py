@@ -164,7 +164,7 @@ def test_run_clean_reports_and_appends(spark, tmp_path):
     report = run_clean(raw, PERSON, path, TOKENS)
     assert report.rows == 3
     assert report.blanks == {"SSN": 1, "lnm": 2}
-    assert report.unparsed == {"stus_dt": 1, "seen": 1}
+    assert report.unparsed == {"stus_dt": 1, "seen": 1, "dob": 0}
     run_clean(raw, PERSON, path, TOKENS)
     assert spark.read.parquet(path).count() == 6
 

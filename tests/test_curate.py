@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -190,7 +191,7 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path):
     run_curate(spark.createDataFrame([(1, "a", "X", 2)], LAYOUT), policy, table)
     assert set(table.read().filter("st = 'b'").inputFiles()) == before
     pruned = table.read().filter("st = 'b'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(st" in pruned
+    assert re.search(r"PartitionFilters: \[[^\]]*st#", pruned)
     run_curate(spark.createDataFrame([(2, "b", "Y", 3)], LAYOUT), policy, table)
     assert len(list((tmp_path / "t").glob("version=*"))) == 3
     table.remove_unused()
