@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,11 +18,14 @@ from veiledlake.llm.shingles import set_id, sets_of
 SHINGLE = 5
 PERCENT = 80
 # Counters from which the rarity of shingles is read. More of them tell frequencies apart better; results are the same.
-COUNTERS = 1 << 17
+COUNTERS = 1 << 20
+CHUNK = 1 << 12
+# Prefixes are longer by this share of a set, and similar sets then have so many marks more in common.
+MORE = 20
 # Rounds with one pivot a list go on, up to so many, while the links of a round are this share of the components
 # still open; what is then left is compared completely.
 PIVOT_ROUNDS = 6
-WORTH = 0.1
+WORTH = 0.01
 
 
 def jaccard_components(
@@ -68,7 +73,8 @@ def jaccard_components(
         pairs = _all_pairs(entries, percent) if last else _pivot_pairs(entries, step, percent)
         if known is not None:
             pairs = _skip_known(pairs, known, percent) if last else pairs.join(known, ["set", "other"], "left_anti")
-        overlaps = settled(_overlaps(settled(pairs), classes, texts, size))
+        pairs = settled(_common_marks(settled(pairs), prefixes, classes))
+        overlaps = settled(_overlaps(pairs, classes, texts, size))
         linked = overlaps.where(_similar("overlap", "n", "m", percent)).select("set", "other")
         labels, links = _joined(labels, linked)
         if last:
@@ -150,21 +156,25 @@ def _still_open(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(entries: DataFrame, step: int, percent: int) -> DataFrame:
-    """Every entry with the pivot of its list, another one in each round."""
+    """Every entry with the pivot of its block, another one in each round."""
+    entries = entries.withColumn("block", _block(percent))
     order = F.struct(F.xxhash64("set", F.lit(step)).alias("o"), "set", "n", "pos", "label")
-    order = F.struct("n", "set", "pos", "label") if step == 0 else order
-    pivots = entries.groupBy("mark").agg(F.min(order).alias("p"))
-    pivots = pivots.select("mark", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("set", "n", "pos", "label")])
-    return _open_pairs(entries.join(pivots, "mark"), percent)
+    pivots = entries.groupBy("mark", "block").agg(F.min(order).alias("p"))
+    pivots = pivots.select("mark", "block", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("set", "n", "pos", "label")])
+    return _open_pairs(entries.join(pivots, ["mark", "block"]), percent)
+
+
+def _block(percent: int) -> Column:
+    """Steps of the logarithm of the length: similar lengths lie in the same block or in the next."""
+    return F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) * 0.999).cast("int")
 
 
 def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All pairs of a list between components; blocks of lengths that are too far apart do not meet.
 
-    Blocks are steps of the logarithm of the length. Similar lengths lie in the same block or in the next, so each
-    entry is a candidate in its own block and in the one above it.
+    Each entry is a candidate in its own block and in the one above it.
     """
-    block = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) * 0.999).cast("int")
+    block = _block(percent)
     left = entries.select("mark", "set", "n", "pos", "label", F.explode(F.array(block, block + 1)).alias("block"))
     right = entries.select("mark", block.alias("block"), *[F.col(c).alias(f"p_{c}") for c in ("set", "n", "pos", "label")])
     # Each pair once: the shorter set, of equal lengths the one with the smaller id, comes from the left.
@@ -221,6 +231,28 @@ def _skip_known(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return pairs.join(closed, ["set", "other"], "left_anti")
 
 
+def _common_marks(pairs: DataFrame, prefixes: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs whose prefixes share as many marks as those of similar sets do.
+
+    Two sets that share enough also share 1 + k marks if both prefixes are longer by k than the first shared one
+    takes. A common line or passage makes a pair, but rarely so many marks.
+    """
+    members = pairs.select("set").union(pairs.select("other")).distinct().join(classes.select("set", "doc"), "set")
+    ids = broadcast_if_small(settled(members))
+    marks = prefixes.select("set", "doc", "marks").join(
+        ids.withColumnsRenamed({"set": "wanted", "doc": "from"}),
+        (F.col("set") == F.col("wanted")) & F.col("doc").eqNullSafe(F.col("from")),
+        "left_semi",
+    )
+    marks = settled(marks.dropDuplicates(["set"]))
+    one = marks.select("set", "marks")
+    two = marks.select(F.col("set").alias("other"), F.col("marks").alias("others"))
+    least = 1 + F.floor(F.least("n", "m") / MORE)
+    joined = pairs.join(one, "set").join(two, "other")
+    joined = joined.where(F.size(F.array_intersect("marks", "others")) >= least)
+    return joined.select("set", "other", "n", "m")
+
+
 def _overlaps(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Pairs with the number of shingles both sets hold; sets are read again for their members only."""
     members = settled(pairs.select("set").union(pairs.select("other")).distinct().join(classes.select("set", "doc"), "set"))
@@ -235,33 +267,55 @@ def _overlaps(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int)
 
 
 def _weights(texts: DataFrame, size: int) -> np.ndarray:
-    """How often shingles occur, by the last bits of their hashes: a table of fixed size."""
-    counts = (
+    """How often shingles occur, by the last bits of their hashes: a table of fixed size, summed in packed chunks."""
+    chunks = (
         texts.select("text")
-        .mapInArrow(_count_rows(size), "slot int, found long")
-        .groupBy("slot")
-        .agg(F.sum("found").alias("found"))
-        .toPandas()
+        .mapInArrow(_count_rows(size), "chunk int, counts binary")
+        .groupBy("chunk")
+        .applyInPandas(_add_chunks, "chunk int, counts binary")
+        .collect()
     )
-    weights = np.zeros(COUNTERS, np.int64)
-    weights[counts["slot"].to_numpy()] = counts["found"].to_numpy()
-    return weights
+    weights = np.zeros((COUNTERS // CHUNK, CHUNK), np.int64)
+    for row in chunks:
+        weights[row["chunk"]] = _unpacked(row["counts"])
+    return weights.ravel()
 
 
 def _count_rows(size: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
+            held, n = [np.zeros(0, np.int64)], 0
             for marks in sets_of(batch.column(0), size):
-                np.add.at(counts, (marks & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-        slots = np.flatnonzero(counts)
+                held.append(_slots(marks))
+                n += len(marks)
+                if n > COUNTERS:
+                    counts += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                    held, n = [np.zeros(0, np.int64)], 0
+            counts += np.bincount(np.concatenate(held), minlength=COUNTERS)
+        packed = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(-1, CHUNK)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(slots, pa.int32()), pa.array(counts[slots], pa.int64())], ["slot", "found"]
+            [pa.array(range(len(packed)), pa.int32()), pa.array(packed, pa.binary())], ["chunk", "counts"]
         )
 
     return run
 
 
+def _add_chunks(rows: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(CHUNK, np.int64)
+    for counts in rows["counts"]:
+        total += _unpacked(counts)
+    return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
+
+
+def _unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(bytes(counts)), np.int64)
+
+
+def _slots(marks: np.ndarray) -> np.ndarray:
+    return (marks & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
 def _each(row: Callable, size: int, *more) -> Callable:
     """A function for mapInArrow that makes a row of each document from its id and its set."""
 
@@ -298,8 +352,8 @@ def _prefix_row(doc: int | None, marks: np.ndarray, weights: np.ndarray, percent
     Of the marks 40 bits go into the lists: sets that share these by chance are told apart when they are compared.
     """
     n = len(marks)
-    order = np.lexsort((marks, weights[(marks & np.uint64(COUNTERS - 1)).astype(np.int64)]))
-    prefix = marks[order[: n - -(-percent * n // 100) + 1]]
+    order = np.lexsort((marks, weights[_slots(marks)]))
+    prefix = marks[order[: n - -(-percent * n // 100) + 1 + n // MORE]]
     return {"doc": doc, "set": set_id(marks), "n": n, "marks": prefix >> np.uint64(24)}
 
 
