@@ -41,7 +41,7 @@ def test_bpe_equals_library(spark, table, library, most):
     rows += [(100 + i, "".join(rng.choices("abé 1\n'ste.", k=rng.randint(0, 60)))) for i in range(40)]
     vocabulary = bpe.Vocabulary(PATH, public_tokenizers.PATTERN)
     found = bpe.encode(table(rows), vocabulary, most=most)
-    found = found.select("text", "ids", vocabulary.decode(F.col("ids")).alias("back"), vocabulary.ids_as_bytes(F.col("ids")).alias("raw"))
+    found = found.select("text", "ids", vocabulary.decode(F.col("ids")).alias("back"), bpe.ids_as_bytes(F.col("ids")).alias("raw"))
     out = found.collect()
     assert len(out) == len(rows)
     for r in out:
@@ -50,6 +50,16 @@ def test_bpe_equals_library(spark, table, library, most):
         assert bytes(r.back) == (r.text or "").encode() and bytes(r.raw) == struct.pack(f"<{len(want)}I", *want)
 
 
+def test_merges_of_short_and_long_words(library):
+    rng = random.Random(4)
+    vocabulary = bpe.Vocabulary(PATH, public_tokenizers.PATTERN)
+    for n in (1, 2, 7, 60, 190, 300, 3000):
+        word = "".join(rng.choices("abcdeé", k=n))
+        want = library.encode_ordinary(word)
+        assert bpe.merged(word.encode(), vocabulary.ranks) == bpe._merged_long(word.encode(), vocabulary.ranks) == want
+    assert len(bpe.merged(b"ab" * 200_000, vocabulary.ranks)) > 1000
+
+
 def test_bpe_of_nothing(table):
     vocabulary = bpe.Vocabulary(PATH, public_tokenizers.PATTERN)
     assert bpe.encode(table([]), vocabulary).collect() == []

@@ -1,26 +1,39 @@
-"""Byte-level BPE with Spark's higher-order functions."""
+"""Byte-level BPE: Spark's higher-order functions fold the merges of distinct words.
+
+Words that are frequent in the corpus are encoded so, once each. Encoding every other word where it stands in the same
+way takes too long, as is measured in the README; such words are merged by a small helper on Arrow batches.
+"""
 
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 import zlib
 from collections.abc import Iterable
+from itertools import chain, islice
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import settled
+from veiledlake.llm.common import settled, ship
 
 # A rank that stands for "no merge".
 NONE = 2**31 - 1
 # Small maps that a literal is dealt out to: looking up in a map goes through its entries.
 RANK_SLOTS = 1 << 14
-WORD_SLOTS = 1 << 16
-# The words that are encoded once: at most so many, of at most so many bytes, which bounds the literal.
+# The words that are encoded once: at most so many, of at most so many bytes, which bounds the map.
 FREQUENT_WORDS = 1 << 17
 FREQUENT_BYTES = 48
+# Other words that a task remembers until it starts anew, and words of a text that it holds at once.
+REMEMBERED = 100_000
+HELD = 200_000
+# Longer words are merged by a heap.
+LONG = 200
 # White space as in Unicode; Java's \s knows ASCII only.
 SPACES = r"\t-\r \x85\xA0  -     　"
 
@@ -34,10 +47,6 @@ class Vocabulary:
         self.pattern = java_pattern(pattern)
         entries = [(piece.hex().upper(), rank) for piece, rank in self.ranks.items()]
         self._slots = _literal(entries, RANK_SLOTS, "array<map<string,int>>")
-        by_rank = dict((rank, piece) for piece, rank in entries)
-        every = range(max(by_rank) + 1)
-        self._pieces = _array([by_rank.get(i, "") for i in every])
-        self._bytes = _array([i.to_bytes(4, "little").hex() for i in every])
 
     def words(self, text: str) -> Column:
         return F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(self.pattern), F.lit(0))
@@ -85,17 +94,31 @@ class Vocabulary:
         )
         return F.struct(left.alias("p"), ranks.alias("r"))
 
-    def ids_as_bytes(self, ids: Column) -> Column:
-        """Ids as unsigned 32-bit numbers, lowest byte first."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._bytes, i)), ""))
-
     def decode(self, ids: Column) -> Column:
-        """The bytes that ids stand for, from their pieces."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._pieces, i)), ""))
+        """The bytes that ids stand for: their pieces, joined."""
+        pieces = {rank: piece for piece, rank in self.ranks.items()}
+
+        @F.pandas_udf("binary")
+        def joined(rows: pd.Series) -> pd.Series:
+            return rows.map(lambda r: b"".join(map(pieces.__getitem__, r.tolist())))
+
+        return joined(ids)
+
+
+def ids_as_bytes(ids: Column) -> Column:
+    """Ids as unsigned 32-bit numbers, lowest byte first."""
 
+    @F.pandas_udf("binary")
+    def raw(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda r: np.asarray(r, "<u4").tobytes())
 
-def frequent_words(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", most: int = FREQUENT_WORDS) -> Column:
-    """A literal map from the most frequent words of all documents to their ids, encoded once each.
+    return raw(ids)
+
+
+def frequent_words(
+    docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", most: int = FREQUENT_WORDS
+) -> dict[str, list[int]]:
+    """The most frequent words of all documents with their ids, encoded once each.
 
     No words of a frequency are taken if not all fit. It only saves work: any other word is encoded where it stands.
     """
@@ -114,9 +137,10 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text
         if total > most:
             break
         least = n
+    if least > 1000:
+        return {}
     chosen = counts.where(F.col("n") >= least).select("word", vocabulary.encode_word(F.col("word")).alias("ids"))
-    entries = sorted((r["word"], r["ids"]) for r in chosen.collect())
-    return _literal(entries, WORD_SLOTS, "array<map<string,array<int>>>")
+    return {r["word"]: r["ids"] for r in chosen.collect()}
 
 
 def encode(
@@ -125,15 +149,93 @@ def encode(
     """All rows and columns with the token ids of the whole text; a column named like `ids` is replaced.
 
     Every match of the vocabulary's pattern is a word and is encoded by itself. Null and empty texts have no ids.
-    A word of any length is encoded; the time for one word grows with the square of its length.
+    A word of any length is encoded.
     """
-    known = frequent_words(docs, vocabulary, text=text, most=most)
-
-    def word_ids(word: Column) -> Column:
-        found = F.element_at(F.get(known, _slot(word, WORD_SLOTS)), word)
-        return F.coalesce(found, vocabulary.encode_word(word))
-
-    return docs.withColumn(ids, F.flatten(F.transform(vocabulary.words(text), word_ids)))
+    ship(docs.sparkSession)
+    known, ranks, pattern = frequent_words(docs, vocabulary, text=text, most=most), vocabulary.ranks, vocabulary.pattern
+
+    @F.pandas_udf("array<int>")
+    def encoded(texts: pd.Series) -> pd.Series:
+        words, rest = regex.compile(pattern), {}
+        return texts.map(lambda t: _encode_text(t or "", words, known, rest, ranks))
+
+    return docs.withColumn(ids, encoded(F.coalesce(F.col(text), F.lit(""))))
+
+
+def _encode_text(text: str, words: regex.Pattern, known: dict, rest: dict, ranks: dict[bytes, int]) -> np.ndarray:
+    if len(text) <= 4 * HELD:
+        return _encode_words(words.findall(text), known, rest, ranks)
+    matches, parts = words.finditer(text), []
+    while some := [m[0] for m in islice(matches, HELD)]:
+        parts.append(_encode_words(some, known, rest, ranks))
+    return np.concatenate(parts)
+
+
+def _encode_words(words: list[str], known: dict, rest: dict, ranks: dict[bytes, int]) -> np.ndarray:
+    found = list(map(known.get, words))
+    if None in found:
+        for i, ids in enumerate(found):
+            if ids is None:
+                word = words[i]
+                ids = rest.get(word)
+                if ids is None:
+                    if len(rest) >= REMEMBERED:
+                        rest.clear()
+                    ids = rest[word] = merged(word.encode(), ranks)
+                found[i] = ids
+    return np.fromiter(chain.from_iterable(found), np.int32)
+
+
+def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: merges of the lowest rank first, the leftmost of equals."""
+    if word in ranks:
+        return [ranks[word]]
+    if len(word) > LONG:
+        return _merged_long(word, ranks)
+    parts = [word[i : i + 1] for i in range(len(word))]
+    pairs = [ranks.get(a + b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
+    while pairs and (best := min(pairs)) != NONE:
+        i = pairs.index(best)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = ranks.get(parts[i] + parts[i + 1], NONE)
+        if i:
+            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], NONE)
+    return [ranks[p] for p in parts]
+
+
+def _merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with a heap of pairs, for words of any length."""
+    end = list(range(1, len(word) + 1))  # where the piece that starts here ends; 0 once it is part of another
+    before = list(range(-1, len(word) - 1))
+    heap: list[tuple[int, int, int]] = []
+
+    def offer(start: int) -> None:
+        middle = end[start]
+        if start >= 0 and middle < len(word):
+            rank = ranks.get(word[start : end[middle]])
+            if rank is not None:
+                heapq.heappush(heap, (rank, start, end[middle]))
+
+    for i in range(len(word) - 1):
+        offer(i)
+    while heap:
+        _, start, stop = heapq.heappop(heap)
+        middle = end[start]
+        if not middle or middle >= len(word) or end[middle] != stop:
+            continue  # one of the two pieces has been merged since
+        end[start], end[middle] = stop, 0
+        if stop < len(word):
+            before[stop] = start
+        offer(start)
+        if before[start] >= 0:
+            offer(before[start])
+    ids, at = [], 0
+    while at < len(word):
+        ids.append(ranks[word[at : end[at]]])
+        at = end[at]
+    return ids
 
 
 def java_pattern(pattern: str) -> str:
@@ -156,7 +258,3 @@ def _literal(entries: Iterable[tuple], slots: int, kind: str) -> Column:
     for key, value in entries:
         maps[zlib.crc32(key.encode()) % slots][key] = value
     return F.from_json(F.lit(json.dumps(maps, ensure_ascii=False, separators=(",", ":"))), kind)
-
-
-def _array(values: list[str]) -> Column:
-    return F.split(F.lit(",".join(values)), ",")

@@ -77,7 +77,7 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     return bpe.encode(docs.select("doc_id", "text"), vocabulary).select(
         "doc_id",
         F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(vocabulary.ids_as_bytes(ids), 256).alias("ids_sha256"),
+        F.sha2(bpe.ids_as_bytes(ids), 256).alias("ids_sha256"),
         F.sha2(vocabulary.decode(ids), 256).alias("decoded_sha256"),
     )
 
