@@ -120,6 +120,8 @@ def test_jaccard_components(table, monkeypatch, seed, rounds):
     monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", rounds)
     docs = near_copies(random.Random(seed), 12)
     docs += [(None, docs[0][1]), (None, "nobody has this text but one"), (3, docs[3][1]), (500, None), (501, " \t\n")]
+    nameless = [f"n{i}" for i in range(40)]
+    docs += [(None, " ".join(nameless)), (None, " ".join([*nameless[:-1], "other"]))]
     found = jaccard.jaccard_components(table(docs))
     assert sorted(map(tuple, found.collect()), key=str) == sorted(components(docs), key=str)
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from veiledlake import storage
 from veiledlake.operators.sizes import BROADCAST_BYTES, memory_size
 
+# Whether a query removes its shuffle files at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE_WORDS = r"[^\x20\x09-\x0D]+"
 PLAIN_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -51,10 +53,15 @@ def words(text: str, pattern: str) -> Column:
 def settled(df: DataFrame) -> DataFrame:
     """Written to the folder that the cluster shares: executors may be lost, and nothing is computed twice.
 
-    The folder goes with the session.
+    The folder goes with the session. The shuffles behind it go at once, as nothing needs them any more.
     """
     spark, folder = df.sparkSession, storage.work_folder(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(folder)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -238,17 +238,14 @@ def _common_marks(pairs: DataFrame, prefixes: DataFrame, classes: DataFrame) ->
     takes. A common line or passage makes a pair, but rarely so many marks.
     """
     members = pairs.select("set").union(pairs.select("other")).distinct().join(classes.select("set", "doc"), "set")
-    ids = broadcast_if_small(settled(members))
+    ids = settled(members)
     marks = prefixes.select("set", "doc", "marks").join(
-        ids.withColumnsRenamed({"set": "wanted", "doc": "from"}),
+        broadcast_if_small(ids).withColumnsRenamed({"set": "wanted", "doc": "from"}),
         (F.col("set") == F.col("wanted")) & F.col("doc").eqNullSafe(F.col("from")),
         "left_semi",
     )
-    marks = settled(marks.dropDuplicates(["set"]))
-    one = marks.select("set", "marks")
-    two = marks.select(F.col("set").alias("other"), F.col("marks").alias("others"))
+    joined = _with_both(pairs, _once(marks.select("set", "marks"), ids))
     least = 1 + F.floor(F.least("n", "m") / MORE)
-    joined = pairs.join(one, "set").join(two, "other")
     joined = joined.where(F.size(F.array_intersect("marks", "others")) >= least)
     return joined.select("set", "other", "n", "m")
 
@@ -259,11 +256,25 @@ def _overlaps(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int)
     ids = broadcast_if_small(settled(members.select(F.col("doc").alias("wanted")).distinct()))
     chosen = texts.join(ids, F.col("doc").eqNullSafe(F.col("wanted")), "left_semi")
     sets = chosen.mapInArrow(_each(_set_row, size), "doc long, set long, marks array<long>")
-    sets = settled(sets.join(members.select("set", "doc"), ["set", "doc"], "left_semi").dropDuplicates(["set"]))
-    one = sets.select("set", "marks")
-    two = sets.select(F.col("set").alias("other"), F.col("marks").alias("others"))
+    own = members.select(F.col("set").alias("a"), F.col("doc").alias("b"))
+    sets = sets.join(own, (F.col("set") == F.col("a")) & F.col("doc").eqNullSafe(F.col("b")), "left_semi")
+    sets = sets.select("set", "marks")
     shared = F.size(F.array_intersect("marks", "others")).cast("long")
-    return pairs.join(one, "set").join(two, "other").select("set", "other", "n", "m", shared.alias("overlap"))
+    joined = _with_both(pairs, _once(sets, members))
+    return joined.select("set", "other", "n", "m", shared.alias("overlap"))
+
+
+def _once(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """One row for each of the members; there are more only where whole rows are repeated."""
+    sets = settled(sets)
+    return settled(sets.dropDuplicates(["set"])) if sets.count() > members.count() else sets
+
+
+def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with the marks of both sets; named alike but for the names, so that one shuffle of the sets serves both."""
+    one = sets.select(F.col("set").alias("a"), F.col("marks").alias("marks"))
+    two = sets.select(F.col("set").alias("b"), F.col("marks").alias("others"))
+    return pairs.join(one, F.col("set") == F.col("a")).join(two, F.col("other") == F.col("b"))
 
 
 def _weights(texts: DataFrame, size: int) -> np.ndarray:
