@@ -65,6 +65,17 @@ def settled(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def sample_of(rows: DataFrame, text: str, most: int) -> DataFrame:
+    """At most so many rows, the first by a hash of their text; all rows are counted, and few are sorted.
+
+    Twice the rows wanted fall below the bound on the hash, so that copies of one text do not leave too few.
+    """
+    place, found = F.xxhash64(text), rows.count()
+    if found > 2 * most:
+        rows = rows.where(F.pmod(place, F.lit(1 << 30)) < (1 << 30) * 2 * most / found)
+    return rows.withColumn("_place", place).orderBy("_place").limit(most).drop("_place")
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """A settled table, marked for broadcast if its measured size is within the library's bound.
 

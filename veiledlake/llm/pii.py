@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import ship
+from veiledlake.llm.common import sample_of, ship
 
 # The kinds in their order, and what they match.
 KINDS = ("email", "ip", "card", "phone")
@@ -217,13 +217,9 @@ def fit(docs: DataFrame, *, text: str = "text", sample: int = SAMPLE, epochs: in
     has no entity.
     """
     ship(docs.sparkSession)
+    found = docs.select(F.col(text).cast("string").alias("text")).where(F.col("text").rlike("[0-9]{2}|@"))
     rows = (
-        docs.select(F.col(text).cast("string").alias("text"))
-        .where(F.col("text").rlike("[0-9]{2}|@"))
-        .select("text", F.xxhash64("text").alias("place"))
-        .orderBy("place")
-        .limit(sample)
-        .select("text")
+        sample_of(found, "text", sample)
         .mapInArrow(_training_rows, "features array<array<int>>, starts array<int>, ends array<int>, kinds array<int>")
         .toPandas()
     )

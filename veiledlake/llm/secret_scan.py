@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import ship
+from veiledlake.llm.common import sample_of, ship
 
 # The kinds in their order, and what they match.
 KINDS = ("assign", "access", "hex")
@@ -167,13 +167,9 @@ def fit(docs: DataFrame, *, text: str = "text", sample: int = SAMPLE, epochs: in
     also marks what the patterns do not name. None if no document has a suspicious run.
     """
     ship(docs.sparkSession)
+    found = docs.select(F.col(text).cast("string").alias("text")).where(F.col("text").rlike("[A-Za-z0-9+/_.=-]{16}"))
     rows = (
-        docs.select(F.col(text).cast("string").alias("text"))
-        .where(F.col("text").rlike("[A-Za-z0-9+/_.=-]{16}"))
-        .select("text", F.xxhash64("text").alias("place"))
-        .orderBy("place")
-        .limit(sample)
-        .select("text")
+        sample_of(found, "text", sample)
         .mapInArrow(_training_rows, "features array<array<int>>, tags array<int>")
         .toPandas()
     )
