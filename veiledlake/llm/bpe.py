@@ -27,11 +27,12 @@ NONE = 2**31 - 1
 # Small maps that a literal is dealt out to: looking up in a map goes through its entries.
 RANK_SLOTS = 1 << 14
 # The words that are encoded once: at most so many, of at most so many bytes, which bounds the map.
-FREQUENT_WORDS = 1 << 17
+FREQUENT_WORDS = 1 << 15
 FREQUENT_BYTES = 48
 # Other words that a task remembers until it starts anew, and words of a text that it holds at once.
 REMEMBERED = 100_000
 HELD = 200_000
+PLAN_TEXT = "spark.sql.maxPlanStringLength"
 # Longer words are merged by a heap.
 LONG = 200
 # White space as in Unicode; Java's \s knows ASCII only.
@@ -64,9 +65,9 @@ class Vocabulary:
         pieces = F.transform(
             F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda i: F.substring(digits, i, F.lit(2))
         )
-        whole = self.rank(digits)
-        merged = _let(pieces, lambda p: F.aggregate(p, self._start(p), self._step, lambda s: s["p"]))
-        return F.coalesce(F.when(whole.isNotNull(), F.array(whole)), F.transform(merged, self.rank))
+        merges = _let(pieces, lambda p: F.aggregate(p, self._start(p), self._step, lambda s: s["p"]))
+        folded = F.transform(merges, self.rank)
+        return _let(self.rank(digits), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
 
     def _start(self, p: Column) -> Column:
         pairs = F.transform(F.slice(p, F.lit(2), F.size(p)), lambda x, i: F.concat(F.get(p, i), x))
@@ -140,7 +141,14 @@ def frequent_words(
     if least > 1000:
         return {}
     chosen = counts.where(F.col("n") >= least).select("word", vocabulary.encode_word(F.col("word")).alias("ids"))
-    return {r["word"]: r["ids"] for r in chosen.collect()}
+    # The plan holds the rank map several times: its text would fill the driver.
+    spark = docs.sparkSession
+    before = spark.conf.get(PLAN_TEXT)
+    spark.conf.set(PLAN_TEXT, "20000")
+    try:
+        return {r["word"]: r["ids"] for r in chosen.collect()}
+    finally:
+        spark.conf.set(PLAN_TEXT, before)
 
 
 def encode(
