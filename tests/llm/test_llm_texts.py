@@ -60,6 +60,16 @@ def test_merges_of_short_and_long_words(library):
     assert len(bpe.merged(b"ab" * 200_000, vocabulary.ranks)) > 1000
 
 
+def test_frequent_words_whatever_the_counts(table, library):
+    vocabulary = bpe.Vocabulary(PATH, public_tokenizers.PATTERN)
+    counts = {" ab": 9000, " cd": 4200, " ef": 1500, " gh": 1500, " ij": 1500, " kl": 1001, " mn": 7, " op": 1}
+    docs = table([(i, word * n) for i, (word, n) in enumerate(counts.items())])
+    for most in (0, 1, 2, 3, 4, 5, 6, 9):
+        found = bpe.frequent_words(docs, vocabulary, most=most)
+        assert len(found) == min(most, 7) and all(ids == library.encode_ordinary(w) for w, ids in found.items())
+        assert sorted(counts[w] for w in found) == sorted(sorted(counts.values(), reverse=True)[: len(found)])
+
+
 def test_bpe_of_nothing(table):
     vocabulary = bpe.Vocabulary(PATH, public_tokenizers.PATTERN)
     assert bpe.encode(table([]), vocabulary).collect() == []

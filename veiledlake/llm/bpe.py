@@ -29,6 +29,8 @@ RANK_SLOTS = 1 << 14
 # The words that are encoded once: at most so many, of at most so many bytes, which bounds the map.
 FREQUENT_WORDS = 1 << 15
 FREQUENT_BYTES = 48
+# Bits of a number that one job looks at to find the bound of the most frequent words.
+DIGIT = 12
 # Other words that a task remembers until it starts anew, and words of a text that it holds at once.
 REMEMBERED = 100_000
 HELD = 200_000
@@ -121,7 +123,8 @@ def frequent_words(
 ) -> dict[str, list[int]]:
     """The most frequent words of all documents with their ids, encoded once each.
 
-    No words of a frequency are taken if not all fit. It only saves work: any other word is encoded where it stands.
+    Of words of the same frequency those with the greater hash are taken. It only saves work: any other word is encoded
+    where it stands.
     """
     counts = (
         docs.select(F.explode_outer(vocabulary.words(text)).alias("word"))
@@ -129,18 +132,13 @@ def frequent_words(
         .agg(F.count("*").alias("n"))
         .where(F.col("word").isNotNull() & (F.col("n") > 1) & (F.octet_length("word") <= FREQUENT_BYTES))
     )
-    counts = settled(counts)
-    # Counts above 1000 are one step, so that the driver gets a list of fixed length.
-    steps = counts.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("words")).collect()
-    least, total = 1001, 0
-    for n, found in sorted(((r["n"], r["words"]) for r in steps), reverse=True):
-        total += found
-        if total > most:
-            break
-        least = n
-    if least > 1000:
-        return {}
-    chosen = counts.where(F.col("n") >= least).select("word", vocabulary.encode_word(F.col("word")).alias("ids"))
+    counts = settled(counts.withColumn("place", F.pmod(F.xxhash64("word"), F.lit(1 << 3 * DIGIT))))
+    highest = counts.agg(F.max("n")).first()[0] or 0
+    above, taken = _above(counts, "n", highest, most)
+    equal = counts.where(F.col("n") == above)
+    place, _ = _above(equal, "place", (1 << 3 * DIGIT) - 1, most - taken)
+    chosen = counts.where((F.col("n") > above) | ((F.col("n") == above) & (F.col("place") > place)))
+    chosen = chosen.select("word", vocabulary.encode_word(F.col("word")).alias("ids"))
     # The plan holds the rank map several times: its text would fill the driver.
     spark = docs.sparkSession
     before = spark.conf.get(PLAN_TEXT)
@@ -151,6 +149,26 @@ def frequent_words(
         spark.conf.set(PLAN_TEXT, before)
 
 
+def _above(counts: DataFrame, key: str, highest: int, most: int) -> tuple[int, int]:
+    """The smallest number that at most `most` rows have a key above, and how many rows these are; -1 if all fit.
+
+    It is found digit by digit, so that the driver gets a list of bounded length whatever the counts are.
+    """
+    bound, taken = 0, 0
+    digits = max(1, -(-highest.bit_length() // DIGIT))
+    for shift in range((digits - 1) * DIGIT, -1, -DIGIT):
+        inside = counts.where(F.shiftright(key, shift + DIGIT) == bound)
+        steps = inside.groupBy(F.shiftright(key, shift).alias("step")).agg(F.count("*").alias("words")).collect()
+        for step, found in sorted(((r["step"], r["words"]) for r in steps), reverse=True):
+            if taken + found > most:
+                bound = step
+                break
+            taken += found
+        else:
+            return -1, taken
+    return bound, taken
+
+
 def encode(
     docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", ids: str = "ids", most: int = FREQUENT_WORDS
 ) -> DataFrame:
