@@ -215,6 +215,28 @@ def test_style_tree_finds_what_a_site_repeats(table):
         assert r.text == want.replace("<p>", "").replace("</p>", "\n").strip()
 
 
+def test_importance_outweighs_names(table):
+    rng = random.Random(5)
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcdef", k=5)) for _ in range(n))
+
+    rows, want = [], {}
+    for i in range(40):
+        inside, beside = words(12), words(12)
+        want[i] = f"{inside}\n{beside}"
+        rows.append((
+            i,
+            f"http://s.example/{i}",
+            f"<article><p>{inside}</p><div class=box>the same on each page</div></article>"
+            f"<div class=more>{beside}</div><div class=end>Since 1999</div><nav>{words(3)}</nav>",
+        ))
+    rows += [(100 + i, "http://copies.example/", "<div>Top</div><main><p>All the same</p></main>") for i in range(5)]
+    found = {r.page_id: r.text for r in site_trees.extract(table(rows, PAGES)).collect()}
+    assert {i: found[i] for i in want} == want
+    assert {found[100 + i] for i in range(5)} == {"All the same"}
+
+
 needs_data = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 
 

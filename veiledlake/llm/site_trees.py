@@ -19,6 +19,8 @@ from veiledlake.llm.common import broadcast_if_small, settled, ship
 
 # A branch stays if its importance and what its names say add up to this.
 KEEP = 0.3
+# What names add to the importance inside of a main part, and take from it outside, where the page has one.
+PRIOR = 0.2
 # How much the spread of styles counts against the content of a node with so many styles.
 GAMMA = 0.9
 # Counts that a task holds before it passes them on.
@@ -186,21 +188,22 @@ def parse(html: str | None) -> Tree:
     return tree
 
 
-def main_text(tree: Tree, low: dict[int, float]) -> str:
+def main_text(tree: Tree, low: dict[int, float], other: float = 1.0) -> str:
     """The blocks that stay: no part of their branch may fall below KEEP.
 
-    A path that is not in `low` has importance 1. On pages with a main part, what stands outside it counts less. Where
-    nothing would stay, names alone decide: a site may be copies of one page.
+    A path that is not in `low` has importance `other`. On pages with a main part, names add to the importance inside
+    it and take from it outside; importance can outweigh both. Where nothing would stay, names alone decide: a site may
+    be copies of one page.
     """
     has_main = any(p == 1 for branch, _ in tree.blocks for _, p in branch if all(q >= 0 for _, q in branch))
     kept = []
     for branch, text in tree.blocks:
         inside = any(p == 1 for _, p in branch)
-        outside = 0.8 if has_main and not inside else 0.0
-        worth = [low.get(path, 1.0) + (1.0 if inside and p >= 0 else p) - outside for path, p in branch]
-        if min(worth, default=1.0 - outside) >= KEEP:
+        side = PRIOR if inside else -PRIOR if has_main else 0.0
+        worth = [low.get(path, other) + (side if p >= 0 else p) for path, p in branch]
+        if min(worth, default=other + side) >= KEEP:
             kept.append(text)
-    return "\n".join(kept) if kept or not low else main_text(tree, {})
+    return "\n".join(kept) if kept or not low else main_text(tree, {}, KEEP)
 
 
 def style_tree(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
@@ -236,7 +239,7 @@ def style_tree(pages: DataFrame, *, url: str = "url", html: str = "html") -> Dat
     share = F.pow(F.lit(GAMMA), F.col("styles"))
     both = F.when(F.col("styles") > 0, (1 - share) * looks + share * content).otherwise(content)
     low = nodes.where("m > 1 and texts > 0").select("host", "path", both.alias("importance"))
-    return low.where(F.col("importance") < KEEP + 0.7)
+    return low.where(F.col("importance") < KEEP + PRIOR)
 
 
 def extract(pages: DataFrame, *, url: str = "url", html: str = "html", out: str = "text") -> DataFrame:
