@@ -165,3 +165,8 @@ def test_field_marks_other_secrets(table):
     assert [(s.kind, new[0][1][s.start : s.end]) for s in found[1]] == [("secret", other)]
     assert found[2] == found[3] == found[4] == []
     assert secret_scan.fit(docs.limit(0)) is None and secret_scan.scan(docs.limit(0), None).collect() == []
+
+
+def test_features_are_of_the_whole_text():
+    assert secret_scan.file_features("x " * 60_000 + "token = a secret") == ["named=2", "assigns=1"]
+    assert secret_scan._shape("-" * 256 + "a1B2") != secret_scan._shape("-" * 256)

@@ -59,7 +59,7 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 def chains(text: str) -> Iterator[list[tuple[int, int]]]:
     """Token spans around suspicious runs: those that hold a digit, or change case or sign often."""
-    spots = [m.span() for m in RUN.finditer(text) if _suspicious(text[m.start() : min(m.end(), m.start() + 256)])]
+    spots = [m.span() for m in RUN.finditer(text) if _suspicious(m[0])]
     k = 0
     while k < len(spots):
         first, last = spots[k][0], spots[k][1]
@@ -79,7 +79,7 @@ def _suspicious(run: str) -> bool:
 
 def token_features(text: str, tokens: list[tuple[int, int]], about: list[str]) -> list[list[int]]:
     """Hashed features of each token: its shape, the words beside it, and those of the whole file."""
-    words = [text[a : min(b, a + 256)] for a, b in tokens]
+    words = [text[a:b] for a, b in tokens]
     shapes = [_shape(w) for w in words]
     rows = []
     for i, (word, shape) in enumerate(zip(words, shapes, strict=True)):
@@ -113,7 +113,7 @@ def _shape(word: str) -> list[str]:
 
 
 def file_features(text: str) -> list[str]:
-    low = text[:100_000].lower()
+    low = text.lower()
     named = sum(k in low for k in KEYWORDS)
     return [f"named={min(named, 2)}", f"assigns={min(low.count('=').bit_length(), 4)}"]
 
