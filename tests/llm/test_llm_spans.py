@@ -167,6 +167,41 @@ def test_field_marks_other_secrets(table):
     assert secret_scan.fit(docs.limit(0)) is None and secret_scan.scan(docs.limit(0), None).collect() == []
 
 
+def test_tags_are_those_of_the_whole_text(monkeypatch):
+    rng, plain = np.random.default_rng(3), random.Random(3)
+    monkeypatch.setattr(secret_scan, "BLOCK", 7)
+    for scale in (0.1, 1.0):
+        move = rng.normal(size=(3, 3)) * scale + secret_scan._BARRED
+        model = secret_scan.Model(rng.normal(size=(secret_scan.FEATURES, 3)), move)
+        weights = secret_scan.Weights(model)
+        for n in (1, 2, 5, 40, 300):
+            words = [plain.choice(["a", "key", "=", "Ab1", "x" * 20, "9f" * 150]) for _ in range(n)]
+            rows = secret_scan.token_features(words, ["named=1"])
+            tags = [0] * n
+            for first, part in weights.tagged(words, ["named=1"]):
+                tags[first : first + len(part)] = part
+            assert tags == secret_scan.decode(rows, model)
+
+
+def test_field_tags_all_tokens(table):
+    rng = random.Random(4)
+
+    def key(n):
+        return "".join(rng.choices("0123456789abcdefghijkmnp", k=n))
+
+    docs = table([(i, f"some words here password: {key(12)} and more words to read") for i in range(150)])
+    model = secret_scan.fit(docs)
+    pad = "some more words to read and " * 6000
+    short, late = key(12), key(12)
+    new = [(1, f"some words here pwd: {short} and more words"), (2, f"{pad} some words here pwd: {late} and more words")]
+    found = {r.doc_id: r.secrets for r in secret_scan.scan(table(new), model).collect()}
+    for (i, text), want in zip(new, (short, late), strict=True):
+        assert [(s.kind, text[s.start : s.end]) for s in found[i]] == [("secret", want)]
+
+
 def test_features_are_of_the_whole_text():
     assert secret_scan.file_features("x " * 60_000 + "token = a secret") == ["named=2", "assigns=1"]
     assert secret_scan._shape("-" * 256 + "a1B2") != secret_scan._shape("-" * 256)
+    run = "-" * 300 + "k3J9x7Q2"
+    assert (0, len(run)) in [t for chain in secret_scan.chains(run, []) for t in chain]
+    assert secret_scan.token_features([run], []) != secret_scan.token_features(["-" * 300 + "kkkkkkkk"], [])

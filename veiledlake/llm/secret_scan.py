@@ -7,6 +7,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -25,17 +26,22 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-# Runs of this length are what the field looks at; words around them are context.
+# Around runs of this length, and around what the patterns find, lies the text that the field learns from.
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}+")
 CONTEXT = 60
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]+|[^\sA-Za-z0-9+/_.=-]")
-# Runs nearer than this share a chain; a chain is bounded by the field, not by the text.
-CHAIN_TOKENS = 64
+# Tokens of any other place of a text that it learns from too, and tokens whose scores are held at once.
+ORDINARY = 32
+BLOCK = 1 << 16
+# Different words whose weights a task remembers until it starts anew.
+REMEMBERED = 200_000
 FEATURES = 1 << 14
 OUTSIDE, BEGIN, INSIDE = range(3)
 # The bound of the sample that the weights are fitted on, in documents.
 SAMPLE = 1500
 EPOCHS = 6
+# Documents that the weights may be fitted on: those with a long run or with what the patterns may find.
+LEARNED = r"""[A-Za-z0-9+/_.=-]{16}|(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]"""
 
 
 @dataclass(frozen=True)
@@ -57,19 +63,23 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return [(a, KINDS[k], b) for a, k, b in sorted(found)]
 
 
-def chains(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Token spans around suspicious runs: those that hold a digit, or change case or sign often."""
+def chains(text: str, base: list[tuple[int, str, int]]) -> Iterator[list[tuple[int, int]]]:
+    """Token spans to learn from: around suspicious runs and base spans, and some of another place of the text."""
     spots = [m.span() for m in RUN.finditer(text) if _suspicious(m[0])]
+    spots = sorted(spots + [(a, b) for a, _, b in base])
+    place = zlib.crc32(text.encode("utf-8", "replace")) % (len(text) or 1)
     k = 0
     while k < len(spots):
         first, last = spots[k][0], spots[k][1]
         k += 1
-        while k < len(spots) and spots[k][0] - last <= CONTEXT:
-            last = spots[k][1]
+        while k < len(spots) and spots[k][0] - last <= 2 * CONTEXT:
+            last = max(last, spots[k][1])
             k += 1
-        tokens = [m.span() for m in TOKEN.finditer(text, max(0, first - CONTEXT), min(len(text), last + CONTEXT))]
-        for i in range(0, len(tokens), CHAIN_TOKENS):
-            yield tokens[i : i + CHAIN_TOKENS]
+        first, last = max(0, first - CONTEXT), min(len(text), last + CONTEXT)
+        if first <= place + 10 * ORDINARY and place <= last:
+            place = len(text)
+        yield [m.span() for m in TOKEN.finditer(text, first, last)]
+    yield [m.span() for m in islice(TOKEN.finditer(text, place), ORDINARY)]
 
 
 def _suspicious(run: str) -> bool:
@@ -77,24 +87,109 @@ def _suspicious(run: str) -> bool:
     return digits >= 2 or sum(a.islower() != b.islower() for a, b in zip(run, run[1:], strict=False)) >= 5
 
 
-def token_features(text: str, tokens: list[tuple[int, int]], about: list[str]) -> list[list[int]]:
+def token_features(words: list[str], about: list[str]) -> list[list[int]]:
     """Hashed features of each token: its shape, the words beside it, and those of the whole file."""
-    words = [text[a:b] for a, b in tokens]
-    shapes = [_shape(w) for w in words]
-    rows = []
-    for i, (word, shape) in enumerate(zip(words, shapes, strict=True)):
-        names = ["bias", *shape, *about]
-        if len(word) < 16:
-            names.append("word=" + word.lower())
-        for step in (1, 2, 3):
-            if i >= step:
-                names.append(f"-{step}=" + (words[i - step].lower() if len(words[i - step]) < 16 else "long"))
-        if i + 1 < len(words):
-            names.append("+1=" + (words[i + 1].lower() if len(words[i + 1]) < 16 else "long"))
-        rows.append([zlib.crc32(n.encode("utf-8", "replace")) % FEATURES for n in names])
+    own, beside = [_hashed(_own(w)) for w in words], [_beside(w) for w in words]
+    file, rows = _hashed(about), []
+    for i, row in enumerate(own):
+        near = [beside[i - step][step - 1] for step in (1, 2, 3) if i >= step]
+        near += [beside[i + 1][3]] if i + 1 < len(words) else []
+        rows.append([*row, *file, *near])
     return rows
 
 
+def _own(word: str) -> list[str]:
+    return ["bias", *_shape(word), *(["word=" + word.lower()] if len(word) < 16 else [])]
+
+
+def _beside(word: str) -> list[int]:
+    """What a word says of the tokens one, two and three places after it, and of the one before it."""
+    name = word.lower() if len(word) < 16 else "long"
+    return _hashed([f"-1={name}", f"-2={name}", f"-3={name}", f"+1={name}"])
+
+
+def _hashed(names: list[str]) -> list[int]:
+    return [zlib.crc32(n.encode("utf-8", "replace")) % FEATURES for n in names]
+
+
+class Weights:
+    """Scores of the tokens of a text. What a word adds, to itself and to others, is summed up once."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.places: dict[str, int] = {}
+        self.table = np.zeros((1024, 5, 3))
+
+    def places_of(self, words: list[str]) -> np.ndarray:
+        if len(self.places) > REMEMBERED:
+            self.places.clear()
+            self.table = np.zeros((1024, 5, 3))
+        found = list(map(self.places.get, words))
+        if None in found:
+            for i, place in enumerate(found):
+                if place is None:
+                    found[i] = self._place(words[i])
+        return np.array(found, np.int32)
+
+    def _place(self, word: str) -> int:
+        place = self.places.get(word)
+        if place is None:
+            place = self.places[word] = len(self.places)
+            if place == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            emit = self.model.emit
+            self.table[place, 0] = emit[_hashed(_own(word))].sum(axis=0)
+            self.table[place, 1:] = emit[_beside(word)]
+        return place
+
+    def scores(self, places: np.ndarray, about: list[str], first: int, last: int) -> np.ndarray:
+        """Scores of the tokens from first to last (exclusive); their neighbours on both sides count."""
+        near = places[max(0, first - 3) : last + 1]
+        rows, lead, n = self.table[near], first - max(0, first - 3), last - first
+        scores = rows[lead : lead + n, 0] + self.model.emit[_hashed(about)].sum(axis=0)
+        for step in (1, 2, 3):
+            skip = max(0, step - lead)
+            if skip < n:
+                scores[skip:] += rows[lead + skip - step : lead + n - step, step]
+        after = rows[lead + 1 : lead + n + 1, 4]
+        scores[: len(after)] += after
+        return scores
+
+    def tagged(self, words: list[str], about: list[str]) -> Iterator[tuple[int, list[int]]]:
+        """Where a part of the text begins that is not plainly outside, and its best tags: those of the whole text.
+
+        A token is plainly outside if no tags around it can make up for what another tag of its own would cost. On both
+        sides of it the best tags do not depend on each other, so only what lies between such tokens is decoded.
+        """
+        places, move = self.places_of(words), self.model.move
+        held: list[np.ndarray] = []
+        start = 0
+        free = move[_BARRED == 0]
+        spread = float(free.max() - free.min())
+        for first in range(0, len(words), BLOCK):
+            last = min(first + BLOCK, len(words))
+            # One more token: what the next one gains by being inside and not at a begin.
+            scores = self.scores(places, about, first, min(last + 1, len(words)))
+            gain = np.zeros(len(scores))
+            gain[:-1] = np.maximum(scores[1:, INSIDE] - scores[1:, BEGIN], 0)
+            plain = scores[:, OUTSIDE] - scores[:, 1:].max(axis=1) > 3 * spread + gain + 1e-6
+            plain, scores = plain[: last - first], scores[: last - first]
+            at = 0
+            for stop in (*np.flatnonzero(plain).tolist(), None):
+                part = scores[at : None if stop is None else stop]
+                if len(part):
+                    if not held:
+                        start = first + at
+                    held.append(part)
+                if stop is not None:
+                    if held:
+                        yield start, best_tags(np.concatenate(held), move, start > 0, True)
+                        held = []
+                    at = stop + 1
+        if held:
+            yield start, best_tags(np.concatenate(held), move, start > 0, False)
+
+
 def _shape(word: str) -> list[str]:
     n = len(word)
     digits, upper = sum(map(str.isdigit, word)), sum(map(str.isupper, word))
@@ -118,20 +213,24 @@ def file_features(text: str) -> list[str]:
     return [f"named={min(named, 2)}", f"assigns={min(low.count('=').bit_length(), 4)}"]
 
 
-def find_spans(text: str | None, model: Model | None) -> list[tuple[int, str, int]]:
-    """Base spans, and what the field marks beside them (kind `secret`)."""
+def find_spans(text: str | None, weights: Weights | None) -> list[tuple[int, str, int]]:
+    """Base spans, and what the field marks beside them (kind `secret`). The field tags all tokens of the text."""
     if not text:
         return []
     base = base_spans(text)
-    if model is None:
+    words = TOKEN.findall(text) if weights else []
+    if not words:
         return base
     taken = np.array([(a, b) for a, _, b in base]).reshape(-1, 2)
-    more, about = [], None
-    for tokens in chains(text):
-        about = about or file_features(text)
-        tags = decode(token_features(text, tokens, about), model)
+    more, spans, at = [], None, 0
+    for first, tags in weights.tagged(words, file_features(text)):
+        if not any(tags):
+            continue
+        spans = spans or (m.span() for m in TOKEN.finditer(text))
+        own = list(islice(spans, first - at, first - at + len(tags)))
+        at = first + len(tags)
         start = None
-        for (a, b), tag, after in zip(tokens, tags, [*tags[1:], OUTSIDE], strict=True):
+        for (a, b), tag, after in zip(own, tags, [*tags[1:], OUTSIDE], strict=True):
             if tag == BEGIN:
                 start = a
             if tag != OUTSIDE and after != INSIDE and start is not None:
@@ -143,16 +242,26 @@ def find_spans(text: str | None, model: Model | None) -> list[tuple[int, str, in
 
 
 def decode(rows: list[list[int]], model: Model) -> list[int]:
-    """The best tags by Viterbi; inside follows begin or inside only."""
-    scores = np.array([model.emit[r].sum(axis=0) for r in rows])
-    best, back = scores[0] + _START, []
-    for row in scores[1:]:
-        step = best[:, None] + model.move
-        back.append(step.argmax(axis=0))
-        best = step.max(axis=0) + row
-    tags = [int(best.argmax())]
+    """The best tags of a whole text by Viterbi; inside follows begin or inside only."""
+    return best_tags(np.array([model.emit[r].sum(axis=0) for r in rows]), model.move, False, False)
+
+
+def best_tags(scores: np.ndarray, move: np.ndarray, before: bool, after: bool) -> list[int]:
+    """The best tags of a part of a text, with a token that is outside before or after it or without."""
+    (m00, m01, m02), (m10, m11, m12), (m20, m21, m22) = move.tolist()
+    rows = scores.tolist()
+    start = move[OUTSIDE] if before else _START
+    x, y, z = (a + float(b) for a, b in zip(rows[0], start, strict=True))
+    back = []
+    for r in rows[1:]:
+        o, b, i = (x + m00, y + m10, z + m20), (x + m01, y + m11, z + m21), (x + m02, y + m12, z + m22)
+        p, q, s = max(o), max(b), max(i)
+        back.append((o.index(p), b.index(q), i.index(s)))
+        x, y, z = p + r[0], q + r[1], s + r[2]
+    last = (x + m00, y + m10, z + m20) if after else (x, y, z)
+    tags = [last.index(max(last))]
     for prev in reversed(back):
-        tags.append(int(prev[tags[-1]]))
+        tags.append(prev[tags[-1]])
     return tags[::-1]
 
 
@@ -164,10 +273,10 @@ def fit(docs: DataFrame, *, text: str = "text", sample: int = SAMPLE, epochs: in
     """Weights from the chains of at most `sample` documents, the first by a hash of the text.
 
     The patterns give the tags to learn from; tokens are seen by their shape and neighbours only, so that the field
-    also marks what the patterns do not name. None if no document has a suspicious run.
+    also marks what the patterns do not name. None if there is no such document.
     """
     ship(docs.sparkSession)
-    found = docs.select(F.col(text).cast("string").alias("text")).where(F.col("text").rlike("[A-Za-z0-9+/_.=-]{16}"))
+    found = docs.select(F.col(text).cast("string").alias("text")).where(F.col("text").rlike(LEARNED))
     rows = (
         sample_of(found, "text", sample)
         .mapInArrow(_training_rows, "features array<array<int>>, tags array<int>")
@@ -218,8 +327,8 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for text in batch.column(0).to_pylist():
             base, about = base_spans(text), file_features(text)
             values = [ASSIGN.match(text, a).span(2) if kind == "assign" else (a, b) for a, kind, b in base]
-            for tokens in chains(text):
-                features.append(token_features(text, tokens, about))
+            for tokens in chains(text, base):
+                features.append(token_features([text[a:b] for a, b in tokens], about))
                 tags.append([_tag(t, values) for t in tokens])
         yield pa.RecordBatch.from_arrays(
             [pa.array(features, kinds[0]), pa.array(tags, kinds[1])], ["features", "tags"]
@@ -244,9 +353,14 @@ def scan(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFra
 
 
 def _finder(model: Model | None) -> Callable:
+    held: list[Weights] = []  # a task's own, made when it begins
+
     @F.pandas_udf("array<struct<start: int, kind: string, end: int>>")
     def spans(texts: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("start", "kind", "end"), s, strict=True)) for s in find_spans(t, model)] for t in texts])
+        if model and not held:
+            held.append(Weights(model))
+        weights = held[0] if model else None
+        return pd.Series([[dict(zip(("start", "kind", "end"), s, strict=True)) for s in find_spans(t, weights)] for t in texts])
 
     return spans
 
