@@ -205,3 +205,24 @@ def test_features_are_of_the_whole_text():
     run = "-" * 300 + "k3J9x7Q2"
     assert (0, len(run)) in [t for chain in secret_scan.chains(run, []) for t in chain]
     assert secret_scan.token_features([run], []) != secret_scan.token_features(["-" * 300 + "kkkkkkkk"], [])
+
+
+def test_candidates_begin_and_end_at_each_border():
+    def found(text):
+        return {text[a:b] for a, b in pii.candidates(text, [])}
+
+    numbers = [f"555-{i}{i}{i}-45{i}7" for i in range(10)]
+    assert set(numbers) <= found(" ".join(numbers))
+    assert {"(555) 123-4567", "(555) 222-3333"} <= found("(555) 123-4567 (555) 222-3333")
+    assert all(7 <= len(re.sub("[^0-9]", "", s)) and len(s) <= pii.LONGEST for s in found("12 " * 500))
+    assert found("0" * 5000) == set() and len(found("1 " * 20_000)) < 2_000_000
+    assert "me AT mail DOT example Dot org" in found("write me AT mail DOT example Dot org. Then")
+
+
+def test_numbers_of_a_list_are_told_apart(table):
+    rng = random.Random(8)
+    model = pii.fit(table(people(rng, 120)))
+    numbers = [f"1 ({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}" for _ in range(8)]
+    text = "You can call " + " ".join(numbers) + " or write"
+    spans = pii.find_spans(text, model)[1]
+    assert [(k, text[a:b]) for a, k, b in spans] == [("phone", n) for n in numbers]

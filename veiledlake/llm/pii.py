@@ -26,10 +26,16 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Looser forms that the field judges: an address in words, and groups of digits.
 WORDED = re.compile(
     r"[A-Za-z0-9._%+-]{1,64}+\x20?[\[(]?(?:\bat\b|@)[\])]?\x20?[A-Za-z0-9-]{1,63}+"
-    r"(?:\x20?[\[(]?(?:\bdot\b|\.)[\])]?\x20?[A-Za-z0-9-]{1,63}+){1,4}"
+    r"(?:\x20?[\[(]?(?:\bdot\b|\.)[\])]?\x20?[A-Za-z0-9-]{1,63}+){1,4}",
+    re.IGNORECASE,
 )
+AT = re.compile(r" at |\(at\)|\[at\]|@", re.IGNORECASE)
+DOT = re.compile(r" dot |dot\)|dot\]", re.IGNORECASE)
+PIECE = re.compile(r"[^\x20]+")
 GROUPS = re.compile(r"[(+]?[0-9](?:[\x20().-]{0,2}[0-9]){6,}")
-# A run that is longer than any entity is no candidate; patterns find spans of any length.
+DIGITS = re.compile(r"[0-9]+")
+# Entities in digits have so many at least, and so many characters at most; patterns find spans of any length.
+LEAST_DIGITS = 7
 LONGEST = 80
 CONTEXT = 24
 # Candidates nearer than this are decoded together.
@@ -93,28 +99,50 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, int]]:
-    """Spans that may be entities: looser forms that no base span touches, by start; they may overlap."""
-    found = {m.span() for m in GROUPS.finditer(text) if m.end() - m.start() <= LONGEST}
-    if "@" in text or " at " in text or "(at)" in text or "[at]" in text:
-        found |= {m.span() for m in WORDED.finditer(text) if " dot " in m[0] or "dot)" in m[0] or "dot]" in m[0]}
+    """Spans that may be entities: looser forms that no base span touches, by start; they overlap.
+
+    Boundaries are chosen too: a run of digits or an address in words gives a span from each of its borders to each.
+    """
+    found = {s for m in GROUPS.finditer(text) for s in _number_spans(text, *m.span())}
+    if AT.search(text):
+        found |= {s for m in WORDED.finditer(text) if DOT.search(m[0]) for s in _worded_spans(text, *m.span())}
     if not found:
         return []
-    more = set()
-    for a, b in found:  # boundaries are chosen too: without what leads, and without the last group
-        for cut in (text.find(" ", a, b) + 1, a):
-            for end in (text.rfind(" ", a, b), b):
-                if 0 <= cut < end and end - cut >= 7:
-                    more.add((max(cut, a), end))
     taken = sorted((a, b) for a, _, b in base)
     starts, ends = np.array([a for a, _ in taken]), np.maximum.accumulate(np.array([b for _, b in taken] or [0]))
     free = []
-    for a, b in sorted(found | more):
+    for a, b in sorted(found):
         k = int(np.searchsorted(starts, b)) if taken else 0
         if not k or ends[k - 1] <= a:
             free.append((a, b))
     return free
 
 
+def _number_spans(text: str, first: int, last: int) -> Iterator[tuple[int, int]]:
+    """From each group of digits, with and without a sign before it, to each within reach; linear in the run."""
+    groups = [m.span() for m in DIGITS.finditer(text, first, last)]
+    for i, (a, _) in enumerate(groups):
+        starts = (a - 1, a) if a > first and text[a - 1] in "(+" else (a,)
+        digits = 0
+        for j in range(i, len(groups)):
+            c, b = groups[j]
+            digits += b - c
+            if b - a > LONGEST:
+                break
+            if digits >= LEAST_DIGITS:
+                yield from ((s, b) for s in starts if b - s <= LONGEST)
+
+
+def _worded_spans(text: str, first: int, last: int) -> Iterator[tuple[int, int]]:
+    """From each word to each, without the full stop that may follow it."""
+    pieces = [m.span() for m in PIECE.finditer(text, first, last)]
+    for i, (a, _) in enumerate(pieces):
+        for _, b in pieces[i:]:
+            b -= text[b - 1] == "."
+            if b > a and AT.search(text, a, b) and DOT.search(text, a, b):
+                yield a, b
+
+
 def span_features(text: str, a: int, b: int) -> list[int]:
     """Hashed features of a whole span: its form, digits, marks, and the words beside it."""
     word = text[a:b]
@@ -134,7 +162,7 @@ def span_features(text: str, a: int, b: int) -> list[int]:
         f"luhn={len(digits) >= 13 and luhn(digits)}",
         f"octets={len(groups) == 4 and all(g <= 3 for g in groups) and '.' in marks}",
         f"edge={_edge(text, a - 1)}{_edge(text, b)}",
-        f"at={'@' in word or ' at ' in word}",
+        f"at={'@' in word or ' at ' in word.lower()}",
         *(f"before={w}" for w in before[-2:]),
         *(f"after={w}" for w in after[:1]),
     ]
@@ -149,11 +177,13 @@ def _edge(text: str, i: int) -> str:
 def groups_of(spans: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
     """Candidates that stand near each other."""
     held: list[tuple[int, int]] = []
+    end = 0
     for s in spans:
-        if held and s[0] - max(b for _, b in held[-8:]) > NEAR:
+        if held and s[0] - end > NEAR:
             yield held
             held = []
         held.append(s)
+        end = max(end, s[1])
     if held:
         yield held
 
