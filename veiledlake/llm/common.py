@@ -5,16 +5,21 @@ from __future__ import annotations
 import string
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veiledlake import storage
 from veiledlake.operators.sizes import BROADCAST_BYTES, memory_size
 
 # Whether a query removes its shuffle files at its end.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# A key is hot with one part in so many of all rows.
+HOT = 10_000
 SPACE_WORDS = r"[^\x20\x09-\x0D]+"
 PLAIN_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -50,6 +55,17 @@ def words(text: str, pattern: str) -> Column:
     return F.regexp_extract_all(lower_ascii(text), F.lit(pattern), F.lit(0))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that the table does not have."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while (name := f"_{name}").lower() in taken:
+            pass
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Written to the folder that the cluster shares: executors may be lost, and nothing is computed twice.
 
@@ -65,6 +81,26 @@ def settled(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def add_columns(df: DataFrame, inputs: list[str], added: str, make: Callable) -> DataFrame:
+    """All rows and columns, and those of the schema `added`, which `make` gives for the inputs of an Arrow batch.
+
+    Everything is computed once, whatever is done with the columns. All columns of the table pass through Python, so
+    select what is needed first. Columns of the same names are replaced.
+    """
+    kind = T.StructType.fromDDL(added)
+    kept = df.drop(*kind.names)
+    n = len(kept.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [*batch.columns[:n], *make(*batch.columns[n:])]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:n], *kind.names])
+
+    names = fresh(df, *(f"in{i}" for i in range(len(inputs))))
+    ready = df.withColumns({name: F.col(c) for name, c in zip(names, inputs, strict=True)})
+    return ready.select(*kept.columns, *names).mapInArrow(run, T.StructType(kept.schema.fields + kind.fields))
+
+
 def sample_of(rows: DataFrame, text: str, most: int) -> DataFrame:
     """At most so many rows, the first by a hash of their text; all rows are counted, and few are sorted.
 
@@ -76,10 +112,31 @@ def sample_of(rows: DataFrame, text: str, most: int) -> DataFrame:
     return rows.withColumn("_place", place).orderBy("_place").limit(most).drop("_place")
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether a settled table, as measured, is within the library's bound for broadcasts."""
+    return df.agg(memory_size(df.schema, df.columns)).first()[0] <= BROADCAST_BYTES
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """A settled table, marked for broadcast if its measured size is within the library's bound.
 
     Beyond the bound the join shuffles both sides, and splits what is skewed.
     """
-    size = df.agg(memory_size(df.schema, df.columns)).first()[0]
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    return F.broadcast(df) if is_small(df) else df
+
+
+def join_by_weight(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """Rows with what `keyed` holds for their key; both tables are settled, and `keyed` has one row per key.
+
+    A small `keyed` is broadcast. Otherwise the keys with more than one `HOT`th of the weight, of which there are fewer
+    than `HOT`, are broadcast, and only the rows of the other keys are shuffled: no task gets a hot key.
+    """
+    columns = [*rows.columns, *(c for c in keyed.columns if c not in on and c != weight)]
+    light = keyed.drop(weight)
+    if is_small(light):
+        return rows.join(F.broadcast(light), on).select(columns)
+    bound = keyed.agg(F.sum(weight)).first()[0] / HOT
+    hot = keyed.where(F.col(weight) > bound).drop(weight)
+    cold = keyed.where(F.col(weight) <= bound).drop(weight)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).select(columns).union(rest.join(cold, on).select(columns))

@@ -73,4 +73,49 @@ SELECT conv_id, perspective, block, CAST(0 AS BIGINT) AS slice, count(*) AS n_tu
 FROM placed GROUP BY conv_id, perspective, block
 """
 
-ORACLES = {"op1_decontamination": OP1, "op4_jaccard_join": OP4, "op5_chat_perspectives": OP5, "op10_line_dedup": OP10}
+OP11 = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents),
+cut AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (SELECT lang, m, list_slice(ws, i, i + m - 1) AS w FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+    FROM cut, (SELECT unnest([1, 2, 3]) AS m) WHERE len(ws) >= m)),
+f AS (SELECT lang, m, w, count(*) AS a FROM grams GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE m > 1 AND a >= 10),
+held AS (SELECT lang, w, max(a) AS around FROM (SELECT lang, w[1:2] AS w, a FROM cand WHERE m = 3
+    UNION ALL SELECT lang, w[2:3], a FROM cand WHERE m = 3) GROUP BY ALL),
+cuts AS (SELECT c.lang, c.w, c.a, k, x.a AS l, y.a AS r,
+    CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM cand) c
+    JOIN f x ON x.lang = c.lang AND x.w = c.w[1:k] JOIN f y ON y.lang = c.lang AND y.w = c.w[k + 1:]),
+chosen AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+kept AS (SELECT chosen.lang, array_to_string(chosen.w, ' ') AS phrase, a, l, r, score FROM chosen
+    LEFT JOIN held ON held.lang = chosen.lang AND held.w = chosen.w WHERE around IS NULL OR 100 * around < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+OP12 = r"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents),
+spots AS (SELECT d, doc_id, i, list_slice(ws, i, i + 12) AS w
+    FROM (SELECT *, unnest(range(1, len(ws) - 11)) AS i FROM docs WHERE len(ws) >= 13)),
+firsts AS (SELECT w, min(doc_id) AS least FROM spots GROUP BY w HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT d, unnest(range(i, i + 13)) AS i FROM spots JOIN firsts USING (w) WHERE doc_id > least),
+cut AS (SELECT d, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM docs),
+kept AS (SELECT cut.d, string_agg(x, ' ' ORDER BY cut.i) FILTER (gone.d IS NULL) AS t, count(gone.d) AS k
+    FROM cut LEFT JOIN gone ON gone.d = cut.d AND gone.i = cut.i GROUP BY cut.d)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(k, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (d)
+"""
+
+ORACLES = {
+    "op1_decontamination": OP1,
+    "op4_jaccard_join": OP4,
+    "op5_chat_perspectives": OP5,
+    "op10_line_dedup": OP10,
+    "op11_collocations": OP11,
+    "op12_substring_dedup": OP12,
+}

@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 from veiledlake.llm import (
     bpe,
     chat,
+    collocations,
     decontaminate,
     fingerprints,
     jaccard,
     language,
     lines,
     pii,
+    repeats,
+    runs,
     secret_scan,
     site_trees,
 )
-from veiledlake.llm.common import table
+from veiledlake.llm.common import SPACE_WORDS, table
 from veiledlake.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -92,6 +95,45 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_runs("doc_id", "text").alias("text"))
+    found = runs.find_runs(docs).withColumn("best", runs.longest_run("runs"))
+    best, lines = F.col("best"), F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def planted_runs(doc_id: str, text: str) -> Column:
+    """The text, or for one document in ten (by a checksum of its id) its words with a stretch that repeats."""
+    words, h = F.regexp_extract_all(F.col(text), F.lit(SPACE_WORDS), F.lit(0)), F.crc32(F.col(doc_id).cast("string"))
+
+    def repeated(ws: Column) -> Column:
+        n, g = F.size(ws), F.floor(h / 10)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+        return F.array_join(
+            F.transform(ws, lambda w, i: F.when(i < a, w).otherwise(F.get(ws, a + F.pmod(i - a, p)))), " "
+        )
+
+    planted = F.get(F.transform(F.array(words), lambda ws: F.when(F.size(ws) > 0, repeated(ws))), F.lit(0))
+    return F.when(F.pmod(h, F.lit(10)) == 0, planted).otherwise(F.col(text))
+
+
 def _count(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
@@ -113,5 +155,8 @@ QUERIES = {
         op8_byte_bpe,
         op9_fingerprints,
         op10_line_dedup,
+        op11_collocations,
+        op12_substring_dedup,
+        op13_periodic_runs,
     )
 }
