@@ -1,6 +1,7 @@
 import random
 import re
 from datetime import UTC, datetime, timedelta
+from functools import partial
 
 import pytest
 from hypothesis import given, settings
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from veiledlake.operators.latest import latest_per_key, order_latest_first
 from veiledlake.operators.sizes import BROADCAST_BYTES, memory_size
 from veiledlake.operators.profile import duplicate_profile, preview
-from veiledlake.operators.upsert import match_rows, matched, upsert
+from veiledlake.operators.upsert import match_rows, matched, split_by_keys, upsert
 from veiledlake.plans.curate import CurateReport, MergeOptions, curate, run_curate
 from veiledlake.policy import DatasetPolicy
-from veiledlake.sinks.curated import MergeTable, PartitionedTable, SnapshotTable
+from veiledlake.sinks.curated import BucketTable, MergeTable, PartitionedTable
 
 DAY = datetime(2024, 1, 1, tzinfo=UTC).replace(tzinfo=None)
 T = [DAY + timedelta(days=i) for i in range(5)]
@@ -146,10 +147,10 @@ POLICY = DatasetPolicy("t", keys=("k",), partitions=("st",))
 LAYOUT = "k int, st string, v string, dms_commit_ts int"
 
 
-@pytest.fixture(params=["snapshot", "partitioned"])
+@pytest.fixture(params=["buckets", "partitioned"])
 def table(request, spark, tmp_path):
-    if request.param == "snapshot":
-        return SnapshotTable(spark, f"{tmp_path}/t")
+    if request.param == "buckets":
+        return BucketTable(spark, f"{tmp_path}/t", ["k"])
     name = f"t_{random.randrange(10**12)}"
     return PartitionedTable(spark, name, f"{tmp_path}/t", ["st"])
 
@@ -193,27 +194,86 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path):
     pruned = table.read().filter("st = 'b'")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*st#", pruned)
     run_curate(spark.createDataFrame([(2, "b", "Y", 3)], LAYOUT), policy, table)
-    assert len(list((tmp_path / "t").glob("version=*"))) == 3
-    table.remove_unused()
-    assert len(list((tmp_path / "t").glob("version=*"))) == 2
     assert sorted(r["v"] for r in table.read().collect()) == ["X", "Y"]
 
 
-def test_snapshots(spark, tmp_path, rows):
-    table = SnapshotTable(spark, f"{tmp_path}/t", keep=2)
-    for n in range(4):
-        batch = spark.createDataFrame([(n, "01", "v", n)], LAYOUT)
-        assert run_curate(batch, POLICY, table, batch_id=("reader", n)).written
-        assert not run_curate(batch, POLICY, table, batch_id=("reader", n)).written
-    assert table.version() == 3 and table.read().count() == 4
-    assert rows(table.read(2), "k") == [(0,), (1,), (2,)]
-    assert not (tmp_path / "t" / "snapshot=1").exists()
+def files(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.glob("buckets=*/*/*/*.parquet")}
+
+
+def test_small_batch_rewrites_its_buckets_only(spark, tmp_path, rows):
+    table = BucketTable(spark, f"{tmp_path}/t", ["k"], buckets=16)
+    first = [(n, "01", "v", n) for n in range(200)] + [(None, "01", "alone", 1)]
+    assert run_curate(spark.createDataFrame(first, LAYOUT), POLICY, table, batch_id=("reader", 0)).written
+    before = files(tmp_path / "t")
+    assert len({p.parts[-3] for p in before}) == 17  # and one for rows without a key
+    batch = spark.createDataFrame([(7, "02", "new", 300), (None, "02", "alone", 2)], LAYOUT)
+    assert run_curate(batch, POLICY, table, batch_id=("reader", 1)).written
+    after = files(tmp_path / "t")
+    assert len({p.parts[-3] for p in before.keys() - after.keys()}) == 1
+    assert {p.parts[-3] for p in after.keys() - before.keys()} == {"_bucket=-1", (before.keys() - after.keys()).pop().parts[-3]}
+    assert all(after[p] == before[p] for p in before.keys() & after.keys())
+    expected = [(n, "02" if n == 7 else "01") for n in range(200)] + [(None, "01"), (None, "02")]
+    assert rows(table.read(), "k", "st") == sorted(expected, key=lambda r: [(v is None, str(v)) for v in r])
+    again = BucketTable(spark, f"{tmp_path}/t", ["k"], buckets=99)
+    assert again.buckets == 16 and again.has_applied(("reader", 1)) and not again.has_applied(("reader", 2))
     assert table.read().dtypes == [("k", "int"), ("st", "string"), ("v", "string"), ("dms_commit_ts", "int")]
 
 
+def test_scan_of_a_merge_is_pruned_while_it_runs(spark, tmp_path):
+    table = BucketTable(spark, f"{tmp_path}/t", ["k"], buckets=16)
+    run_curate(spark.createDataFrame([(n, "01", "v", n) for n in range(200)], LAYOUT), POLICY, table)
+    plans = []
+
+    def merged(base, rows):
+        plans.append(base._jdf.queryExecution().executedPlan().toString())
+        return base.filter("k <> 7").unionByName(rows)
+
+    batch = spark.createDataFrame([(7, "02", "new", 300)], LAYOUT)
+    table.merge(batch, merged, null_safe=True)
+    assert "dynamicpruning" in plans[0]
+    assert table.read().count() == 200
+
+
+def test_repeat_of_a_half_done_merge(spark, tmp_path, rows):
+    """A run that fails before its batch is noted is repeated: no row is lost or doubled, null keys included."""
+    table = BucketTable(spark, f"{tmp_path}/t", ["k"])
+    run_curate(spark.createDataFrame([(1, "01", "a", 1)], LAYOUT), POLICY, table, batch_id=("r", 0))
+    batch = spark.createDataFrame([(1, "01", "b", 2), (2, "01", "c", 2), (None, "01", "n", 2)], LAYOUT)
+    note = BucketTable.note_applied
+    for fail in (True, True, False):
+        table.note_applied = (lambda batch: 1 / 0) if fail else (lambda batch: note(table, batch))
+        try:
+            run_curate(batch, POLICY, table, batch_id=("r", 1))
+        except ZeroDivisionError:
+            assert fail
+    assert rows(table.read(), "k", "v") == [(1, "b"), (2, "c"), (None, "n")]
+    assert not run_curate(batch, POLICY, table, batch_id=("r", 1)).written
+
+
+def test_null_keys_move_into_buckets_once_they_match(spark, tmp_path, rows):
+    table = BucketTable(spark, f"{tmp_path}/t", ["k"])
+    for n in (1, 2):
+        run_curate(spark.createDataFrame([(None, "01", f"n{n}", n), (n, "01", "v", n)], LAYOUT), POLICY, table)
+    assert rows(table.read(), "k", "v") == [(1, "v"), (2, "v"), (None, "n1"), (None, "n2")]
+    one = spark.createDataFrame([(None, "01", "n3", 3)], LAYOUT)
+    run_curate(one, POLICY, table, MergeOptions(null_safe=True))
+    assert rows(table.read(), "k", "v") == [(1, "v"), (2, "v"), (None, "n3")]
+
+
+def test_buckets_follow_the_types_of_the_table(spark, tmp_path, rows):
+    table = BucketTable(spark, f"{tmp_path}/t", ["k"])
+    run_curate(spark.createDataFrame([(n, "01", "a", 1) for n in range(50)], LAYOUT), POLICY, table)
+    wide = spark.createDataFrame([(n, "01", "b", 2) for n in range(50)], LAYOUT.replace("k int", "k long"))
+    run_curate(wide, POLICY, table)
+    assert rows(table.read().groupBy("v").count()) == [("b", 50)]
+    with pytest.raises(ValueError, match="_live"):
+        run_curate(wide.withColumn("_live", F.lit(1)), POLICY, table)
+
+
 @pytest.mark.parametrize("partitions", [(), ("st",)])
-def test_catalog_entry_follows_the_snapshot(spark, tmp_path, rows, partitions):
-    table, name = SnapshotTable(spark, f"{tmp_path}/t"), f"entry_{len(partitions)}"
+def test_catalog_entry_follows_the_table(spark, tmp_path, rows, partitions):
+    table, name = BucketTable(spark, f"{tmp_path}/t", ["k"]), f"entry_{len(partitions)}"
     policy = DatasetPolicy("t", keys=("k",), partitions=partitions)
     for n in (1, 2):
         run_curate(spark.createDataFrame([(n, f"0{n}", "v", n)], LAYOUT), policy, table)
@@ -221,19 +281,10 @@ def test_catalog_entry_follows_the_snapshot(spark, tmp_path, rows, partitions):
         assert rows(spark.table(name), "k", "st") == [(i, f"0{i}") for i in range(1, n + 1)]
 
 
-def test_failed_attempt_is_invisible_and_overwritten(spark, tmp_path):
-    table = SnapshotTable(spark, f"{tmp_path}/t")
-    run_curate(spark.createDataFrame([(1, "01", "a", 1)], LAYOUT), POLICY, table)
-    spark.range(5).write.parquet(f"{tmp_path}/t/snapshot=1")  # written, never committed
-    assert table.read().count() == 1
-    run_curate(spark.createDataFrame([(2, "01", "b", 1)], LAYOUT), POLICY, table)
-    assert table.version() == 1 and table.read().count() == 2
-
-
 def test_pure_plan_equals_job(spark, tmp_path, rows):
     base = spark.createDataFrame([(1, "x", "a", 1), (2, "x", "b", 1)], LAYOUT)
     batch = spark.createDataFrame([(2, "y", "c", 2), (2, "y", "d", 3), (None, "y", "e", 1)], LAYOUT)
-    table = SnapshotTable(spark, f"{tmp_path}/t")
+    table = BucketTable(spark, f"{tmp_path}/t", ["k"])
     assert run_curate(base, POLICY, table) == CurateReport(True, 2, 2, 0)
     report = run_curate(batch, POLICY, table)
     assert report == CurateReport(True, 3, 2, 1) and report.duplicates == 1
@@ -255,8 +306,48 @@ def test_large_base_is_not_shuffled_for_a_small_batch(spark, tmp_path):
         merged = upsert(base, batch, ["id"], small=True, only_if_newer=newer)
         plan = merged._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
-    large = upsert(base, batch, ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "IsNotNull(id)" in large and "IsNull(id)" in large
+
+
+@pytest.mark.parametrize("bits", [3, 27])
+@pytest.mark.parametrize("newer", [None, "t"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_key_bits_lose_no_match(spark, monkeypatch, rows, bits, newer, null_safe):
+    """With few bits nearly every row passes by chance; the result stays."""
+    rng = random.Random(bits)
+    layout = "a int, b string, t int, op string"
+    keys = [(a, b) for a in [*range(30), None] for b in ("x", "y", None)]
+    base = [(a, b, rng.randint(0, 3), "I") for a, b in keys if rng.random() < 0.7]
+    batch = [(a, b, rng.randint(0, 3), "U") for a, b in keys if rng.random() < 0.4]
+    left, right = spark.createDataFrame(base, layout), spark.createDataFrame(batch, layout)
+    right = right.withColumn("a", F.col("a").cast("long"))
+    split = split_by_keys(left, right, ["a", "b"], null_safe, bits)
+    new = {r[:2]: r for r in batch if null_safe or None not in r[:2]}
+    assert {r[:2] for r in rows(split[0])} >= {r[:2] for r in base if r[:2] in new}
+    assert split[0].count() + split[1].count() == len(base)
+    monkeypatch.setattr("veiledlake.operators.upsert.split_by_keys", partial(split_by_keys, bits=bits))
+    stays = {r[:2]: r for r in base if r[:2] in new and newer and r[2] > new[r[:2]][2]}
+    want = [r for r in base if r[:2] not in new or r[:2] in stays] + [r for r in batch if r[:2] not in stays]
+    found = upsert(left, right, ["a", "b"], null_safe=null_safe, only_if_newer=newer)
+    assert rows(found) == sorted(want, key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def test_large_batch_shuffles_only_rows_that_may_match(spark, tmp_path):
+    spark.range(100_000).selectExpr("id", "repeat('x', 50) v").write.parquet(f"{tmp_path}/base")
+    spark.range(0, 100_000, 50).selectExpr("id", "'new' v").write.parquet(f"{tmp_path}/batch")
+    base, batch = spark.read.parquet(f"{tmp_path}/base"), spark.read.parquet(f"{tmp_path}/batch")
+    maybe, sure = split_by_keys(base, batch, ["id"])
+    assert maybe.count() in range(2000, 2100) and maybe.count() + sure.count() == 100_000
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = upsert(base, batch, ["id"])._jdf.queryExecution().executedPlan().toString()
+        assert upsert(base, batch, ["id"]).count() == 100_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # One exchange of table rows, behind the look-up in the bits; the rows that surely match nothing have none.
+    kept, rest = plan.split("SortMergeJoin")[1].split("Union")[0], plan
+    assert "getbit" in kept and rest.count("Exchange hashpartitioning(id") == 1
+    assert "BroadcastExchange" in rest
 
 
 @pytest.mark.parametrize(

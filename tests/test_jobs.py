@@ -4,6 +4,7 @@ import pytest
 
 from veiledlake.jobs import main
 from veiledlake.policy import PolicyError
+from veiledlake.sinks.curated import BucketTable
 
 REGISTRY = {
     "cases": {
@@ -68,8 +69,8 @@ def test_path_only_run_keeps_partition_codes(spark, tmp_path):
         + ["--key-file", f"{tmp_path}/key"]
     )
     main(["curate", *common, "--source", f"{tmp_path}/clean", "--target", f"{tmp_path}/curated"])
-    folder = tmp_path / "curated/area/cases/snapshot=0"
-    assert [p.name for p in folder.glob("st=*")] == ["st=01"]
+    table = BucketTable(spark, f"{tmp_path}/curated/area/cases", ["st", "case_id"])
+    assert [r["st"] for r in table.read().collect()] == ["01"]
 
 
 def test_unknown_dataset(spark, tmp_path):

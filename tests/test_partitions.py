@@ -8,15 +8,15 @@ import pytest
 
 from veiledlake.plans.curate import MergeOptions, run_curate
 from veiledlake.policy import DatasetPolicy
-from veiledlake.sinks.curated import PartitionedTable, SnapshotTable
+from veiledlake.sinks.curated import BucketTable, PartitionedTable
 
 POLICY = DatasetPolicy("t", keys=("st", "id"), partitions=("st",))
 LAYOUT = "op string, st string, id int, v string, dms_commit_ts timestamp"
 
 
-def target(spark, kind, path, name, by=("st",)):
-    if kind == "snapshot":
-        return SnapshotTable(spark, str(path))
+def target(spark, kind, path, name, by=("st",), keys=("st", "id")):
+    if kind == "buckets":
+        return BucketTable(spark, str(path), keys)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     return PartitionedTable(spark, name, str(path), list(by))
 
@@ -25,7 +25,7 @@ def batch(spark, *rows):
     return spark.createDataFrame([("U", *r, datetime(2024, 1, 1)) for r in rows], LAYOUT)
 
 
-@pytest.mark.parametrize("kind", ["snapshot", "partitioned"])
+@pytest.mark.parametrize("kind", ["buckets", "partitioned"])
 def test_blank_and_marked_values_stay(spark, tmp_path, kind):
     table = target(spark, kind, tmp_path / "t", f"blank_{kind}")
     first = [("", 1, "a"), (None, 1, "n"), ("x=/ y", 1, "s"), ("__blank__", 1, "m"), ("__blank__z", 2, "z")]
@@ -42,10 +42,10 @@ def test_blank_and_marked_values_stay(spark, tmp_path, kind):
     assert table.read().filter("st = ''").count() == 1
 
 
-@pytest.mark.parametrize("kind", ["snapshot", "partitioned"])
+@pytest.mark.parametrize("kind", ["buckets", "partitioned"])
 def test_times_stay_in_any_machine_zone(spark, tmp_path, kind, monkeypatch):
     policy = DatasetPolicy("t", keys=("id",), partitions=("at",))
-    table = target(spark, kind, tmp_path / "t", f"zones_{kind}", ["at"])
+    table = target(spark, kind, tmp_path / "t", f"zones_{kind}", ["at"], ["id"])
     rows = spark.sql("select 'U' op, id, v, timestamp'2024-01-01 03:00:00' + make_interval(0, 0, 0, 0, id) at, "
                      "timestamp'2024-01-01' dms_commit_ts from values (1, 'a'), (2, 'b') as t(id, v)")
     monkeypatch.setenv("TZ", "America/New_York")
@@ -70,15 +70,17 @@ def test_many_partitions_switch_move_and_go(spark, tmp_path):
     found = {r["id"]: (r["st"], r["v"]) for r in table.read().collect()}
     assert found == {i: (f"p{i + 1}", "b") if i < 20 and i % 2 == 0 else (f"p{i}", "a") for i in range(450)}
     assert spark.sql("SHOW PARTITIONS many_partitions").count() == 440
-    table.remove_unused()
-    assert table.read().count() == 450
-
-
-def test_kept_snapshots_are_those_with_a_commit(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), keep=1)
-    for i in range(3):
-        table.replace(spark.range(i + 1))
-    commits = {p.name for p in (tmp_path / "t/_commits").iterdir() if p.name.isdigit()}
-    assert commits == {"2"} and table.read().count() == 3
-    with pytest.raises(Exception):
-        table.read(0)
+    assert not list((tmp_path / "t").glob("st=p0/*")) and list((tmp_path / "t").glob("st=p1/*"))
+
+
+def test_touched_partitions_prune_the_scan(spark, tmp_path):
+    """No list of partitions reaches the driver: what is touched is a table that prunes at run time."""
+    table = target(spark, "partitioned", tmp_path / "t", "pruned")
+    run_curate(batch(spark, *((f"p{i}", i, "a") for i in range(20))), POLICY, table)
+    run_curate(batch(spark, ("p3", 3, "b"), (None, 4, "n")), POLICY, table)
+    touched = table.touched(batch(spark, ("p3", 3, "c"), (None, 4, "m")), ["st", "id"])
+    touched.write.parquet(str(tmp_path / "touched"))
+    read = table.read(spark.read.schema(touched.schema).parquet(str(tmp_path / "touched")))
+    assert sorted(map(str, read.select("st", "v").collect())) == ["Row(st='p3', v='b')", "Row(st=None, v='n')"]
+    assert "dynamicpruning" in read._jdf.queryExecution().executedPlan().toString()
+    assert table.keeps_place(["ST", "id"]) and not table.keeps_place(["id"])

@@ -5,7 +5,7 @@ from veiledlake.functions.tokens import KeyedTokens
 from veiledlake.plans import clean as clean_plan
 from veiledlake.plans.clean import clean
 from veiledlake.policy import DatasetPolicy
-from veiledlake.sinks.curated import SnapshotTable
+from veiledlake.sinks.curated import BucketTable
 from veiledlake.sources.vault import Vault
 from veiledlake.streaming.jobs import read_clean, stream_clean, stream_curate
 
@@ -18,7 +18,7 @@ TOKENS = KeyedTokens("0123456789abcdef")
 def pipeline(spark, tmp_path):
     shaped = clean(spark.createDataFrame([], RAW), POLICY, TOKENS)
     schema = StructType(shaped.schema.fields)
-    target = SnapshotTable(spark, f"{tmp_path}/curated")
+    target = BucketTable(spark, f"{tmp_path}/curated", POLICY.keys)
 
     class Pipeline:
         tokens = TOKENS

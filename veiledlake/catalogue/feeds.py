@@ -30,7 +30,7 @@ from veiledlake.operators.governance import policy_with_keys
 from veiledlake.plans.curate import run_curate
 from veiledlake.policy import DatasetPolicy
 from veiledlake.sinks.clean import append_parquet
-from veiledlake.sinks.curated import PartitionedTable, SnapshotTable
+from veiledlake.sinks.curated import BucketTable, PartitionedTable
 from veiledlake.sources.batch import fan_out, read_requirements, scan_dataset, select_tables
 from veiledlake.sources.incremental import read_new
 from veiledlake.storage import work_folder
@@ -140,7 +140,7 @@ def catalog_register(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"select {ORDERS} from orders")
 def empty_batch_guard(spark: SparkSession, sf: str) -> DataFrame:
     """An empty batch leaves a table as it is."""
-    orders, target = read(spark, sf, "orders"), SnapshotTable(spark, work_folder(spark))
+    orders, target = read(spark, sf, "orders"), BucketTable(spark, work_folder(spark), ["o_orderkey"])
     policy = DatasetPolicy("orders", keys=("o_orderkey",))
     run_curate(orders, policy, target)
     if run_curate(orders.filter("o_orderkey < 0"), policy, target).written:
@@ -150,7 +150,7 @@ def empty_batch_guard(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"select {CUSTOMER} from customer")
 def curated_first_load(spark: SparkSession, sf: str) -> DataFrame:
-    target = SnapshotTable(spark, work_folder(spark))
+    target = BucketTable(spark, work_folder(spark), ["c_custkey"])
     run_curate(read(spark, sf, "customer"), DatasetPolicy("customer", ("c_custkey",)), target)
     return target.read()
 
@@ -216,7 +216,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Merge files as they arrive; the later drop wins."""
     changes, folder = feed(spark, sf), work_folder(spark)
     policy = DatasetPolicy("feed", ("l_orderkey", "l_linenumber"))
-    target = SnapshotTable(spark, f"{folder}/curated")
+    target = BucketTable(spark, f"{folder}/curated", policy.keys)
 
     def run() -> None:
         stream_curate(

@@ -24,7 +24,7 @@ from veiledlake.operators.profile import duplicate_profile, preview
 from veiledlake.operators.upsert import match_rows, upsert
 from veiledlake.plans.curate import MergeOptions, curate, run_curate
 from veiledlake.policy import DatasetPolicy
-from veiledlake.sinks.curated import PartitionedTable, SnapshotTable
+from veiledlake.sinks.curated import BucketTable, PartitionedTable
 from veiledlake.storage import work_folder
 
 POLICY = DatasetPolicy("feed", keys=tuple(FEED_KEY))
@@ -146,8 +146,8 @@ def upsert_null_safe(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(UPSERT_SQL)
 def curate_dataset(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole curate hop in a snapshot table: first load, increment, and a repeat of it."""
-    changes, target = feed(spark, sf), SnapshotTable(spark, work_folder(spark))
+    """The whole curate hop in a table by buckets: first load, increment, and a repeat of it."""
+    changes, target = feed(spark, sf), BucketTable(spark, work_folder(spark), FEED_KEY)
     run_curate(first_load(changes), POLICY, target, batch_id=("trial", 0))
     for _ in range(2):
         run_curate(increment(changes), POLICY, target, batch_id=("trial", 1))
@@ -168,7 +168,7 @@ def curate_partitions(spark: SparkSession, sf: str) -> DataFrame:
 @query(NEWER_SQL)
 def curate_late_data(spark: SparkSession, sf: str) -> DataFrame:
     """Rows that arrive late do not replace newer ones."""
-    changes, target = feed(spark, sf), SnapshotTable(spark, work_folder(spark))
+    changes, target = feed(spark, sf), BucketTable(spark, work_folder(spark), FEED_KEY)
     options = MergeOptions(only_if_newer="dms_commit_ts")
     for part in (first_load(changes), increment(changes)):
         run_curate(part, POLICY, target, options)

@@ -26,7 +26,7 @@ from veiledlake.plans.curate import MergeOptions
 from veiledlake.policy import DatasetPolicy, PolicyError
 from veiledlake.session import build_session
 from veiledlake.sinks.catalog import sync_catalog
-from veiledlake.sinks.curated import MergeTable, PartitionedTable, SnapshotTable
+from veiledlake.sinks.curated import BUCKETS, BucketTable, MergeTable, PartitionedTable
 from veiledlake.sources.vault import Vault
 from veiledlake.storage import read_text
 from veiledlake.streaming.jobs import BATCH, clean_schema, stream_clean, stream_curate
@@ -82,7 +82,7 @@ def _curate(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy
     elif args.catalog and policy.partitions:
         table = PartitionedTable(spark, f"{args.catalog}.{policy.table}", target, policy.partitions)
     else:
-        table = SnapshotTable(spark, target, args.keep_snapshots)
+        table = BucketTable(spark, target, policy.keys, args.buckets)
     options = MergeOptions(
         order_by=args.order_by,
         nulls=args.nulls,
@@ -102,7 +102,7 @@ def _curate(spark: SparkSession, args: argparse.Namespace, policy: DatasetPolicy
         max_files_per_batch=args.max_files_per_batch,
     )
     _tell(args, reports)
-    if args.catalog and isinstance(table, SnapshotTable) and table.exists():
+    if args.catalog and isinstance(table, BucketTable) and table.exists():
         table.register(f"{args.catalog}.{policy.table}")
 
 
@@ -153,7 +153,7 @@ def _parser() -> argparse.ArgumentParser:
     curate.add_argument("--null-safe", action="store_true")
     curate.add_argument("--apply-deletes", action="store_true")
     curate.add_argument("--only-if-newer", metavar="COLUMN")
-    curate.add_argument("--keep-snapshots", type=int)
+    curate.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a new table without partitions")
     return parser
 
 

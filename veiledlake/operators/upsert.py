@@ -12,6 +12,8 @@ from pyspark.sql.types import StructField, StructType
 
 OP = "op"
 DELETE = "D"
+# Bits of the table of a batch's keys: 16 MB, whatever the batch.
+KEY_BITS = 27
 
 
 def align(df: DataFrame, schema: StructType, missing: str = "error") -> DataFrame:
@@ -64,10 +66,15 @@ def upsert(
     batch itself; it is not used with ``only_if_newer``. ``small`` states that
     the keys were measured to fit in memory (see ``memory_size``): they are
     then broadcast, and the table is not shuffled.
+
+    A batch with more keys is told by a table of bits of fixed size, set at the
+    hashes of its keys (see ``split_by_keys``). Only table rows that may match
+    are shuffled; a row that passes by chance is compared like the others.
     """
     batch = align(batch, base.schema, missing)
     if only_if_newer is not None and not small:
-        return _upsert_newer(base, batch, keys, only_if_newer, null_safe, apply_deletes)
+        maybe, sure = split_by_keys(base, batch, keys, null_safe)
+        return _upsert_newer(maybe, batch, keys, only_if_newer, null_safe, apply_deletes).unionByName(sure)
     newer = stale = None
     if only_if_newer is not None:
         newer = F.col(_other(only_if_newer)) >= F.col(only_if_newer)
@@ -79,28 +86,52 @@ def upsert(
     if small:
         new_keys = F.broadcast(new_keys)
 
-    if null_safe or small:
+    if small:
         kept = _unmatched(base, new_keys, keys, newer, null_safe)
     else:
-        # Rows with a null key part skip the shuffle: they match nothing, and
-        # would all hash to the same task.
-        null_key = reduce(or_, (F.col(k).isNull() for k in keys))
-        kept = _unmatched(base.filter(~null_key), new_keys, keys, newer)
-        kept = kept.unionByName(base.filter(null_key))
+        maybe, sure = split_by_keys(base, new_keys, keys, null_safe)
+        kept = _unmatched(maybe, new_keys, keys, newer, null_safe).unionByName(sure)
     if stale is not None:
         times = matched(base.select(*columns), batch, keys, null_safe, small)
         batch = _unmatched(batch, times, keys, stale, null_safe)
     return kept.unionByName(without_deletes(batch) if apply_deletes else batch)
 
 
+def split_by_keys(
+    base: DataFrame, batch: DataFrame, keys: Sequence[str], null_safe: bool = False, bits: int = KEY_BITS
+) -> tuple[DataFrame, DataFrame]:
+    """Table rows whose key may be in a batch, and those whose key surely is not.
+
+    Hashes of the batch's keys set bits in a table of 2 ** ``bits`` bits, one row
+    of 4 KB for each 32,768 of them, which is broadcast. Rows with a null key part
+    surely match nothing, unless nulls match each other.
+    """
+    bucket, held, place = _other("bucket"), _other("bits"), _other("place")
+    batch = align(batch.select(*keys), base.select(*keys).schema)
+
+    def placed(df: DataFrame) -> DataFrame:
+        hashed = F.xxhash64(*keys).bitwiseAND(F.lit((1 << bits) - 1)) + 1
+        return df.withColumn(place, hashed).withColumn(bucket, F.bitmap_bucket_number(place))
+
+    table = placed(batch).groupBy(bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(held))
+    at = F.bitmap_bit_position(place)
+    byte = F.substring(held, (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(at, F.lit(8)).cast("int")) == 1
+    may = F.coalesce(is_set, F.lit(False))
+    if not null_safe:
+        may = may & reduce(and_, (F.col(k).isNotNull() for k in keys))
+    told = placed(base).join(F.broadcast(table), bucket, "left")
+    return told.filter(may).select(*base.columns), told.filter(~may).select(*base.columns)
+
+
 def _upsert_newer(
     base: DataFrame, batch: DataFrame, keys: Sequence[str], time: str, null_safe: bool, apply_deletes: bool
 ) -> DataFrame:
     """Of the table row and the batch row of a key the one that holds: one shuffle for both sides.
 
     The later row wins, and the batch row if both are as late. A null time on either side leaves the table
-    row. Only the first row of a key in each task is shuffled. Rows with a null key part stay out of it,
-    unless nulls match each other.
+    row. Only the first row of a key in each task is shuffled. Rows of the batch with a null key part stay out of
+    it, unless nulls match each other.
     """
     null_key = reduce(or_, (F.col(k).isNull() for k in keys))
     side, place = _other("side"), _other("place")

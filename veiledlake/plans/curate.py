@@ -13,7 +13,7 @@ from veiledlake.operators.latest import latest_per_key
 from veiledlake.operators.sizes import BROADCAST_BYTES, memory_size
 from veiledlake.operators.upsert import upsert, without_deletes
 from veiledlake.policy import DatasetPolicy
-from veiledlake.sinks.curated import Batch, MergeTable, PartitionedTable, SnapshotTable
+from veiledlake.sinks.curated import Batch, BucketTable, MergeTable, PartitionedTable
 from veiledlake.storage import scratch
 
 
@@ -37,7 +37,7 @@ class MergeOptions:
 
 
 PLAIN = MergeOptions()
-Target = SnapshotTable | PartitionedTable | MergeTable
+Target = BucketTable | PartitionedTable | MergeTable
 
 
 def curate(
@@ -120,25 +120,21 @@ def run_curate(
         F.count_if(null_key).alias("null_keys"),
         memory_size(batch.schema, _compared(policy, options)).alias("key_bytes"),
     )
-    if target.exists() or options.apply_deletes:
+    if target.exists() or options.apply_deletes or isinstance(target, BucketTable):
         _merge_into(target, latest, kept, policy, options, batch_id)
     else:
-        _first_load(target, latest, policy, batch_id)
-    if batch_id is not None and not isinstance(target, SnapshotTable):
-        target.note_applied(batch_id)  # a snapshot notes it in its commit
+        _first_load(target, latest, policy)
+    if batch_id is not None:
+        target.note_applied(batch_id)
     return CurateReport(True, taken.get["rows"], kept.get["rows"], kept.get["null_keys"])
 
 
-def _first_load(
-    target: Target, rows: DataFrame, policy: DatasetPolicy, batch_id: Batch | None
-) -> None:
+def _first_load(target: PartitionedTable | MergeTable, rows: DataFrame, policy: DatasetPolicy) -> None:
     if isinstance(target, PartitionedTable):
         target.create(rows.schema)
-        target.replace(rows, [])
-    elif isinstance(target, MergeTable):
-        target.create(rows, policy.partitions)
+        target.replace(rows)
     else:
-        target.replace(rows, policy.partitions, batch_id)
+        target.create(rows, policy.partitions)
 
 
 def _merge_into(
@@ -151,12 +147,19 @@ def _merge_into(
 ) -> None:
     spark = latest.sparkSession
     with scratch(spark) as work:
-        latest.write.parquet(work)
-        latest = spark.read.schema(latest.schema).parquet(work)
-        if not target.exists():
-            _first_load(target, merge(None, latest, policy, options), policy, batch_id)
-            return
-        if isinstance(target, MergeTable):
+        latest.write.parquet(f"{work}/latest")
+        latest = spark.read.schema(latest.schema).parquet(f"{work}/latest")
+        small = measured.get["key_bytes"] <= BROADCAST_BYTES
+        if isinstance(target, BucketTable):
+
+            def merged(base: DataFrame | None, rows: DataFrame) -> DataFrame:
+                return merge(base, rows, policy, options, small=small)
+
+            nulls = measured.get["null_keys"] > 0
+            target.merge(latest, merged, null_safe=options.null_safe, null_keys=nulls, batch=batch_id)
+        elif not target.exists():
+            _first_load(target, merge(None, latest, policy, options), policy)
+        elif isinstance(target, MergeTable):
             target.merge(
                 latest,
                 policy.keys,
@@ -165,15 +168,12 @@ def _merge_into(
                 only_if_newer=options.only_if_newer,
                 missing=options.missing,
             )
-            return
-        small = measured.get["key_bytes"] <= BROADCAST_BYTES
-        if isinstance(target, PartitionedTable):
-            touched = target.touched(latest, policy.keys, options.null_safe, small)
-            base = target.read(touched)
-            target.replace(merge(base, latest, policy, options, small=small), touched)
         else:
-            rows = merge(target.read(), latest, policy, options, small=small)
-            target.replace(rows, policy.partitions, batch_id)
+            found = target.touched(latest, policy.keys, options.null_safe, small)
+            found.write.parquet(f"{work}/touched")
+            touched = spark.read.schema(found.schema).parquet(f"{work}/touched")
+            rows = merge(target.read(touched), latest, policy, options, small=small)
+            target.replace(rows, touched, options.apply_deletes or not target.keeps_place(policy.keys))
 
 
 def _compared(policy: DatasetPolicy, options: MergeOptions) -> list[str]:

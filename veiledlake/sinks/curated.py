@@ -1,17 +1,14 @@
-"""Curated tables: one row per key, replaced as a whole or by partition.
+"""Curated tables: one row per key, replaced by bucket of the key or by partition.
 
-Parquet has no MERGE, so a merged table is written next to the old one and
-then becomes the current one in a single step.
+Parquet has no MERGE, so what a merge touches is read, merged and overwritten.
 """
 
 from __future__ import annotations
 
-import json
-import re
 import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -19,18 +16,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from veiledlake.operators.upsert import DELETE, OP, align, matched
-from veiledlake.sinks.catalog import sync_catalog
-from veiledlake.sinks.clean import append_parquet, laid_out
-from veiledlake.storage import children, create_text, delete, read_text
+from veiledlake.sinks.clean import laid_out
+from veiledlake.storage import children, delete
 
 Batch = tuple[str, int]  # reader id and batch number
 
 # What blank text in a partition column is stored as: a folder name cannot be blank,
 # and Spark would read null. Text that begins like this is stored with one more in front.
 BLANK = "__blank__"
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-# Partitions that one catalog statement adds or drops.
+# Partitions that one catalog statement drops.
 STATEMENT = 200
+OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+# Buckets of a new table: a merge of few keys rewrites few of them.
+BUCKETS = 16
+BUCKET, PART, LIVE = HELPERS = ("_bucket", "_part", "_live")
+PLACE = (BUCKET, PART)
+# The part of rows with a key, and the bucket of rows without.
+KEYED, ALONE = "keyed", -1
+ROWS, APPLIED = "buckets=", "applied"
 
 
 def stored(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -58,97 +61,119 @@ def _recoded(df: DataFrame, partitions: Sequence[str], code: Callable[[Column],
     return df.withColumns({c: code(F.col(c)) for c in texts})
 
 
-class SnapshotTable:
-    """A folder of numbered snapshots. A snapshot counts once its commit file exists.
+class BucketTable:
+    """A Parquet folder partitioned by buckets of the key: a merge reads and writes only the buckets of its keys.
 
-    The commit file also keeps the schema and, for each reader, the last batch
-    applied. One writer at a time; readers see whole snapshots only.
+    ``_bucket`` is a hash of the key by the number of buckets, and Spark's dynamic
+    partition overwrite replaces the buckets written. Rows with a null key part
+    match nothing; each batch puts its own into a partition of its own, so they
+    are never rewritten, and a repeated batch replaces them. A bucket written
+    holds one more row that is not shown, so a bucket left without rows is
+    replaced as well. Last comes a note of the reader's batch.
+
+    Merging the same batch again gives the same rows, so a run that failed half-way is
+    repeated. One writer at a time; a reader may see part of a merge.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keep: int | None = None) -> None:
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
-        self.keep = keep
-
-    def version(self) -> int | None:
-        names = children(self.spark, f"{self.path}/_commits")
-        return max((int(n) for n in names if n.isdigit()), default=None)
+        self.keys = list(keys)
+        self.buckets = next((int(n.removeprefix(ROWS)) for n in self._folders()), buckets)
 
     def exists(self) -> bool:
-        return self.version() is not None
+        return bool(self._folders())
 
-    def read(self, version: int | None = None) -> DataFrame:
-        version = self.version() if version is None else version
-        if version is None:
-            raise FileNotFoundError(f"no snapshot in {self.path}")
-        commit = self._commit(version)
-        schema = StructType.fromJson(commit["schema"])
-        rows = self.spark.read.schema(schema).parquet(self._snapshot(version))
-        return shown(rows.select(*schema.names), commit["partitions"])
+    def read(self) -> DataFrame:
+        if not self.exists():
+            raise FileNotFoundError(f"no table in {self.path}")
+        return self._stored().filter(LIVE).drop(*HELPERS)
 
     def has_applied(self, batch: Batch) -> bool:
-        version = self.version()
-        applied = {} if version is None else self._commit(version)["applied"]
-        return applied.get(batch[0], -1) >= batch[1]
+        if not children(self.spark, f"{self.path}/{APPLIED}"):
+            return False
+        noted = self.spark.read.schema("number long, reader string").parquet(f"{self.path}/{APPLIED}")
+        last = noted.filter(F.col("reader") == batch[0]).agg(F.max("number")).first()[0]
+        return last is not None and last >= batch[1]
+
+    def note_applied(self, batch: Batch) -> None:
+        noted = self.spark.range(batch[1], batch[1] + 1, 1, 1).toDF("number").withColumn("reader", F.lit(batch[0]))
+        _overwrite(noted, f"{self.path}/{APPLIED}", ["reader"])
 
-    def replace(
+    def merge(
         self,
-        df: DataFrame,
-        partitions: Sequence[str] = (),
+        latest: DataFrame,
+        merged: Callable[[DataFrame | None, DataFrame], DataFrame],
+        *,
+        null_safe: bool = False,
+        null_keys: bool = True,
         batch: Batch | None = None,
-    ) -> int:
-        """Make rows the next snapshot; return its number.
+    ) -> None:
+        """Merge a batch with one row per key; ``merged`` gives the rows after it, from those there and those of the batch.
+
+        ``null_keys`` false states that no row of the batch has a null key part.
 
-        A failed attempt leaves a folder without commit file, which the next
-        one overwrites. With ``keep`` set, all but that many snapshots are deleted.
+        With ``null_safe`` such rows are bucketed like the others, and those that earlier batches kept by themselves are moved into the buckets.
         """
-        old = self.version()
-        new = 0 if old is None else old + 1
-        applied = {} if old is None else self._commit(old)["applied"]
-        if batch is not None:
-            applied[batch[0]] = batch[1]
-        rows = stored(df, partitions)
-        append_parquet(rows, self._snapshot(new), partitions, mode="overwrite")
-        commit = {
-            "schema": df.schema.jsonValue(),
-            "partitions": list(partitions),
-            "applied": applied,
-        }
-        create_text(self.spark, f"{self.path}/_commits/{new}", json.dumps(commit))
-        if self.keep is not None:
-            last = new - max(self.keep, 1)
-            for number in children(self.spark, f"{self.path}/_commits"):
-                if number.isdigit() and int(number) <= last:  # the commit first: it must not point nowhere
-                    delete(self.spark, f"{self.path}/_commits/{number}")
-            for name in children(self.spark, self.path):
-                number = name.removeprefix("snapshot=")
-                if number.isdigit() and int(number) <= last:
-                    delete(self.spark, f"{self.path}/{name}")
-        return new
+        clash = {c.lower() for c in latest.columns} & set(HELPERS)
+        if clash:
+            raise ValueError(f"the table needs the names {sorted(clash)} itself")
+        null_key = reduce(or_, (F.col(k).isNull() for k in self.keys))
+        keyed = latest if null_safe or not null_keys else latest.filter(~null_key)
+        stored = self._stored() if self.exists() else None
+        # Buckets are those of the table's types.
+        new = keyed.select(*self.keys)
+        new = new if stored is None else align(new, stored.select(*self.keys).schema)
+        touched = self._placed(new).select(*PLACE).distinct()
+        base = None
+        if stored is not None:
+            if null_safe:
+                alone = stored.filter(F.col(BUCKET) == ALONE).select(*PLACE).distinct()
+                touched = touched.unionByName(alone)
+            # A count is asked for so that the scan is pruned while it runs: Spark wants a filter on the small side.
+            wanted = touched.groupBy(*PLACE).count().filter("count > 0").drop("count")
+            base = stored.join(F.broadcast(wanted), list(PLACE), "left_semi").filter(LIVE).drop(*HELPERS)
+        rows = self._placed(merged(base, keyed)).withColumn(LIVE, F.lit(True))
+        if null_keys and not null_safe:
+            none = None if base is None else base.filter(F.lit(False))
+            alone = merged(none, latest.filter(null_key))
+            name = uuid.uuid4().hex if batch is None else f"{batch[0]}-{batch[1]}"
+            alone = alone.withColumns({BUCKET: F.lit(ALONE), PART: F.lit(f"batch {name}"), LIVE: F.lit(True)})
+            rows = rows.unionByName(alone)
+        marks = touched.withColumn(LIVE, F.lit(False))
+        rows = laid_out(rows.unionByName(marks, allowMissingColumns=True), PLACE)
+        _overwrite(rows, f"{self.path}/{ROWS}{self.buckets}", PLACE)
 
     def register(self, name: str) -> list[Row]:
-        """Point a catalog entry to the current snapshot; return the columns that changed."""
-        version = self.version()
-        if version is None:
-            raise FileNotFoundError(f"no snapshot in {self.path}")
-        commit = self._commit(version)
-        schema = StructType.fromJson(commit["schema"])
-        by = tuple(commit["partitions"])
-        return sync_catalog(self.spark, name, self._snapshot(version), by, schema)
+        """Point a catalog entry, a view, to the table; return its columns if it is new or they changed."""
+        columns = [Row(column=c, kind=t) for c, t in self.read().dtypes]
+        old = []
+        if self.spark.catalog.tableExists(name):
+            old = [Row(column=c, kind=t) for c, t in self.spark.table(name).dtypes]
+        if columns == old:
+            return []
+        names = ", ".join(_quoted(c.column) for c in columns)
+        source = f"parquet.{_quoted(f'{self.path}/{ROWS}{self.buckets}')}"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {names} FROM {source} WHERE {LIVE}")
+        return columns
 
-    def _snapshot(self, version: int) -> str:
-        return f"{self.path}/snapshot={version}"
+    def _folders(self) -> list[str]:
+        return [n for n in children(self.spark, self.path) if n.startswith(ROWS)]
 
-    def _commit(self, version: int) -> dict:
-        return json.loads(read_text(self.spark, f"{self.path}/_commits/{version}"))
+    def _stored(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{ROWS}{self.buckets}")
+
+    def _placed(self, df: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return df.withColumns({BUCKET: bucket, PART: F.lit(KEYED)})
 
 
 class PartitionedTable:
-    """A catalog table whose partitions each point to their latest folder.
+    """A catalog table by partition, of which a merge reads and writes only what it touches.
 
-    A merge writes only the partitions it touches, below a new folder, and
-    then switches those partitions to it. Each partition switches in one
-    step; the table as a whole does not. A run that failed in between is
+    What is touched stays a table: it prunes the scan while it runs, and Spark's
+    dynamic partition overwrite replaces the partitions. Each partition switches in
+    one step; the table as a whole does not. A run that failed in between is
     repeated: merging the same batch again gives the same rows, except that
     rows with a null key part, which match nothing, may come twice.
     """
@@ -172,26 +197,34 @@ class PartitionedTable:
     def note_applied(self, batch: Batch) -> None:
         _note_batch(self.spark, self.name, batch)
 
-    def read(self, only: list[Row] | None = None) -> DataFrame:
-        """The table, or those of its partitions that ``only`` lists."""
+    def read(self, only: DataFrame | None = None) -> DataFrame:
+        """The table, or those of its partitions that ``only`` lists; the others are not scanned."""
         table = self.spark.table(self.name)
-        return shown(table if only is None else table.filter(self._in(only)), self.partitions)
+        if only is not None:
+            # The filter on the count is what lets Spark prune partitions while it runs.
+            wanted = stored(only, self.partitions).filter("touched_rows > 0")
+            wanted = wanted.toDF(*(f"_only_{c}" for c in only.columns))
+            same = reduce(and_, (_no_null(p) == _no_null(f"_only_{p}") for p in self.partitions))
+            table = table.join(F.broadcast(wanted), same, "left_semi")
+        return shown(table, self.partitions)
 
     def touched(
         self, batch: DataFrame, keys: Sequence[str], null_safe: bool = False, small: bool = False
-    ) -> list[Row]:
-        """Partitions a batch changes: where its rows go, and where their old versions lie.
+    ) -> DataFrame:
+        """Partitions a batch changes: where its rows go, and where their old versions lie, with their number.
 
-        The list is no longer than the catalog's list of partitions. Values are
-        texts as Spark writes them: as Python values, times would change zones.
+        It has no more rows than the catalog lists partitions and the batch brings new ones.
         """
         found = batch.select(*self.partitions)
-        known = {k.lower() for k in keys}
-        if any(p.lower() not in known for p in self.partitions):
+        if not self.keeps_place(keys):
             old = matched(self.read(), batch, keys, null_safe, small)
             found = found.unionByName(old.select(*self.partitions))
-        texts = [F.col(p).cast("string").alias(p) for p in self.partitions]
-        return stored(found, self.partitions).select(*texts).distinct().collect()
+        return found.groupBy(*self.partitions).agg(F.count(F.lit(1)).alias("touched_rows"))
+
+    def keeps_place(self, keys: Sequence[str]) -> bool:
+        """Whether a key stays in its partition."""
+        known = {k.lower() for k in keys}
+        return all(p.lower() in known for p in self.partitions)
 
     def create(self, schema: StructType) -> None:
         columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
@@ -201,44 +234,36 @@ class PartitionedTable:
             f"PARTITIONED BY ({by}) LOCATION {_literal(self.path)}"
         )
 
-    def replace(self, df: DataFrame, touched: list[Row]) -> None:
+    def replace(self, df: DataFrame, touched: DataFrame | None = None, moves: bool = True) -> None:
         """Make rows the whole content of the touched partitions; the others stay.
 
-        Folders are taken from the list of files. New partitions are added many
-        at a time, and each old one is switched by a statement of its own.
+        Spark overwrites the partitions that get rows. Touched ones that get none any more, which
+        happens only if rows may move or go (``moves``), are dropped after that: only these are listed.
         """
-        folder = f"{self.path}/version={uuid.uuid4().hex}"
-        append_parquet(stored(df, self.partitions), folder, self.partitions, mode="overwrite")
-        files = self.spark.read.schema(df.schema).parquet(folder).inputFiles()
-        folders = {unquote(f.rpartition("/")[0]) for f in files}
-        written = {_folder_values(f, len(self.partitions)): f for f in folders}
-        known = {
-            _folder_values(r[0], len(self.partitions))
-            for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()
-        }
-        new = [f"PARTITION ({self._spec(v)}) LOCATION {_literal(f)}" for v, f in written.items() if v not in known]
-        self._alter("ADD IF NOT EXISTS", new, " ")
-        for values, where in written.items():
-            if values in known:
-                spec = self._spec(values)
-                self.spark.sql(
-                    f"ALTER TABLE {self.name} PARTITION ({spec}) SET LOCATION {_literal(where)}"
-                )
-        gone = {tuple(r) for r in touched} & known - set(written)
-        self._alter("DROP IF EXISTS", [f"PARTITION ({self._spec(v)})" for v in gone], ", ")
-
-    def _alter(self, what: str, parts: list[str], between: str) -> None:
-        for i in range(0, len(parts), STATEMENT):
-            some = between.join(parts[i : i + STATEMENT])
-            self.spark.sql(f"ALTER TABLE {self.name} {what} {some}")
-
-    def remove_unused(self) -> None:
-        """Delete folders no partition points to any more, while no older read is under way."""
-        files = self.spark.table(self.name).inputFiles()
-        used = {m[1] for f in files if (m := re.search("/version=([0-9a-f]+)/", f))}
-        for folder in children(self.spark, self.path):
-            if folder.startswith("version=") and folder.removeprefix("version=") not in used:
-                delete(self.spark, f"{self.path}/{folder}")
+        emptied = []
+        if touched is not None and moves:
+            left = df.select(*self.partitions).distinct().toDF(*(f"_left_{p}" for p in self.partitions))
+            same = reduce(and_, (F.col(p).eqNullSafe(F.col(f"_left_{p}")) for p in self.partitions))
+            texts = [F.col(p).cast("string").alias(p) for p in self.partitions]
+            emptied = stored(touched.join(left, same, "left_anti"), self.partitions).select(*texts).collect()
+        rows = laid_out(stored(df, self.partitions), self.partitions)
+        conf = df.sparkSession.conf  # a stream's batches have a session of their own
+        before = conf.get(OVERWRITE)
+        conf.set(OVERWRITE, "dynamic")
+        try:
+            rows.select(*self.spark.table(self.name).columns).write.mode("overwrite").insertInto(self.name)
+        finally:
+            conf.set(OVERWRITE, before)
+        self._drop(emptied)
+
+    def _drop(self, emptied: list[Row]) -> None:
+        for i in range(0, len(emptied), STATEMENT):
+            some = emptied[i : i + STATEMENT]
+            files = self.spark.table(self.name).filter(self._in(some)).inputFiles()
+            specs = ", ".join(f"PARTITION ({self._spec(row)})" for row in some)
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
+            for folder in {unquote(f.rpartition("/")[0]) for f in files}:
+                delete(self.spark, folder)
 
     def _spec(self, values: Sequence) -> str:
         pairs = zip(self.partitions, values, strict=True)
@@ -311,10 +336,15 @@ class MergeTable:
         merging.merge()
 
 
-def _folder_values(folder: str, depth: int) -> tuple[str | None, ...]:
-    """The values of the partition that a folder holds, as Spark has written them."""
-    parts = (p.partition("=")[2] for p in folder.split("/")[-depth:])
-    return tuple(None if p == NULL_FOLDER else unquote(p) for p in parts)
+def _no_null(partition: str) -> Column:
+    """A partition's value as stored, or a text that is none: pruning while a query runs takes plain equality only."""
+    return F.coalesce(F.col(partition).cast("string"), F.lit(f"{BLANK}null"))
+
+
+def _overwrite(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Replace the partitions that get rows, and leave the others."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", "snappy").partitionBy(*by).parquet(path)
 
 
 def _noted_batch(spark: SparkSession, table: str, batch: Batch) -> bool:
