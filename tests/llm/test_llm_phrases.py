@@ -178,8 +178,8 @@ def test_repeats(table, monkeypatch):
     want = plain_repeats(docs)
     for broadcast in (True, False):
         if not broadcast:
-            monkeypatch.setattr(repeats, "is_small", lambda df: False)
-            monkeypatch.setattr("veiledlake.llm.common.BROADCAST_BYTES", -1)
+            monkeypatch.setattr("veiledlake.llm.common.is_small", lambda df, most: False)
+            monkeypatch.setattr(repeats, "BITS", 16)
             monkeypatch.setattr("veiledlake.llm.common.HOT", 50)
         found = repeats.drop_repeats(table(docs)).select("doc_id", "n_words", "n_removed", "kept")
         assert sorted(map(tuple, found.collect()), key=str) == want

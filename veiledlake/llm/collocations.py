@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import broadcast_if_small, settled, ship
+from veiledlake.llm.common import bit_table, broadcast_if_small, is_set, settled, ship
 from veiledlake.llm.shingles import ANY_CASE, hashed_words, mix, parts
 
 LONGEST = 3
@@ -19,6 +19,8 @@ LEAST = 10
 HELD_PERCENT = 50
 TOP = 2000
 NO_LANG = "und"
+# Tables of phrases up to this size are broadcast: several are at once.
+SMALL = 8 << 20
 # Ids below this have tiles, each of so many ids a side.
 RANKED = 4096
 TILE = 512
@@ -104,22 +106,10 @@ def _ranked(level: DataFrame) -> list[np.ndarray]:
 
 
 def _bits(level: DataFrame) -> np.ndarray:
-    """A table of bits, set where a phrase of the level falls: its size is fixed, whatever the level holds."""
+    """Bits that are set where a phrase of the level falls."""
     keys = [c for c in level.columns if c != "a"]
     mixed = reduce(lambda a, b: a.bitwiseXOR(b), [_turned(F.col(c), i) for i, c in enumerate(keys)])
-    place = mixed.bitwiseAND(F.lit((1 << BITS) - 1)) + 1
-    rows = (
-        level.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
-        .groupBy("bucket")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
-        .collect()
-    )
-    table = np.zeros((1 << BITS) // 8, np.uint8)
-    for row in rows:
-        bits = np.frombuffer(bytes(row["bits"]), np.uint8)
-        start = (row["bucket"] - 1) * len(bits)
-        table[start : start + len(bits)] = bits
-    return table
+    return bit_table(mixed, level, BITS)
 
 
 def _turned(key: Column, i: int) -> Column:
@@ -133,8 +123,7 @@ def _may_be(keys: list[np.ndarray], bits: np.ndarray) -> np.ndarray:
     for i, key in enumerate(keys):
         key, by = key.view(np.uint64), _TURN * i % 64
         mixed ^= (key << np.uint64(by)) | (key >> np.uint64(64 - by)) if by else key
-    place = mixed & np.uint64((1 << BITS) - 1)
-    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return is_set(bits, mixed)
 
 
 def _scored(levels: list[DataFrame], size: int, words: DataFrame, held_percent: int) -> DataFrame:
@@ -147,18 +136,18 @@ def _scored(levels: list[DataFrame], size: int, words: DataFrame, held_percent:
             longer.select(*[F.col(c).alias(k) for k, c in zip(keys, [*keys[1:], more], strict=True)], "a")
         )
         held = settled(sides.groupBy(*keys).agg(F.max("around").alias("around")))
-        rows = rows.join(broadcast_if_small(held), keys, "left")
+        rows = rows.join(broadcast_if_small(held, SMALL), keys, "left")
         rows = rows.where(F.col("around").isNull() | (100 * F.col("around") < held_percent * F.col("a")))
         rows = rows.drop("around")
     for i, key in enumerate(keys):
         word = words.select(F.col("w1").alias(key), F.col("word").alias(f"word{i}"), *(["lang"] if i == 0 else []))
-        rows = rows.join(broadcast_if_small(word), key)
+        rows = rows.join(broadcast_if_small(word, SMALL), key)
     cuts = []
     for k in range(1, size):
         for side, part in ((f"l{k}", keys[:k]), (f"r{k}", keys[k:])):
             level = levels[len(part) - 1]
             known = level.select(*[F.col(f"w{i + 1}").alias(c) for i, c in enumerate(part)], F.col("a").alias(side))
-            rows = rows.join(broadcast_if_small(known), part)
+            rows = rows.join(broadcast_if_small(known, SMALL), part)
         wide = "cast({} as decimal(18,0))".format
         score = F.expr(f"(cast(1000000 * {wide('a')} as decimal(25,0)) * cast(a as decimal(13,0))) div ({wide(f'l{k}')} * {wide(f'r{k}')})")
         cuts.append(F.struct(score.alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")))

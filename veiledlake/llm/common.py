@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from veiledlake.operators.sizes import BROADCAST_BYTES, memory_size
 
 # Whether a query removes its shuffle files at its end.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Rows that Python adds columns to at once.
+SLICE = 1000
 # A key is hot with one part in so many of all rows.
 HOT = 10_000
 SPACE_WORDS = r"[^\x20\x09-\x0D]+"
@@ -81,7 +84,7 @@ def settled(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def add_columns(df: DataFrame, inputs: list[str], added: str, make: Callable) -> DataFrame:
+def add_columns(df: DataFrame, inputs: list[str | Column], added: str, make: Callable) -> DataFrame:
     """All rows and columns, and those of the schema `added`, which `make` gives for the inputs of an Arrow batch.
 
     Everything is computed once, whatever is done with the columns. All columns of the table pass through Python, so
@@ -92,12 +95,15 @@ def add_columns(df: DataFrame, inputs: list[str], added: str, make: Callable) ->
     n = len(kept.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [*batch.columns[:n], *make(*batch.columns[n:])]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:n], *kind.names])
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                columns = [*batch.columns[:n], *make(*batch.columns[n:])]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:n], *kind.names])
 
     names = fresh(df, *(f"in{i}" for i in range(len(inputs))))
-    ready = df.withColumns({name: F.col(c) for name, c in zip(names, inputs, strict=True)})
+    columns = [F.col(c) if isinstance(c, str) else c for c in inputs]
+    ready = df.withColumns(dict(zip(names, columns, strict=True)))
     return ready.select(*kept.columns, *names).mapInArrow(run, T.StructType(kept.schema.fields + kind.fields))
 
 
@@ -112,28 +118,55 @@ def sample_of(rows: DataFrame, text: str, most: int) -> DataFrame:
     return rows.withColumn("_place", place).orderBy("_place").limit(most).drop("_place")
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether a settled table, as measured, is within the library's bound for broadcasts."""
-    return df.agg(memory_size(df.schema, df.columns)).first()[0] <= BROADCAST_BYTES
+def is_small(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a settled table, as measured, is within a bound for broadcasts: the library's, or a smaller one."""
+    return df.agg(memory_size(df.schema, df.columns)).first()[0] <= most
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """A settled table, marked for broadcast if its measured size is within the library's bound.
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A settled table, marked for broadcast if its measured size is within the bound.
 
     Beyond the bound the join shuffles both sides, and splits what is skewed.
     """
-    return F.broadcast(df) if is_small(df) else df
+    return F.broadcast(df) if is_small(df, most) else df
 
 
-def join_by_weight(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str) -> DataFrame:
+def bit_table(place: Column, rows: DataFrame, bits: int) -> np.ndarray:
+    """A table of 2 ** `bits` bits, set at the last bits of a number of each row: its size is fixed, whatever the rows.
+
+    It tells which keys surely are in no row. Others are looked up in full later, so a full table costs work only.
+    """
+    at = place.bitwiseAND(F.lit((1 << bits) - 1)) + 1
+    buckets = (
+        rows.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+        .groupBy("bucket")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        .collect()
+    )
+    table = np.zeros((1 << bits) // 8, np.uint8)
+    for row in buckets:
+        found = np.frombuffer(bytes(row["bits"]), np.uint8)
+        start = (row["bucket"] - 1) * len(found)
+        table[start : start + len(found)] = found
+    return table
+
+
+def is_set(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    at = places.view(np.uint64) & np.uint64(8 * len(table) - 1)
+    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def join_by_weight(
+    rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, most: int = BROADCAST_BYTES
+) -> DataFrame:
     """Rows with what `keyed` holds for their key; both tables are settled, and `keyed` has one row per key.
 
-    A small `keyed` is broadcast. Otherwise the keys with more than one `HOT`th of the weight, of which there are fewer
+    A `keyed` of up to `most` bytes is broadcast. Otherwise the keys with more than one `HOT`th of the weight, of which there are fewer
     than `HOT`, are broadcast, and only the rows of the other keys are shuffled: no task gets a hot key.
     """
     columns = [*rows.columns, *(c for c in keyed.columns if c not in on and c != weight)]
     light = keyed.drop(weight)
-    if is_small(light):
+    if is_small(light, most):
         return rows.join(F.broadcast(light), on).select(columns)
     bound = keyed.agg(F.sum(weight)).first()[0] / HOT
     hot = keyed.where(F.col(weight) > bound).drop(weight)

@@ -10,11 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import broadcast_if_small, fresh, is_small, join_by_weight, settled, ship
+from veiledlake.llm.common import bit_table, broadcast_if_small, fresh, is_set, join_by_weight, settled, ship
 from veiledlake.llm.shingles import LETTERS, hashed_words, parts, rolled
 
 WINDOW = 13
 ANCHOR = 7
+# Tables of seeds and windows up to this size are broadcast; larger ones grow with the texts, and are shuffled.
+SMALL = 4 << 20
+# Bits of the table of anchors that stand twice: 16 MB.
+BITS = 27
 KIND = "struct<n_words: long, n_removed: long, kept: string>"
 
 
@@ -53,33 +57,58 @@ def repeats(
 
     1. Winnowing: of the runs of `anchor` words in a window the one with the smallest hash is its anchor, so equal
        windows have equal anchors. Anchors are counted, first inside the tasks.
-    2. Documents are joined with the anchors that stand twice or more; what is joined are seeds.
-    3. A seed is extended both ways to the windows it is the anchor of. A window is known by its anchor and a hash of
-       its words, 96 bits. Its smallest document is found by one aggregation, and not by looking at pairs: a passage
-       of a third of all documents costs each of them its own length. Rows of frequent windows are not shuffled again.
-    4. Windows that follow each other join to a maximal repeat; it is no shorter than a window.
+    2. Documents meet in the anchors that stand twice or more; where one does is a seed. Tasks leave out the others by
+       a table of bits; an anchor that passes it by chance has one class of one seed, and nothing comes of it.
+    3. A seed is extended both ways to all windows it is the anchor of. Seeds whose whole stretch is the same are one
+       class: in all documents but the smallest of the class the stretch is repeated.
+    4. Where an anchor has stretches that differ, which is at the ends of what is common, windows are compared one by
+       one, once for each class. A window is known by its anchor and a hash of its words, 96 bits.
+    5. Windows that follow each other join to a maximal repeat; it is no shorter than a window.
+
+    No pairs are made: a passage of a third of all documents costs each of them its own length. Keys that many rows hold
+    are not shuffled in the joins.
     """
-    if not 0 < anchor <= window:
-        raise ValueError("an anchor is part of a window")
+    if not 0 < anchor <= window or window - anchor >= 63:
+        raise ValueError("an anchor is part of a window, and shorter by less than 63 words")
     ship(docs.sparkSession)
     texts = docs.where(F.col(doc_id).isNotNull())
     texts = texts.select(
         F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text).alias("copy"), F.col(text).cast("string").alias("text")
     )
     counted = texts.select("text").mapInArrow(_anchors(window, anchor), "anchor long, n long")
-    shared = settled(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"))
-    seeds = texts.mapInArrow(_seeds(window, anchor), "doc long, copy long, at int, anchor long, windows array<int>")
-    if not is_small(shared.select("anchor")):
-        seeds = settled(seeds)
-    seeds = settled(join_by_weight(seeds, shared, ["anchor"], "n"))
-    windows = seeds.select("doc", "copy", "anchor", "at", F.posexplode("windows").alias("more", "words"))
-    owners = windows.groupBy("anchor", "words").agg(
-        F.min("doc").alias("owner"), F.max("doc").alias("last"), F.count("*").alias("n")
+    shared = counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+    bits = bit_table(F.col("anchor"), shared, BITS)
+    seeds = texts.mapInArrow(
+        _seeds(window, anchor, bits), "doc long, copy long, at int, anchor long, windows array<int>"
     )
-    owners = settled(owners.where("owner < last").drop("last"))
-    owned = join_by_weight(windows, owners, ["anchor", "words"], "n").where("owner < doc")
-    owned = owned.groupBy("doc", "copy").agg(F.collect_set(F.col("at") + F.col("more")).alias("starts"))
-    return settled(owned.select("doc", "copy", _spans(F.array_sort("starts"), window).alias("spans")))
+    seeds = settled(seeds)
+    classes = seeds.groupBy("anchor", "windows").agg(F.min("doc").alias("owner"), F.count("*").alias("n"))
+    classes = settled(classes.withColumn("stretch", F.xxhash64("windows")))
+    early = _owned_windows(classes)
+    marked = classes.select("anchor", "stretch", "owner", "n").join(early, ["anchor", "stretch"], "left")
+    marked = settled(marked.where("n > 1 or early is not null"))
+    stretches = seeds.select(
+        "doc", "copy", "at", "anchor", F.xxhash64("windows").alias("stretch"), F.size("windows").alias("size")
+    )
+    found = join_by_weight(stretches, marked, ["anchor", "stretch"], "n", SMALL).where("doc > owner or early is not null")
+    kept = F.filter(
+        F.sequence(F.lit(0), F.col("size") - 1),
+        lambda i: (F.col("doc") > F.col("owner")) | (F.getbit("early", i) == 1),
+    )
+    starts = found.select("doc", "copy", F.transform(kept, lambda i: i + F.col("at")).alias("starts"))
+    starts = starts.groupBy("doc", "copy").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    return settled(starts.select("doc", "copy", _spans(F.array_sort(F.array_distinct("starts")), window).alias("spans")))
+
+
+def _owned_windows(classes: DataFrame) -> DataFrame:
+    """For classes of seeds, the windows that a class with a smaller document has too: anchor, stretch, early (bits)."""
+    rivals = settled(classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"))
+    contested = join_by_weight(classes.drop("n"), rivals, ["anchor"], "n", SMALL)
+    windows = settled(contested.select("anchor", "stretch", "owner", F.posexplode("windows").alias("i", "words")))
+    owners = windows.groupBy("anchor", "words").agg(F.min("owner").alias("least"), F.count("*").alias("n"))
+    owned = join_by_weight(windows, settled(owners.where("n > 1")), ["anchor", "words"], "n", SMALL).where("least < owner")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("i"))
+    return settled(owned.groupBy("anchor", "stretch").agg(F.bit_or(bit).alias("early")))
 
 
 def _spans(starts: Column, window: int) -> Column:
@@ -117,14 +146,17 @@ def _anchors(window: int, anchor: int):
     return run
 
 
-def _seeds(window: int, anchor: int):
+def _seeds(window: int, anchor: int, bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             before = 0
             for data, ends in parts(batch.column(2)):
                 marks, words, at, row, begins = _winnowed(data, ends, window, anchor)
+                sizes = np.diff(begins, append=len(words))
+                kept = is_set(bits, marks[begins])
+                words, begins = words[np.repeat(kept, sizes)], begins[kept]
+                borders = pa.array(np.append(0, np.cumsum(sizes[kept])).astype(np.int32))
                 rows = pa.array(row[begins] + before)
-                borders = pa.array(np.append(begins, len(words)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(rows),
