@@ -40,14 +40,13 @@ def test_bpe_equals_library(spark, table, library, most):
     rows = list(enumerate(TEXTS)) + [(None, "null id"), (3, TEXTS[3]), (3, TEXTS[3])]
     rows += [(100 + i, "".join(rng.choices("abé 1\n'ste.", k=rng.randint(0, 60)))) for i in range(40)]
     vocabulary = bpe.Vocabulary(PATH, public_tokenizers.PATTERN)
-    found = bpe.encode(table(rows), vocabulary, most=most)
-    found = found.select("text", "ids", vocabulary.decode(F.col("ids")).alias("back"), bpe.ids_as_bytes(F.col("ids")).alias("raw"))
-    out = found.collect()
+    found = bpe.encode(table(rows), vocabulary, packed="raw", decoded="_ids", most=most)
+    out = found.select("text", "ids", "raw", "_ids", vocabulary.decode(F.col("ids")).alias("back")).collect()
     assert len(out) == len(rows)
     for r in out:
         want = library.encode_ordinary(r.text or "")
         assert r.ids == want, r.text
-        assert bytes(r.back) == (r.text or "").encode() and bytes(r.raw) == struct.pack(f"<{len(want)}I", *want)
+        assert bytes(r.back) == bytes(r._ids) == (r.text or "").encode() and bytes(r.raw) == struct.pack(f"<{len(want)}I", *want)
 
 
 def test_merges_of_short_and_long_words(library):
@@ -70,6 +69,13 @@ def test_frequent_words_whatever_the_counts(table, library):
         assert sorted(counts[w] for w in found) == sorted(sorted(counts.values(), reverse=True)[: len(found)])
 
 
+def test_bpe_encodes_once(spark):
+    """Whatever is done with the ids, a text goes through the encoder once."""
+    for df in (queries.op8_byte_bpe(spark, SF), corpus_pipeline.encode_tokens(spark, queries.table(spark, SF, "documents"), SF)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+
+
 def test_bpe_of_nothing(table):
     vocabulary = bpe.Vocabulary(PATH, public_tokenizers.PATTERN)
     assert bpe.encode(table([]), vocabulary).collect() == []

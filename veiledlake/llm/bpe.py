@@ -16,11 +16,12 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import settled, ship
+from veiledlake.llm.common import add_columns, settled, ship
 
 # A rank that stands for "no merge".
 NONE = 2**31 - 1
@@ -32,7 +33,7 @@ FREQUENT_BYTES = 48
 # Bits of a number that one job looks at to find the bound of the most frequent words.
 DIGIT = 12
 # Other words that a task remembers until it starts anew, and words of a text that it holds at once.
-REMEMBERED = 100_000
+REMEMBERED = 400_000
 HELD = 200_000
 PLAN_TEXT = "spark.sql.maxPlanStringLength"
 # Longer words are merged by a heap.
@@ -108,16 +109,6 @@ class Vocabulary:
         return joined(ids)
 
 
-def ids_as_bytes(ids: Column) -> Column:
-    """Ids as unsigned 32-bit numbers, lowest byte first."""
-
-    @F.pandas_udf("binary")
-    def raw(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda r: np.asarray(r, "<u4").tobytes())
-
-    return raw(ids)
-
-
 def frequent_words(
     docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", most: int = FREQUENT_WORDS
 ) -> dict[str, list[int]]:
@@ -170,22 +161,40 @@ def _above(counts: DataFrame, key: str, highest: int, most: int) -> tuple[int, i
 
 
 def encode(
-    docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", ids: str = "ids", most: int = FREQUENT_WORDS
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    *,
+    text: str = "text",
+    ids: str = "ids",
+    packed: str | None = None,
+    decoded: str | None = None,
+    most: int = FREQUENT_WORDS,
 ) -> DataFrame:
-    """All rows and columns with the token ids of the whole text; a column named like `ids` is replaced.
+    """All rows and columns with the token ids of the whole text; columns named like the results are replaced.
 
     Every match of the vocabulary's pattern is a word and is encoded by itself. Null and empty texts have no ids.
-    A word of any length is encoded.
+    A word of any length is encoded. Names for `packed` and `decoded` ask for more columns: the ids as unsigned 32-bit
+    numbers, lowest byte first, and the bytes that they stand for, their pieces joined. A text is encoded once for all.
     """
     ship(docs.sparkSession)
     known, ranks, pattern = frequent_words(docs, vocabulary, text=text, most=most), vocabulary.ranks, vocabulary.pattern
+    pieces = {rank: piece for piece, rank in ranks.items()} if decoded else {}
+    rest: dict = {}  # each task starts with its own, and keeps it for all its batches
 
-    @F.pandas_udf("array<int>")
-    def encoded(texts: pd.Series) -> pd.Series:
-        words, rest = regex.compile(pattern), {}
-        return texts.map(lambda t: _encode_text(t or "", words, known, rest, ranks))
+    def encoded(texts: pa.Array) -> list[pa.Array]:
+        words = regex.compile(pattern)
+        rows = [_encode_text(t or "", words, known, rest, ranks) for t in texts.to_pylist()]
+        ends = np.append(0, np.cumsum([len(r) for r in rows])).astype(np.int32)
+        found = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))]
+        if packed:
+            found.append(pa.array([r.astype("<u4").tobytes() for r in rows], pa.binary()))
+        if decoded:
+            found.append(pa.array([b"".join(map(pieces.__getitem__, r.tolist())) for r in rows], pa.binary()))
+        return found
 
-    return docs.withColumn(ids, encoded(F.coalesce(F.col(text), F.lit(""))))
+    kinds = {ids: "array<int>", packed: "binary", decoded: "binary"}
+    added = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items() if name)
+    return add_columns(docs, [F.col(text).cast("string")], added, encoded)
 
 
 def _encode_text(text: str, words: regex.Pattern, known: dict, rest: dict, ranks: dict[bytes, int]) -> np.ndarray:
@@ -218,17 +227,16 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[word]]
     if len(word) > LONG:
         return _merged_long(word, ranks)
-    parts = [word[i : i + 1] for i in range(len(word))]
-    pairs = [ranks.get(a + b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
+    rank, cuts = ranks.get, list(range(len(word) + 1))
+    pairs = [rank(word[i : i + 2], NONE) for i in range(len(word) - 1)]
     while pairs and (best := min(pairs)) != NONE:
         i = pairs.index(best)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
+        del cuts[i + 1], pairs[i]
         if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], NONE)
+            pairs[i] = rank(word[cuts[i] : cuts[i + 2]], NONE)
         if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], NONE)
-    return [ranks[p] for p in parts]
+            pairs[i - 1] = rank(word[cuts[i - 1] : cuts[i + 1]], NONE)
+    return [ranks[word[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def _merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:

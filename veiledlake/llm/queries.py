@@ -76,12 +76,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    ids = F.col("ids")
-    return bpe.encode(docs.select("doc_id", "text"), vocabulary).select(
+    encoded = bpe.encode(docs.select("doc_id", "text"), vocabulary, packed="packed", decoded="decoded")
+    return encoded.select(
         "doc_id",
-        F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(bpe.ids_as_bytes(ids), 256).alias("ids_sha256"),
-        F.sha2(vocabulary.decode(ids), 256).alias("decoded_sha256"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
