@@ -1,3 +1,4 @@
+import re
 import time
 from datetime import UTC, datetime
 
@@ -159,6 +160,55 @@ def test_shuffled_join_spreads_hot_and_blank_rows(spark, tmp_path):
     assert len(sizes) == 16 and max(sizes) < 2 * 30000 / 16
 
 
+def large_batch(spark, n=400):
+    """Rows with a wide column and three large PII columns, two of them of one type; nulls, blanks, repeated rows."""
+    df = spark.range(0, n, 1, 4).select(
+        (F.col("id") % 150).alias("id"),
+        F.repeat((F.col("id") % 150).cast("string"), 20).alias("payload"),
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("a"), F.col("id") % 150)).alias("a"),
+        F.when(F.col("id") % 5 == 0, "").otherwise((F.col("id") % 50).cast("string")).alias("b"),
+        F.when(F.col("id") % 7 > 0, (F.col("id") % 30).cast("string")).alias("c"),
+    )
+    pii = {"a": "person_nm", "b": "ssn", "c": "ssn"}
+    tokens = batch_values(df, pii).select(
+        "*", F.concat_ws("/", "pii_type", "pii_value").alias("token")
+    )
+    return df, pii, BatchTokens(tokens, 3 * n, dict.fromkeys(["person_nm", "ssn"], 10**9))
+
+
+def test_cells_of_several_large_columns_meet_their_tokens(spark, rows):
+    df, pii, batch = large_batch(spark)
+
+    def expected(c, t):
+        blank = F.col(c).isNull() | (F.col(c) == "")
+        return F.when(blank, "").otherwise(F.concat_ws("/", F.lit(t), F.col(c))).alias(c)
+
+    wanted = rows(df.select("id", "payload", *(expected(c, t) for c, t in pii.items())))
+    for share in (1, 1 / 100):
+        done = tokenise_from_vault(df, pii, batch, broadcast_bytes=0, hot_share=share)
+        assert rows(done) == wanted
+    added = tokenise_from_vault(df, pii, batch, suffix="_hash", broadcast_bytes=0, hot_share=1)
+    assert rows(added.drop("a_hash", "b_hash", "c_hash")) == rows(df)
+    assert rows(added.select("id", "payload", "a_hash", "b_hash", "c_hash")) == wanted
+    gone = BatchTokens(batch.tokens.filter("pii_value <> '7'"), batch.cells, batch.bytes_by_type)
+    with pytest.raises(Exception, match="no token for a value of [bc]"):
+        tokenise_from_vault(df, pii, gone, broadcast_bytes=0, hot_share=1).collect()
+    assert rows(tokenise_from_vault(df.limit(0), pii, batch, broadcast_bytes=0)) == []
+
+
+def test_wide_rows_are_shuffled_once_for_all_large_columns(spark):
+    df, pii, batch = large_batch(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = tokenise_from_vault(df, pii, batch, broadcast_bytes=0)
+        query = done._jdf.queryExecution()
+        plan = query.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    shuffles = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert len(shuffles) > 2 and sum("payload#" in columns for columns in shuffles) == 1
+
+
 def test_no_value_in_clear_and_joins_survive(spark, vault, tmp_path):
     people = DatasetPolicy("people", keys=("ssn",), pii={"ssn": "ssn", "lnm": "person_nm"})
     cases = DatasetPolicy("cases", keys=("id",), pii={"owner_ssn": "ssn"}, strips={"owner_ssn": ("-",)})

@@ -128,9 +128,11 @@ def tokenise_from_vault(
     """Replace PII columns by their vault tokens, or add them under a suffix.
 
     Types whose tokens together take up to ``broadcast_bytes``, the smallest
-    first, are joined by broadcast. Beyond that a column is joined by a shuffle, in which no value holds many
-    rows: the hot values, few by definition, are looked up by broadcast first,
-    and rows already settled (hot or blank) are spread evenly.
+    first, are joined by broadcast. The cells of all other columns are looked up
+    in one shuffle of narrow rows, and the rows themselves are shuffled once,
+    however many such columns there are. No value holds many rows in it: the hot
+    values, few by definition, are looked up by broadcast first, and rows already
+    settled (hot or blank in each column) are spread evenly.
 
     The spread follows the row's position, which a retried task repeats only
     when ``df`` reads files without a shuffle in between, as the clean hop does.
@@ -141,32 +143,34 @@ def tokenise_from_vault(
         held += batch.bytes_by_type.get(t, 0)
         if held <= broadcast_bytes:
             small.add(t)
-    if not small.issuperset(pii.values()):
-        keys = SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(keys))
-        df = df.withColumn(f"{HELPER}spread", spread)
+    is_hot = F.col("cells") > batch.cells * hot_share
+    values = {c: F.col(c).cast("string") for c in pii}
+    found = {c: [f"{HELPER}token_{i}"] for i, c in enumerate(pii)}
     for c, t in pii.items():
-        value, tokens = F.col(c).cast("string"), batch.of_type(t)
-        if t in small:
-            df = _look_up(df, value, tokens, "token")
-        else:
-            is_hot = F.col("cells") > batch.cells * hot_share
-            df = _look_up(df, value, tokens.filter(is_hot), "hot_token")
-            df = _look_up_by_shuffle(df, value, tokens.filter(~is_hot))
-        token = F.col(f"{HELPER}token")
+        tokens = batch.of_type(t)
+        df = _look_up(df, values[c], tokens if t in small else tokens.filter(is_hot), found[c][0])
+    large = {c: t for c, t in pii.items() if t not in small}
+    if large:
+        unsettled = {c: ~is_blank(values[c]) & F.col(found[c][0]).isNull() for c in large}
+        digests = {c: F.when(unsettled[c], _digest(values[c])) for c in large}
+        cold = batch.tokens.filter(F.col("pii_type").isin(sorted(set(large.values()))) & ~is_hot)
+        names = {c: f"{HELPER}cold_{i}" for i, c in enumerate(large)}
+        df = _look_up_by_shuffle(df, large, digests, cold, names)
+        for c in large:
+            found[c].append(names[c])
+    done = {}
+    for c in pii:
         # A value without a token must never be passed on in clear, nor get lost.
         missing = F.raise_error(F.lit(f"no token for a value of {c}"))
-        found = F.when(is_blank(value), blank_token(batch.blank)).otherwise(
-            F.coalesce(token, missing)
-        )
-        df = df.withColumn(c + suffix, found).drop(f"{HELPER}token")
-    return df.select(*columns)
+        token = F.coalesce(*(F.col(name) for name in found[c]), missing)
+        done[c + suffix] = F.when(is_blank(values[c]), blank_token(batch.blank)).otherwise(token)
+    return df.withColumns(done).select(*columns)
 
 
 def _look_up(df: DataFrame, value: Column, tokens: DataFrame, name: str) -> DataFrame:
     """Add the token of a value from a small table."""
     tokens = tokens.select(
-        _digest(F.col("pii_value")).alias(f"{HELPER}value"), F.col("token").alias(HELPER + name)
+        _digest(F.col("pii_value")).alias(f"{HELPER}value"), F.col("token").alias(name)
     )
     found = df.join(F.broadcast(tokens), _digest(value) == F.col(f"{HELPER}value"), "left")
     return found.drop(f"{HELPER}value")
@@ -177,18 +181,58 @@ def _digest(value: Column) -> Column:
     return F.unhex(F.sha2(value, 256))
 
 
-def _look_up_by_shuffle(df: DataFrame, value: Column, tokens: DataFrame) -> DataFrame:
-    """Add the token of a value from a large table, unless it is hot or blank."""
-    settled = is_blank(value) | F.col(f"{HELPER}hot_token").isNotNull()
+def _look_up_by_shuffle(
+    df: DataFrame,
+    large: Mapping[str, str],
+    digests: Mapping[str, Column],
+    tokens: DataFrame,
+    names: Mapping[str, str],
+) -> DataFrame:
+    """Add the tokens of digests from a large table, by column; a null digest needs none.
+
+    Rows meet their tokens by the digest of all their digests: it follows from the
+    row alone, so a retried task makes the same keys, and equal rows share one.
+    """
+    key = _row_key(list(digests.values()))
+    found = _tokens_by_row(df.select(key.alias(f"{HELPER}key"), *_named(digests, names)), large, tokens, names)
+    keys = SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(keys))
     # A digest has 32 bytes, and the other kind of key is shorter.
-    spread = F.concat(F.lit("s"), F.col(f"{HELPER}spread")).cast("binary")
-    key = F.when(settled, spread).otherwise(_digest(value))
-    tokens = tokens.select(
-        _digest(F.col("pii_value")).alias(f"{HELPER}key"),
-        F.col("token").alias(f"{HELPER}cold_token"),
+    spread = F.concat(F.lit("s"), spread).cast("binary")
+    df = df.withColumn(f"{HELPER}row_key", F.coalesce(key, spread))
+    return df.join(found, F.col(f"{HELPER}row_key") == F.col(f"{HELPER}key"), "left")
+
+
+def _row_key(digests: list[Column]) -> Column:
+    """One digest of several, null if all are null."""
+    if len(digests) == 1:
+        return digests[0]
+    none = F.lit(bytearray(32))
+    joined = F.concat(*(F.coalesce(d, none) for d in digests))
+    return F.when(F.coalesce(*digests).isNotNull(), F.unhex(F.sha2(joined, 256)))
+
+
+def _named(columns: Mapping[str, Column], names: Mapping[str, str]) -> list[Column]:
+    return [column.alias(names[c]) for c, column in columns.items()]
+
+
+def _tokens_by_row(
+    rows: DataFrame, large: Mapping[str, str], tokens: DataFrame, names: Mapping[str, str]
+) -> DataFrame:
+    """One row per key with the token of each digest: cells of all columns go through one join."""
+    tokens = tokens.select("pii_type", _digest(F.col("pii_value")).alias("digest"), "token")
+    key = f"{HELPER}key"
+    if len(large) == 1:
+        (name,) = names.values()
+        return tokens.select(F.col("digest").alias(key), F.col("token").alias(name))
+    cells = F.array(
+        *(
+            F.struct(F.lit(i).alias("at"), F.lit(t).alias("pii_type"), F.col(names[c]).alias("digest"))
+            for i, (c, t) in enumerate(large.items())
+        )
     )
-    df = df.withColumn(f"{HELPER}row_key", key)
-    df = df.join(tokens, F.col(f"{HELPER}row_key") == F.col(f"{HELPER}key"), "left")
-    token = F.coalesce(f"{HELPER}hot_token", f"{HELPER}cold_token")
-    helpers = [HELPER + h for h in ("hot_token", "cold_token", "row_key", "key")]
-    return df.withColumn(f"{HELPER}token", token).drop(*helpers)
+    cells = rows.select(key, F.inline(cells)).filter(F.col("digest").isNotNull())
+    of_column = [
+        F.max(F.when(F.col("at") == i, F.col("token"))).alias(names[c]) for i, c in enumerate(large)
+    ]
+    return cells.join(tokens, ["pii_type", "digest"]).groupBy(key).agg(*of_column)
