@@ -44,6 +44,23 @@ def test_requirement_sheet_with_banner(spark, tmp_path, rows):
         read_requirements(spark, f"{tmp_path}/plain.csv")
 
 
+def test_sheets_with_columns_in_another_order(spark, tmp_path, rows):
+    """Headings go by their place in each file; a row of data may hold some of their words."""
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s/a.csv").write_text("One,,\nSchema,Table,Column,Final De-ID Requirement\ns,Table,Column,Hash\n")
+    (tmp_path / "s/b.csv").write_text(
+        "Two, by others\nNo,Final De-ID Requirement,Column,Table,Schema,Remark\n"
+        '1,,"c, d",t,s,\n2,Exclude,Schema,Table,s,"Column, Final De-ID Requirement"\n'
+    )
+    (tmp_path / "s/c.csv").write_text("Three\n")
+    (tmp_path / "s/d.csv").write_text("")
+    wanted = [("s", "Table", "Column", "Hash"), ("s", "Table", "Schema", "Exclude"), ("s", "t", "c, d", None)]
+    assert sorted(rows(read_requirements(spark, f"{tmp_path}/s")), key=str) == sorted(wanted, key=str)
+    (tmp_path / "s/e.csv").write_text("Four\nSchema,Table,Column\ns,t,c\n")
+    with pytest.raises(ValueError, match="e.csv lacks the headings .*Final De-ID Requirement"):
+        read_requirements(spark, f"{tmp_path}/s")
+
+
 def test_select_and_fan_out(spark, rows):
     tables = spark.createDataFrame([("desk", "a"), ("desk", "b_ref"), ("comm", "a")], "schema string, table string")
     assert rows(select_tables(tables, "desk", "%_ref")) == [("desk", "b_ref")]

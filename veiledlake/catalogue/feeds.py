@@ -29,6 +29,7 @@ from veiledlake.operators.feed import count_operations, stamp_full_load
 from veiledlake.operators.governance import policy_with_keys
 from veiledlake.plans.curate import run_curate
 from veiledlake.policy import DatasetPolicy
+from veiledlake.sinks.catalog import sync_catalog
 from veiledlake.sinks.clean import append_parquet
 from veiledlake.sinks.curated import BucketTable, PartitionedTable
 from veiledlake.sources.batch import fan_out, read_requirements, scan_dataset, select_tables
@@ -106,16 +107,24 @@ def fan_out_plan(spark: SparkSession, sf: str) -> DataFrame:
     name="read_requirements",
 )
 def read_requirement_sheet(spark: SparkSession, sf: str) -> DataFrame:
-    folder = work_folder(spark)
-    sheet = column_list(spark, sf).select(
-        F.col("ordinal").alias("No"),
-        F.col("schema").alias("Schema"),
-        F.col("table").alias("Table"),
-        F.col("column").alias("Column"),
-        F.col("requirement").alias("Final De-ID Requirement"),
-    )
-    sheet.write.option("header", True).csv(folder)
-    return read_requirements(spark, folder, banner=False)
+    """Sheets by area, each below a banner of its own and with its columns in another order."""
+    folder, listed = work_folder(spark), column_list(spark, sf)
+    values = {
+        "No": F.col("ordinal").cast("string"),
+        "Schema": F.col("schema"),
+        "Table": F.col("table"),
+        "Column": F.col("column"),
+        "Final De-ID Requirement": F.col("requirement"),
+    }
+    headings = spark.range(1).select(F.lit(0).alias("place"), *(F.lit(h).alias(h) for h in values))
+    for sheet, order in enumerate([list(values), [*reversed(values)]]):
+        rows = listed.filter(F.pmod("ordinal", F.lit(2)) == sheet)
+        rows = rows.select(F.lit(1).alias("place"), *(v.alias(h) for h, v in values.items()))
+        # The heading of the file is the banner, and the headings are its first row.
+        filed = headings.unionByName(rows).coalesce(1).sortWithinPartitions("place").select(*order)
+        titled = filed.toDF(f"Approved {sheet}", *(f"note {i}" for i in range(1, len(order))))
+        titled.write.option("header", True).csv(f"{folder}/{sheet}")
+    return read_requirements(spark, f"{folder}/*")
 
 
 @query(f"select {CUSTOMER} from customer")
@@ -137,6 +146,24 @@ def catalog_register(spark: SparkSession, sf: str) -> DataFrame:
     return scan_dataset(spark, table=name)
 
 
+@query(f"""
+    select {ORDERS}, case when o_orderstatus is distinct from 'F' then upper(o_orderpriority) end
+        as urgency
+    from orders""")
+def catalog_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of a second schema arrive; the catalog entry that follows them shows the new column of all."""
+    folder, name = work_folder(spark), f"orders_{uuid.uuid4().hex}"
+    orders, done = read(spark, sf, "orders"), F.col("o_orderstatus").eqNullSafe("F")
+    orders.filter(done).write.parquet(folder)
+    sync_catalog(spark, name, folder)
+    later = orders.filter(~done).withColumn("urgency", F.upper("o_orderpriority"))
+    later.write.mode("append").parquet(folder)
+    changes = sync_catalog(spark, name, folder)
+    if [(r["column"], r["change"]) for r in changes] != [("urgency", "added")]:
+        raise AssertionError(f"the entry changed by {changes}")
+    return scan_dataset(spark, table=name)
+
+
 @query(f"select {ORDERS} from orders")
 def empty_batch_guard(spark: SparkSession, sf: str) -> DataFrame:
     """An empty batch leaves a table as it is."""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import csv
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,25 +41,44 @@ def read_requirements(
 ) -> DataFrame:
     """Read a requirement sheet exported as CSV: schema, table, column, requirement.
 
-    With ``banner`` a title line stands above the headings of each file, and
-    may differ between files; the headings may not. Columns are found by
-    heading; others are ignored. ``multi_line`` is for cells that hold line
-    breaks, and reads each file in one task.
+    With ``banner`` a title line stands above the headings of each file. Title
+    and order of the columns may differ between files: a file's headings are
+    its first row below the title, whatever it says, and its columns are found
+    by them; others are ignored. A later row that repeats all of its file's
+    headings is no requirement and is left out too. A file without rows gives
+    none. ``multi_line`` is for cells that hold line breaks, and reads each
+    file in one task.
     """
-    top = [row["value"] for row in spark.read.text(path).take(2 if banner else 1)]
-    headings = next(csv.reader([top[-1]]))
-    absent = sorted(set(SHEET_HEADINGS) - set(headings))
-    if absent:
-        raise ValueError(f"the sheet lacks the headings {absent}")
-    columns = [f"c{i}" for i in range(len(headings))]
-    layout = ", ".join(f"{c} string" for c in columns)
-    # The first line of each file goes by its place, whatever it says; headings below a banner by content.
-    reader = spark.read.schema(layout).option("multiLine", multi_line).option("header", True)
-    rows = reader.csv(path)
-    if banner:
-        rows = rows.filter(~F.struct(*columns).eqNullSafe(F.from_csv(F.lit(top[-1]), layout)))
-    return rows.select(
-        *(F.col(columns[headings.index(h)]).alias(name) for h, name in SHEET_HEADINGS.items())
+    lines = spark.read.text(path)
+    headed = reduce(and_, (F.contains("value", F.lit(h)) for h in SHEET_HEADINGS))
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    width = lines.agg(F.max(F.when(headed, commas + 1))).first()[0] or len(SHEET_HEADINGS)
+    layout = ", ".join(f"c{i} string" for i in range(width))
+    reader = spark.read.schema(layout).option("multiLine", multi_line).option("header", banner)
+    rows = reader.csv(path).select(
+        F.array(*(f"c{i}" for i in range(width))).alias("cells"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    # The rows of a file's first block stand in order in one task.
+    place = F.monotonically_increasing_id()
+    heads = (
+        rows.withColumn("place", place)
+        .filter("start = 0")
+        .groupBy("file")
+        .agg(F.min_by("cells", "place").alias("headings"))
+    )
+    wanted = F.array(*(F.lit(h) for h in SHEET_HEADINGS))
+    absent = heads.select("file", F.array_except(wanted, "headings").alias("absent"))
+    lacking = absent.filter(F.size("absent") > 0).first()
+    if lacking:
+        raise ValueError(f"the sheet {lacking['file']} lacks the headings {sorted(lacking['absent'])}")
+    cells = rows.join(heads, "file").filter(~F.col("cells").eqNullSafe(F.col("headings")))
+    return cells.select(
+        *(
+            F.element_at("cells", F.array_position("headings", F.lit(h)).cast("int")).alias(name)
+            for h, name in SHEET_HEADINGS.items()
+        )
     )
 
 
