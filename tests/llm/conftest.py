@@ -1,6 +1,9 @@
 import pytest
 
-CLASH = ("text", "lang_pred", "n_words", "n_hit", "label", "part", "peek", "h", "_words", "_doc", "ids", "spans", "base")
+CLASH = (
+    *("text", "lang_pred", "n_words", "n_hit", "label", "part", "peek", "h", "_words", "_doc", "ids", "spans", "base"),
+    *("_marks", "_lines", "_kept", "_site", "_host", "_low", "_answer", "_found", "_gone", "host", "low", "place"),
+)
 
 
 @pytest.fixture

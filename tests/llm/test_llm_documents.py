@@ -164,6 +164,18 @@ def test_line_dedup(table):
     assert lines.drop_site_lines(docs.limit(0)).collect() == []
 
 
+def test_lines_of_small_hosts(table):
+    """A line on two pages counts on a host of any size by its share alone; one page repeats nothing."""
+    rows = [(i, f"head\nown {i}", f"host {n}") for n in (1, 2, 19, 20) for i in range(n)]
+    rows = [(i, text if i < 2 else text.removeprefix("head\n"), host) for i, text, host in rows]
+    found = lines.drop_site_lines(table(rows, "doc_id long, text string, source string"))
+    cut = {(r.source, r.doc_id): r.text for r in found.collect() if r.doc_id < 2}
+    assert cut["host 1", 0] == "head\nown 0"
+    for i in range(2):
+        assert cut["host 2", i] == cut["host 19", i] == f"own {i}"
+        assert cut["host 20", i] == f"head\nown {i}"
+
+
 WORDS = {
     "aa": "lorna besti quop trelda mossi fenk aru".split(),
     "bb": "xihu zanqo wuyi chenba liqu tongxi".split(),

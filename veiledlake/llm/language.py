@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import ship
+from veiledlake.llm.common import fresh, ship
 
 # N-grams of 1 to so many characters are hashed to so many features.
 LONGEST = 3
@@ -83,9 +83,10 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     Every text is read to its end. Columns of these names are replaced; no column but the text is looked at.
     """
     ship(docs.sparkSession)
-    answer = _predictor(model)(F.col(text).cast("string"))
-    marked = docs.withColumn("_answer", answer)
-    return marked.withColumns({"lang_pred": F.col("_answer.lang"), "score": F.col("_answer.score")}).drop("_answer")
+    (answer,) = fresh(docs, "answer")
+    marked = docs.withColumn(answer, _predictor(model)(F.col(text).cast("string")))
+    found = {"lang_pred": F.col(answer)["lang"], "score": F.col(answer)["score"]}
+    return marked.withColumns(found).drop(answer)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

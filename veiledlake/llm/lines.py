@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import broadcast_if_small, settled
+from veiledlake.llm.common import broadcast_if_small, fresh, settled
 
 RATIO = 0.1
-MIN_PAGES = 3
+# A line on one page only repeats nothing, whatever its share of a small host.
+MIN_PAGES = 2
 
 
 def site_lines(
@@ -53,29 +54,30 @@ def drop_site_lines(
     """
     found = settled(site_lines(docs, text=text, host=host, ratio=ratio, min_pages=min_pages))
     sized = found.select("_host", F.explode("_marks").alias("_mark"))
-    hosts = found.withColumnRenamed("_host", "_site")
+    site, marks, parts, left = fresh(docs, "site", "marks", "lines", "kept")
+    hosts = found.select(F.col("_host").alias(site), F.col("_marks").alias(marks))
     if sized.isEmpty():
-        joined = docs.withColumn("_marks", F.lit(None).cast("array<binary>"))
+        joined = docs.withColumn(marks, F.lit(None).cast("array<binary>"))
     else:
         small = broadcast_if_small(sized)
         hosts = F.broadcast(hosts) if small is not sized else hosts
-        joined = docs.join(hosts, docs[host].eqNullSafe(hosts["_site"]), "left").drop("_site")
-    parted = joined.withColumn("_lines", F.split(F.col(text), "\n", -1))
+        joined = docs.join(hosts, F.col(host).eqNullSafe(F.col(site)), "left").drop(site)
+    parted = joined.withColumn(parts, F.split(F.col(text), "\n", -1))
     kept = F.when(
-        F.col("_marks").isNotNull(),
-        F.filter("_lines", lambda line: (F.trim(line) == "") | ~F.array_contains(F.col("_marks"), _mark(line))),
-    ).otherwise(F.col("_lines"))
-    marked = parted.withColumn("_kept", kept)
-    only_blank = ~F.exists("_kept", lambda line: F.trim(line) != "")
-    final = F.when(only_blank, F.col("_lines")).otherwise(F.col("_kept"))
-    n_lines = F.coalesce(F.size("_lines"), F.lit(0))
+        F.col(marks).isNotNull(),
+        F.filter(parts, lambda line: (F.trim(line) == "") | ~F.array_contains(F.col(marks), _mark(line))),
+    ).otherwise(F.col(parts))
+    marked = parted.withColumn(left, kept)
+    only_blank = ~F.exists(left, lambda line: F.trim(line) != "")
+    final = F.when(only_blank, F.col(parts)).otherwise(F.col(left))
+    n_lines = F.coalesce(F.size(parts), F.lit(0))
     return marked.withColumns(
         {
             text: F.array_join(final, "\n"),
-            "n_lines": F.when(F.col("_lines").isNull(), 0).otherwise(n_lines).cast("long"),
-            "n_dropped": F.when(F.col("_lines").isNull(), 0).otherwise(n_lines - F.size(final)).cast("long"),
+            "n_lines": F.when(F.col(parts).isNull(), 0).otherwise(n_lines).cast("long"),
+            "n_dropped": F.when(F.col(parts).isNull(), 0).otherwise(n_lines - F.size(final)).cast("long"),
         }
-    ).drop("_marks", "_lines", "_kept")
+    ).drop(marks, parts, left)
 
 
 def _marks(text: Column) -> Column:

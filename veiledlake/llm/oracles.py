@@ -46,7 +46,7 @@ cut AS (SELECT r, source, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM
 counts AS (SELECT source, l, count(DISTINCT r) AS k FROM cut WHERE trim(l) <> '' GROUP BY source, l),
 totals AS (SELECT source, count(*) AS t FROM pages GROUP BY source),
 bad AS (SELECT counts.source, l FROM counts JOIN totals ON counts.source IS NOT DISTINCT FROM totals.source
-    WHERE k >= 3 AND k > 0.1 * t),
+    WHERE k >= 2 AND k > 0.1 * t),
 judged AS (SELECT r, i, cut.l, bad.l IS NOT NULL AS drop
     FROM cut LEFT JOIN bad ON cut.l = bad.l AND cut.source IS NOT DISTINCT FROM bad.source),
 kept AS (SELECT r, string_agg(l, chr(10) ORDER BY i) FILTER (NOT drop) AS t, count(*) FILTER (drop) AS d,

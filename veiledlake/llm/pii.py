@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import sample_of, ship
+from veiledlake.llm.common import fresh, sample_of, ship
 
 # The kinds in their order, and what they match.
 KINDS = ("email", "ip", "card", "phone")
@@ -363,8 +363,9 @@ def find(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFra
     named `base` or `spans` are replaced, others are not looked at.
     """
     ship(docs.sparkSession)
-    found = docs.withColumn("_found", _finder(model)(F.col(text).cast("string")))
-    return found.withColumns({"base": F.col("_found.base"), "spans": F.col("_found.spans")}).drop("_found")
+    (answer,) = fresh(docs, "found")
+    found = docs.withColumn(answer, _finder(model)(F.col(text).cast("string")))
+    return found.withColumns({"base": F.col(answer)["base"], "spans": F.col(answer)["spans"]}).drop(answer)
 
 
 def _finder(model: Model | None) -> Callable:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from veiledlake.llm.common import broadcast_if_small, settled, ship
+from veiledlake.llm.common import broadcast_if_small, fresh, settled, ship
 
 # A branch stays if its importance and what its names say add up to this.
 KEEP = 0.3
@@ -250,11 +250,12 @@ def extract(pages: DataFrame, *, url: str = "url", html: str = "html", out: str
     """
     ship(pages.sparkSession)
     low = settled(style_tree(pages, url=url, html=html))
-    table = low.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("path", "importance"))).alias("_low"))
-    table = table.withColumnRenamed("host", "_host")
+    table = low.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("path", "importance"))).alias("low"))
+    host, nodes = fresh(pages, "host", "low")
+    table = table.toDF(host, nodes)
     small = broadcast_if_small(low) is not low
-    joined = pages.join(F.broadcast(table) if small else table, host_of(url) == F.col("_host"), "left")
-    return joined.withColumn(out, _extract(F.col(html).cast("string"), F.col("_low"))).drop("_low", "_host")
+    joined = pages.join(F.broadcast(table) if small else table, host_of(url) == F.col(host), "left")
+    return joined.withColumn(out, _extract(F.col(html).cast("string"), F.col(nodes))).drop(nodes, host)
 
 
 def host_of(url: str) -> Column:
