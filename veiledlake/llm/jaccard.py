@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import broadcast_if_small, settled, ship
+from veiledlake.llm.common import bit_table, broadcast_if_small, is_set, settled, ship
 from veiledlake.llm.shingles import set_id, sets_of
 
 SHINGLE = 5
@@ -22,6 +22,8 @@ COUNTERS = 1 << 20
 CHUNK = 1 << 12
 # Prefixes are longer by this share of a set, and similar sets then have so many marks more in common.
 MORE = 20
+# Marks in lists of one entry are told in the tasks by a table of 2 ** BITS bits (8 MB); what passes by chance is counted in full.
+BITS = 26
 # Rounds with one pivot a list go on, up to so many, while the links of a round are this share of the components
 # still open; what is then left is compared completely.
 PIVOT_ROUNDS = 6
@@ -61,7 +63,7 @@ def jaccard_components(
         texts.mapInArrow(_each(_prefix_row, size, weights, percent), "doc long, set long, n long, marks array<long>")
     )
     classes = settled(prefixes.where("n > 0").groupBy("set", "n").agg(F.min("doc").alias("doc")))
-    entries = settled(_shared_entries(prefixes, classes))
+    entries = settled(_shared_entries(prefixes, classes, percent))
     entries = entries.withColumn("label", F.col("set"))
     labels = settled(entries.select("set", "label").distinct())
     known: DataFrame | None = None
@@ -96,20 +98,57 @@ def jaccard_components(
     )
 
 
-def _shared_entries(prefixes: DataFrame, classes: DataFrame) -> DataFrame:
-    """Entries of the index lists that hold more than one: mark, set, length, position.
+def _shared_entries(prefixes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Entries of the index lists that hold more than one: mark, set, length, position, and the mark before it in the set.
 
-    Lists are counted in the tasks first. A set comes from one of its documents; the copies to leave out are told by
-    their ids, not by their marks.
+    Two linked sets share one of the first marks, which are all that is listed; those behind them serve to count. A set
+    comes from one of its documents; the copies to leave out are told by their ids, not by their marks. Lists are
+    counted in the tasks first, and entries that surely are alone in theirs are not shuffled.
     """
     own = classes.select(F.col("set").alias("copied"), F.col("doc").alias("first"))
     copies = prefixes.select("set", "doc").join(own, F.col("set") == F.col("copied"))
     copies = copies.where(~F.col("doc").eqNullSafe(F.col("first"))).select("copied", F.col("doc").alias("copy")).distinct()
     same = (F.col("set") == F.col("copied")) & F.col("doc").eqNullSafe(F.col("copy"))
     single = prefixes.where("n > 0").join(broadcast_if_small(settled(copies)), same, "left_anti")
-    entries = single.select("set", F.col("n").cast("int").alias("n"), F.posexplode_outer("marks").alias("pos", "mark"))
-    shared = entries.groupBy("mark").agg(F.count("*").alias("members")).where("members > 1").select("mark")
-    return entries.select("mark", "set", "n", "pos").join(shared, "mark", "left_semi")
+    single = single.select("set", "n", "marks")
+    first = F.slice("marks", F.lit(1), _first_marks(percent).cast("int"))
+    lists = single.select(F.explode(first).alias("mark")).groupBy("mark").agg(F.count("*").alias("members"))
+    shared = settled(lists.where("members > 1").select("mark"))
+    table = bit_table(F.col("mark"), shared, BITS)
+    listed = "mark long, set long, n int, pos int, before long"
+    entries = single.mapInArrow(_entries(table, percent), listed)
+    return entries.join(shared, "mark", "left_semi")
+
+
+def _first_marks(percent: int) -> Column:
+    """How many marks of a set of length n hold one that a linked set has among its own."""
+    return F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+
+
+def _entries(table: np.ndarray, percent: int) -> Callable:
+    """The entries of sets whose mark is in the table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets, lengths, lists = batch.columns
+            marks = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            lengths = lengths.to_numpy(zero_copy_only=False)
+            pos = np.arange(len(marks)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            first = lengths + (-percent * lengths) // 100 + 1
+            kept = np.flatnonzero((pos < np.repeat(first, sizes)) & is_set(table, marks))
+            before = np.where(pos > 0, np.roll(marks, 1), -1)[kept]
+            of = np.repeat(np.arange(len(sizes)), sizes)[kept]
+            columns = [
+                pa.array(marks[kept]),
+                sets.take(pa.array(of)),
+                pa.array(lengths[of].astype(np.int32)),
+                pa.array(pos[kept].astype(np.int32)),
+                pa.array(before),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["mark", "set", "n", "pos", "before"])
+
+    return run
 
 
 def _joined(labels: DataFrame, linked: DataFrame) -> tuple[DataFrame, int]:
@@ -150,7 +189,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def _still_open(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries of lists that hold more than one component, with their components."""
-    entries = entries.select("mark", "set", "n", "pos").join(labels, "set")
+    entries = entries.select("mark", "set", "n", "pos", "before").join(labels, "set")
     lists = entries.groupBy("mark").agg(F.min("label").alias("least"), F.max("label").alias("most"))
     return entries.join(lists.where("least <> most").select("mark"), "mark")
 
@@ -172,14 +211,18 @@ def _block(percent: int) -> Column:
 def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All pairs of a list between components; blocks of lengths that are too far apart do not meet.
 
-    Each entry is a candidate in its own block and in the one above it.
+    Each entry is a candidate in its own block and in the one above it, as the shorter set only if its position leaves
+    room for a set of its own length. Sets that also share the mark before this one meet there, and not here again.
     """
     block = _block(percent)
-    left = entries.select("mark", "set", "n", "pos", "label", F.explode(F.array(block, block + 1)).alias("block"))
-    right = entries.select("mark", block.alias("block"), *[F.col(c).alias(f"p_{c}") for c in ("set", "n", "pos", "label")])
+    columns = ("set", "n", "pos", "before", "label")
+    ahead = (100 + percent) * (F.col("n") - F.col("pos")) >= 2 * percent * F.col("n")
+    left = entries.where(ahead).select("mark", *columns, F.explode(F.array(block, block + 1)).alias("block"))
+    right = entries.select("mark", block.alias("block"), *[F.col(c).alias(f"p_{c}") for c in columns])
     # Each pair once: the shorter set, of equal lengths the one with the smaller id, comes from the left.
     once = (F.col("n") < F.col("p_n")) | ((F.col("n") == F.col("p_n")) & (F.col("set") < F.col("p_set")))
-    return _open_pairs(left.join(right, ["mark", "block"]).where(once), percent)
+    new = (F.col("before") < 0) | (F.col("before") != F.col("p_before"))
+    return _open_pairs(left.join(right, ["mark", "block"]).where(once & new), percent)
 
 
 def _open_pairs(pairs: DataFrame, percent: int) -> DataFrame:
@@ -235,7 +278,8 @@ def _common_marks(pairs: DataFrame, prefixes: DataFrame, classes: DataFrame) ->
     """Pairs whose prefixes share as many marks as those of similar sets do.
 
     Two sets that share enough also share 1 + k marks if both prefixes are longer by k than the first shared one
-    takes. A common line or passage makes a pair, but rarely so many marks.
+    takes. A common line or passage makes a pair, but rarely so many marks. Marks of a set that are alike in the bits
+    kept of them count once, so a set with such marks needs as many less.
     """
     members = pairs.select("set").union(pairs.select("other")).distinct().join(classes.select("set", "doc"), "set")
     ids = settled(members)
@@ -246,7 +290,11 @@ def _common_marks(pairs: DataFrame, prefixes: DataFrame, classes: DataFrame) ->
     )
     joined = _with_both(pairs, _once(marks.select("set", "marks"), ids))
     least = 1 + F.floor(F.least("n", "m") / MORE)
-    joined = joined.where(F.size(F.array_intersect("marks", "others")) >= least)
+    alike = F.size("marks") - F.size(F.array_distinct("marks"))
+    joined = joined.where(
+        (F.size(F.array_intersect("marks", "others")) >= least)
+        | ((alike > 0) & (F.size(F.array_intersect("marks", "others")) + alike >= least))
+    )
     return joined.select("set", "other", "n", "m")
 
 
