@@ -5,6 +5,8 @@ import itertools
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from veiledlake.llm import decontaminate, jaccard, language, lines
@@ -126,6 +128,29 @@ def test_jaccard_components(table, monkeypatch, seed, rounds):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(components(docs), key=str)
 
 
+def test_jaccard_of_near_copies_that_are_no_links(table, monkeypatch):
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", 1)
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(100)]
+    # All share a long passage; tails of 12 to 20 words of their own put pairs on both sides of the threshold.
+    docs = [(i, " ".join([*base, *(f"t{i}x{k}" for k in range(rng.randint(12, 20)))])) for i in range(40)]
+    docs += [(100 + i, docs[i][1] + f" end{i}") for i in range(0, 40, 4)]
+    want = components(docs)
+    assert 1 < len({c for *_, c in want}) < len(docs)
+    assert sorted(map(tuple, jaccard.jaccard_components(table(docs)).collect())) == sorted(want)
+
+
+def test_entries_are_the_first_marks_in_the_table():
+    table = np.zeros((1 << 10) // 8, np.uint8)
+    for mark in (5, 7, 9):
+        table[mark >> 3] |= 1 << (mark & 7)
+    lists = pa.array([[], [5, 6, 7, 9], [9, 5]], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([0, 10, 4]), lists], ["set", "n", "marks"])
+    (found,) = jaccard._entries(table, 80)([batch])
+    # Of 10 marks the first three are listed, of 4 the first.
+    assert [tuple(r.values()) for r in found.to_pylist()] == [(5, 2, 10, 0, -1), (7, 2, 10, 2, 6), (9, 3, 4, 0, -1)]
+
+
 def test_jaccard_of_nothing(table):
     assert jaccard.jaccard_components(table([])).collect() == []
     alone = jaccard.jaccard_components(table([(1, None), (2, "")])).collect()
