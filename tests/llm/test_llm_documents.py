@@ -140,6 +140,33 @@ def test_jaccard_of_near_copies_that_are_no_links(table, monkeypatch):
     assert sorted(map(tuple, jaccard.jaccard_components(table(docs)).collect())) == sorted(want)
 
 
+def test_jaccard_compares_copies_with_the_centre_of_their_group_first(table, monkeypatch):
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", 1)
+    left, settled = [], jaccard._all_pairs
+    monkeypatch.setattr(jaccard, "_all_pairs", lambda *a: left.append(settled(*a)) or left[0])
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 61):
+        copy = list(base)
+        # Words that lie apart: a link to the base, and mostly none to another copy.
+        for at in rng.sample(range(5, 145, 10), 3):
+            copy[at] = f"e{i}x{at}"
+        docs.append((i, " ".join(copy)))
+    want = components(docs)
+    assert {c for *_, c in want} == {0}
+    assert sorted(map(tuple, jaccard.jaccard_components(table(docs)).collect())) == sorted(want)
+    assert left[0].count() <= len(docs)
+
+
+def test_jaccard_shuffles_the_sets_of_pairs_once(table):
+    pairs = table([(1, 2)], "set long, other long", clash=False)
+    sets = table([(1, [1, 2]), (2, [2, 3])], "set long, marks array<long>", clash=False)
+    joined = jaccard._with_both(pairs.hint("merge"), sets.hint("merge"))
+    assert [(r.ones, r.others) for r in joined.collect()] == [([1, 2], [2, 3])]
+    assert "ReusedExchange" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_entries_are_the_first_marks_in_the_table():
     table = np.zeros((1 << 10) // 8, np.uint8)
     for mark in (5, 7, 9):

@@ -195,9 +195,14 @@ def _still_open(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(entries: DataFrame, step: int, percent: int) -> DataFrame:
-    """Every entry with the pivot of its block, another one in each round."""
+    """Every entry with the pivot of its block, another one in each round.
+
+    The first pivot is the set with the fewest marks before this one: of a group of copies the one with the fewest changes of
+    its own. It links to copies that differ too much from each other, which any other pivot leaves to be compared in pairs.
+    """
     entries = entries.withColumn("block", _block(percent))
-    order = F.struct(F.xxhash64("set", F.lit(step)).alias("o"), "set", "n", "pos", "label")
+    changes = F.lit(0) if step else F.col("pos")
+    order = F.struct(changes.alias("c"), F.xxhash64("set", F.lit(step)).alias("o"), "set", "n", "pos", "label")
     pivots = entries.groupBy("mark", "block").agg(F.min(order).alias("p"))
     pivots = pivots.select("mark", "block", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("set", "n", "pos", "label")])
     return _open_pairs(entries.join(pivots, ["mark", "block"]), percent)
@@ -290,10 +295,10 @@ def _common_marks(pairs: DataFrame, prefixes: DataFrame, classes: DataFrame) ->
     )
     joined = _with_both(pairs, _once(marks.select("set", "marks"), ids))
     least = 1 + F.floor(F.least("n", "m") / MORE)
-    alike = F.size("marks") - F.size(F.array_distinct("marks"))
+    alike = F.size("ones") - F.size(F.array_distinct("ones"))
     joined = joined.where(
-        (F.size(F.array_intersect("marks", "others")) >= least)
-        | ((alike > 0) & (F.size(F.array_intersect("marks", "others")) + alike >= least))
+        (F.size(F.array_intersect("ones", "others")) >= least)
+        | ((alike > 0) & (F.size(F.array_intersect("ones", "others")) + alike >= least))
     )
     return joined.select("set", "other", "n", "m")
 
@@ -304,10 +309,10 @@ def _overlaps(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int)
     ids = broadcast_if_small(settled(members.select(F.col("doc").alias("wanted")).distinct()))
     chosen = texts.join(ids, F.col("doc").eqNullSafe(F.col("wanted")), "left_semi")
     sets = chosen.mapInArrow(_each(_set_row, size), "doc long, set long, marks array<long>")
-    own = members.select(F.col("set").alias("a"), F.col("doc").alias("b"))
+    own = broadcast_if_small(members).select(F.col("set").alias("a"), F.col("doc").alias("b"))
     sets = sets.join(own, (F.col("set") == F.col("a")) & F.col("doc").eqNullSafe(F.col("b")), "left_semi")
     sets = sets.select("set", "marks")
-    shared = F.size(F.array_intersect("marks", "others")).cast("long")
+    shared = F.size(F.array_intersect("ones", "others")).cast("long")
     joined = _with_both(pairs, _once(sets, members))
     return joined.select("set", "other", "n", "m", shared.alias("overlap"))
 
@@ -319,8 +324,8 @@ def _once(sets: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs with the marks of both sets; named alike but for the names, so that one shuffle of the sets serves both."""
-    one = sets.select(F.col("set").alias("a"), F.col("marks").alias("marks"))
+    """Pairs with the marks of both sets. Both sides rename both columns, so that one shuffle of the sets serves both."""
+    one = sets.select(F.col("set").alias("a"), F.col("marks").alias("ones"))
     two = sets.select(F.col("set").alias("b"), F.col("marks").alias("others"))
     return pairs.join(one, F.col("set") == F.col("a")).join(two, F.col("other") == F.col("b"))
 
