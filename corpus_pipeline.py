@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veiledlake.llm import bpe, decontaminate, jaccard, language, lines
-from veiledlake.llm.common import broadcast_if_small, settled, table
+from veiledlake.llm.common import broadcast_if_small, settled, small_batches, table
 
 # Documents whose language is less sure than this are rejected.
 MIN_SCORE = 0.5
@@ -15,6 +15,7 @@ MIN_SCORE = 0.5
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or in no language that the labels know, go."""
+    small_batches(spark)
     found = language.identify(docs).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE))
     return found.select(docs.columns)
 
@@ -27,6 +28,7 @@ def cut_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the document with the smallest id stays."""
+    small_batches(spark)
     found = jaccard.jaccard_components(docs)
     return _without(docs, found.where("doc_id <> component_id").select("doc_id"))
 
@@ -39,6 +41,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and the digest of what they decode to."""
+    small_batches(spark)
     vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary, decoded="decoded")
     return encoded.select(

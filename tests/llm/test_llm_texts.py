@@ -5,6 +5,7 @@ import hashlib
 import importlib.util
 import random
 import struct
+import sys
 from pathlib import Path
 
 import duckdb
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from veiledlake import llm
-from veiledlake.llm import bpe, chat, fingerprints, queries, site_trees
+from veiledlake.llm import bpe, chat, fingerprints, jaccard, language, queries, site_trees
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,6 +77,55 @@ def test_bpe_encodes_once(spark):
         assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
 
 
+def test_bpe_ranks_stand_in_the_plan_once(spark, tmp_path):
+    """Each copy of them fills the driver, by the plan and its text, and the tasks."""
+    pieces = [b"a", b"b", b"c", b"ab", b"abc"]
+    file = tmp_path / "ranks"
+    file.write_text("".join(f"{base64.b64encode(p).decode()} {i}\n" for i, p in enumerate(pieces)))
+    df = spark.createDataFrame([("abcab",)], "word string")
+    df = df.select(bpe.Vocabulary(str(file), public_tokenizers.PATTERN).encode_word(F.col("word")).alias("ids"))
+    assert df.first().ids == [4, 3]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f"keys: [{b'abc'.hex().upper()}]") == 1
+
+
+def test_bpe_remembers_words_in_little_memory(library):
+    ranks, rest = library._mergeable_ranks, {}
+    words = [" zxqvkjw" * n for n in (1, 2, 3)]
+    found = bpe._encode_words(words, {}, rest, ranks)
+    assert found.tolist() == [i for w in words for i in bpe.merged(w.encode(), ranks)]
+    for word in words:
+        ids = bpe.merged(word.encode(), ranks)
+        held = rest[word]
+        size = sys.getsizeof(held) + sum(map(sys.getsizeof, held if isinstance(held, list) else ()))
+        assert size <= 40 + 4 * len(ids)
+
+
+def test_pipeline_gives_python_few_rows_at_once(spark, monkeypatch):
+    """Whole texts of 10,000 rows, Spark's default, would be held in each task on both sides."""
+    rows, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    class Reached(Exception):
+        pass
+
+    def reached(*args, **kwargs):
+        seen.append(int(spark.conf.get(rows)))
+        raise Reached
+
+    for module, name in ((language, "identify"), (jaccard, "jaccard_components"), (bpe, "encode")):
+        monkeypatch.setattr(module, name, reached)
+    docs, before = queries.table(spark, SF, "documents"), spark.conf.get(rows)
+    try:
+        for limit in ("10000", "0", "300"):
+            for name in ("language_id", "jaccard_join", "byte_bpe"):
+                spark.conf.set(rows, limit)
+                with pytest.raises(Reached):
+                    dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    finally:
+        spark.conf.set(rows, before)
+    assert seen == [1000] * 6 + [300] * 3
+
+
 def test_bpe_of_nothing(table):
     vocabulary = bpe.Vocabulary(PATH, public_tokenizers.PATTERN)
     assert bpe.encode(table([]), vocabulary).collect() == []
