@@ -10,6 +10,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -126,6 +127,18 @@ def test_pipeline_gives_python_few_rows_at_once(spark, monkeypatch):
     assert seen == [1000] * 6 + [300] * 3
 
 
+def test_language_sample_is_one_block():
+    """The driver keeps the memory of thousands of small arrays for later stages, and gives back that of one large array."""
+    texts = ["", "one two three", "eins zwei", "a" * 99]
+    slots, counts = map(pd.Series, zip(*map(language.grams, texts), strict=True))
+    idf = np.linspace(1, 3, language.FEATURES)
+    found = language._one_block(slots, counts, idf)
+    for (values, features), s, c in zip(found, slots, counts, strict=True):
+        assert features.tolist() == s.tolist() and values.tolist() == language._weighted(s, c.astype(float), idf).tolist()
+    assert len({id(v.base) for v, _ in found}) == len({id(s.base) for _, s in found}) == 1
+    assert language._one_block(slots[:0], counts[:0], idf) == []
+
+
 def test_bpe_of_nothing(table):
     vocabulary = bpe.Vocabulary(PATH, public_tokenizers.PATTERN)
     assert bpe.encode(table([]), vocabulary).collect() == []

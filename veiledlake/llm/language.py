@@ -65,10 +65,9 @@ def fit(
     rows = chosen.mapInArrow(_sample, "lang string, place long, slots array<int>, counts array<int>").toPandas()
     rows = rows.sort_values(["place", "lang"])
     rng = np.random.default_rng(1)
-    data = [
-        (_weighted(np.asarray(s, np.int64), np.asarray(c, np.float64), idf), np.asarray(s, np.int64), languages.index(k))
-        for s, c, k in zip(rows["slots"], rows["counts"], rows["lang"], strict=True)
-    ]
+    data = _one_block(rows["slots"], rows["counts"], idf)
+    data = [(v, s, languages.index(k)) for (v, s), k in zip(data, rows["lang"], strict=True)]
+    del rows
     apart, learn = data[::5], [x for i, x in enumerate(data) if i % 5]
     weights, bias = _ftrl(learn or data, len(languages), epochs, rng)
     logits = np.array([v @ weights[s] + bias for v, s, _ in apart]).reshape(-1, len(languages))
@@ -137,6 +136,16 @@ def _weighted(slots: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndar
     return values / max(np.sqrt(values @ values), 1e-12)
 
 
+def _one_block(slots: pd.Series, counts: pd.Series, idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Weights and features of each text, as parts of two arrays: the driver gives back one large block, but not many small ones."""
+    ends = np.append(0, np.cumsum([len(s) for s in slots], dtype=np.int64))
+    features, values = np.empty(ends[-1], np.int64), np.empty(ends[-1], np.float64)
+    for s, c, a, b in zip(slots, counts, ends, ends[1:], strict=False):
+        features[a:b] = s
+        values[a:b] = _weighted(features[a:b], np.asarray(c, np.float64), idf)
+    return [(values[a:b], features[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def _ftrl(data: list, classes: int, epochs: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """Follow the regularised leader, proximal, with L1 and L2 penalties; the last row is the bias, without L1."""
     z, n = np.zeros((FEATURES + 1, classes)), np.zeros((FEATURES + 1, classes))
