@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from veiledlake.llm import decontaminate, jaccard, language, lines
+from veiledlake.llm.common import READ_ROWS
 from veiledlake.llm.shingles import sets_of
 
 
@@ -77,6 +78,30 @@ def test_decontaminate_empty(table, docs, items):
     assert [(r.doc_id, r.n_words, r.n_hit, r.contaminated) for r in found] == [(1, 2, 0, False)] * len(docs)
 
 
+def test_decontaminate_memory(table, spark, monkeypatch):
+    """No array of marks for a whole text, and few texts at once, or executors run out of memory."""
+    plans, rows = [], []
+
+    def settled(df, really=decontaminate.settled):
+        if "_near" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            rows.append(int(spark.conf.get(READ_ROWS)))
+        return really(df)
+
+    monkeypatch.setattr(decontaminate, "settled", settled)
+    before = spark.conf.get(READ_ROWS)
+    spark.conf.set(READ_ROWS, "4096")
+    try:
+        found = decontaminate.decontaminate(
+            table([(1, "a b c d e f"), (2, "a b")]), table([(1, "b c d e f"), (2, "a b")], "item_id long, text string")
+        ).collect()
+    finally:
+        spark.conf.set(READ_ROWS, before)
+    assert sorted((r.doc_id, r.n_hit, r.n_items) for r in found) == [(1, 6, 2), (2, 2, 1)]
+    assert len(plans) == 1 and "lambda" not in plans[0]
+    assert rows[0] <= 1000
+
+
 def shingle_set(text):
     ws = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(text))
     return {tuple(ws[i : i + 5]) for i in range(max(len(ws) - 4, 1))} if ws else set()

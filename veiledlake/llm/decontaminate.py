@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veiledlake.llm.common import PLAIN_WORDS, broadcast_if_small, settled, words
+from veiledlake.llm.common import PLAIN_WORDS, broadcast_if_small, settled, small_reads, words
 
 WINDOW = 10
 SHINGLE = 5
@@ -55,6 +55,7 @@ def decontaminate(
     rows give repeated results, also where the id is null; equal ids with different texts are different documents.
     Other columns of either table are not looked at.
     """
+    small_reads(docs.sparkSession)
     windows = settled(item_windows(items, item_id=item_id, text=item_text, window=window))
     windows = windows.withColumn("_window", F.xxhash64("window", "length"))
     shingled = settled(
@@ -65,20 +66,20 @@ def decontaminate(
             F.posexplode(_shingles("window", shingle)).alias("offset", "mark"),
         )
     )
-    sizes = [r[0] for r in shingled.select("size").distinct().collect()]  # no more than there are shingle sizes
+    sizes = sorted(r[0] for r in shingled.select("size").distinct().collect())  # no more than there are shingle sizes
     wanted = shingled.select("mark").union(docs.sparkSession.range(1).select(F.lit(0).cast("long"))).distinct()
 
-    # The first place of every document is a stand-in that always matches: it counts words and rows.
-    places = [F.array(F.lit(0).cast("long"))] + [_places("_hashes", k) for k in sorted(sizes)]
+    # Size 0 is a stand-in of every document that always matches: it counts words and rows. Marks are made one at a
+    # time, behind the places: arrays of them for whole texts fill the executors' memory.
     spots = (
         docs.select(
             F.col(doc_id).alias("_doc"), F.xxhash64(text).alias("_text"), words(text, PLAIN_WORDS).alias("_words")
         )
-        .select("_doc", "_text", "_words", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
-        .select("_doc", "_text", "_words", F.concat(*places).alias("_marks"), *_starts("_words", sorted(sizes)))
-        .select("_doc", "_text", "_words", "_first", F.posexplode_outer("_marks").alias("_at", "mark"))
+        .select("_doc", "_text", "_words", F.explode(F.array(*map(F.lit, [0, *sizes]))).alias("_size"))
+        .select("_doc", "_text", "_words", "_size", F.explode(_places("_words", "_size")).alias("_pos"))
+        .withColumn("mark", _mark("_words", "_size", "_pos", sizes))
         .join(broadcast_if_small(settled(wanted)), "mark")
-        .select("_doc", "_text", F.size("_words").alias("_n"), "mark", *_place("_words", window, shingle))
+        .select("_doc", "_text", F.size("_words").alias("_n"), "mark", "_pos", *_around("_words", window, shingle))
     )
     spots = settled(spots)
     seen = spots.where("_pos > 0").groupBy("mark").agg(F.count("*").alias("_places"))
@@ -129,40 +130,35 @@ def decontaminate(
 
 def _shingles(column: str, size: int) -> Column:
     """The shingles of a window; one of fewer words is a shingle itself."""
-    column = f"transform({column}, w -> xxhash64(w))"
-    short = " ".join(f"when {k} then array({_joined('h', '0', k)})" for k in range(1, size))
-    many = f"transform(sequence(0, greatest(size(h) - {size}, 0)), i -> {_joined('h', 'i', size)})"
-    return F.expr(f"transform(array({column}), h -> case size(h) {short} else {many} end)[0]")
+    short = " ".join(f"when {k} then array({_joined(column, '0', k)})" for k in range(1, size))
+    many = f"transform(sequence(0, greatest(size({column}) - {size}, 0)), i -> {_joined(column, 'i', size)})"
+    return F.expr(f"case size({column}) {short} else {many} end")
 
 
-def _places(column: str, size: int) -> Column:
-    """The shingle at every place, from the hashes of words; none if there are too few words."""
-    many = f"transform(sequence(0, greatest(size({column}) - {size}, 0)), i -> {_joined(column, 'i', size)})"
-    return F.expr(f"if(size({column}) < {size}, cast(array() as array<bigint>), {many})")
+def _places(column: str, size: str) -> Column:
+    """Where shingles of a size stand in the words, from 1; 0 for the stand-in, none if there are too few words."""
+    last = f"size({column}) - {size} + 1"
+    many = f"if({last} < 1, cast(array() as array<int>), sequence(1, {last}))"
+    return F.expr(f"if({size} = 0, array(0), {many})")
+
+
+def _mark(column: str, size: str, pos: str, sizes: list[int]) -> Column:
+    """The shingle at a place, 0 for the stand-in."""
+    found = F.when(F.col(size) == 0, F.lit(0).cast("long"))
+    for k in sizes:
+        found = found.when(F.col(size) == k, F.expr(_joined(column, f"{pos} - 1", k)))
+    return found
 
 
 def _joined(column: str, at: str, size: int) -> str:
     return f"xxhash64({', '.join(f'get({column}, {at} + {j})' for j in range(size))})"
 
 
-def _starts(column: str, sizes: list[int]) -> list[Column]:
-    """How many places the shorter shingle sizes take before each size: `_first`."""
-    ends, total = [], F.lit(1)
-    for k in sizes:
-        total = total + F.greatest(F.size(column) - F.lit(k - 1), F.lit(0))
-        ends.append(total)
-    return [F.array(F.lit(1), *ends).alias("_first")]
-
-
-def _place(column: str, window: int, shingle: int) -> list[Column]:
-    """Where a match stands (from 1; 0 is the stand-in), and the words around it."""
-    pos = F.expr("if(_at = 0, 0, _at + 1 - array_max(filter(_first, x -> x <= _at)))")
-    start = F.greatest(pos - F.lit(window), F.lit(1))
-    return [
-        pos.alias("_pos"),
-        start.alias("_from"),
-        F.when(F.col("_at") > 0, F.slice(column, start, F.lit(2 * window + shingle))).alias("_near"),
-    ]
+def _around(column: str, window: int, shingle: int) -> list[Column]:
+    """The words around a match, and where they start."""
+    start = F.greatest(F.col("_pos") - F.lit(window), F.lit(1))
+    near = F.slice(column, start, F.lit(2 * window + shingle))
+    return [start.alias("_from"), F.when(F.col("_pos") > 0, near).alias("_near")]
 
 
 def _broadcast_windows(prefixes: DataFrame) -> DataFrame:
