@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veiledlake.llm import bpe, decontaminate, jaccard, language, lines
-from veiledlake.llm.common import broadcast_if_small, settled, small_batches, table
+from veiledlake.llm.common import broadcast_if_small, settled, small_batches, small_reads, table
 
 # Documents whose language is less sure than this are rejected.
 MIN_SCORE = 0.5
@@ -22,6 +22,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go; the number of characters is counted again."""
+    small_reads(spark)
     cut = lines.drop_site_lines(docs)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from veiledlake import llm
-from veiledlake.llm import bpe, chat, fingerprints, jaccard, language, queries, site_trees
+from veiledlake.llm import bpe, chat, decontaminate, fingerprints, jaccard, language, lines, queries, site_trees
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -127,6 +127,33 @@ def test_pipeline_gives_python_few_rows_at_once(spark, monkeypatch):
     assert seen == [1000] * 6 + [300] * 3
 
 
+def test_pipeline_decodes_few_rows_at_once(spark, monkeypatch):
+    """Texts of 4,096 rows of a file, Spark's default, fill tens of MB in each task."""
+    rows, seen = "spark.sql.parquet.columnarReaderBatchSize", []
+
+    class Reached(Exception):
+        pass
+
+    def reached(*args, **kwargs):
+        seen.append(int(spark.conf.get(rows)))
+        raise Reached
+
+    for module, name in ((language, "identify"), (lines, "drop_site_lines"), (jaccard, "jaccard_components")):
+        monkeypatch.setattr(module, name, reached)
+    monkeypatch.setattr(decontaminate, "item_windows", reached)
+    monkeypatch.setattr(bpe, "encode", reached)
+    docs, before = queries.table(spark, SF, "documents"), spark.conf.get(rows)
+    try:
+        for limit in ("4096", "300"):
+            for _, stage in corpus_pipeline.STAGES:
+                spark.conf.set(rows, limit)
+                with pytest.raises(Reached):
+                    stage(spark, docs, SF)
+    finally:
+        spark.conf.set(rows, before)
+    assert seen == [1000] * 5 + [300] * 5
+
+
 def test_language_sample_is_one_block():
     """The driver keeps the memory of thousands of small arrays for later stages, and gives back that of one large array."""
     texts = ["", "one two three", "eins zwei", "a" * 99]
